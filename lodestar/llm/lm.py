@@ -17,7 +17,7 @@ from lodestar.llm.tables import materialise
 #: Words that are broadcast with their counts: the most frequent of at most so many bytes. The others are joined.
 HEAD, HEAD_BYTES = 1 << 18, 64
 #: Bytes of text worked on at a time; a longer text is one piece.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 ALPHA = 0.1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -45,7 +45,7 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.flatnonzero(white & np.concatenate([[False], ~white[:-1]]))
     if len(_powers[0]) <= len(data):
         for i, b in enumerate((_BASE, _UNBASE)):
-            p = np.full(2 * len(data) + 1, b, np.uint64)
+            p = np.full(len(data) + 1, b, np.uint64)
             p[0] = 1
             _powers[i] = np.cumprod(p)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[0][: len(data)])])
@@ -164,7 +164,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             for _, part in _chunks(batch, 0):
                 for t in part:
                     counts.update(t.split())
-                if len(counts) > 500_000:
+                if len(counts) > 250_000:
                     yield out(counts)
                     counts = Counter()
         yield out(counts)
@@ -204,7 +204,7 @@ def count_filter(texts: DataFrame, megabytes: int = 64, probes: int = 3) -> Coun
                 toks, sizes = tokens(part)
                 held += [toks, bigrams(toks, sizes)[1]]
                 n += len(toks)
-                if n > 3_000_000:
+                if n > 2_000_000:
                     yield out(held)
                     held, n = [], 0
         if held:
