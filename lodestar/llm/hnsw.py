@@ -124,9 +124,45 @@ def build(points: np.ndarray, seed: int) -> Graph:
                 _take_up(graph, layer, own, links, width)
             start = found[:, :1]
         at += len(batch)
+    _reach_all(graph)
     return graph
 
 
+def _reach_all(graph: Graph) -> None:
+    """Nodes that all their neighbours dropped can't be found; give each a link from a node that can, its nearest
+    neighbour if possible, in columns of their own."""
+    table = graph.layers[0]
+    n = len(table)
+    reached, extra = np.zeros(n, dtype=bool), []
+    front = np.array([graph.entry])
+    while n:
+        while len(front):
+            reached[front] = True
+            ids = table[front].ravel()
+            ids = np.unique(ids[ids >= 0])
+            front = ids[~reached[ids]]
+        lost = np.flatnonzero(~reached)
+        if not len(lost):
+            break
+        own = table[lost]
+        usable = (own >= 0) & reached[np.maximum(own, 0)]
+        some = usable.any(1)
+        if some.any():
+            hosts, front = own[some, np.argmax(usable[some], axis=1)], lost[some]
+        else:
+            front, near = lost[:1], np.flatnonzero(reached)
+            hosts = near[[np.argmin(((graph.points[near] - graph.points[front[0]]) ** 2).sum(1))]]
+        extra.append((hosts, front))
+    if extra:
+        hosts, guests = (np.concatenate(x) for x in zip(*extra))
+        order = np.argsort(hosts, kind="stable")
+        hosts, guests = hosts[order], guests[order]
+        _, first, count = np.unique(hosts, return_index=True, return_counts=True)
+        more = np.full((n, int(count.max())), -1, dtype=np.int32)
+        more[hosts, np.arange(len(hosts)) - np.repeat(first, count)] = guests
+        graph.layers[0] = np.concatenate([table, more], axis=1)
+
+
 def _take_up(graph: Graph, layer: int, own: np.ndarray, links: np.ndarray, width: int) -> None:
     table = graph.layers[layer]
     to, by = links.ravel(), np.repeat(own, links.shape[1])
@@ -224,8 +260,9 @@ def search(
         tops = np.frombuffer(right["tops"][0].as_py(), "<i1")
         layers = []
         for i, flat in enumerate(right["layers"][0].as_py()):
-            layers.append(np.full((len(ids), LINKS * (2 if i == 0 else 1)), -1, dtype=np.int32))
-            layers[-1][tops >= i] = np.frombuffer(flat, "<i4").reshape(-1, layers[-1].shape[1])
+            links = np.frombuffer(flat, "<i4").reshape(int((tops >= i).sum()), -1)
+            layers.append(np.full((len(ids), links.shape[1]), -1, dtype=np.int32))
+            layers[-1][tops >= i] = links
         asked = matrix(left["vec"])
         lengths = np.abs(asked).max(axis=1, keepdims=True)
         points = np.concatenate([asked / lengths, np.zeros((len(asked), 1))], axis=1).astype(np.float32)
