@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lodestar.llm.tables import materialise
 
 #: Words that are broadcast with their counts: the most frequent of at most so many bytes. The others are joined.
-HEAD, HEAD_BYTES = 1 << 18, 64
+HEAD, HEAD_BYTES = 1 << 17, 64
 #: Bytes of text worked on at a time; a longer text is one piece.
 CHUNK = 1 << 20
 ALPHA = 0.1
@@ -64,7 +64,8 @@ def bigrams(toks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 @dataclass
 class CountFilter:
     """A Bloom filter that holds the pairs (n-gram, level) for each level from 1 to 1 + floor(log2(count)). Its size
-    is `segments` times 2^20 bits and nothing else; an n-gram's bits lie in one segment. A count read from it is
+    is `segments` (a power of two) times 2^20 bits and nothing else; an n-gram's bits lie in one segment, that of the
+    leading bits of its hash, so sorted hashes are sorted by segment. A count read from it is
     never too low; it is too high with the chance of a false member, which grows as the filter fills."""
 
     segments: int
@@ -75,7 +76,7 @@ class CountFilter:
 
     def place(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Segment and name within it."""
-        return ((grams >> np.uint64(32)) % np.uint64(self.segments)).astype(np.int64), grams & np.uint64(0xFFFFFFFF)
+        return (grams >> np.uint64(65 - self.segments.bit_length())).astype(np.int64), grams & np.uint64(0xFFFFFFFF)
 
     def slots(self, names: np.ndarray, level: int) -> Iterator[np.ndarray]:
         h = _mixed((names + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25) + np.uint64(level))
@@ -179,15 +180,19 @@ def count_filter(texts: DataFrame, megabytes: int = 64, probes: int = 3) -> Coun
     shuffle by segment the counts of a segment's n-grams are summed and its bits set. The driver gets the bits alone:
     `megabytes` in all, whatever the corpus.
     """
+    if megabytes & (megabytes - 1):
+        raise ValueError("megabytes must be a power of two")
     plain = CountFilter(segments=megabytes * 8, probes=probes)
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(parts: list[np.ndarray]) -> pa.RecordBatch:
-            grams, counts = np.unique(np.concatenate(parts), return_counts=True)
-            segment, names = plain.place(grams)
-            order = np.argsort(segment, kind="stable")
-            cuts = np.searchsorted(segment[order], np.arange(plain.segments + 1))
-            names, counts = names[order].astype("<u4"), counts[order].astype("<u4")
+            grams = np.concatenate(parts)
+            grams.sort()
+            first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+            counts = np.diff(np.append(first, len(grams))).astype("<u4")
+            grams = grams[first]
+            cuts = np.searchsorted(plain.place(grams)[0], np.arange(plain.segments + 1))
+            names = (grams & np.uint64(0xFFFFFFFF)).astype("<u4")
             rows = [i for i in range(plain.segments) if cuts[i] < cuts[i + 1]]
             return pa.RecordBatch.from_arrays(
                 [
@@ -204,7 +209,7 @@ def count_filter(texts: DataFrame, megabytes: int = 64, probes: int = 3) -> Coun
                 toks, sizes = tokens(part)
                 held += [toks, bigrams(toks, sizes)[1]]
                 n += len(toks)
-                if n > 2_000_000:
+                if n > 1_500_000:
                     yield out(held)
                     held, n = [], 0
         if held:
