@@ -44,7 +44,8 @@ class Graph:
         ids[:, : start.shape[1]] = start
         dist[:, : start.shape[1]] = self.distances(queries, start)
         done[:, : start.shape[1]] = start < 0
-        seen[rows[:, None], np.maximum(start, 0)] |= start >= 0
+        row, col = np.nonzero(start >= 0)
+        seen[row, start[row, col]] = True
         live = rows
         while True:
             first = np.argmin(np.where(done[live], np.inf, dist[live]), axis=1)
@@ -56,7 +57,8 @@ class Graph:
             found = links[ids[live, first]]
             fresh = (found >= 0) & ~seen[live[:, None], np.maximum(found, 0)]
             found = np.where(fresh, found, -1)
-            seen[live[:, None], np.maximum(found, 0)] |= fresh
+            row, col = np.nonzero(fresh)
+            seen[live[row], found[row, col]] = True
             all_d = np.concatenate([dist[live], self.distances(queries[live], found)], axis=1)
             all_i = np.concatenate([ids[live], found], axis=1)
             all_x = np.concatenate([done[live], ~fresh], axis=1)
