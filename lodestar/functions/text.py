@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 HAN = r"[\x{3400}-\x{9fff}]"
 
@@ -23,7 +24,7 @@ def clean(c: Column) -> Column:
     return F.when(~t.isin("", "NULL"), t)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _folded(values: pd.Series) -> pd.Series:
     def fold(v):
         if v is None:
@@ -34,7 +35,7 @@ def _folded(values: pd.Series) -> pd.Series:
     return values.map(fold)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _shown(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v).strip())
 
@@ -137,7 +138,7 @@ def hash_embedding(c: Column, dim: int = 32) -> Column:
     return F.when(norm > 0, F.transform(sums, lambda x: x / norm)).otherwise(sums)
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def signed_hash_embedding(values: pd.Series) -> pd.Series:
     """256 slots; each byte of each token's SHA-256 adds 1 or -1, by parity, at slot (31 i + byte) mod 256."""
     import hashlib

@@ -49,9 +49,10 @@ def top_k(scored: DataFrame, k: int, key: str = "doc_id", score: str = "score")
 
 def search(queries: DataFrame, docs: DataFrame, doc_terms: Column, limit: int, key: str = "doc_id") -> DataFrame:
     """Documents with all terms of the query; where they are fewer than `limit`, those with any follow. Boosts: 0.35
-    for the query's location, 0.5 for its duty; the pool before boosts holds max(5 limit, 100) of each kind."""
+    for the query's location, 0.5 for its duty; the pool before boosts holds max(5 limit, 100) of each kind.
+    Scores are rounded, so ranks don't hang on the order in which parts were summed."""
     n_terms = queries.select("query_id", F.size(F.array_distinct("terms")).alias("n_terms"), "location", "duty")
-    scored = bm25(queries, docs, doc_terms, key, flavour="index").join(n_terms, "query_id")
+    scored = bm25(queries, docs, doc_terms, key, flavour="index").withColumn("score", F.round("score", 9)).join(n_terms, "query_id")
     strict = F.col("matched") == F.col("n_terms")
     pool = Window.partitionBy("query_id", "strict").orderBy(F.col("score").desc(), F.col(key))
     pooled = scored.withColumn("strict", strict).withColumn("at", F.row_number().over(pool)).where(F.col("at") <= max(5 * limit, 100))
@@ -59,7 +60,7 @@ def search(queries: DataFrame, docs: DataFrame, doc_terms: Column, limit: int, k
     kept = pooled.withColumn("all_match", enough).where(F.col("strict") | (F.col("all_match") < limit))
     boosted = kept.join(docs.select(key, F.col("location").alias("_l"), F.col("duty").alias("_d")), key).select(
         "query_id", key,
-        (F.col("score") + F.when(F.col("_l") == F.col("location"), 0.35).otherwise(0.0) + F.when(F.col("_d") == F.col("duty"), 0.5).otherwise(0.0)).alias("score"),
+        F.round(F.col("score") + F.when(F.col("_l") == F.col("location"), 0.35).otherwise(0.0) + F.when(F.col("_d") == F.col("duty"), 0.5).otherwise(0.0), 6).alias("score"),
     )
     return top_k(boosted, limit, key)
 
