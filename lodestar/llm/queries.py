@@ -66,5 +66,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in every}
 
 
+def _crc_table() -> list[int]:
+    out = list(range(256))
+    for _ in range(8):
+        out = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in out]
+    return out
+
+
+ORACLE_OP5 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, text, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)),
+  lambda a, b: xor(a >> 8, {_crc_table()}[xor(a & 255, b) + 1]))) AS text_crc32 FROM d),
+s AS (SELECT doc_id, text_crc32, md5(text) AS m, CAST(strlen(text) + 8 AS BIGINT) AS size FROM c),
+p AS (SELECT *, row_number() OVER w - 1 AS position, sum(size) OVER w - size AS start, sum(size) OVER () AS total FROM s WINDOW w AS (ORDER BY m, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+k AS (SELECT *, CAST(start * 24 // total AS INT) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, position - min(position) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INT) AS grown_shard, position FROM k"""
+
+#: All pairs; components by the smallest vector that is reached.
+ORACLE_OP10 = """WITH RECURSIVE x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS n FROM x),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_inner_product(a.v, b.v) / (a.n * b.n) >= 0.95),
+r(vec_id, root) AS (SELECT vec_id, vec_id FROM x UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id WHERE r.root < l.b),
+c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY 1), k AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY 1)
+SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN k USING (vec_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Sharding and vector near-duplicates. The others have no SQL: draws, graph searches, vocabularies, trained
+    models and XXH64 are tested against brute force instead."""
+    return {"op5_sharding": ORACLE_OP5, "op10_vector_dedup": ORACLE_OP10}
