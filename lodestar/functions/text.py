@@ -96,9 +96,9 @@ def split_values(c: Column, ignored: Sequence[str] = ()) -> Column:
 
 
 def overlap(query: Column, document: Column) -> Column:
-    """Share of the query's distinct tokens that the document has; 0 without tokens."""
+    """Share of the query's distinct tokens that the document has; 0 without tokens on either side."""
     n = F.size(F.array_distinct(query))
-    return F.when(n > 0, F.size(F.array_intersect(query, document)) / n).otherwise(0.0)
+    return F.coalesce(F.when(n > 0, F.size(F.array_intersect(query, document)) / n), F.lit(0.0))
 
 
 def digest_id(prefix: str, *parts: Column, width: int = 16) -> Column:
