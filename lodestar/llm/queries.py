@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import bpe, hnsw, lm, mixing, quality, sharding, simhash, vector_dedup
+from lodestar.llm import bpe, hnsw, licences, lm, mixing, quality, sharding, simhash, token_counts, vector_dedup
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_docs(spark, sf_dir))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_docs(spark, sf_dir), vocabulary())
+
+
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(_docs(spark, sf_dir))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_docs(spark, sf_dir))
 
@@ -59,6 +67,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_bpe,
         op4_quality,
         op5_sharding,
+        op6_token_counts,
+        op7_licences,
         op8_simhash,
         op9_lm,
         op10_vector_dedup,
