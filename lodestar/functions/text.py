@@ -87,11 +87,15 @@ def query_terms(c: Column, most: int = 500) -> Column:
     return F.array_distinct(F.concat(latin, grams))
 
 
-def split_values(c: Column, ignored: Sequence[str] = ()) -> Column:
+#: Values of a multi-value field that say nothing. Fixed values.
+IGNORED = ("", "null", "none", "無", "不拘", "其他", "略")
+
+
+def split_values(c: Column, ignored: Sequence[str] = IGNORED) -> Column:
     """A multi-value field: cut at commas, semicolons (wide ones too) and line ends, white space collapsed, 1 to 120
     characters, ordered, distinct, without ignored words."""
     parts = F.transform(F.split(c, "[,，;；\n\r]+"), lambda p: F.trim(F.regexp_replace(p, r"\s+", " ")))
-    keep = F.filter(parts, lambda p: F.length(p).between(1, 120) & ~F.lower(p).isin(*ignored, ""))
+    keep = F.filter(parts, lambda p: F.length(p).between(1, 120) & ~F.lower(F.translate(p, "ＮＯＵＬＥｎｏｕｌｅ", "NOULEnoule")).isin(*ignored, ""))
     return F.array_distinct(F.coalesce(keep, F.array().cast("array<string>")))
 
 
@@ -120,14 +124,17 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def repaired_json(c: Column) -> Column:
-    """Without byte order mark, fences and trailing commas, from the first { to the last }."""
-    body = F.regexp_extract(F.regexp_replace(c, r"^\x{feff}|```[a-z]*", ""), r"(?s)\{.*\}", 0)
+    """From the first { to the last }, so without byte order mark and fences, and without trailing commas; empty if
+    there is no object."""
+    body = F.regexp_extract(c, r"(?s)\{.*\}", 0)
     return F.regexp_replace(body, r",\s*([}\]])", "$1")
 
 
 def hash_embedding(c: Column, dim: int = 32) -> Column:
-    """Sum over tokens of their SHA-256 bytes (cyclic), scaled to [-1, 1], then to length 1."""
-    toks = F.regexp_extract_all(F.lower(c), F.lit(r"([\w.+#-]+)"), F.lit(1))
+    """Sum over tokens of their SHA-256 bytes (cyclic), scaled to [-1, 1], then to length 1; a text
+    without tokens is one itself."""
+    words = F.regexp_extract_all(F.lower(c), F.lit(r"((?U)[\w.+#-]+)"), F.lit(1))
+    toks = F.when(F.size(words) > 0, words).otherwise(F.array(F.lower(c)))
     digests = F.transform(toks, lambda t: F.sha2(t, 256))
     byte = lambda d, i: F.conv(F.substr(d, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("double")
     sums = F.transform(

@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import digest_id
+from lodestar.functions.text import digest_id, normalise
 
 RELATIONS = {"required": "REQUIRES", "preferred": "PREFERS", "mentioned": "MENTIONS"}
 WEIGHTS = {"required": 1.0, "preferred": 0.72, "mentioned": 0.45}
-DEFAULT_WEIGHT = {"REQUIRES": 1.0, "PREFERS": 0.72, "MENTIONS": 0.45}
+DEFAULT_WEIGHT = {"REQUIRES": 1.0, "PREFERS": 0.72, "MENTIONS": 0.45, "ALIAS_OF": 1.0, "IS_A": 0.25, "CO_OCCURS_WITH": 0.65, "CORE_SKILL": 0.75}
 NODE_LABELS = ("Job", "Skill", "Occupation", "SkillCategory", "SkillAlias")
 ENDS = {
     "REQUIRES": ("Job", "Skill"), "PREFERS": ("Job", "Skill"), "MENTIONS": ("Job", "Skill"), "INSTANCE_OF": ("Job", "Occupation"),
@@ -22,50 +22,84 @@ JOB_SKILL = tuple(RELATIONS.values())
 
 
 def skill_id(name: Column, kind: Column) -> Column:
-    return digest_id("skill:", name, kind)
+    return digest_id("skill:", normalise(name), kind)
+
+
+def alias_id(alias: Column) -> Column:
+    return digest_id("alias:", normalise(alias))
+
+
+def category_id(name: Column) -> Column:
+    return F.concat(F.lit("category:"), normalise(name))
+
+
+def edge_id(source: Column, label: Column, target: Column, origin: Column) -> Column:
+    return digest_id("", source, label, target, origin, width=20)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _aliases(job_skills: DataFrame) -> DataFrame:
+    """Mentions whose normalised form isn't their skill's: alias, target, norm, raw_mention, job_id."""
+    norm = normalise(F.col("raw_mention"))
+    return job_skills.where(norm != normalise(F.col("skill"))).select(
+        alias_id(F.col("raw_mention")).alias("alias"), skill_id(F.col("skill"), F.col("skill_type")).alias("target"), norm.alias("norm"), "raw_mention", "job_id"
+    )
+
+
 def nodes(job_skills: DataFrame) -> DataFrame:
-    """One narrow frame for each label, united. `job_skills`: job_id, skill, skill_type, occupation_code."""
+    """One narrow frame for each label, united. `job_skills`: job_id, skill, skill_type, occupation_code. Spellings
+    that normalise alike are one skill, named as the first job names it. With raw_mention, other names are aliases."""
     jobs = job_skills.select("job_id").distinct().select(F.concat(F.lit("job:"), F.col("job_id").cast("string")).alias("node_id"), F.lit("Job").alias("label"), F.col("job_id").cast("string").alias("name"))
     occupations = job_skills.where("trim(occupation_code) != ''").select(F.trim("occupation_code").alias("name")).distinct().select(
         F.concat(F.lit("occupation:"), F.col("name")).alias("node_id"), F.lit("Occupation").alias("label"), "name"
     )
-    skills = job_skills.groupBy("skill", "skill_type").agg(F.count_distinct("job_id").alias("train_frequency")).select(
-        skill_id(F.col("skill"), F.col("skill_type")).alias("node_id"), F.lit("Skill").alias("label"), F.col("skill").alias("name"), "skill_type", "train_frequency"
+    named = job_skills.select(skill_id(F.col("skill"), F.col("skill_type")).alias("node_id"), "skill", "skill_type", "job_id")
+    skills = named.groupBy("node_id", "skill_type").agg(F.count_distinct("job_id").alias("train_frequency"), F.min(F.struct("job_id", "skill"))["skill"].alias("name")).select(
+        "node_id", F.lit("Skill").alias("label"), "name", "skill_type", "train_frequency"
     )
-    kinds = job_skills.select(F.col("skill_type").alias("name")).distinct().select(F.concat(F.lit("category:"), F.col("name")).alias("node_id"), F.lit("SkillCategory").alias("label"), "name")
-    return _union([jobs, occupations, skills, kinds]).select(
+    kinds = job_skills.select(category_id(F.col("skill_type")).alias("node_id"), "skill_type").groupBy("node_id").agg(F.min("skill_type").alias("name")).select("node_id", F.lit("SkillCategory").alias("label"), "name")
+    frames = [jobs, occupations, skills, kinds]
+    if "raw_mention" in job_skills.columns:
+        aliases = _aliases(job_skills).groupBy("alias").agg(F.min("raw_mention").alias("name"))
+        frames.append(aliases.select(F.col("alias").alias("node_id"), F.lit("SkillAlias").alias("label"), "name"))
+    return _union(frames).select(
         "node_id", "label", "name", F.coalesce("skill_type", F.lit("")).alias("skill_type"), F.coalesce("train_frequency", F.lit(0)).cast("long").alias("train_frequency")
     )
 
 
-def _edge(frame: DataFrame, source: Column, target: Column, label: Column, weight: Column, job: Column) -> DataFrame:
-    return frame.select(source.alias("from_id"), target.alias("to_id"), label.alias("label"), weight.alias("weight"), job.alias("source_job_id")).select(
-        digest_id("edge:", F.col("from_id"), F.col("label"), F.col("to_id"), F.col("source_job_id"), width=20).alias("edge_id"), "*"
-    )
+def _edge(frame: DataFrame, source: Column, target: Column, label: Column, weight: Column, job: Column, origin: Column) -> DataFrame:
+    """`origin` tells edges of the same label between the same nodes apart."""
+    named = frame.select(source.alias("from_id"), target.alias("to_id"), label.alias("label"), weight.alias("weight"), job.alias("source_job_id"), origin.alias("origin"))
+    return named.select(edge_id(F.col("from_id"), F.col("label"), F.col("to_id"), F.col("origin")).alias("edge_id"), "*").drop("origin")
 
 
-def edges(job_skills: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """Job-skill edges weighted by level, importance and confidence, and INSTANCE_OF, IS_A and CO_OCCURS_WITH edges.
-    `job_skills` also has requirement, importance, confidence; `pairs` has the ids of two skills and npmi."""
+def edges(job_skills: DataFrame, pairs: DataFrame | None = None, core: DataFrame | None = None, train_start: str | None = None, train_end: str | None = None) -> DataFrame:
+    """Job-skill edges weighted by level, importance and confidence, and INSTANCE_OF, IS_A, ALIAS_OF,
+    CO_OCCURS_WITH and CORE_SKILL edges. `job_skills` also has requirement, importance, confidence, and may have raw_mention (else the skill);
+    `pairs` has the ids of two skills and npmi; `core` has occupation_code, the skill's id and core_skill_weight."""
+    raw = F.col("raw_mention" if "raw_mention" in job_skills.columns else "skill")
+    period = F.lit(f"{train_start}|{train_end}")
     job = F.concat(F.lit("job:"), F.col("job_id").cast("string"))
     skill = skill_id(F.col("skill"), F.col("skill_type"))
     level = F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv))[F.col("requirement")]
     relation = F.create_map(*(F.lit(x) for kv in RELATIONS.items() for x in kv))[F.col("requirement")]
-    once = job_skills.groupBy("job_id", "skill", "skill_type", "requirement").agg(F.max("importance").alias("importance"), F.max("confidence").alias("confidence"))
-    named = _edge(once, job, skill, relation, level * F.col("importance") * F.col("confidence"), F.col("job_id").cast("string"))
+    once = job_skills.select("*", normalise(raw).alias("_raw")).groupBy("job_id", "skill", "skill_type", "requirement", "_raw").agg(F.max("importance").alias("importance"), F.max("confidence").alias("confidence"))
+    named = _edge(once, job, skill, relation, level * F.col("importance") * F.col("confidence"), F.col("job_id").cast("string"), F.concat_ws(":", "job_id", "_raw"))
     instance = job_skills.where("trim(occupation_code) != ''").select("job_id", F.trim("occupation_code").alias("o")).distinct()
-    of = _edge(instance, job, F.concat(F.lit("occupation:"), F.col("o")), F.lit("INSTANCE_OF"), F.lit(1.0), F.col("job_id").cast("string"))
-    kinds = job_skills.select("skill", "skill_type").distinct()
-    is_a = _edge(kinds, skill, F.concat(F.lit("category:"), F.col("skill_type")), F.lit("IS_A"), F.lit(1.0), F.lit(""))
+    of = _edge(instance, job, F.concat(F.lit("occupation:"), F.col("o")), F.lit("INSTANCE_OF"), F.lit(1.0), F.col("job_id").cast("string"), F.col("job_id").cast("string"))
+    kinds = job_skills.select(skill.alias("id"), "skill_type").distinct()
+    is_a = _edge(kinds, F.col("id"), category_id(F.col("skill_type")), F.lit("IS_A"), F.lit(1.0), F.lit(""), F.col("skill_type"))
     frames = [named, of, is_a]
     if pairs is not None:
-        frames.append(_edge(pairs, F.least("skill_a", "skill_b"), F.greatest("skill_a", "skill_b"), F.lit("CO_OCCURS_WITH"), F.greatest(F.lit(0.0), F.col("npmi")), F.lit("")))
+        frames.append(_edge(pairs, F.least("skill_a", "skill_b"), F.greatest("skill_a", "skill_b"), F.lit("CO_OCCURS_WITH"), F.greatest(F.lit(0.0), F.col("npmi")), F.lit(""), period))
+    if "raw_mention" in job_skills.columns:
+        aliases = _aliases(job_skills).groupBy("alias", "target", "norm").agg(F.min("job_id").cast("string").alias("job"))
+        frames.append(_edge(aliases, F.col("alias"), F.col("target"), F.lit("ALIAS_OF"), F.lit(1.0), F.col("job"), F.col("norm")))
+    if core is not None:
+        frames.append(_edge(core.where("trim(occupation_code) != ''"), F.concat(F.lit("occupation:"), F.trim("occupation_code")), F.col("skill"), F.lit("CORE_SKILL"), F.col("core_skill_weight"), F.lit(""), period))
     return _union(frames)
 
 
@@ -188,29 +222,48 @@ def weight_of(label: str = "label", weight: str = "weight") -> Column:
     return F.greatest(F.coalesce(F.col(weight), default), F.lit(0.0))
 
 
-def paths(e: DataFrame, anchors: DataFrame, hops: int = 2, decay: float = 0.7) -> DataFrame:
+def paths(e: DataFrame, anchors: DataFrame, hops: int = 2, decay: float = 0.7, occupations: DataFrame | None = None) -> DataFrame:
     """Traces from anchor skills (query_id, skill_id) to jobs: directly, and through one co-occurring skill with the
-    product of weights times `decay`. Columns: query_id, job, anchor, path, edge_types, score."""
+    product of weights times `decay`; and from each query's occupation (query_id, occupation: its node) to its jobs.
+    CORE_SKILL edges lead from occupations, never from skill to skill, so they add no path. Columns: query_id, job, term
+    (the node that the query names), anchor (the node that the job was reached from), path, edge_types, weights, score."""
     if hops not in (1, 2):
         raise ValueError("hops is 1 or 2")
     js = e.where(F.col("label").isin(*JOB_SKILL)).select(F.col("from_id").alias("job"), F.col("to_id").alias("skill"), "label", weight_of().alias("w"))
     near = anchors.select("query_id", F.col("skill_id").alias("anchor"))
     one = near.join(js, near.anchor == js.skill).select(
-        "query_id", "job", "anchor", F.array("anchor", "job").alias("path"), F.array("label").alias("edge_types"), F.col("w").alias("score")
+        "query_id", "job", F.col("anchor").alias("term"), "anchor", F.array("anchor", "job").alias("path"), F.array("label").alias("edge_types"), F.array("w").alias("weights"), F.col("w").alias("score")
     )
+    if occupations is not None:
+        of = e.where("label = 'INSTANCE_OF'").select(F.col("from_id").alias("job"), F.col("to_id").alias("anchor"), weight_of().alias("w"))
+        one = one.unionByName(
+            occupations.select("query_id", F.col("occupation").alias("anchor")).join(of, "anchor").select(
+                "query_id", "job", F.col("anchor").alias("term"), "anchor", F.array("anchor", "job").alias("path"), F.array(F.lit("INSTANCE_OF")).alias("edge_types"), F.array("w").alias("weights"), F.col("w").alias("score")
+            )
+        )
     if hops == 1:
         return one
     co = e.where("label = 'CO_OCCURS_WITH'").select("from_id", "to_id", weight_of().alias("wr"))
     both = co.select(F.col("from_id").alias("a"), F.col("to_id").alias("b"), "wr").union(co.select("to_id", "from_id", "wr"))
     two = near.join(both, near.anchor == both.a).join(js, F.col("b") == js.skill).select(
-        "query_id", "job", "anchor", F.array("anchor", "b", "job").alias("path"), F.array(F.lit("CO_OCCURS_WITH"), "label").alias("edge_types"),
+        "query_id", "job", F.col("anchor").alias("term"), F.col("b").alias("anchor"), F.array("anchor", "b", "job").alias("path"), F.array(F.lit("CO_OCCURS_WITH"), "label").alias("edge_types"), F.array("wr", "w").alias("weights"),
         (F.col("wr") * F.col("w") * decay).alias("score"),
     )
     return one.unionByName(two)
 
 
+def explained(traces: DataFrame, n: DataFrame) -> DataFrame:
+    """Traces with `at`, their place among those of the same query and job, and a sentence that names what matched."""
+    names = n.groupBy("node_id").agg(F.min("name").alias("name"))
+    named = traces.join(names.select(F.col("node_id").alias("term"), F.col("name").alias("term_name")), "term", "left").join(names.select(F.col("node_id").alias("anchor"), F.col("name").alias("anchor_name")), "anchor", "left")
+    skill = F.concat(F.coalesce("term_name", "term"), F.lit(" matched "), F.coalesce("anchor_name", "anchor"), F.lit("; path uses "), F.array_join("edge_types", " -> "))
+    text = F.when(F.col("edge_types")[0] == "INSTANCE_OF", "Occupation constraint matched the job occupation.").otherwise(skill)
+    order = Window.partitionBy("query_id", "job").orderBy(F.col("score").desc(), "explanation", F.array_join("path", "|"))
+    return named.select(*traces.columns, text.alias("explanation")).select("*", F.row_number().over(order).alias("at"))
+
+
 def candidates(traces: DataFrame, k: int = 50) -> DataFrame:
     """Jobs by the sum of their traces' scores; the best k of each query by (score descending, job)."""
-    sums = traces.groupBy("query_id", "job").agg(F.sum("score").alias("score"), F.count_distinct("anchor").alias("anchors"), F.max("score").alias("best"), F.count(F.lit(1)).alias("traces"))
+    sums = traces.groupBy("query_id", "job").agg(F.sum("score").alias("score"), F.count_distinct(F.when(F.col("edge_types")[0] != "INSTANCE_OF", F.col("anchor"))).alias("anchors"), F.max("score").alias("best"), F.count(F.lit(1)).alias("traces"))
     order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "job")
     return sums.select("*", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k)

@@ -65,19 +65,51 @@ def search(queries: DataFrame, docs: DataFrame, doc_terms: Column, limit: int, k
     return top_k(boosted, limit, key)
 
 
+def _times(terms: Column, t: Column) -> Column:
+    return F.size(F.filter(terms, lambda x: x == t)).cast("double")
+
+
+def term_cosine(q: Column, d: Column) -> Column:
+    """Cosine of the term counts of two arrays; 0 if one is empty."""
+    shared = F.aggregate(F.array_intersect(q, d), F.lit(0.0), lambda s, t: s + _times(q, t) * _times(d, t))
+    # Equal terms are neighbours once sorted: a run from i to k counts (k - i) squared, in one pass.
+    state = "struct<total:double,run:double,last:string>"
+    def norm(c):
+        start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("run"), F.lit(None).cast("string").alias("last")).cast(state)
+        step = lambda s, t: F.when(s["last"] == t, F.struct((s["total"] + 2 * s["run"] + 1).alias("total"), (s["run"] + 1).alias("run"), t.alias("last"))).otherwise(F.struct((s["total"] + 1).alias("total"), F.lit(1.0).alias("run"), t.alias("last")))
+        return F.sqrt(F.aggregate(F.array_sort(c), start, step, lambda s: s["total"]))
+    return F.when((F.size(q) > 0) & (F.size(d) > 0), shared / (norm(q) * norm(d))).otherwise(0.0)
+
+
 def dense_cosine(pairs: DataFrame) -> DataFrame:
     """Cosine of the term counts of `query_terms` and `doc_terms` of each pair (query_id, doc_id)."""
-    count = lambda terms: F.transform(F.array_distinct(terms), lambda t: F.size(F.filter(terms, lambda x: x == t)).cast("double"))
-    q, d = F.col("query_terms"), F.col("doc_terms")
-    times = lambda terms, t: F.size(F.filter(terms, lambda x: x == t)).cast("double")
-    shared = F.aggregate(F.array_intersect(q, d), F.lit(0.0), lambda s, t: s + times(q, t) * times(d, t))
-    norm = lambda c: F.sqrt(F.aggregate(count(c), F.lit(0.0), lambda s, x: s + x * x))
-    value = F.when((F.size(q) > 0) & (F.size(d) > 0), shared / (norm(q) * norm(d))).otherwise(0.0)
-    return pairs.select("query_id", "doc_id", value.alias("dense"))
-
-
-def vector_top_k(queries: DataFrame, table: DataFrame, k: int) -> DataFrame:
-    """Best k by cosine of each of a few query vectors (query_id, query_vec): the table is scanned once, the queries
-    are broadcast if they fit under the session's broadcast limit."""
-    scored = table.crossJoin(queries).where("vec_id != query_id").select("query_id", "vec_id", T.cosine(F.col("query_vec"), F.col("embedding")).alias("score"))
+    return pairs.select("query_id", "doc_id", term_cosine(F.col("query_terms"), F.col("doc_terms")).alias("dense"))
+
+
+def bm25_pairs(pairs: DataFrame, queries: DataFrame, corpus: DataFrame, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """`pairs` (query_id, query_terms, doc_terms, ...) with bm25, in the form plus_one. Statistics are those of `corpus`
+    (doc_terms of all documents). Only the terms that queries (query_id, query_terms) use are counted, and the
+    documents of other pairs are never scored."""
+    stats = corpus.agg(F.count(F.lit(1)).alias("_n"), F.greatest(F.avg(F.size("doc_terms")), F.lit(1.0)).alias("_avg"))
+    asked = queries.select("query_id", F.explode("query_terms").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
+    had = corpus.select(F.explode(F.array_distinct("doc_terms")).alias("term")).join(asked.select("term").distinct(), "term", "left_semi")
+    df = had.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    known = asked.join(df, "term").groupBy("query_id").agg(F.collect_list(F.struct("term", "times", "df")).alias("_known"))
+    idf = lambda df: F.log(1 + (F.col("_n") - df + 0.5) / (df + 0.5))
+    size = F.size("doc_terms") / F.col("_avg")
+    gain = lambda tf: tf * (k1 + 1) / (tf + k1 * (1 - b + b * size))
+    total = F.aggregate("_known", F.lit(0.0), lambda s, x: s + x["times"] * idf(x["df"]) * gain(_times(F.col("doc_terms"), x["term"])))
+    joined = pairs.join(known, "query_id", "left").crossJoin(F.broadcast(stats))  # one row
+    return joined.select(*pairs.columns, F.coalesce(total, F.lit(0.0)).alias("bm25"))
+
+
+def vector_top_k(queries: DataFrame, table: DataFrame, k: int, block: int = 256) -> DataFrame:
+    """Best k by cosine of each query vector (query_id, query_vec), its own row apart. Queries meet the table in blocks
+    of about `block` vectors, so a task holds one block; each task keeps its own k best before the shuffle. Scores are
+    rounded to 9 digits; ties go to the smaller vec_id. Null and zero vectors score 0."""
+    parts = max(1, -(-queries.count() // block))
+    held = queries.groupBy((F.abs(F.xxhash64("query_id")) % parts).cast("int").alias("block")).agg(F.collect_list(F.struct("query_id", "query_vec")).alias("held"))
+    met = table.select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")).join(held, "block")
+    pairs = met.select("vec_id", "embedding", F.explode("held").alias("q")).where("vec_id != q.query_id")
+    scored = pairs.select("q.query_id", "vec_id", F.coalesce(F.round(T.cosine(F.col("q.query_vec"), F.col("embedding")), 9), F.lit(0.0)).alias("score"))
     return top_k(scored, k, "vec_id")

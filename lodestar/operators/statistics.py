@@ -40,15 +40,16 @@ def cooccurrence(job_skills: DataFrame, min_count: int = 5, min_npmi: float = 0.
 
 
 def core_skills(job_skills: DataFrame) -> DataFrame:
-    """For each occupation and skill: the share of the occupation's jobs that name it, and by level."""
+    """For each occupation and skill: the share of the occupation's jobs that name it, and by level;
+    `job_count` is the number of the occupation's jobs."""
     rows = job_skills.where("occupation_code is not null and skill is not null").select("occupation_code", "job_id", "skill", "requirement")
     jobs = job_skills.groupBy("occupation_code").agg(F.count_distinct("job_id").alias("jobs"))
     level = lambda r: F.max(F.when(F.col("requirement") == r, 1).otherwise(0)).alias(r)
     once = rows.groupBy("occupation_code", "skill", "job_id").agg(*map(level, ("required", "preferred", "mentioned")))
     sums = once.groupBy("occupation_code", "skill").agg(
-        F.count(F.lit(1)).alias("job_count"), *(F.sum(r).alias(r) for r in ("required", "preferred", "mentioned"))
+        F.count(F.lit(1)).alias("n"), *(F.sum(r).alias(r) for r in ("required", "preferred", "mentioned"))
     )
     return sums.join(jobs, "occupation_code").select(
-        "occupation_code", "skill", (F.col("job_count") / F.col("jobs")).alias("core_skill_weight"),
-        *((F.col(r) / F.col("jobs")).alias(f"{r}_rate") for r in ("required", "preferred", "mentioned")), "job_count",
+        "occupation_code", "skill", (F.col("n") / F.col("jobs")).alias("core_skill_weight"),
+        *((F.col(r) / F.col("jobs")).alias(f"{r}_rate") for r in ("required", "preferred", "mentioned")), F.col("jobs").alias("job_count"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from lodestar.functions import text as T
 from lodestar.operators import behaviour as B
 from lodestar.operators import extraction as X
 from lodestar.operators import graph as G
-from lodestar.operators import ltr, ranking, statistics
+from lodestar.operators import contracts, hybrid, ltr, ranking, statistics
 from lodestar.operators import search as S
 from lodestar.plans import fixtures as fx
 from lodestar.plans.fixtures import table
@@ -183,7 +184,7 @@ def cooccurrence_npmi(spark, sf):
 @query(f"""WITH {fx.BASKETS_SQL}, j AS (SELECT occupation_code, count(DISTINCT job_id) AS jobs FROM js GROUP BY 1)
 SELECT occupation_code, skill, round(count(DISTINCT job_id) / any_value(jobs), 9) AS core_skill_weight,
 round(count(DISTINCT job_id) FILTER (requirement = 'required') / any_value(jobs), 9) AS required_rate, round(count(DISTINCT job_id) FILTER (requirement = 'preferred') / any_value(jobs), 9) AS preferred_rate,
-round(count(DISTINCT job_id) FILTER (requirement = 'mentioned') / any_value(jobs), 9) AS mentioned_rate, count(DISTINCT job_id) AS job_count FROM js JOIN j USING (occupation_code) GROUP BY 1, 2""")
+round(count(DISTINCT job_id) FILTER (requirement = 'mentioned') / any_value(jobs), 9) AS mentioned_rate, any_value(jobs) AS job_count FROM js JOIN j USING (occupation_code) GROUP BY 1, 2""")
 def core_skill_rates(spark, sf):
     out = statistics.core_skills(fx.baskets(spark, sf))
     return out.select("occupation_code", "skill", *(F.round(c, 9).alias(c) for c in ("core_skill_weight", "required_rate", "preferred_rate", "mentioned_rate")), "job_count")
@@ -246,15 +247,15 @@ for _name in CHECK_SQL:
     _check(_name)
 
 _RETRIEVE = f"""WITH {fx.BASKETS_SQL}, {fx.EDGES_SQL}, b AS (SELECT DISTINCT skill, skill_type FROM js),
-an AS (SELECT CAST(substr(skill, 7) AS INT) AS query_id, 'skill:' || substr(sha256(skill || '|' || skill_type), 1, 16) AS anchor FROM b WHERE skill IN ('Brand#11', 'Brand#23')),
+an AS (SELECT CAST(substr(skill, 7) AS INT) AS query_id, 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16) AS anchor FROM b WHERE skill IN ('Brand#11', 'Brand#23')),
 jsk AS (SELECT from_id AS job, to_id AS skill, label, weight AS w FROM e WHERE {_JS}),
 d AS (SELECT DISTINCT job_id, skill, skill_type FROM js), t AS (SELECT count(DISTINCT job_id) AS total FROM js),
-sid AS (SELECT job_id, 'skill:' || substr(sha256(skill || '|' || skill_type), 1, 16) AS s FROM d), f AS (SELECT s, count(*) AS n FROM sid GROUP BY 1),
+sid AS (SELECT job_id, 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16) AS s FROM d), f AS (SELECT s, count(*) AS n FROM sid GROUP BY 1),
 pc AS (SELECT x.s AS a, y.s AS b, count(*) AS c FROM sid x JOIN sid y ON x.job_id = y.job_id AND x.s < y.s GROUP BY 1, 2 HAVING count(*) >= 5),
 co AS (SELECT a, b, greatest(0, ln(c * total / (fa.n * fb.n)) / -ln(c / total)) AS wr FROM pc JOIN f fa ON fa.s = a JOIN f fb ON fb.s = b, t WHERE ln(c * total / (fa.n * fb.n)) / -ln(c / total) >= 0.01),
 sy AS (SELECT a, b, wr FROM co UNION ALL SELECT b, a, wr FROM co),
 one AS (SELECT query_id, job, anchor, anchor || '>' || job AS path, label AS edge_types, w AS score FROM an JOIN jsk ON anchor = skill),
-two AS (SELECT query_id, job, anchor, anchor || '>' || b || '>' || job AS path, 'CO_OCCURS_WITH>' || label AS edge_types, wr * w * 0.7 AS score FROM an JOIN sy ON anchor = a JOIN jsk ON b = skill)"""
+two AS (SELECT query_id, job, b AS anchor, anchor || '>' || b || '>' || job AS path, 'CO_OCCURS_WITH>' || label AS edge_types, wr * w * 0.7 AS score FROM an JOIN sy ON anchor = a JOIN jsk ON b = skill)"""
 
 
 def _traces(spark, sf, hops):
@@ -378,13 +379,12 @@ def canonicalize_audit(spark, sf):
 
 
 @query("""WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-round(list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v)) / sqrt(list_inner_product(b.v, b.v)), 6) AS score FROM x a, x b WHERE a.vec_id < 5 AND a.vec_id <> b.vec_id)
+round(list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v)) / sqrt(list_inner_product(b.v, b.v)), 9) AS score FROM x a, x b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
 SELECT query_id, vec_id, score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""")
 def embedding_topk(spark, sf):
     t = table(spark, sf, "embeddings")
-    q = t.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
-    scored = t.crossJoin(q).where("vec_id != query_id").select("query_id", "vec_id", F.round(T.cosine(F.col("query_vec"), F.col("embedding")), 6).alias("score"))
-    return S.top_k(scored, 5, "vec_id")
+    q = t.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return S.vector_top_k(q, t, 5)
 
 
 @query()
@@ -398,15 +398,18 @@ def _responses(spark, sf):
     li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
     imp = F.when(F.col("l_orderkey") % 7 == 0, F.lit("1.7")).otherwise(F.lit("0.9"))
     ev = F.when(F.col("l_orderkey") % 5 == 0, F.lit("elsewhere")).otherwise(F.col("p_name"))
-    skill = F.concat(F.lit('{"raw_mention":"'), "p_name", F.lit('","requirement":"required","importance":'), imp, F.lit(',"confidence":0.5,"evidence":"'), ev, F.lit('"},'))
+    kind = F.when(F.col("l_orderkey") % 17 == 0, F.lit("Planet")).otherwise(F.lit("Framework"))
+    more = F.when(F.col("l_orderkey") % 19 == 0, F.lit('"mood":1,')).otherwise(F.lit(""))
+    skill = F.concat(F.lit('{"raw_mention":"'), "p_name", F.lit('","canonical_candidate":"x","skill_type":"'), kind, F.lit('","requirement":"required","importance":'), imp, F.lit(',"confidence":0.5,"evidence":"'), ev, F.lit('"},'))
     job = F.when(F.col("l_orderkey") % 11 == 0, F.lit("0")).otherwise(F.col("l_orderkey").cast("string"))
-    body = F.concat(F.lit('```json\n{"job_id":"'), job, F.lit('","skills":['), skill, F.lit("],}\n```"))
+    body = F.concat(F.lit('```json\n{'), more, F.lit('"job_id":"'), job, F.lit('","skills":['), skill, F.lit("],}\n```"))
     body = F.when(F.col("l_orderkey") % 13 == 0, F.lit("no record")).otherwise(body)
     return li.where("l_linenumber = 1").join(p, li.l_partkey == p.p_partkey).select(F.col("l_orderkey").alias("job_id"), F.col("p_name").alias("source_text"), body.alias("body"))
 
 
 @query("""WITH o AS (SELECT l_orderkey AS job_id FROM lineitem WHERE l_linenumber = 1)
 SELECT job_id, 'not_json' AS violation FROM o WHERE job_id % 13 = 0 UNION ALL SELECT job_id, 'other_job' FROM o WHERE job_id % 11 = 0 AND job_id % 13 <> 0
+UNION ALL SELECT job_id, 'skill_type' FROM o WHERE job_id % 17 = 0 AND job_id % 13 <> 0 UNION ALL SELECT job_id, 'unknown_field' FROM o WHERE job_id % 19 = 0 AND job_id % 13 <> 0
 UNION ALL SELECT job_id, 'importance' FROM o WHERE job_id % 7 = 0 AND job_id % 13 <> 0 UNION ALL SELECT job_id, 'evidence' FROM o WHERE job_id % 5 = 0 AND job_id % 13 <> 0""")
 def contract_violations(spark, sf):
     return X.contract_violations(X.parse_records(_responses(spark, sf)))
@@ -417,3 +420,115 @@ def ltr_scores(spark, sf):
     r = fx.ranked_lists(spark, sf)
     model = ltr.fit(r, ["score_a", "score_b", "length"], trees=5)
     return model.score(r).select("query_id", "job_id", "score")
+
+
+_NAMES = tuple(n for names in X.KINDS.values() for n in names) + ("juggling",)
+_FIELD = "CASE p_size % 4 WHEN 0 THEN 'certifications' WHEN 1 THEN 'work_skills' ELSE 'computer_skills' END"
+
+
+@query(f"""WITH n AS (SELECT p_partkey, {_FIELD} AS field, [{', '.join(f"'{n}'" for n in _NAMES)}][p_partkey % {len(_NAMES)} + 1] AS name FROM part)
+SELECT p_partkey, CASE field WHEN 'certifications' THEN 'Certification' WHEN 'work_skills' THEN 'BusinessSkill' ELSE
+CASE {' '.join(f"WHEN name IN ({', '.join(repr(n) for n in names)}) THEN '{kind}'" for kind, names in X.KINDS.items())} ELSE 'Other' END END AS skill_type FROM n""")
+def classify(spark, sf):
+    name = F.upper(F.array(*map(F.lit, _NAMES))[(F.col("p_partkey") % len(_NAMES)).cast("int")])
+    return table(spark, sf, "part").select("p_partkey", X.classify(name, F.expr(_FIELD)).alias("skill_type"))
+
+
+@query("""SELECT p_partkey AS job_id, p_name AS raw, 'Other' AS skill_type, 0.9 AS importance, 0 AS field FROM part
+UNION ALL SELECT p_partkey, p_brand, 'Other', 0.9, 0 FROM part UNION ALL SELECT p_partkey, p_type, 'Certification', 0.85, 1 FROM part""")
+def structured_mentions(spark, sf):
+    jobs = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("job_id"), F.concat_ws(", ", "p_name", "p_brand").alias("computer_skills"), F.concat("p_type", F.lit("; null；無")).alias("certifications"), F.upper("p_name").alias("work_skills")
+    )
+    return X.structured_mentions(jobs).select("job_id", "raw", "skill_type", "importance", "field")
+
+
+@query("""WITH o AS (SELECT l_orderkey AS job_id, p_name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1)
+SELECT job_id, CASE WHEN job_id % 13 = 0 THEN '' ELSE '{' || CASE WHEN job_id % 19 = 0 THEN '"mood":1,' ELSE '' END || '"job_id":"' || CASE WHEN job_id % 11 = 0 THEN '0' ELSE CAST(job_id AS VARCHAR) END
+|| '","skills":[{"raw_mention":"' || p_name || '","canonical_candidate":"x","skill_type":"' || CASE WHEN job_id % 17 = 0 THEN 'Planet' ELSE 'Framework' END || '","requirement":"required","importance":'
+|| CASE WHEN job_id % 7 = 0 THEN '1.7' ELSE '0.9' END || ',"confidence":0.5,"evidence":"' || CASE WHEN job_id % 5 = 0 THEN 'elsewhere' ELSE p_name END || '"}]}' END AS body FROM o""")
+def json_repair(spark, sf):
+    return _responses(spark, sf).select("job_id", T.repaired_json(F.col("body")).alias("body"))
+
+
+_PLAIN = ("bm25_score", "dense_score", "title_overlap", "description_overlap", "location_match", "duty_code_match", "freshness_score", "salary_min_log", "salary_max_log", "original_rank_reciprocal")
+_PAIRS_SQL = f"""{fx.TERMS_SQL}, wt AS (SELECT doc_id, unnest(regexp_extract_all(lower(concat_ws(' ', lang, source, text)), '[a-z0-9+#.]+')) AS term FROM documents),
+wf AS (SELECT doc_id, term, count(*) AS tf FROM wt GROUP BY 1, 2), wl AS (SELECT doc_id, count(*) AS length FROM wt GROUP BY 1), ws AS (SELECT count(*) AS n, greatest((SELECT count(*) FROM wt) / count(*), 1.0) AS avg_length FROM documents),
+wd AS (SELECT term, count(*) AS df FROM wf GROUP BY 1), p AS (SELECT doc_id, doc_id % 40 AS query_id FROM labels JOIN documents USING (doc_id) JOIN benchmark ON item_id = doc_id % 40),
+qn AS (SELECT query_id, sqrt(sum(times * times)) AS qn, count(*) AS kinds FROM qa GROUP BY 1), dn AS (SELECT doc_id, sqrt(sum(tf * tf)) AS dn FROM wf GROUP BY 1),
+hit AS (SELECT doc_id, p.query_id, sum(times * {_IDF} * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / avg_length))) AS bm25, sum(times * tf) AS dot FROM p JOIN qa ON p.query_id = qa.query_id
+  JOIN wf USING (doc_id, term) JOIN wd USING (term) JOIN wl USING (doc_id), ws GROUP BY 1, 2),
+hd AS (SELECT doc_id, p.query_id, count(*) AS n FROM p JOIN qa ON p.query_id = qa.query_id JOIN tf USING (doc_id, term) GROUP BY 1, 2),
+ht AS (SELECT p.doc_id, p.query_id, count(*) AS n FROM p JOIN qa ON p.query_id = qa.query_id JOIN documents d ON d.doc_id = p.doc_id AND (term = lower(lang) OR term = lower(source)) GROUP BY 1, 2),
+pf AS (SELECT p.doc_id AS job_id, p.query_id, coalesce(bm25, 0) AS bm25_score, coalesce(dot / qn / dn, 0) AS dense_score, coalesce(ht.n / kinds, 0) AS title_overlap, coalesce(hd.n / kinds, 0) AS description_overlap,
+  CASE WHEN lang IN ('en', 'de') THEN 1.0 ELSE 0 END AS location_match, CASE WHEN source IN ('src3', 'src5') THEN 1.0 ELSE 0 END AS duty_code_match,
+  CASE WHEN p.doc_id % 30 <= 14 THEN 1.0 / (1.0 + (14 - p.doc_id % 30) / 30.0) ELSE 0 END AS freshness_score, ln(1 + n_chars) AS salary_min_log, 0.0 AS salary_max_log,
+  CASE WHEN p.doc_id % 5 > 0 THEN 1.0 / (p.doc_id % 5) ELSE 0 END AS original_rank_reciprocal
+  FROM p JOIN documents USING (doc_id) LEFT JOIN qn ON qn.query_id = p.query_id LEFT JOIN dn USING (doc_id) LEFT JOIN hit ON hit.doc_id = p.doc_id AND hit.query_id = p.query_id
+  LEFT JOIN hd ON hd.doc_id = p.doc_id AND hd.query_id = p.query_id LEFT JOIN ht ON ht.doc_id = p.doc_id AND ht.query_id = p.query_id)"""
+
+
+def _features(spark, sf):
+    d, l = table(spark, sf, "documents"), table(spark, sf, "labels")
+    posted = F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(cast(doc_id % 30 as int))")
+    jobs = d.select(
+        F.col("doc_id").alias("job_id"), F.concat_ws(" ", "lang", "source").alias("title"), F.lit("").alias("requirements"), F.col("text").alias("description"), posted.alias("posted_at"),
+        F.col("lang").alias("location_code"), F.col("source").alias("occupation_code"), F.col("n_chars").alias("salary_min"), F.lit(None).cast("double").alias("salary_max"),
+    )
+    queries = fx.corpus_queries(spark, sf).select(
+        "query_id", F.array_join("terms", " ").alias("query"), F.lit("2024-01-15").alias("query_time"), F.lit("en| de").alias("location_code"), F.lit("src3,src5").alias("occupation_code")
+    )
+    pairs = d.join(l, "doc_id").select((F.col("doc_id") % 40).alias("query_id"), F.col("doc_id").alias("job_id"), (F.col("doc_id") % 5).alias("original_rank"), (F.col("quality") + 1 - F.col("toxic")).cast("int").alias("relevance"))
+    return hybrid.pair_features(pairs, queries, jobs)
+
+
+@query(f"WITH {_PAIRS_SQL} SELECT query_id, job_id, {', '.join(f'round({c}, 6) AS {c}' for c in _PLAIN)} FROM pf")
+def pair_features(spark, sf):
+    return _features(spark, sf).select("query_id", "job_id", *(F.round(c, 6).alias(c) for c in _PLAIN))
+
+
+@query(f"""{_RETRIEVE}, al AS (SELECT query_id, job, anchor, edge_types, score FROM one UNION ALL SELECT query_id, job, anchor, edge_types, score FROM two)
+SELECT query_id, job, round(sum(score), 6) AS graph_score, count(DISTINCT anchor) FILTER (edge_types NOT LIKE '%>%') AS exact_skill_count, count(DISTINCT anchor) FILTER (edge_types LIKE '%>%') AS one_hop_skill_count,
+{', '.join(f"round(coalesce(sum(score) FILTER (edge_types = '{e}'), 0), 6) AS {c}_match_weight" for e, c in (('REQUIRES', 'required'), ('PREFERS', 'preferred'), ('MENTIONS', 'mentioned')))},
+0.0 AS occupation_match, round(max(score), 6) AS best_path_score, round(avg(score), 6) AS mean_path_score FROM al GROUP BY 1, 2""")
+def graph_pair_features(spark, sf):
+    counts = ("exact_skill_count", "one_hop_skill_count")
+    return hybrid.graph_features(_traces(spark, sf, 2)).select("query_id", "job", *(F.col(c).cast("long").alias(c) if c in counts else F.round(c, 6).alias(c) for c in hybrid.GRAPH))
+
+
+@query()
+def ablation(spark, sf):
+    """Mean metrics of the four feature sets on the labelled documents."""
+    f = _features(spark, sf).persist()
+    sets, _ = hybrid.ablation(f, f, trees=3)
+    frames = [ranking.mean_metrics(m).select(F.lit(name).alias("feature_set"), "*") for name, m in sets.items()]
+    return functools.reduce(DataFrame.union, frames)
+
+
+_INPUTS_SQL = """jobs AS (SELECT p_name AS job_id, p_size % 10 AS t, p_size % 7 AS s FROM part), labels_ AS (SELECT p_partkey % 30 AS query_id, CASE WHEN p_size % 11 = 0 THEN 'none' ELSE p_name END AS job_id, p_size % 4 AS relevance FROM part)"""
+
+
+@query(f"""WITH {_INPUTS_SQL} SELECT 'duplicate_job' AS "check", job_id AS record_id FROM jobs GROUP BY job_id HAVING count(*) > 1 UNION ALL SELECT 'job_time', job_id FROM jobs WHERE t = 0
+UNION ALL SELECT 'split', job_id FROM jobs WHERE s = 0 UNION ALL SELECT 'relevance', job_id FROM labels_ WHERE relevance = 3 UNION ALL SELECT 'unknown_job', job_id FROM labels_ WHERE job_id = 'none'
+UNION ALL SELECT 'unknown_query', CAST(query_id AS VARCHAR) FROM labels_ WHERE query_id NOT IN (SELECT n_nationkey FROM nation)
+UNION ALL SELECT 'query_time', CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_nationkey = 7""")
+def input_violations(spark, sf):
+    p = table(spark, sf, "part")
+    jobs = p.select(
+        F.col("p_name").alias("job_id"), *(F.lit("").alias(c) for c in ("title", "requirements", "description", "location_code", "occupation_code")),
+        F.when(F.col("p_size") % 10 == 0, "never").otherwise("2024-01-02").alias("posted_at"), F.when(F.col("p_size") % 7 == 0, "other").otherwise(" Train").alias("data_split"),
+    )
+    queries = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("query_id"), *(F.lit("").alias(c) for c in ("query", "location_code", "occupation_code", "exposed_jobs")),
+        F.when(F.col("n_nationkey") == 7, "later").otherwise("2024-01-03 10:00:00").alias("query_time"), F.lit("train").alias("data_split"),
+    )
+    labels = p.select((F.col("p_partkey") % 30).alias("query_id"), F.when(F.col("p_size") % 11 == 0, "none").otherwise(F.col("p_name")).alias("job_id"), (F.col("p_size") % 4).alias("relevance"), F.lit(1).alias("original_rank"))
+    return contracts.violations(jobs, queries, labels, "2024-02-01")
+
+
+@query()
+def resolve_names(spark, sf):
+    """Part names against brands and types by embedding, with a verifier that takes names of the same first letter."""
+    p = table(spark, sf, "part")
+    known = p.select(F.col("p_type").alias("skill")).union(p.select("p_brand"))
+    return X.resolve(p.select(F.col("p_name").alias("raw")), known, lambda a, b: ("same_skill", 0.95) if a[:1].lower() == b[:1].lower() else ("ambiguous", 0.5))

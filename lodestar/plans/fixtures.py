@@ -60,17 +60,17 @@ BASKETS_SQL = """js AS (SELECT l_orderkey AS job_id, p_brand AS skill, p_type AS
 NODES_SQL = """n AS (
   SELECT DISTINCT 'job:' || job_id AS node_id, 'Job' AS label, CAST(job_id AS VARCHAR) AS name, '' AS skill_type, CAST(0 AS BIGINT) AS train_frequency FROM js
   UNION ALL SELECT DISTINCT 'occupation:' || trim(occupation_code), 'Occupation', trim(occupation_code), '', 0 FROM js
-  UNION ALL SELECT 'skill:' || substr(sha256(skill || '|' || skill_type), 1, 16), 'Skill', skill, skill_type, count(DISTINCT job_id) FROM js GROUP BY skill, skill_type
-  UNION ALL SELECT DISTINCT 'category:' || skill_type, 'SkillCategory', skill_type, '', 0 FROM js)"""
+  UNION ALL SELECT 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16), 'Skill', skill, skill_type, count(DISTINCT job_id) FROM js GROUP BY skill, skill_type
+  UNION ALL SELECT DISTINCT 'category:' || lower(skill_type), 'SkillCategory', skill_type, '', 0 FROM js)"""
 
 EDGES_SQL = """e0 AS (
-  SELECT 'job:' || job_id AS from_id, 'skill:' || substr(sha256(skill || '|' || skill_type), 1, 16) AS to_id,
+  SELECT 'job:' || job_id AS from_id, 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16) AS to_id,
     CASE requirement WHEN 'required' THEN 'REQUIRES' WHEN 'preferred' THEN 'PREFERS' ELSE 'MENTIONS' END AS label,
-    (CASE requirement WHEN 'required' THEN 1.0 WHEN 'preferred' THEN 0.72 ELSE 0.45 END)::DOUBLE * max(importance) * max(confidence) AS weight, CAST(job_id AS VARCHAR) AS source_job_id
+    (CASE requirement WHEN 'required' THEN 1.0 WHEN 'preferred' THEN 0.72 ELSE 0.45 END)::DOUBLE * max(importance) * max(confidence) AS weight, CAST(job_id AS VARCHAR) AS source_job_id, job_id || ':' || lower(skill) AS origin
     FROM js GROUP BY job_id, skill, skill_type, requirement
-  UNION ALL SELECT DISTINCT 'job:' || job_id, 'occupation:' || trim(occupation_code), 'INSTANCE_OF', 1.0, CAST(job_id AS VARCHAR) FROM js
-  UNION ALL SELECT DISTINCT 'skill:' || substr(sha256(skill || '|' || skill_type), 1, 16), 'category:' || skill_type, 'IS_A', 1.0, '' FROM js),
-e AS (SELECT 'edge:' || substr(sha256(from_id || '|' || label || '|' || to_id || '|' || source_job_id), 1, 20) AS edge_id, * FROM e0)"""
+  UNION ALL SELECT DISTINCT 'job:' || job_id, 'occupation:' || trim(occupation_code), 'INSTANCE_OF', 1.0, CAST(job_id AS VARCHAR), CAST(job_id AS VARCHAR) FROM js
+  UNION ALL SELECT DISTINCT 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16), 'category:' || lower(skill_type), 'IS_A', 1.0, '', skill_type FROM js),
+e AS (SELECT substr(sha256(from_id || '|' || label || '|' || to_id || '|' || origin), 1, 20) AS edge_id, * EXCLUDE (origin) FROM e0)"""
 
 #: Rows with one fault each. Skills are of two kinds of alias; jobs are written out.
 BAD_NODES = [

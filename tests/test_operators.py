@@ -1,6 +1,8 @@
 """Operators against plain Python on small rows."""
 
 import datetime as dt
+import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -56,9 +58,10 @@ def test_phrases_never_overlap_and_keep_borders(text):
     for p in ("a", "ab", "ab c", "python", "漢"):
         machine.add_word(p, p)
     machine.make_automaton()
-    end = 0
-    for phrase, start, stop in X.find_phrases(text, machine):
-        assert start >= end and text.casefold()[start:stop] == phrase
+    end, whole = 0, text
+    text = " ".join(text.split()).casefold()
+    for phrase, start, stop in X.find_phrases(whole, machine):
+        assert start >= end and text[start:stop] == phrase
         end = stop
         if re.search("[a-z]", phrase):
             assert not (start and text[start - 1].isalnum()) and not text[stop : stop + 1].isalnum()
@@ -106,23 +109,86 @@ def test_ranker_learns(spark):
 
 
 def test_parse_and_features(spark):
-    nodes = spark.createDataFrame([("s1", "Skill", "machine learning"), ("s2", "Skill", "learning"), ("a1", "SkillAlias", "ml"), ("o1", "Occupation", "engineer")], "node_id string, label string, name string")
+    nodes = spark.createDataFrame([("s1", "Skill", "machine learning"), ("s2", "Skill", "learning"), ("s3", "Skill", "ml"), ("a1", "SkillAlias", "ml"), ("o1", "Occupation", "engineer")], "node_id string, label string, name string")
     edges = spark.createDataFrame([("a1", "s1", "ALIAS_OF")], "from_id string, to_id string, label string")
-    queries = spark.createDataFrame([("1", "Machine Learning engineer Taipei", DAY, "100", "b,a"), ("2", "ml", DAY, None, None)], "query_id string, query string, query_time timestamp_ntz, location_code string, occupation_code string")
-    got = {r.query_id: r for r in hybrid.parse_queries(queries, hybrid.vocabulary(nodes, edges)).collect()}
-    assert (got["1"].skills, got["1"].occupation, got["1"].unresolved) == (["s1"], "o1", "engineer taipei") and got["2"].skills == ["s1"]
-    jobs = spark.createDataFrame([("j1", "machine engineer", "learning", "", DAY, "100,200", "a", 100.0, ["machine"]), ("j2", None, None, None, None, None, None, None, None)], "job_id string, title string, requirements string, description string, posted_at timestamp_ntz, location_code string, occupation_code string, salary_min double, skills array<string>")
+    queries = spark.createDataFrame([("1", "Machine Learning engineer Taipei", DAY, "100", "b,a"), ("2", "ml", DAY, None, None), ("3", " cooking ", DAY, None, None)], "query_id string, query string, query_time timestamp_ntz, location_code string, occupation_code string")
+    parsed = hybrid.parse_queries(queries, hybrid.vocabulary(nodes, edges))
+    got = {r.query_id: r for r in parsed.collect()}
+    assert (got["1"].skills, got["1"].occupation, got["1"].unresolved) == (["s1"], "o1", []) and got["2"].skills == ["s1"] and got["3"].unresolved == ["cooking"]
+    assert {tuple(r) for r in hybrid.occupations(parsed, queries).collect()} == {("1", "occupation:a")}
+    jobs = spark.createDataFrame([("j1", "machine engineer", "learning", "", DAY, "100", "a", 100.0), ("j2", None, None, None, None, None, None, None)], "job_id string, title string, requirements string, description string, posted_at timestamp_ntz, location_code string, occupation_code string, salary_min double")
     pairs = spark.createDataFrame([("1", "j1", 1, 2), ("1", "j2", 0, None)], "query_id string, job_id string, relevance int, original_rank int")
-    traces = spark.createDataFrame([("1", "job:j1", "s1", ["REQUIRES"], 0.5), ("1", "job:j1", "s2", ["CO_OCCURS_WITH", "PREFERS"], 0.1)], "query_id string, job string, anchor string, edge_types array<string>, score double")
+    traces = spark.createDataFrame(
+        [("1", "job:j1", "s1", ["REQUIRES"], 0.5), ("1", "job:j1", "s2", ["CO_OCCURS_WITH", "PREFERS"], 0.1), ("1", "job:j1", "o1", ["INSTANCE_OF"], 1.0)],
+        "query_id string, job string, anchor string, edge_types array<string>, score double",
+    )
     rows = {r.job_id: r for r in hybrid.pair_features(pairs, queries, jobs, traces).collect()}
     j1, j2 = rows["j1"], rows["j2"]
-    assert (j1.location_match, j1.occupation_match, j1.freshness, j1.title_overlap, j1.reciprocal_rank) == (1, 1, 1, 0.5, 0.5)
-    assert j1.graph_score == pytest.approx(0.6) and j1.two_hop_paths == 1 and j1.bm25 > 0 and j2.bm25 == j2.graph_hit == j2.freshness == 0
+    assert (j1.location_match, j1.duty_code_match, j1.freshness_score, j1.title_overlap, j1.description_overlap, j1.original_rank_reciprocal) == (1, 1, 1, 0.5, 0.25, 0.5)
+    assert j1.bm25_score == pytest.approx(3 * math.log(1 + 1.5 / 1.5) * 2.5 / (1 + 1.5 * (0.25 + 0.75 * 3 / 1.5))) and j1.dense_score == pytest.approx(3 / math.sqrt(12))
+    assert (j1.graph_score, j1.exact_skill_count, j1.one_hop_skill_count, j1.required_match_weight, j1.preferred_match_weight, j1.occupation_match) == (pytest.approx(1.6), 1, 1, 0.5, 0, 1)
+    assert j1.best_path_score == 1 and j1.mean_path_score == pytest.approx(1.6 / 3) and j1.salary_min_log == pytest.approx(math.log(101)) and j1.salary_max_log == 0
+    assert all(j2[c] == 0 for c in hybrid.PLAIN + hybrid.GRAPH)
     hybrid.require_finite(hybrid.pair_features(pairs, queries, jobs, traces))
-    top = hybrid.rerank(pairs, pairs, queries, jobs, traces, 5).collect()
+    top = hybrid.rerank(pairs.withColumn("score", F.lit(1.0)), pairs, queries, jobs, traces, 5).collect()
     assert [r.job_id for r in sorted(top, key=lambda r: r["rank"])] == ["j1", "j2"]
 
 
+def test_graph_of_mentions(spark):
+    rows = [(1, "React", "ReactJS", "Framework", "required"), (2, "react", "react", "Framework", "mentioned"), (2, "Go", "Go", "Language", "preferred")]
+    js = spark.createDataFrame(rows, "job_id int, skill string, raw_mention string, skill_type string, requirement string").withColumns({"occupation_code": F.lit(" 7 "), "importance": F.lit(1.0), "confidence": F.lit(0.5)})
+    n, ids = G.nodes(js), {}
+    for r in n.collect():
+        ids[r.label, r.name] = r.node_id
+    sha = lambda s, k: hashlib.sha256(s.encode()).hexdigest()[:k]
+    react, go = f"skill:{sha('react|Framework', 16)}", f"skill:{sha('go|Language', 16)}"
+    assert ids["Skill", "React"] == react and ("Skill", "react") not in ids and ids["SkillAlias", "ReactJS"] == f"alias:{sha('reactjs', 16)}" and ids["SkillCategory", "Framework"] == "category:framework"
+    pairs = spark.createDataFrame([(go, react, 0.5)], "skill_a string, skill_b string, npmi double")
+    core = spark.createDataFrame([("7", go, 0.5)], "occupation_code string, skill string, core_skill_weight double")
+    e = G.edges(js, pairs, core, "a", "b")
+    got = {(r.label, r.from_id, r.to_id): r for r in e.collect()}
+    assert got["REQUIRES", "job:1", react].edge_id == sha(f"job:1|REQUIRES|{react}|1:reactjs", 20) and got["CORE_SKILL", "occupation:7", go].weight == 0.5
+    assert got["CO_OCCURS_WITH", *sorted((go, react))].edge_id == sha(f"{min(go, react)}|CO_OCCURS_WITH|{max(go, react)}|a|b", 20) and ("ALIAS_OF", ids["SkillAlias", "ReactJS"], react) in got
+    t = G.paths(e, spark.createDataFrame([(1, go)], "query_id int, skill_id string"), occupations=spark.createDataFrame([(1, "occupation:7")], "query_id int, occupation string"))
+    scores = {r.job: r for r in G.candidates(t).collect()}
+    assert scores["job:2"].score == pytest.approx(0.36 + 0.5 * 0.225 * 0.7 + 1) and scores["job:1"].score == pytest.approx(0.5 * 0.5 * 0.7 + 1) and scores["job:2"].anchors == 2
+    told = {r.explanation for r in G.explained(t, n).collect()}
+    assert "Go matched React; path uses CO_OCCURS_WITH -> REQUIRES" in told and "Occupation constraint matched the job occupation." in told
+
+
+def test_structured_records(spark):
+    jobs = spark.createDataFrame(
+        [(1, "Python；python, NULL", "PMP", "sales", " ", "train", "uses  Ｐｙｔｈｏｎ and Sales"), (2, "python", None, None, "7", "train", "PMP pmp"), (3, None, None, None, None, "test", None)],
+        "job_id int, computer_skills string, certifications string, work_skills string, occupation_code string, data_split string, text string",
+    )
+    words = X.field_lexicon(jobs)
+    assert {(r.phrase, r.display, r.skill_type) for r in words.collect()} == {("python", "Python", "ProgrammingLanguage")}
+    found = X.phrase_evidence(jobs.select("job_id", "text"), spark.createDataFrame([("pmp", "PMP", "Certification"), ("sales", "sales", "BusinessSkill")], "phrase string, display string, skill_type string"))
+    got = [(r.job_id, r.raw, r.skill_type, r.importance) for r in X.structured_mentions(jobs, found).orderBy("job_id", "field", "pos").collect()]
+    assert got == [(1, "Python", "ProgrammingLanguage", 0.9), (1, "PMP", "Certification", 0.85), (1, "sales", "BusinessSkill", 0.8), (2, "python", "ProgrammingLanguage", 0.9), (2, "PMP", "Certification", 0.7)]
+    made = X.records(jobs, X.structured_mentions(jobs, most=1))
+    assert [(r.job_id, r.occupation_candidate or "", len(r.skills)) for r in made.orderBy("job_id").collect()] == [("1", " ", 1), ("2", "7", 1), ("3", "", 0)]
+    assert X.coverage(made).first().coverage == pytest.approx(2 / 3)
+
+
+def test_resolve_equals_brute_force(spark):
+    raws, known = ["java script", "java", "go lang"], ["JavaScript", "java lang", "script", "golang", "Java"]
+    r = spark.createDataFrame([(x,) for x in raws * 2], "raw string")
+    got = {x.raw: x for x in X.resolve(r, spark.createDataFrame([(x,) for x in known], "skill string"), lambda a, b: ("same_skill", 0.95) if "lang" in b else ("ambiguous", 0.5), block=2).collect()}
+
+    def embed(s):
+        out = [0.0] * 32
+        for t in re.findall(r"[\w.+#-]+", s.casefold()):
+            out = [a + b / 127.5 - 1 for a, b in zip(out, hashlib.sha256(t.encode()).digest())]
+        n = math.sqrt(sum(x * x for x in out))
+        return [x / n for x in out]
+
+    for raw in raws:
+        want = sorted(known, key=lambda k: (-round(sum(a * b for a, b in zip(embed(raw), embed(k))), 8), k))
+        assert got[raw].candidates == want and got[raw].selected == next(w for w in want if "lang" in w)
+    assert X.rule_verifier("Java", "javascript") == ("related_but_distinct", 1.0)
+
+
 def test_guards_and_contracts(spark):
     for target in ("/", "/in", "/in/x", "/"):
         with pytest.raises(ValueError):
