@@ -17,7 +17,9 @@ from lodestar.llm.tables import materialise
 #: Words that are broadcast with their counts: the most frequent of at most so many bytes. The others are joined.
 HEAD, HEAD_BYTES = 1 << 17, 64
 #: Bytes of text worked on at a time; a longer text is one piece.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Hashes that a task holds before it counts them.
+ROOM = 3_000_000
 ALPHA = 0.1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -185,8 +187,7 @@ def count_filter(texts: DataFrame, megabytes: int = 64, probes: int = 3) -> Coun
     plain = CountFilter(segments=megabytes * 8, probes=probes)
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(parts: list[np.ndarray]) -> pa.RecordBatch:
-            grams = np.concatenate(parts)
+        def out(grams: np.ndarray) -> pa.RecordBatch:
             grams.sort()
             first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
             counts = np.diff(np.append(first, len(grams))).astype("<u4")
@@ -203,17 +204,21 @@ def count_filter(texts: DataFrame, megabytes: int = 64, probes: int = 3) -> Coun
                 names=["segment", "names", "counts"],
             )
 
-        held, n = [], 0
+        room, used = np.empty(ROOM, np.uint64), 0
         for batch in it:
             for _, part in _chunks(batch, 0):
                 toks, sizes = tokens(part)
-                held += [toks, bigrams(toks, sizes)[1]]
-                n += len(toks)
-                if n > 1_500_000:
-                    yield out(held)
-                    held, n = [], 0
-        if held:
-            yield out(held)
+                for grams in (toks, bigrams(toks, sizes)[1]):
+                    if used and used + len(grams) > ROOM:
+                        yield out(room[:used])
+                        used = 0
+                    if len(grams) > ROOM:
+                        yield out(grams)
+                    else:
+                        room[used : used + len(grams)] = grams
+                        used += len(grams)
+        if used:
+            yield out(room[:used])
 
     def segment(table: pa.Table) -> pa.Table:
         names = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["names"]])
