@@ -41,12 +41,14 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _aliases(job_skills: DataFrame) -> DataFrame:
-    """Mentions whose normalised form isn't their skill's: alias, target, norm, raw_mention, job_id."""
-    norm = normalise(F.col("raw_mention"))
-    return job_skills.where(norm != normalise(F.col("skill"))).select(
-        alias_id(F.col("raw_mention")).alias("alias"), skill_id(F.col("skill"), F.col("skill_type")).alias("target"), norm.alias("norm"), "raw_mention", "job_id"
-    )
+def _named(job_skills: DataFrame) -> DataFrame:
+    """`job_skills` with the ids and normalised forms of its names. Only distinct names are normalised and hashed; they
+    are joined back (the optimiser broadcasts them while they are few). Rows without a skill or a kind are dropped."""
+    rows = job_skills.withColumn("raw_mention", F.coalesce("raw_mention", "skill") if "raw_mention" in job_skills.columns else F.col("skill"))
+    keys = ["skill", "skill_type", "raw_mention"]
+    names = rows.select(*keys).distinct().select(*keys, normalise(F.col("skill")).alias("_norm"), normalise(F.col("raw_mention")).alias("_raw"), category_id(F.col("skill_type")).alias("_category"))
+    ids = names.select(*keys, "_raw", "_category", digest_id("skill:", F.col("_norm"), F.col("skill_type")).alias("_skill"), F.when(F.col("_raw") != F.col("_norm"), digest_id("alias:", F.col("_raw"))).alias("_alias"))
+    return rows.join(ids, keys)
 
 
 def nodes(job_skills: DataFrame) -> DataFrame:
@@ -56,15 +58,13 @@ def nodes(job_skills: DataFrame) -> DataFrame:
     occupations = job_skills.where("trim(occupation_code) != ''").select(F.trim("occupation_code").alias("name")).distinct().select(
         F.concat(F.lit("occupation:"), F.col("name")).alias("node_id"), F.lit("Occupation").alias("label"), "name"
     )
-    named = job_skills.select(skill_id(F.col("skill"), F.col("skill_type")).alias("node_id"), "skill", "skill_type", "job_id")
-    skills = named.groupBy("node_id", "skill_type").agg(F.count_distinct("job_id").alias("train_frequency"), F.min(F.struct("job_id", "skill"))["skill"].alias("name")).select(
+    named = _named(job_skills)
+    skills = named.groupBy(F.col("_skill").alias("node_id"), "skill_type").agg(F.count_distinct("job_id").alias("train_frequency"), F.min(F.struct("job_id", "skill"))["skill"].alias("name")).select(
         "node_id", F.lit("Skill").alias("label"), "name", "skill_type", "train_frequency"
     )
-    kinds = job_skills.select(category_id(F.col("skill_type")).alias("node_id"), "skill_type").groupBy("node_id").agg(F.min("skill_type").alias("name")).select("node_id", F.lit("SkillCategory").alias("label"), "name")
-    frames = [jobs, occupations, skills, kinds]
-    if "raw_mention" in job_skills.columns:
-        aliases = _aliases(job_skills).groupBy("alias").agg(F.min("raw_mention").alias("name"))
-        frames.append(aliases.select(F.col("alias").alias("node_id"), F.lit("SkillAlias").alias("label"), "name"))
+    kinds = named.groupBy(F.col("_category").alias("node_id")).agg(F.min("skill_type").alias("name")).select("node_id", F.lit("SkillCategory").alias("label"), "name")
+    aliases = named.where("_alias is not null").groupBy(F.col("_alias").alias("node_id")).agg(F.min("raw_mention").alias("name")).select("node_id", F.lit("SkillAlias").alias("label"), "name")
+    frames = [jobs, occupations, skills, kinds, *([aliases] if "raw_mention" in job_skills.columns else [])]
     return _union(frames).select(
         "node_id", "label", "name", F.coalesce("skill_type", F.lit("")).alias("skill_type"), F.coalesce("train_frequency", F.lit(0)).cast("long").alias("train_frequency")
     )
@@ -80,24 +80,23 @@ def edges(job_skills: DataFrame, pairs: DataFrame | None = None, core: DataFrame
     """Job-skill edges weighted by level, importance and confidence, and INSTANCE_OF, IS_A, ALIAS_OF,
     CO_OCCURS_WITH and CORE_SKILL edges. `job_skills` also has requirement, importance, confidence, and may have raw_mention (else the skill);
     `pairs` has the ids of two skills and npmi; `core` has occupation_code, the skill's id and core_skill_weight."""
-    raw = F.col("raw_mention" if "raw_mention" in job_skills.columns else "skill")
+    rows = _named(job_skills)
     period = F.lit(f"{train_start}|{train_end}")
     job = F.concat(F.lit("job:"), F.col("job_id").cast("string"))
-    skill = skill_id(F.col("skill"), F.col("skill_type"))
     level = F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv))[F.col("requirement")]
     relation = F.create_map(*(F.lit(x) for kv in RELATIONS.items() for x in kv))[F.col("requirement")]
-    once = job_skills.select("*", normalise(raw).alias("_raw")).groupBy("job_id", "skill", "skill_type", "requirement", "_raw").agg(F.max("importance").alias("importance"), F.max("confidence").alias("confidence"))
-    named = _edge(once, job, skill, relation, level * F.col("importance") * F.col("confidence"), F.col("job_id").cast("string"), F.concat_ws(":", "job_id", "_raw"))
+    once = rows.groupBy("job_id", "_skill", "requirement", "_raw").agg(F.max("importance").alias("importance"), F.max("confidence").alias("confidence"))
+    named = _edge(once, job, F.col("_skill"), relation, level * F.col("importance") * F.col("confidence"), F.col("job_id").cast("string"), F.concat_ws(":", "job_id", "_raw"))
     instance = job_skills.where("trim(occupation_code) != ''").select("job_id", F.trim("occupation_code").alias("o")).distinct()
     of = _edge(instance, job, F.concat(F.lit("occupation:"), F.col("o")), F.lit("INSTANCE_OF"), F.lit(1.0), F.col("job_id").cast("string"), F.col("job_id").cast("string"))
-    kinds = job_skills.select(skill.alias("id"), "skill_type").distinct()
-    is_a = _edge(kinds, F.col("id"), category_id(F.col("skill_type")), F.lit("IS_A"), F.lit(1.0), F.lit(""), F.col("skill_type"))
+    kinds = rows.select("_skill", "_category", "skill_type").distinct()
+    is_a = _edge(kinds, F.col("_skill"), F.col("_category"), F.lit("IS_A"), F.lit(1.0), F.lit(""), F.col("skill_type"))
     frames = [named, of, is_a]
     if pairs is not None:
         frames.append(_edge(pairs, F.least("skill_a", "skill_b"), F.greatest("skill_a", "skill_b"), F.lit("CO_OCCURS_WITH"), F.greatest(F.lit(0.0), F.col("npmi")), F.lit(""), period))
     if "raw_mention" in job_skills.columns:
-        aliases = _aliases(job_skills).groupBy("alias", "target", "norm").agg(F.min("job_id").cast("string").alias("job"))
-        frames.append(_edge(aliases, F.col("alias"), F.col("target"), F.lit("ALIAS_OF"), F.lit(1.0), F.col("job"), F.col("norm")))
+        aliases = rows.where("_alias is not null").groupBy("_alias", "_skill", "_raw").agg(F.min("job_id").cast("string").alias("job"))
+        frames.append(_edge(aliases, F.col("_alias"), F.col("_skill"), F.lit("ALIAS_OF"), F.lit(1.0), F.col("job"), F.col("_raw")))
     if core is not None:
         frames.append(_edge(core.where("trim(occupation_code) != ''"), F.concat(F.lit("occupation:"), F.trim("occupation_code")), F.col("skill"), F.lit("CORE_SKILL"), F.col("core_skill_weight"), F.lit(""), period))
     return _union(frames)

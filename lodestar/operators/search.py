@@ -108,8 +108,10 @@ def vector_top_k(queries: DataFrame, table: DataFrame, k: int, block: int = 256)
     of about `block` vectors, so a task holds one block; each task keeps its own k best before the shuffle. Scores are
     rounded to 9 digits; ties go to the smaller vec_id. Null and zero vectors score 0."""
     parts = max(1, -(-queries.count() // block))
-    held = queries.groupBy((F.abs(F.xxhash64("query_id")) % parts).cast("int").alias("block")).agg(F.collect_list(F.struct("query_id", "query_vec")).alias("held"))
-    met = table.select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")).join(held, "block")
-    pairs = met.select("vec_id", "embedding", F.explode("held").alias("q")).where("vec_id != q.query_id")
-    scored = pairs.select("q.query_id", "vec_id", F.coalesce(F.round(T.cosine(F.col("q.query_vec"), F.col("embedding")), 9), F.lit(0.0)).alias("score"))
-    return top_k(scored, k, "vec_id")
+    scaled = lambda c: F.sqrt(T.dot(c, c))
+    held = queries.select("query_id", "query_vec", scaled(F.col("query_vec")).alias("norm")).groupBy((F.abs(F.xxhash64("query_id")) % parts).cast("int").alias("block")).agg(F.collect_list(F.struct("query_id", "query_vec", "norm")).alias("held"))
+    met = table.select("vec_id", "embedding", scaled(F.col("embedding")).alias("norm"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")).join(held, "block")
+    pairs = met.select("vec_id", "embedding", "norm", F.explode("held").alias("q")).where("vec_id != q.query_id")
+    both = F.col("norm") * F.col("q.norm")
+    cosine = F.when(both > 0, T.dot(F.col("q.query_vec"), F.col("embedding")) / both).otherwise(0.0)
+    return top_k(pairs.select("q.query_id", "vec_id", F.coalesce(F.round(cosine, 9), F.lit(0.0)).alias("score")), k, "vec_id")
