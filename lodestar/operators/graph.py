@@ -159,7 +159,8 @@ def checks(
     f = lambda name, frame, record: _finding(name, frame, record, policies)
     js = e.where(F.col("label").isin(*JOB_SKILL))
     ids = n.select("node_id").distinct()
-    dangling = e.join(ids, e.from_id == ids.node_id, "left_anti").union(e.join(ids, e.to_id == ids.node_id, "left_anti")).dropDuplicates(["edge_id"])
+    known = e.join(ids.select(F.col("node_id").alias("_from")), F.col("from_id") == F.col("_from"), "left").join(ids.select(F.col("node_id").alias("_to")), F.col("to_id") == F.col("_to"), "left")
+    dangling = known.where("_from is null or _to is null").select("edge_id").distinct()
     skills = n.where("label = 'Skill'")
     touched = e.select(F.col("from_id").alias("node_id")).union(e.select("to_id")).distinct()
     ends = _with_ends(n, e)
