@@ -18,8 +18,10 @@ from lodestar.llm.tables import materialise
 HEAD, HEAD_BYTES = 1 << 17, 64
 #: Bytes of text worked on at a time; a longer text is one piece.
 CHUNK = 1 << 18
-#: Hashes that a task holds before it counts them.
-ROOM = 3_000_000
+#: Bytes of text whose n-grams are counted and asked for together.
+UNIT = 1 << 22
+#: Learnt tokens to a segment of the filter, at most, if n-grams spread evenly.
+SEGMENT = 1 << 19
 ALPHA = 0.1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -65,30 +67,31 @@ def bigrams(toks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class CountFilter:
-    """A Bloom filter that holds the pairs (n-gram, level) for each level from 1 to 1 + floor(log2(count)). Its size
-    is `segments` (a power of two) times 2^20 bits and nothing else; an n-gram's bits lie in one segment, that of the
+    """A Bloom filter that holds the pairs (n-gram, level) for each level from 1 to 1 + floor(log2(count)), in
+    `segments` (a power of two) of `size` bits (a multiple of 8); an n-gram's bits lie in one segment, that of the
     leading bits of its hash, so sorted hashes are sorted by segment. A count read from it is
-    never too low; it is too high with the chance of a false member, which grows as the filter fills."""
+    never too low; it is too high with the chance of a false member, which grows with the share of bits that are set."""
 
     segments: int
     probes: int
     bits: np.ndarray | None = None
-
-    SPAN = 20
+    size: int = 1 << 20
 
     def place(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Segment and name within it."""
-        return (grams >> np.uint64(65 - self.segments.bit_length())).astype(np.int64), grams & np.uint64(0xFFFFFFFF)
+        return (grams >> np.uint64(64 - self.segments.bit_length() + 1)).astype(np.int64) if self.segments > 1 else np.zeros(len(grams), np.int64), grams & np.uint64(0xFFFFFFFF)
 
     def slots(self, names: np.ndarray, level: int) -> Iterator[np.ndarray]:
         h = _mixed((names + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25) + np.uint64(level))
+        low, step = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
         for i in range(self.probes):
-            yield ((h >> np.uint64(21 * i)) & np.uint64((1 << self.SPAN) - 1)).astype(np.int64)
+            at = (low + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)
+            yield ((at * np.uint64(self.size)) >> np.uint64(32)).astype(np.int64)
 
     def build(self, names: np.ndarray, counts: np.ndarray) -> bytes:
         """The bits of one segment."""
-        bits = np.zeros(1 << self.SPAN, dtype=bool)
-        top = np.floor(np.log2(counts)).astype(np.int64) + 1
+        bits = np.zeros(self.size, dtype=bool)
+        top = tops(counts)
         for level in range(1, int(top.max(initial=0)) + 1):
             for slot in self.slots(names[top >= level], level):
                 bits[slot] = True
@@ -97,9 +100,12 @@ class CountFilter:
     def levels(self, grams: np.ndarray) -> np.ndarray:
         """The highest level up to which all memberships hold, by repeated probes."""
         segment, names = self.place(grams)
-        offset = segment << self.SPAN
-        out = np.zeros(len(grams), dtype=np.int64)
-        live = np.arange(len(grams))
+        return self.read(segment * self.size, names)
+
+    def read(self, offset: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """The levels of names in the segments that begin at these bits."""
+        out = np.zeros(len(names), dtype=np.int64)
+        live = np.arange(len(names))
         for level in range(1, 50):
             for slot in self.slots(names[live], level):
                 at = offset[live] + slot
@@ -111,34 +117,39 @@ class CountFilter:
                 break
         return np.where(out < 0, -out - 1, out)
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """The middle of the counts that a level stands for: 0, 1, then sqrt(2) times its least."""
-        level = self.levels(grams)
-        return np.where(level > 1, math.sqrt(2) * 2.0 ** (level - 1), level.astype(np.float64))
-
-
-def log10_probabilities(filter_: CountFilter, texts: list[bytes], total: int, kinds: int, strength: float) -> np.ndarray:
-    """log10 probability of each lower-cased text under the bigram model with Dirichlet smoothing towards unigrams:
-    p(w | h) = (c(hw) + strength * p(w)) / (c(h) + strength), all counts from the filter."""
-    if not texts:
-        return np.zeros(0)
-    toks, sizes = tokens(texts)
-    before, grams = bigrams(toks, sizes)
-    names, back = np.unique(toks, return_inverse=True)
-    single = filter_.counts(names)[back]
-    history = np.concatenate([filter_.counts(np.array([_END], np.uint64)), single[:-1]])
+
+def tops(counts: np.ndarray) -> np.ndarray:
+    """The levels of counts of at least 1."""
+    return np.floor(np.log2(counts)).astype(np.int64) + 1
+
+
+def middles(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts that a level stands for: 0, 1, then sqrt(2) times its least."""
+    return np.where(level > 1, math.sqrt(2) * 2.0 ** (level - 1.0), level.astype(np.float64))
+
+
+def bits_for(entries: int, false_rate: float, probes: int) -> int:
+    """Bits that hold so many entries with this chance of a false member; a multiple of 8."""
+    return max(64, math.ceil(entries * probes / -math.log1p(-(false_rate ** (1 / probes))) / 8) * 8)
+
+
+def log10_probabilities(toks: np.ndarray, sizes: np.ndarray, first: float, single: np.ndarray, both: np.ndarray, total: int, kinds: int, strength: float) -> np.ndarray:
+    """log10 probability of each text under the bigram model with Dirichlet smoothing towards unigrams:
+    p(w | h) = (c(hw) + strength * p(w)) / (c(h) + strength). Counts are those of the tokens, of the bigrams that
+    they end, and of the end that stands before the first."""
+    history = np.concatenate([[first], single[:-1]])
     unigram = (single + ALPHA) / (total + ALPHA * (kinds + 1))
-    pair = np.minimum(filter_.counts(grams), np.minimum(history, single))
+    pair = np.minimum(both, np.minimum(history, single))
     p = (pair + strength * np.minimum(unigram, 1.0)) / (history + strength)
     return np.add.reduceat(np.log10(p), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
 
 
-def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
-    """Lower-cased texts with the row of the first, up to CHUNK bytes at a time."""
+def _chunks(batch: pa.RecordBatch, column: int, most: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
+    """Lower-cased texts with the row of the first, up to `most` bytes at a time."""
     at, held, size = 0, [], 0
     for i, t in enumerate(batch.column(column).cast(pa.large_binary())):
         text = (t.as_py() or b"").lower()
-        if held and size + len(text) > CHUNK:
+        if held and size + len(text) > most:
             yield at, held
             at, held, size = i, [], 0
         held.append(text)
@@ -175,79 +186,102 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_filter(texts: DataFrame, megabytes: int = 64, probes: int = 3) -> CountFilter:
-    """Count unigrams and bigrams of all rows and store their levels in a filter of a fixed size.
+def _distinct(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of texts, their numbers, the sorted different n-grams (the end among them), and the place of each token,
+    then of each bigram, then of the end."""
+    toks, sizes = tokens(part)
+    grams, back = np.unique(np.concatenate([toks, bigrams(toks, sizes)[1], [_END]]), return_inverse=True)
+    return toks, sizes, grams, back
 
-    Each task counts hashes of a few million tokens at a time and hands on one packed row for each segment; after one
-    shuffle by segment the counts of a segment's n-grams are summed and its bits set. The driver gets the bits alone:
-    `megabytes` in all, whatever the corpus.
-    """
-    if megabytes & (megabytes - 1):
-        raise ValueError("megabytes must be a power of two")
-    plain = CountFilter(segments=megabytes * 8, probes=probes)
 
-    def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(grams: np.ndarray) -> pa.RecordBatch:
-            grams.sort()
-            first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-            counts = np.diff(np.append(first, len(grams))).astype("<u4")
-            grams = grams[first]
-            cuts = np.searchsorted(plain.place(grams)[0], np.arange(plain.segments + 1))
-            names = (grams & np.uint64(0xFFFFFFFF)).astype("<u4")
-            rows = [i for i in range(plain.segments) if cuts[i] < cuts[i + 1]]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows, pa.int32()),
-                    pa.array([names[cuts[i] : cuts[i + 1]].tobytes() for i in rows], pa.binary()),
-                    pa.array([counts[cuts[i] : cuts[i + 1]].tobytes() for i in rows], pa.binary()),
-                ],
-                names=["segment", "names", "counts"],
-            )
+_ASKED = "unit long, segment long, names binary, counts binary, docs binary"
+
 
-        room, used = np.empty(ROOM, np.uint64), 0
+def _asked(rows: DataFrame, segments: int) -> DataFrame:
+    """The different n-grams of each UNIT of text in one packed row for each segment, with the times that they are
+    learnt (0 for those of held-out texts alone); and one row (segment below 0) that carries the texts on."""
+    plain = CountFilter(segments, 1)
+
+    def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for _, part in _chunks(batch, 0):
-                toks, sizes = tokens(part)
-                for grams in (toks, bigrams(toks, sizes)[1]):
-                    if used and used + len(grams) > ROOM:
-                        yield out(room[:used])
-                        used = 0
-                    if len(grams) > ROOM:
-                        yield out(grams)
-                    else:
-                        room[used : used + len(grams)] = grams
-                        used += len(grams)
-        if used:
-            yield out(room[:used])
-
-    def segment(table: pa.Table) -> pa.Table:
-        names = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["names"]])
-        counts = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["counts"]])
-        kinds, back = np.unique(names, return_inverse=True)
-        sums = np.bincount(back, weights=counts)
-        return pa.table({"segment": table["segment"][:1], "bits": pa.array([plain.build(kinds.astype(np.uint64), sums)], pa.binary())})
-
-    packed = texts.mapInArrow(batches, "segment int, names binary, counts binary")
-    built = packed.groupBy("segment").applyInArrow(segment, "segment int, bits binary").collect()
-    bits = np.zeros(plain.segments << (CountFilter.SPAN - 3), dtype=np.uint8)
-    width = 1 << (CountFilter.SPAN - 3)
-    for r in built:
-        bits[r.segment * width : (r.segment + 1) * width] = np.frombuffer(r.bits, np.uint8)
-    return CountFilter(plain.segments, probes, bits)
-
-
-def score(docs: DataFrame, text: str = "text", key: str = "doc_id", megabytes: int = 64, probes: int = 3, strength: float = 300.0) -> DataFrame:
+            for at, part in _chunks(batch, 3, UNIT):
+                docs = batch.slice(at, len(part))
+                unit = docs.column(0)[0].as_py()
+                _, sizes, grams, back = _distinct(part)
+                learnt = np.repeat(~docs.column(2).to_numpy(zero_copy_only=False).astype(bool), sizes)
+                counts = np.bincount(back[:-1], weights=np.concatenate([learnt, learnt]), minlength=len(grams)).astype("<u4")
+                cuts = np.searchsorted(plain.place(grams)[0], np.arange(segments + 1))
+                names = (grams & np.uint64(0xFFFFFFFF)).astype("<u4")
+                have = np.flatnonzero(cuts[:-1] < cuts[1:]).tolist()
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(docs)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([unit] * (len(have) + 1), pa.int64()),
+                        pa.array([*have, -1 - unit], pa.int64()),
+                        pa.array([*(names[cuts[i] : cuts[i + 1]].tobytes() for i in have), None], pa.binary()),
+                        pa.array([*(counts[cuts[i] : cuts[i + 1]].tobytes() for i in have), None], pa.binary()),
+                        pa.array([None] * len(have) + [sink.getvalue().to_pybytes()], pa.binary()),
+                    ],
+                    names=["unit", "segment", "names", "counts", "docs"],
+                )
+
+    return rows.mapInArrow(batches, _ASKED)
+
+
+def _filled(table: pa.Table, probes: int, false_rate: float, size: int | None) -> tuple[CountFilter, list[np.ndarray], int]:
+    """The filter of one segment, the names that each row asks for, and the number of entries."""
+    names = [np.frombuffer(x.as_buffer(), "<u4") for x in table["names"]]
+    counts = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["counts"]])
+    kinds, back = np.unique(np.concatenate(names), return_inverse=True)
+    sums = np.bincount(back, weights=counts)
+    kinds, sums = kinds[sums > 0].astype(np.uint64), sums[sums > 0]
+    entries = int(tops(sums).sum())
+    held = CountFilter(1, probes, size=size or bits_for(entries, false_rate, probes))
+    held.bits = np.frombuffer(held.build(kinds, sums), np.uint8)
+    return held, names, entries
+
+
+def _segments(tokens_: int) -> int:
+    return 1 << max(0, math.ceil(math.log2(max(1, tokens_) / SEGMENT)))
+
+
+def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
+    return docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text")
+    )
+
+
+def fill(docs: DataFrame, text: str = "text", key: str = "doc_id", tokens_: int = SEGMENT, probes: int = 3, false_rate: float = 0.001) -> DataFrame:
+    """(segment, entries, bits, ones) of the filter that `score` makes for a corpus of so many learnt tokens."""
+
+    def count(table: pa.Table) -> pa.Table:
+        held, _, entries = _filled(table, probes, false_rate, None)
+        ones = int(np.bitwise_count(held.bits).sum())
+        return pa.table({"segment": table["segment"][:1], "entries": [entries], "bits": [held.size], "ones": [ones]})
+
+    asked = _asked(_rows(docs, text, key), _segments(tokens_)).where("segment >= 0")
+    return asked.groupBy("segment").applyInArrow(count, "segment long, entries long, bits long, ones long")
+
+
+def score(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", megabytes: int | None = None, probes: int = 3, strength: float = 300.0, false_rate: float = 0.001
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row.
 
-    `score` is the log10 probability of the text under the bigram model that `count_filter` holds (learnt from all
-    rows that aren't held out). `base_score` and `n_known` use exact counts of words: those of the most frequent
+    `score` is the log10 probability of the text under the bigram model whose counts a `CountFilter` holds (learnt from
+    all rows that aren't held out). `base_score` and `n_known` use exact counts of words: those of the most frequent
     words (at most HEAD, each of at most HEAD_BYTES) are broadcast, a text's other words are joined with the counts.
-    The filter keeps its size as the corpus grows and fills up; `megabytes` should be raised with the corpus.
+    The filter has a segment for each SEGMENT tokens, as many bits in it as its counted entries need for `false_rate`
+    (or `megabytes` in all, if given), and stays where its segments are built: the n-grams of each UNIT of text come
+    there once, to be counted and to be read, and their levels go back to the texts. Nothing of it is broadcast or
+    comes to the driver.
     Null and empty texts are one end token; null keys are held out; repeated rows are scored (and learnt) as often;
     an empty table gives no rows, and without rows to learn from the base score is 0; other columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
+    rows = _rows(docs, text, key)
     train = rows.where(~F.col("held_out"))
     ends = train.select("doc_id").count()
     counts = materialise(word_counts(train.select("text")))
@@ -264,42 +298,55 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", megabytes: i
         least = r.step
     top = short.where(F.col("step") >= least).select("word", "n").toArrow()
     head = dict(zip((w.encode() for w in top["word"].to_pylist()), np.log10(top["n"].to_numpy() + ALPHA).tolist()))
-    shared = spark.sparkContext.broadcast((head, count_filter(train.select("text"), megabytes, probes)))
+    shared = spark.sparkContext.broadcast(head)
     end_value = math.log10(ends + ALPHA)
-
-    def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, filter_ = shared.value
-        get = head.get
-        for batch in it:
-            for at, part in _chunks(batch, 3):
-                values, sizes, known, words, times = [], [], [], [], []
-                for t in part:
-                    all_ = t.split()
-                    found = [x for x in map(get, all_) if x is not None]
-                    rare = Counter(w for w in all_ if w not in head) if len(found) < len(all_) else {}
-                    values.append(math.fsum(found) + end_value)
-                    sizes.append(len(all_) + 1)
-                    known.append(len(found) + (ends > 0))
-                    words.append([w.decode() for w in rare])
-                    times.append(list(rare.values()))
-                own = log10_probabilities(filter_, part, total, kinds, strength)
-                piece = batch.slice(at, len(part))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(piece.column(i) for i in range(3)),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(known, pa.int64()),
-                        pa.array(values, pa.float64()),
-                        pa.array(own, pa.float64()),
-                        pa.array(words, pa.list_(pa.string())),
-                        pa.array(times, pa.list_(pa.int64())),
-                    ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "known", "value", "score", "words", "times"],
-                )
+    segments = _segments(total)
+    size = megabytes and max(8, (megabytes << 23) // segments // 8 * 8)
+
+    def probe(table: pa.Table) -> pa.Table:
+        if table["segment"][0].as_py() < 0:
+            return table.select(["unit", "segment", "docs"]).add_column(2, "levels", pa.nulls(len(table), pa.binary()))
+        held, asked, _ = _filled(table, probes, false_rate, size)
+        levels = [held.read(np.zeros(len(x), np.int64), x.astype(np.uint64)).astype(np.uint8).tobytes() for x in asked]
+        return table.select(["unit", "segment"]).append_column("levels", pa.array(levels, pa.binary())).append_column("docs", pa.nulls(len(table), pa.binary()))
+
+    def finish(table: pa.Table) -> pa.Table:
+        get = shared.value.get
+        table = table.sort_by("segment")
+        batch = pa.ipc.open_stream(table["docs"][0].as_buffer()).read_next_batch()
+        level = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table["levels"][1:]])
+        part = [(t.as_py() or b"").lower() for t in batch.column(3).cast(pa.large_binary())]
+        toks, parts, _, back = _distinct(part)
+        read = middles(level.astype(np.int64))[back]
+        own = log10_probabilities(toks, parts, read[-1], read[: len(toks)], read[len(toks) : -1], total, kinds, strength)
+        values, sizes, known, words, times = [], [], [], [], []
+        for t in part:
+            all_ = t.split()
+            found = [x for x in map(get, all_) if x is not None]
+            rare = Counter(w for w in all_ if get(w) is None) if len(found) < len(all_) else {}
+            values.append(math.fsum(found) + end_value)
+            sizes.append(len(all_) + 1)
+            known.append(len(found) + (ends > 0))
+            words.append([w.decode() for w in rare])
+            times.append(list(rare.values()))
+        return pa.table(
+            [
+                *(batch.column(i) for i in range(3)),
+                pa.array(sizes, pa.int64()),
+                pa.array(known, pa.int64()),
+                pa.array(values, pa.float64()),
+                pa.array(own, pa.float64()),
+                pa.array(words, pa.list_(pa.string())),
+                pa.array(times, pa.list_(pa.int64())),
+            ],
+            names=["row", "doc_id", "held_out", "n_tokens", "known", "value", "score", "words", "times"],
+        )
 
     scored = materialise(
-        rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
-            batches,
+        _asked(rows, segments)
+        .groupBy("segment").applyInArrow(probe, "unit long, segment long, levels binary, docs binary")
+        .groupBy("unit").applyInArrow(
+            finish,
             "row long, doc_id long, held_out boolean, n_tokens long, known long, value double, score double, words array<string>, times array<long>",
         )
     )

@@ -127,3 +127,42 @@ def test_filter_counts_are_never_too_low():
 def test_token_hashes_follow_words():
     a, sizes = lm.tokens([b"one two  one", b"", b"\ttwo\x0bthree"])
     assert sizes.tolist() == [4, 1, 3] and a[0] == a[2] and a[1] == a[5] and a[3] == a[4] == a[7] and len(set(a.tolist())) == 4
+
+
+def exact_scores(docs, strength=300.0):
+    """The model with the true level of each count instead of the filter's."""
+    words = lambda d: [None, *re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in d.text or "")), None]
+    out = lambda d: zlib.crc32(str(d.doc_id).encode()) % 10 == 0
+    one, two = Counter(), Counter()
+    for d in docs:
+        if not out(d):
+            one.update(words(d)[1:])
+            two.update(zip(words(d), words(d)[1:]))
+    mid = lambda n: n if n < 2 else math.sqrt(2) * 2 ** math.floor(math.log2(n))
+    n, v = sum(one.values()), len(one)
+    for d in docs:
+        p = 0
+        for h, w in zip(words(d), words(d)[1:]):
+            a, b = mid(one[h]), mid(one[w])
+            p += math.log10((min(mid(two[h, w]), a, b) + strength * min(1, (b + 0.1) / (n + 0.1 * (v + 1)))) / (a + strength))
+        yield d.doc_id, p
+
+
+@pytest.mark.parametrize("segment", [lm.SEGMENT, 5000])
+def test_scores_follow_the_exact_model(spark, sf, monkeypatch, segment):
+    monkeypatch.setattr(lm, "SEGMENT", segment)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = dict(exact_scores(docs.collect()))
+    got = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) <= 0.005 * abs(want[i]) + 0.01 for i in want)
+
+
+def test_the_filter_grows_with_the_corpus(spark):
+    """The share of bits that are set, and so the false rate, is the same at every size."""
+    bits = []
+    for folder in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+        rows = lm.fill(docs, tokens_=1 << 21).collect()
+        assert len(rows) == 4 and all(abs(r.ones / r.bits - 0.1) < 0.01 for r in rows)
+        bits.append(sum(r.bits for r in rows))
+    assert bits[1] > 3 * bits[0]
