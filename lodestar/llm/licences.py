@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator, Mapping
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import lru_cache
 
 import pyarrow as pa
@@ -27,26 +28,35 @@ TEMPLATES: dict[str, str] = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
-#: A block is a line with one of these stems; each template has one.
+#: A block lies around one of these stems; each template has one.
 STEM = re.compile(r"licen[sc]|permi|copyright|public domain", re.IGNORECASE)
-#: Shortlisted by size reduction, and the share of a template's words that may differ.
-SHORTLIST, DIFFER = 3, 0.15
+#: The share of a template's words that may differ.
+DIFFER = 0.15
+#: Words on both sides of a run that its size reduction is measured with, within its lines.
+AROUND = 160
 LEVEL = 3
+WORD, BREAK = re.compile(r"\w+(?:[.\-]\w+)*"), re.compile(r"\r\n|\r|\n")
 
 
 def words(text: str) -> list[str]:
-    return re.findall(r"\w+(?:[.\-]\w+)*", text.lower())
+    return WORD.findall(text.lower())
 
 
-def difference(template: list[str], block: list[str]) -> tuple[int, int, int]:
-    """Fewest words to change, drop or insert so that the template becomes some run of the block's words; and the run.
-    Free starts and ends in the block; one row of costs at a time."""
+def costs(template: list[str], block: list[str]) -> list[tuple[int, int]]:
+    """For each end in the block: fewest words to change, drop or insert so that the template becomes a run of the
+    block's words that ends there; and the start of the run. One row of costs at a time."""
     row = [(0, j) for j in range(len(block) + 1)]
     for i, t in enumerate(template, 1):
         new = [(i, row[0][1])]
         for j, b in enumerate(block, 1):
             new.append(min((row[j - 1][0] + (t != b), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[-1][0] + 1, new[-1][1])))
         row = new
+    return row
+
+
+def difference(template: list[str], block: list[str]) -> tuple[int, int, int]:
+    """The least of the costs over all runs of the block; and the run."""
+    row = costs(template, block)
     cost, end = min((c, j) for j, (c, _) in enumerate(row))
     return cost, row[end][1], end
 
@@ -61,61 +71,93 @@ class Scanner:
         plain = dict(level=LEVEL, write_content_size=False, write_dict_id=False)
         self.plain = zstandard.ZstdCompressor(**plain)
         self.known = [zstandard.ZstdCompressor(dict_data=raw(templates[n]), **plain) for n in self.names]
-        self.block = lru_cache(50_000)(self._block)
-
-    def _block(self, block: str) -> tuple[str, float, int, bool] | None:
-        """The winner's name, its size reduction, how many words differ, and whether none does; or nothing."""
-        data = block.encode()
-        size = len(self.plain.compress(data))
-        gains = sorted(((1 - len(c.compress(data)) / size, i) for i, c in enumerate(self.known)), key=lambda x: (-x[0], x[1]))
-        body, best = words(block), None
-        for gain, i in gains[:SHORTLIST]:
-            if gain <= 0:
-                break
-            cost, _, _ = difference(self.words[i], body)
-            if cost <= DIFFER * len(self.words[i]) and (best is None or (cost, -gain) < (best[2], -best[1])):
-                best = (self.names[i], gain, cost)
-        return best and (*best, best[2] == 0)
+        self.most = [int(DIFFER * len(w)) for w in self.words]
+        self.around = max((len(w) + m for w, m in zip(self.words, self.most)), default=0)
+        self.kept = lru_cache(50_000)(self._reduction)
+
+    def _reduction(self, text: str, i: int) -> float:
+        data = text.encode()
+        return 1 - len(self.known[i].compress(data)) / len(self.plain.compress(data))
+
+    def reduction(self, text: str, i: int) -> float:
+        return self.kept(text, i) if len(text) <= 4096 else self._reduction(text, i)
+
+    def found(self, block: list[str], shown: Callable[[int, int], str]) -> list[tuple[int, int, int, float]]:
+        """(start, template, differing words, size reduction) of runs of the block that don't overlap, those with the
+        fewest differing words first, then those with the greatest reduction of what is shown for the run. Every
+        template is tried; what lies between the runs is searched again until nothing is left."""
+        out, todo = [], [(0, len(block))]
+        while todo:
+            low, high = todo.pop()
+            part = block[low:high]
+            have, close = set(part), []
+            for i, t in enumerate(self.words):
+                if not t or sum(w in have for w in t) < len(t) - self.most[i]:
+                    continue
+                for end, (cost, start) in enumerate(costs(t, part)):
+                    if cost <= self.most[i] and start < end:
+                        gain = self.reduction(shown(low + start, low + end), i)
+                        if gain > 0:
+                            close.append((cost, -gain, start, end, i))
+            taken, cuts = bytearray(len(part)), []
+            for cost, gain, start, end, i in sorted(close):
+                if not any(taken[start:end]):
+                    taken[start:end] = b"\1" * (end - start)
+                    cuts.append((start, end))
+                    out.append((low + start, i, cost, -gain))
+            if cuts:
+                edges = [0, *(x for cut in sorted(cuts) for x in cut), len(part)]
+                todo += [(low + a, low + b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+        return sorted(out)
 
     def scan(self, text: str) -> list[tuple[int, str, float, int, bool]]:
         if not STEM.search(text):
             return []
+        spans = [m.span() for m in WORD.finditer(text)]
+        stream, breaks = [text[a:b].lower() for a, b in spans], [m.span() for m in BREAK.finditer(text)]
+        starts = [0, *(b for _, b in breaks)]
+        stops = [*(a for a, _ in breaks), len(text)]
+        line = lambda i: bisect_right(starts, spans[i][0]) - 1
+
+        def shown(a: int, b: int) -> str:
+            """The lines of a run, of long ones the words around it."""
+            left, right = starts[line(a)], stops[line(b - 1)]
+            return text[max(left, spans[max(0, a - AROUND)][0]) : min(right, spans[min(len(spans), b + AROUND) - 1][1] + 1)]
+
         out = []
-        for i, line in enumerate(re.split(r"\r\n|\r|\n", text)):
-            if STEM.search(line):
-                for piece in _windows(line):
-                    if found := self.block(piece) if len(piece) <= 4096 else self._block(piece):
-                        out.append((i, *found))
+        for low, high in self.blocks(text, spans, line):
+            for start, i, cost, gain in self.found(stream[low:high], lambda a, b: shown(low + a, low + b)):
+                out.append((line(low + start), self.names[i], gain, cost, cost == 0))
         return out
 
-
-def _windows(line: str, around: int = 40, most: int = 160) -> Iterator[str]:
-    """A line, or for a long one the words around each stem, joined where they touch, in pieces that overlap."""
-    spans = [m.span() for m in re.finditer(r"\S+", line)]
-    if len(spans) <= most:
-        yield line
-        return
-    hits = [i for i, (a, b) in enumerate(spans) if STEM.search(line, a, b) or (i + 1 < len(spans) and STEM.search(line[a : spans[i + 1][1]]))]
-    start = stop = None
-    for i in hits:
-        if start is not None and i - around <= stop and i + around - start <= most:
-            stop = i + around
-            continue
-        if start is not None:
-            yield line[spans[start][0] : spans[min(stop, len(spans) - 1)][1]]
-        start, stop = max(0, i - around), i + around
-    if start is not None:
-        yield line[spans[start][0] : spans[min(stop, len(spans) - 1)][1]]
+    def blocks(self, text: str, spans: list[tuple[int, int]], line: Callable[[int], int]) -> Iterator[tuple[int, int]]:
+        """Runs of words, within a line, that hold a template's length on both sides of each stem, joined where they touch."""
+        begins, low, high = [a for a, _ in spans], 0, 0
+        for m in STEM.finditer(text):
+            at = max(0, bisect_right(begins, m.start()) - 1)
+            a, b = max(0, at - self.around), min(len(spans), at + self.around + 1)
+            while line(a) < line(at):
+                a += 1
+            while line(b - 1) > line(at):
+                b -= 1
+            if low < high and a >= high:
+                yield low, high
+                low = a
+            elif low == high:
+                low = a
+            high = b
+        if low < high:
+            yield low, high
 
 
 def scan_licences(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, line (from 0), licence, reduction, differing_words, exact: a row for each block of a text that carries a
+    """doc_id, line (from 0), licence, reduction, differing_words, exact: a row for each run of a text's words that carries a
     template's wording.
 
-    Blocks are the lines with a licence stem (of very long lines, the words around each stem). Each is compressed
-    plainly and with each template as a raw Zstandard dictionary; the templates that reduce its size most are
-    confirmed by the exact number of words in which their wording differs from the nearest run of the block, at most
-    15 % of the template. One pass without a shuffle. Null and empty texts have no blocks; null keys come back as
+    Blocks are the words of a line around each licence stem. Every template is compared with a block by the exact
+    number of words in which its wording differs from the nearest runs, at most 15 % of the template; it must reduce
+    the size of the run's line as a raw Zstandard dictionary. Of runs that overlap, the one with the fewest differing
+    words counts, then the one that is reduced most. One pass without a shuffle. Null and empty texts have no blocks; null keys come back as
     null; repeated rows are found as often; an empty table gives no rows; other columns are ignored.
     """
     held = dict(templates)

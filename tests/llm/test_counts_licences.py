@@ -64,3 +64,14 @@ def test_difference_counts_words():
     assert licences.difference("a b c".split(), "x a b c y".split())[0] == 0
     assert licences.difference("a b c".split(), "x a c y".split())[0] == 1
     assert licences.difference("a b c".split(), "a q b c".split())[0] == 1
+
+
+def test_every_licence_of_a_line_is_reported(spark):
+    wording = licences.TEMPLATES
+    rows = [
+        (1, "This program is licensed under the GNU General Public License, version 9, and the docs under other terms. Released under the MIT License.", None, None, None),
+        (2, f"{wording['Apache-2.0']} {wording['MIT']}", None, None, None),
+        (3, " ".join(wording.values()), None, None, None),
+    ]
+    got = [(r.doc_id, r.licence) for r in licences.scan_licences(documents(spark, rows)).collect() if r.exact]
+    assert sorted(got) == sorted([(1, "MIT"), (2, "Apache-2.0"), (2, "MIT"), *((3, n) for n in wording)])
