@@ -29,13 +29,13 @@ TEMPLATES: dict[str, str] = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 #: A block lies around one of these stems; each template has one.
-STEM = re.compile(r"licen[sc]|permi|copyright|public domain", re.IGNORECASE)
+STEM = re.compile(r"licen[sc]|permi|copyright|public\W+domain", re.IGNORECASE)
 #: The share of a template's words that may differ.
 DIFFER = 0.15
 #: Words on both sides of a run that its size reduction is measured with, within its lines.
 AROUND = 160
 LEVEL = 3
-WORD, BREAK = re.compile(r"\w+(?:[.\-]\w+)*"), re.compile(r"\r\n|\r|\n")
+WORD, BREAK, WRAP = re.compile(r"\w+(?:[.\-]\w+)*"), re.compile(r"\r\n|\r|\n"), re.compile(r"[^\S\r\n]*[\r\n]\W*")
 
 
 def words(text: str) -> list[str]:
@@ -120,26 +120,22 @@ class Scanner:
         line = lambda i: bisect_right(starts, spans[i][0]) - 1
 
         def shown(a: int, b: int) -> str:
-            """The lines of a run, of long ones the words around it."""
+            """The lines of a run, of long ones the words around it; a break and what stands before the next word are a blank."""
             left, right = starts[line(a)], stops[line(b - 1)]
-            return text[max(left, spans[max(0, a - AROUND)][0]) : min(right, spans[min(len(spans), b + AROUND) - 1][1] + 1)]
+            return WRAP.sub(" ", text[max(left, spans[max(0, a - AROUND)][0]) : min(right, spans[min(len(spans), b + AROUND) - 1][1] + 1)])
 
         out = []
-        for low, high in self.blocks(text, spans, line):
+        for low, high in self.blocks(text, spans):
             for start, i, cost, gain in self.found(stream[low:high], lambda a, b: shown(low + a, low + b)):
                 out.append((line(low + start), self.names[i], gain, cost, cost == 0))
         return out
 
-    def blocks(self, text: str, spans: list[tuple[int, int]], line: Callable[[int], int]) -> Iterator[tuple[int, int]]:
-        """Runs of words, within a line, that hold a template's length on both sides of each stem, joined where they touch."""
+    def blocks(self, text: str, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """Runs of words, across lines, that hold a template's length on both sides of each stem, joined where they touch."""
         begins, low, high = [a for a, _ in spans], 0, 0
         for m in STEM.finditer(text):
             at = max(0, bisect_right(begins, m.start()) - 1)
             a, b = max(0, at - self.around), min(len(spans), at + self.around + 1)
-            while line(a) < line(at):
-                a += 1
-            while line(b - 1) > line(at):
-                b -= 1
             if low < high and a >= high:
                 yield low, high
                 low = a
@@ -154,9 +150,9 @@ def scan_licences(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, tex
     """doc_id, line (from 0), licence, reduction, differing_words, exact: a row for each run of a text's words that carries a
     template's wording.
 
-    Blocks are the words of a line around each licence stem. Every template is compared with a block by the exact
+    Blocks are the words around each licence stem, across line breaks; `line` is that of a run's first word. Every template is compared with a block by the exact
     number of words in which its wording differs from the nearest runs, at most 15 % of the template; it must reduce
-    the size of the run's line as a raw Zstandard dictionary. Of runs that overlap, the one with the fewest differing
+    the size of the run's lines as a raw Zstandard dictionary. Of runs that overlap, the one with the fewest differing
     words counts, then the one that is reduced most. One pass without a shuffle. Null and empty texts have no blocks; null keys come back as
     null; repeated rows are found as often; an empty table gives no rows; other columns are ignored.
     """

@@ -75,3 +75,17 @@ def test_every_licence_of_a_line_is_reported(spark):
     ]
     got = [(r.doc_id, r.licence) for r in licences.scan_licences(documents(spark, rows)).collect() if r.exact]
     assert sorted(got) == sorted([(1, "MIT"), (2, "Apache-2.0"), (2, "MIT"), *((3, n) for n in wording)])
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n * ", "\r# "])
+def test_wrapped_wordings_are_found(spark, end):
+    rows, want = [], []
+    for name, wording in licences.TEMPLATES.items():
+        parts = wording.split()
+        for i in range(1, len(parts)):
+            rows.append((len(rows), f"first line{end}{' '.join(parts[:i])}{end}{' '.join(parts[i:])}{end}last", None, None, None))
+            want.append((len(want), 1, name, 0))
+    rows.append((len(rows), end.join(["x", *licences.TEMPLATES["BSD-3-Clause"].split()]), None, None, None))
+    want.append((len(want), 1, "BSD-3-Clause", 0))
+    got = [(r.doc_id, r.line, r.licence, r.differing_words) for r in licences.scan_licences(documents(spark, rows)).collect()]
+    assert sorted(got) == want
