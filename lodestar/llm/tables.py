@@ -33,6 +33,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row; of columns that Spark can't hash, of their text."""
+    plain = lambda t: not any(x in t for x in ("map<", "variant"))
+    return F.xxhash64(*(F.col(f"`{c}`") if plain(t) else F.col(f"`{c}`").cast("string") for c, t in df.dtypes))
+
+
 def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
     """Add `position` (from 0) and, for each of `sums`, the total over all rows before the row in the global order.
 
