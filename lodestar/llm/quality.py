@@ -142,7 +142,10 @@ def held_out(key: str = "doc_id"):
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, seed: int = 42) -> Machine:
     """Learn from at most about `sample` labelled rows, chosen by a hash of their key among those that aren't held
-    out; this bound is on training alone. Rows of a repeated label count as their mean; null labels don't count."""
+    out; this bound is on training alone. Rows of a repeated label count as their mean; null labels don't count. Of rows
+    that share a doc_id the one of the smallest hash of text and n_chars teaches, however the table is partitioned.
+    Null and empty texts teach like others (they have no words), very long ones whole; without labelled rows the
+    machine gives 0.5 to all; other columns are ignored."""
     marks = (
         labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -155,22 +158,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, seed: int = 42)
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            ids, texts, sizes = (batch.column(i) for i in range(3))
+            ids, texts, sizes, hashes = (batch.column(i) for i in range(4))
             keep = [i for i, k in enumerate(ids.to_pylist()) if k in known.value]
-            out = [(ids[i].as_py(), *features((texts[i].as_py() or "").encode(), sizes[i].as_py())) for i in keep]
+            out = [(ids[i].as_py(), *features((texts[i].as_py() or "").encode(), sizes[i].as_py()), hashes[i].as_py()) for i in keep]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x[0] for x in out], pa.int64()),
                     pa.array([x[1].astype("<u2").tobytes() for x in out], pa.binary()),
                     pa.array([x[2].astype("<f4").tobytes() for x in out], pa.binary()),
+                    pa.array([x[3] for x in out], pa.int64()),
                 ],
-                names=["doc_id", "slots", "vals"],
+                names=["doc_id", "slots", "vals", "hash"],
             )
 
     picked = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.col("n_chars").cast("long").alias("n_chars")
-    ).where(~held_out() & F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)).isNotNull() & chance)
-    rows = picked.mapInArrow(batches, "doc_id long, slots binary, vals binary").dropDuplicates(["doc_id"]).collect()
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.col("n_chars").cast("long").alias("n_chars"), F.xxhash64("text", "n_chars").alias("hash")
+    ).where(~held_out() & F.col("doc_id").isNotNull() & chance)
+    found = picked.mapInArrow(batches, "doc_id long, slots binary, vals binary, hash long")
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("hash", "slots", "vals")).alias("r")).select("doc_id", "r.*").collect()
     known.unpersist()
     rows.sort(key=lambda r: r.doc_id)
     return train(
@@ -182,7 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, seed: int = 42)
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, held_out, score, predicted for each row, from its whole text and n_chars alone. The machine is
     broadcast; its size is fixed by SLOTS (about 1.2 MB). Null texts count as empty and are scored too; null n_chars
-    is a bin of its own; null and repeated keys are rows like others; an empty table gives no rows."""
+    is a bin of its own; null and repeated keys are rows like others; very long texts are scored whole, one in memory at a
+    time besides its Arrow batch; an empty table gives no rows; other columns are ignored."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +209,9 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def keep(docs: DataFrame, machine: Machine) -> DataFrame:
-    """The rows of `docs`, with all their columns, that the machine accepts. One pass, no shuffle."""
+    """The rows of `docs`, with all their columns, that the machine accepts. One pass, no shuffle. Each row is decided on
+    its own whole text and n_chars, however long: null texts count as empty, null n_chars is a bin of its own, null and
+    repeated keys are rows like others; an empty table gives no rows; other columns are carried along."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
     text, size = docs.columns.index("text"), docs.columns.index("n_chars")
 
