@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +18,9 @@ from lodestar.llm.tables import materialise
 
 #: Words that are broadcast with their counts: the most frequent of at most so many bytes. The others are joined.
 HEAD, HEAD_BYTES = 1 << 17, 64
-#: Bytes of text worked on at a time; a longer text is one piece.
+#: Bytes of text that are hashed, and that are split into words, at a time.
 CHUNK = 1 << 18
-#: Bytes of text whose n-grams are counted and asked for together.
+#: Bytes of text whose n-grams are counted and asked for together; longer texts are cut into pieces of that size.
 UNIT = 1 << 22
 #: Learnt tokens to a segment of the filter, at most, if n-grams spread evenly.
 SEGMENT = 1 << 19
@@ -29,7 +31,15 @@ _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _END = np.uint64(0x243F6A8885A308D3)
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+@lru_cache(2)
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2 ... modulo 2^64."""
+    p = np.full(n + 1, base, np.uint64)
+    p[0] = 1
+    return np.cumprod(p)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -39,30 +49,54 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the tokens of lower-cased texts, one end behind each text, and the number of tokens of each.
-    A word's hash is a polynomial in its bytes, taken from prefix sums modulo 2^64, so no word becomes an object."""
-    joined = b" ".join(texts) + b" "
-    data = np.frombuffer(joined, dtype=np.uint8)
-    white = _WHITE[data]
-    starts = np.flatnonzero(~white & np.concatenate([[True], white[:-1]]))
-    ends = np.flatnonzero(white & np.concatenate([[False], ~white[:-1]]))
-    if len(_powers[0]) <= len(data):
-        for i, b in enumerate((_BASE, _UNBASE)):
-            p = np.full(len(data) + 1, b, np.uint64)
-            p[0] = 1
-            _powers[i] = np.cumprod(p)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[0][: len(data)])])
-    words = _mixed((sums[ends] - sums[starts]) * _powers[1][starts])
-    bounds = np.cumsum([len(t) + 1 for t in texts])
-    behind = np.searchsorted(starts, bounds)
-    return np.insert(words, behind, _END), np.diff(np.concatenate([[0], behind])) + 1
-
-
-def bigrams(toks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token before each token (an end before the first of a text), and the hash of both."""
-    before = np.concatenate([[_END], toks[:-1]]).astype(np.uint64)
-    return before, _mixed(before * np.uint64(0xD6E8FEB86659FD93) + toks)
+def words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a lower-cased text, and where they start. A word's hash is a polynomial in its bytes, taken
+    from prefix sums modulo 2^64, so no word becomes an object. CHUNK bytes at a time; a word that goes on in the next
+    chunk is carried over, so memory doesn't grow with the longest word either."""
+    up, down = _powers(int(_BASE), CHUNK), _powers(int(_UNBASE), CHUNK)
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    carried, length, began = 0, 0, 0
+    for at in range(0, len(text), CHUNK):
+        data = np.frombuffer(text, np.uint8, min(CHUNK, len(text) - at), at)
+        edges = np.flatnonzero(np.diff(~_WHITE[data], prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])])
+        raw, where = (sums[ends] - sums[starts]) * down[starts], starts + at
+        if length and len(starts) and starts[0] == 0:
+            raw[0] = np.uint64((carried + pow(int(_BASE), length, 1 << 64) * int(raw[0])) % (1 << 64))
+            where[0] = began
+        elif length:
+            raw, where, length = np.concatenate([[np.uint64(carried)], raw]).astype(np.uint64), np.concatenate([[began], where]), 0
+        if len(ends) and ends[-1] == len(data) and at + CHUNK < len(text):
+            length = int(ends[-1] - starts[-1]) + (length if starts[-1] == 0 else 0)
+            carried, began, raw, where = int(raw[-1]), int(where[-1]), raw[:-1], where[:-1]
+        else:
+            length = 0
+        hashes.append(raw)
+        places.append(where)
+    return _mixed(np.concatenate(hashes)), np.concatenate(places)
+
+
+def tokens(texts: list[bytes], last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of lower-cased texts, with an end behind each text (or each `last` one), and the number of
+    tokens of each."""
+    last = np.ones(len(texts), dtype=bool) if last is None else last
+    hashes, starts = words(b" ".join(texts) + b" ")
+    behind = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+    return np.insert(hashes, behind[last], _END), np.diff(np.concatenate([[0], behind])) + last
+
+
+def _after(first: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each token the value of the one before it; `first` before the first token of each text."""
+    before = np.concatenate([values[:1], values[:-1]])
+    have = sizes > 0
+    before[(np.cumsum(sizes) - sizes)[have]] = first[have]
+    return before
+
+
+def bigrams(toks: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashes of each token with the one before it; `first` stands before the texts."""
+    return _mixed(_after(first, sizes, toks) * np.uint64(0xD6E8FEB86659FD93) + toks)
 
 
 @dataclass
@@ -133,29 +167,53 @@ def bits_for(entries: int, false_rate: float, probes: int) -> int:
     return max(64, math.ceil(entries * probes / -math.log1p(-(false_rate ** (1 / probes))) / 8) * 8)
 
 
-def log10_probabilities(toks: np.ndarray, sizes: np.ndarray, first: float, single: np.ndarray, both: np.ndarray, total: int, kinds: int, strength: float) -> np.ndarray:
+def log10_probabilities(sizes: np.ndarray, first: np.ndarray, single: np.ndarray, both: np.ndarray, total: int, kinds: int, strength: float) -> np.ndarray:
     """log10 probability of each text under the bigram model with Dirichlet smoothing towards unigrams:
     p(w | h) = (c(hw) + strength * p(w)) / (c(h) + strength). Counts are those of the tokens, of the bigrams that
-    they end, and of the end that stands before the first."""
-    history = np.concatenate([[first], single[:-1]])
+    they end, and of what stands before the first token of each text."""
+    history = _after(first, sizes, single)
     unigram = (single + ALPHA) / (total + ALPHA * (kinds + 1))
     pair = np.minimum(both, np.minimum(history, single))
     p = (pair + strength * np.minimum(unigram, 1.0)) / (history + strength)
-    return np.add.reduceat(np.log10(p), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    return np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=np.log10(p), minlength=len(sizes))
+
+
+def pieces(text: bytes, most: int) -> Iterator[tuple[bytes, bool]]:
+    """A text cut behind white space into pieces of up to `most` bytes (more only for a longer word); whether it is the last."""
+    at = 0
+    while len(text) - at > most:
+        end = 1 + max(text.rfind(bytes([c]), at, at + most) for c in np.flatnonzero(_WHITE).tolist())
+        if not end:
+            found = _SPACE.search(text, at + most)
+            end = found.end() if found else len(text)
+        if end >= len(text):
+            break
+        yield text[at:end], False
+        at = end
+    yield text[at:] if at else text, True
 
 
-def _chunks(batch: pa.RecordBatch, column: int, most: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
-    """Lower-cased texts with the row of the first, up to `most` bytes at a time."""
-    at, held, size = 0, [], 0
+def _units(batch: pa.RecordBatch, column: int) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray, int]]:
+    """Texts, lower-cased, up to UNIT bytes at a time: their rows, the pieces, the tokens that stand before them, whether
+    they are the last of their text, and the number of the first within its text."""
+    rows, texts, before, last, size, part = [], [], [], [], 0, 0
     for i, t in enumerate(batch.column(column).cast(pa.large_binary())):
-        text = (t.as_py() or b"").lower()
-        if held and size + len(text) > most:
-            yield at, held
-            at, held, size = i, [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield at, held
+        previous = _END
+        for j, (text, ends) in enumerate(pieces((t.as_py() or b"").lower(), UNIT)):
+            if rows and size + len(text) > UNIT:
+                yield rows, texts, np.array(before, np.uint64), np.array(last, bool), part
+                rows, texts, before, last, size = [], [], [], [], 0
+            part = part if rows else j
+            rows.append(i)
+            texts.append(text)
+            before.append(previous)
+            last.append(ends)
+            size += len(text)
+            tail = [] if ends else text.rsplit(None, 1)
+            if tail:
+                previous = words(tail[-1])[0][0]
+    if rows:
+        yield rows, texts, np.array(before, np.uint64), np.array(last, bool), part
 
 
 def held_out(key: str = "doc_id"):
@@ -175,26 +233,26 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         counts: Counter = Counter()
         for batch in it:
-            for _, part in _chunks(batch, 0):
-                for t in part:
-                    counts.update(t.split())
-                if len(counts) > 250_000:
-                    yield out(counts)
-                    counts = Counter()
+            for t in batch.column(0).cast(pa.large_binary()):
+                for part, _ in pieces((t.as_py() or b"").lower(), CHUNK):
+                    counts.update(part.split())
+                    if len(counts) > 250_000:
+                        yield out(counts)
+                        counts = Counter()
         yield out(counts)
 
     return texts.mapInArrow(batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _distinct(part: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of texts, their numbers, the sorted different n-grams (the end among them), and the place of each token,
-    then of each bigram, then of the end."""
-    toks, sizes = tokens(part)
-    grams, back = np.unique(np.concatenate([toks, bigrams(toks, sizes)[1], [_END]]), return_inverse=True)
-    return toks, sizes, grams, back
+def _distinct(texts: list[bytes], before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of tokens of each piece, the sorted different n-grams, and the place of each token, then of each
+    bigram, then of what stands before each piece."""
+    toks, sizes = tokens(texts, last)
+    grams, back = np.unique(np.concatenate([toks, bigrams(toks, sizes, before), before]), return_inverse=True)
+    return sizes, grams, back
 
 
-_ASKED = "unit long, segment long, names binary, counts binary, docs binary"
+_ASKED = "unit long, part int, segment long, names binary, counts binary, docs binary"
 
 
 def _asked(rows: DataFrame, segments: int) -> DataFrame:
@@ -204,27 +262,32 @@ def _asked(rows: DataFrame, segments: int) -> DataFrame:
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for at, part in _chunks(batch, 3, UNIT):
-                docs = batch.slice(at, len(part))
+            for at, texts, before, last, part in _units(batch, 3):
+                docs = batch.select(["row", "doc_id", "held_out"]).take(pa.array(at))
                 unit = docs.column(0)[0].as_py()
-                _, sizes, grams, back = _distinct(part)
+                sizes, grams, back = _distinct(texts, before, last)
                 learnt = np.repeat(~docs.column(2).to_numpy(zero_copy_only=False).astype(bool), sizes)
-                counts = np.bincount(back[:-1], weights=np.concatenate([learnt, learnt]), minlength=len(grams)).astype("<u4")
+                weights = np.concatenate([learnt, learnt, np.zeros(len(before), bool)])
+                counts = np.bincount(back, weights=weights, minlength=len(grams)).astype("<u4")
                 cuts = np.searchsorted(plain.place(grams)[0], np.arange(segments + 1))
                 names = (grams & np.uint64(0xFFFFFFFF)).astype("<u4")
                 have = np.flatnonzero(cuts[:-1] < cuts[1:]).tolist()
+                for name, column in (("text", pa.array(texts, pa.large_binary())), ("before", pa.array(before)), ("last", pa.array(last))):
+                    docs = docs.append_column(name, column)
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                     out.write_batch(docs)
+                spread = -1 - ((unit * 1_000_003 + part) & ((1 << 62) - 1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([unit] * (len(have) + 1), pa.int64()),
-                        pa.array([*have, -1 - unit], pa.int64()),
+                        pa.array([part] * (len(have) + 1), pa.int32()),
+                        pa.array([*have, spread], pa.int64()),
                         pa.array([*(names[cuts[i] : cuts[i + 1]].tobytes() for i in have), None], pa.binary()),
                         pa.array([*(counts[cuts[i] : cuts[i + 1]].tobytes() for i in have), None], pa.binary()),
                         pa.array([None] * len(have) + [sink.getvalue().to_pybytes()], pa.binary()),
                     ],
-                    names=["unit", "segment", "names", "counts", "docs"],
+                    names=["unit", "part", "segment", "names", "counts", "docs"],
                 )
 
     return rows.mapInArrow(batches, _ASKED)
@@ -276,7 +339,8 @@ def score(
     The filter has a segment for each SEGMENT tokens, as many bits in it as its counted entries need for `false_rate`
     (or `megabytes` in all, if given), and stays where its segments are built: the n-grams of each UNIT of text come
     there once, to be counted and to be read, and their levels go back to the texts. Nothing of it is broadcast or
-    comes to the driver.
+    comes to the driver. A text longer than UNIT is cut into pieces that know the token before them, so memory doesn't
+    grow with the longest text but for the copy that Arrow hands over.
     Null and empty texts are one end token; null keys are held out; repeated rows are scored (and learnt) as often;
     an empty table gives no rows, and without rows to learn from the base score is 0; other columns are ignored.
     """
@@ -305,28 +369,30 @@ def score(
 
     def probe(table: pa.Table) -> pa.Table:
         if table["segment"][0].as_py() < 0:
-            return table.select(["unit", "segment", "docs"]).add_column(2, "levels", pa.nulls(len(table), pa.binary()))
+            return table.select(["unit", "part", "segment", "docs"]).add_column(3, "levels", pa.nulls(len(table), pa.binary()))
         held, asked, _ = _filled(table, probes, false_rate, size)
         levels = [held.read(np.zeros(len(x), np.int64), x.astype(np.uint64)).astype(np.uint8).tobytes() for x in asked]
-        return table.select(["unit", "segment"]).append_column("levels", pa.array(levels, pa.binary())).append_column("docs", pa.nulls(len(table), pa.binary()))
+        return table.select(["unit", "part", "segment"]).append_column("levels", pa.array(levels, pa.binary())).append_column("docs", pa.nulls(len(table), pa.binary()))
 
     def finish(table: pa.Table) -> pa.Table:
         get = shared.value.get
         table = table.sort_by("segment")
         batch = pa.ipc.open_stream(table["docs"][0].as_buffer()).read_next_batch()
         level = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table["levels"][1:]])
-        part = [(t.as_py() or b"").lower() for t in batch.column(3).cast(pa.large_binary())]
-        toks, parts, _, back = _distinct(part)
+        texts, before = batch.column(3).to_pylist(), batch.column(4).to_numpy()
+        last = batch.column(5).to_numpy(zero_copy_only=False).astype(bool)
+        parts, _, back = _distinct(texts, before, last)
+        n = int(parts.sum())
         read = middles(level.astype(np.int64))[back]
-        own = log10_probabilities(toks, parts, read[-1], read[: len(toks)], read[len(toks) : -1], total, kinds, strength)
+        own = log10_probabilities(parts, read[2 * n :], read[:n], read[n : 2 * n], total, kinds, strength)
         values, sizes, known, words, times = [], [], [], [], []
-        for t in part:
+        for t, ended in zip(texts, last.tolist()):
             all_ = t.split()
             found = [x for x in map(get, all_) if x is not None]
             rare = Counter(w for w in all_ if get(w) is None) if len(found) < len(all_) else {}
-            values.append(math.fsum(found) + end_value)
-            sizes.append(len(all_) + 1)
-            known.append(len(found) + (ends > 0))
+            values.append(math.fsum(found) + (end_value if ended else 0.0))
+            sizes.append(len(all_) + ended)
+            known.append(len(found) + (ended and ends > 0))
             words.append([w.decode() for w in rare])
             times.append(list(rare.values()))
         return pa.table(
@@ -344,8 +410,8 @@ def score(
 
     scored = materialise(
         _asked(rows, segments)
-        .groupBy("segment").applyInArrow(probe, "unit long, segment long, levels binary, docs binary")
-        .groupBy("unit").applyInArrow(
+        .groupBy("segment").applyInArrow(probe, "unit long, part int, segment long, levels binary, docs binary")
+        .groupBy("unit", "part").applyInArrow(
             finish,
             "row long, doc_id long, held_out boolean, n_tokens long, known long, value double, score double, words array<string>, times array<long>",
         )
@@ -358,7 +424,8 @@ def score(
     )
     known = F.col("known") + F.coalesce("more", F.lit(0))
     scale = math.log10(total + ALPHA * (kinds + 1))
-    return scored.drop("words", "times").join(rest, "row", "left").select(
+    whole = scored.groupBy("row", "doc_id", "held_out").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "known", "value", "score")))
+    return whole.join(rest, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

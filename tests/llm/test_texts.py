@@ -85,6 +85,51 @@ def test_quality_takes_awkward_rows(spark):
     assert quality.score(documents(spark, []), machine).collect() == []
 
 
+def brute_train(rows, rank=8, epochs=6, rate=0.05, seed=42, batch=64):
+    """The same steps by hand: one row, one slot and one pair at a time."""
+    rng = np.random.default_rng(seed)
+    w, v, w0 = np.zeros(quality.SLOTS), rng.normal(0, 0.02, (quality.SLOTS, rank)), 0.0
+    theta = np.concatenate([[w0], w, v.ravel()])
+    m, s, t = np.zeros_like(theta), np.zeros_like(theta), 0
+    for _ in range(epochs):
+        order = rng.permutation(len(rows))
+        for at in range(0, len(rows), batch):
+            part, grad = [rows[i] for i in order[at : at + batch]], np.zeros_like(theta)
+            w0, w, v = theta[0], theta[1 : 1 + quality.SLOTS], theta[1 + quality.SLOTS :].reshape(quality.SLOTS, rank)
+            gw, gv = grad[1 : 1 + quality.SLOTS], grad[1 + quality.SLOTS :].reshape(quality.SLOTS, rank)
+            for slots, x, y in part:
+                z = w0 + sum(w[i] * a for i, a in zip(slots, x))
+                z += sum((v[i] @ v[j]) * a * b for p, (i, a) in enumerate(zip(slots, x)) for j, b in list(zip(slots, x))[:p])
+                d = (1 / (1 + math.exp(-z)) - y) / len(part)
+                grad[0] += d
+                for p, (i, a) in enumerate(zip(slots, x)):
+                    gw[i] += d * a
+                    gv[i] += d * a * sum((b * v[j] for q, (j, b) in enumerate(zip(slots, x)) if q != p), np.zeros(rank))
+            grad[1:] += 1e-6 * theta[1:]
+            t += 1
+            m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad**2
+            theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(s) + 1e-8) * math.sqrt(1 - 0.999**t)
+    return theta
+
+
+def test_training_equals_brute_force():
+    rng = np.random.default_rng(4)
+    rows = [(np.sort(rng.choice(40, 5, replace=False)), rng.standard_normal(5), float(rng.integers(2))) for _ in range(30)]
+    machine, want = quality.train(rows, rank=2, epochs=2, batch=8), brute_train(rows, rank=2, epochs=2, batch=8)
+    assert machine.bias == pytest.approx(want[0]) and np.allclose(machine.weight, want[1 : 1 + quality.SLOTS])
+    assert np.allclose(machine.factor.ravel(), want[1 + quality.SLOTS :])
+
+
+def test_quality_does_not_depend_on_partitions(spark):
+    rows = [(i, f"text {i} with some words {j} " * (2 + i % 5), "en", "a", 9) for i in range(60) for j in (0, 1)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    scores = []
+    for n in (1, 3):
+        docs = documents(spark, rows).repartition(n, "text")
+        scores.append(sorted((r.doc_id, r.score) for r in quality.score(docs, quality.fit(docs, labels)).collect()))
+    assert scores[0] == scores[1]
+
+
 def brute_base(docs):
     words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) + [None]
     out = lambda d: zlib.crc32(str(d.doc_id).encode() if d.doc_id is not None else b"") % 10 == 0
@@ -129,6 +174,29 @@ def test_token_hashes_follow_words():
     assert sizes.tolist() == [4, 1, 3] and a[0] == a[2] and a[1] == a[5] and a[3] == a[4] == a[7] and len(set(a.tolist())) == 4
 
 
+def test_long_words_and_texts_are_hashed_in_chunks(monkeypatch):
+    text = b"aa " + b"long" * 40 + b"  bb\t" + b"x" * 64 + b" cc " * 9 + b"end" * 30
+    want, places = lm.words(text)
+    for size in (1, 7, 16, 64):
+        monkeypatch.setattr(lm, "CHUNK", size)
+        got, at = lm.words(text)
+        assert got.tolist() == want.tolist() and at.tolist() == places.tolist()
+        cut = list(lm.pieces(text, size))
+        assert b"".join(t for t, _ in cut) == text and [last for _, last in cut] == [False] * (len(cut) - 1) + [True]
+        assert [w for t, _ in cut for w in t.split()] == text.split()
+
+
+def test_pieces_of_texts_score_like_whole_texts(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").union(spark.createDataFrame([(9001, " " * 900 + "a " * 700, "en", "x", 3), (9002, "\t" * 999, "en", "x", 3)], "doc_id long, text string, lang string, source string, n_chars long"))
+    want = {r.doc_id: r for r in lm.score(docs).collect()}
+    monkeypatch.setattr(lm, "UNIT", 300)
+    got = {r.doc_id: r for r in lm.score(docs).collect()}
+    assert got.keys() == want.keys()
+    for i, r in got.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (want[i].n_tokens, want[i].n_known, want[i].train_tokens)
+        assert r.base_score == pytest.approx(want[i].base_score) and r.score == pytest.approx(want[i].score, rel=2e-3)
+
+
 def exact_scores(docs, strength=300.0):
     """The model with the true level of each count instead of the filter's."""
     words = lambda d: [None, *re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in d.text or "")), None]
