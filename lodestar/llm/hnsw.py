@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.tables import materialise
 from lodestar.llm.vectors import matrix, takes_part
 
-SHARD_ROWS, LEAST_SHARDS, BLOCK_QUERIES = 32_768, 8, 16_384
+SHARD_ROWS, LEAST_SHARDS = 32_768, 8
+#: Bytes of query vectors, in double precision, that meet a shard in one task.
+BLOCK_BYTES = 32 << 20
 #: Links of a node on the upper layers (twice as many on the lowest), and widths of the beams.
 LINKS, BUILD_BEAM, BEAM = 16, 64, 160
 STEP = 256
+#: Nodes that each walk opens at a time; queries in the audit, and the share of their neighbours that must be found.
+OPENED, AUDITED, RECALL = 4, 256, 0.95
 
 
 @dataclass
@@ -37,6 +44,8 @@ class Graph:
         """The nearest `width` nodes that a best-first walk of one layer meets, for many queries side by side."""
         rows = np.arange(len(queries))
         links = self.layers[layer]
+        width = min(width, len(self.points))
+        opened = min(OPENED, width)
         seen = np.zeros((len(queries), len(self.points)), dtype=bool)
         ids = np.full((len(queries), width), -1, dtype=np.int32)
         dist = np.full((len(queries), width), np.inf)
@@ -48,20 +57,28 @@ class Graph:
         seen[row, start[row, col]] = True
         live = rows
         while True:
-            first = np.argmin(np.where(done[live], np.inf, dist[live]), axis=1)
-            more = ~done[live, first]
-            live, first = live[more], first[more]
+            gaps = np.where(done[live], np.inf, dist[live])
+            first = np.argpartition(gaps, opened - 1, axis=1)[:, :opened] if opened < width else np.tile(np.arange(width), (len(live), 1))
+            todo = np.isfinite(np.take_along_axis(gaps, first, axis=1))
+            more = todo.any(1)
+            live, first, todo = live[more], first[more], todo[more]
             if not len(live):
                 break
-            done[live, first] = True
-            found = links[ids[live, first]]
+            done[live[:, None], first] = True
+            found = np.where(todo[:, :, None], links[ids[live[:, None], first]], -1).reshape(len(live), -1)
             fresh = (found >= 0) & ~seen[live[:, None], np.maximum(found, 0)]
-            found = np.where(fresh, found, -1)
-            row, col = np.nonzero(fresh)
+            found = np.sort(np.where(fresh, found, -1), axis=1)
+            found[:, 1:][found[:, 1:] == found[:, :-1]] = -1  # met from several nodes at once
+            row, col = np.nonzero(found >= 0)
+            deep = int((found >= 0).sum(1).max(initial=0))
+            if not deep:
+                continue
+            close = np.full((len(live), deep), -1, dtype=np.int32)
+            close[row, np.concatenate([np.arange(n) for n in np.bincount(row, minlength=len(live))])] = found[row, col]
             seen[live[row], found[row, col]] = True
-            all_d = np.concatenate([dist[live], self.distances(queries[live], found)], axis=1)
-            all_i = np.concatenate([ids[live], found], axis=1)
-            all_x = np.concatenate([done[live], ~fresh], axis=1)
+            all_d = np.concatenate([dist[live], self.distances(queries[live], close)], axis=1)
+            all_i = np.concatenate([ids[live], close], axis=1)
+            all_x = np.concatenate([done[live], close < 0], axis=1)
             best = np.argpartition(all_d, width - 1, axis=1)[:, :width]
             at = np.arange(len(live))[:, None]
             dist[live], ids[live], done[live] = all_d[at, best], all_i[at, best], all_x[at, best]
@@ -189,16 +206,49 @@ def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
     return (np.concatenate([vectors, rest[:, None]], axis=1) / longest).astype(np.float32)
 
 
+def _kth_best(nodes: DataFrame, asked: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> dict[int, tuple[int, float]]:
+    """For each of a few queries (dimension, keys, vectors): how many neighbours there are, up to k, and the product of the
+    last of them, from a comparison with all nodes in double precision."""
+    shared = nodes.sparkSession.sparkContext.broadcast(asked)
+
+    def compare(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, np.ndarray] = {}
+        for batch in it:
+            dims, sizes = batch.column(0).to_numpy(), pc.list_value_length(batch.column(2)).to_numpy()
+            for dim, keys, x in shared.value:
+                at = np.flatnonzero(dims == dim)
+                if not len(at):
+                    continue
+                part = batch.take(pa.array(at))
+                scores = x @ matrix(part.column(1)).T
+                own = np.repeat(np.arange(len(at)), sizes[at])
+                ids = part.column(2).flatten().to_numpy()
+                for key, row in zip(keys.tolist(), scores):
+                    all_ = np.concatenate([best.get(key, np.zeros(0)), row[own][ids != key]])
+                    best[key] = np.sort(all_)[::-1][:k]
+        rows = [(key, float(v)) for key, values in best.items() for v in values]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.float64())], names=["key", "score"])
+
+    found = nodes.select("dim", "vec", "ids").mapInArrow(compare, "key long, score double")
+    best = Window.partitionBy("key").orderBy(F.col("score").desc())
+    top = found.select("*", F.row_number().over(best).alias("at")).where(F.col("at") <= k)
+    rows = top.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).collect()  # a row for each audited query
+    shared.unpersist()
+    return {r.key: (r.n, r.least) for r in rows}
+
+
 def search(
-    table: DataFrame, k: int = 20, every: int = 20, vector: str = "embedding", key: str = "vec_id", beam: int = BEAM, seed: int = 42
+    table: DataFrame, k: int = 20, every: int = 20, vector: str = "embedding", key: str = "vec_id", beam: int = BEAM, seed: int = 42, recall: float = RECALL
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose key is divisible by `every`, the `k` rows of the largest
     inner product that the graphs find, without the query's own key; ties by the smaller key.
 
     Equal vectors are one node: of each, the k + 1 smallest keys are kept, which is all that a result can hold. Nodes
     are dealt to shards of about SHARD_ROWS by a hash; each shard's graph is built by one task and written as flat
-    arrays. The stated query set meets every shard in blocks of BLOCK_QUERIES; scores are taken anew in double
-    precision from the vectors as given, and the shards' results are merged by a window over each query.
+    arrays. An audit compares AUDITED queries, chosen by a hash, with all nodes: until the graphs find `recall` of their
+    neighbours the beam is doubled, at most to the size of a shard, where a walk meets every node. The stated query
+    set meets every shard in blocks of BLOCK_BYTES; scores are taken anew in double precision from the vectors as given,
+    and the shards' results are merged by a window over each query.
     Rows with a null key, and vectors that are null, zero or hold null or non-finite components, take no part; vectors
     meet only those of the same length; a key that repeats with other vectors counts each of them; no queries or no
     candidates give no rows; other columns are ignored.
@@ -212,8 +262,8 @@ def search(
         members.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
         .select("vec", "ids", F.size("vec").alias("dim"), F.monotonically_increasing_id().alias("node"))
     )
-    n, longest = nodes.agg(
-        F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)))
+    n, widest, longest = nodes.agg(
+        F.count(F.lit(1)), F.max("dim"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)))
     ).first()
     shards = max(LEAST_SHARDS, -(-n // SHARD_ROWS))
     longest = longest or 1.0
@@ -243,18 +293,10 @@ def search(
         )
     )
     asked = rows.where(F.col("id") % every == 0).distinct()
-    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    queries = asked.select(
-        F.size("vec").alias("dim"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).cast("int").alias("block"),
-        "id",
-        "vec",
-    )
-    copies = indexes.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "ids", "vectors", "tops", "layers")
+    blocks = max(1, -(-asked.count() * 8 * (widest or 1) // BLOCK_BYTES))
     schema = pa.schema([("query_id", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
 
-    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+    def look(left: pa.Table, right: pa.Table, width: int) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         ids = np.frombuffer(right["ids"][0].as_py(), "<i8")
@@ -268,7 +310,7 @@ def search(
         asked = matrix(left["vec"])
         lengths = np.abs(asked).max(axis=1, keepdims=True)
         points = np.concatenate([asked / lengths, np.zeros((len(asked), 1))], axis=1).astype(np.float32)
-        found = Graph(lifted(vectors, longest), tops, layers).search(points, max(beam, k + 1))[:, : k + 1]
+        found = Graph(lifted(vectors, longest), tops, layers).search(points, max(width, k + 1))[:, : k + 1]
         row, col = np.nonzero(found >= 0)
         hit = found[row, col]
         return pa.table(
@@ -280,12 +322,36 @@ def search(
             schema=schema,
         )
 
-    by = ("dim", "shard", "block")
-    found = queries.groupBy(*by).cogroup(copies.groupBy(*by)).applyInArrow(look, "query_id long, node long, score double")
-    merged = (
-        found.join(nodes.select("node", "ids"), "node")
-        .select("query_id", F.explode("ids").alias("vec_id"), "score")
-        .where(F.col("vec_id") != F.col("query_id"))
-    )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return merged.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    def answers(asked: DataFrame, blocks: int, width: int) -> DataFrame:
+        by = ("dim", "shard", "block")
+        queries = asked.select(
+            F.size("vec").alias("dim"),
+            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+            F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).cast("int").alias("block"),
+            "id",
+            "vec",
+        )
+        copies = indexes.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "ids", "vectors", "tops", "layers")
+        found = queries.groupBy(*by).cogroup(copies.groupBy(*by)).applyInArrow(lambda a, b: look(a, b, width), "query_id long, node long, score double")
+        merged = (
+            found.join(nodes.select("node", "ids"), "node")
+            .select("query_id", F.explode("ids").alias("vec_id"), "score")
+            .where(F.col("vec_id") != F.col("query_id"))
+        )
+        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        return merged.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+    sample = asked.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.first("vec").alias("vec")).where("n = 1")
+    sample = materialise(sample.orderBy(F.xxhash64("id", F.lit(seed)), "id").select("id", "vec").limit(AUDITED))
+    held = sample.toArrow()
+    lengths = np.array([len(v) for v in held["vec"].to_pylist()], dtype=np.int64)
+    few = [(int(d), held["id"].to_numpy()[lengths == d], matrix(held["vec"].take(pa.array(np.flatnonzero(lengths == d))))) for d in np.unique(lengths)]
+    want = _kth_best(nodes, few, k) if few else {}
+    most = indexes.agg(F.max(F.octet_length("tops"))).first()[0] or 0
+    width = max(beam, k + 1)
+    while want and width < most:
+        hits = Counter(r.query_id for r in answers(sample, 1, width).collect() if r.score >= want[r.query_id][1] - 1e-12 * abs(want[r.query_id][1]))
+        if sum(hits.values()) >= recall * sum(n for n, _ in want.values()):
+            break
+        width *= 2
+    return answers(asked, blocks, width)

@@ -84,6 +84,24 @@ def test_nearest_recall_ties_and_scores(spark, sf):
         assert hits >= 0.97 * 20 * len(want)
 
 
+def test_a_walk_of_a_graph_larger_than_its_beam(spark, monkeypatch):
+    """Isotropic vectors, the hard case: one shard of 5,000; the audit widens a beam that is too narrow."""
+    monkeypatch.setattr(hnsw, "LEAST_SHARDS", 1)
+    x = np.random.default_rng(8).standard_normal((5000, 32)).astype(np.float32)
+    want = {}
+    for q in range(0, 5000, 20):
+        scores = x.astype(np.float64) @ x[q].astype(np.float64)
+        scores[q] = -np.inf
+        want[q] = set(np.argsort(-scores, kind="stable")[:20].tolist())
+    frame = table(spark, [(i, v) for i, v in enumerate(x.tolist())])
+
+    def recall(**options):
+        hits = sum(r.vec_id in want[r.query_id] for r in hnsw.search(frame, **options).collect())
+        return hits / (20 * len(want))
+
+    assert recall(beam=21, recall=0.0) < 0.9 <= 0.94 < recall(beam=21)
+
+
 def test_nearest_takes_awkward_tables(spark):
     assert hnsw.search(table(spark, [])).collect() == []
     assert hnsw.search(table(spark, [(20, [1.0, 0.0])])).collect() == []
