@@ -1,8 +1,9 @@
-"""Property graph of jobs, skills, occupations and categories: nodes, edges, quality checks, bounded traversal."""
+"""Property graph of jobs, skills, occupations and categories: nodes, edges, bounded traversal. Checks are in checks.py."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,28 @@ ENDS = {
     "IS_A": ("Skill", "SkillCategory"), "ALIAS_OF": ("SkillAlias", "Skill"), "CO_OCCURS_WITH": ("Skill", "Skill"), "CORE_SKILL": ("Occupation", "Skill"),
 }
 JOB_SKILL = tuple(RELATIONS.values())
+#: Properties of nodes by label, of all edges, and of some edges; their names are fixed values.
+JOB_TEXTS = ("title", "description", "requirements", "location_code", "occupation_code", "posted_at")
+NODE_PROPERTIES = {
+    "Job": ("job_id", *JOB_TEXTS, "data_split", "source_hash"),
+    "Occupation": ("occupation_id", "name", "occupation_code"),
+    "SkillCategory": ("category_id", "name"),
+    "SkillAlias": ("alias_id", "alias", "normalized_alias", "language", "first_seen_at"),
+    "Skill": ("skill_id", "canonical_name", "normalized_name", "skill_type", "description", "first_seen_at", "train_frequency", "schema_version"),
+}
+EDGE_PROPERTIES = ("weight", "confidence", "evidence", "source_job_id", "source_file", "extraction_model", "extraction_prompt_version", "schema_version", "created_at")
+PAIR_PROPERTIES = {"count": "long", "support": "double", "pmi": "double", "npmi": "double", "p_b_given_a": "double", "p_a_given_b": "double"}
+CORE_PROPERTIES = {"required_rate": "double", "preferred_rate": "double", "mentioned_rate": "double", "job_count": "long"}
+
+
+@dataclass(frozen=True)
+class Origin:
+    """Where a graph comes from; each edge says so."""
+
+    source_file: str = ""
+    extraction_model: str = "offline-mock-v1"
+    schema_version: str = "1"
+    created_at: str = "1970-01-01T00:00:00+00:00"
 
 
 def skill_id(name: Column, kind: Column) -> Column:
@@ -37,69 +60,165 @@ def edge_id(source: Column, label: Column, target: Column, origin: Column) -> Co
     return digest_id("", source, label, target, origin, width=20)
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
+def _job(c: str = "job_id") -> Column:
+    return F.concat(F.lit("job:"), F.col(c).cast("string"))
+
+
+def _occupation(c: Column) -> Column:
+    return F.concat(F.lit("occupation:"), F.trim(c))
+
+
+def _text(df: DataFrame, c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")
+
+
+def _given(df: DataFrame, c: str, kind: str) -> Column:
+    return F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)
+
+
+def source_hash(title: Column, requirements: Column, description: Column) -> Column:
+    """SHA-256 of the compact JSON of the three texts, keys in order."""
+    return F.sha2(F.to_json(F.struct(description.alias("description"), requirements.alias("requirements"), title.alias("title"))), 256)
+
+
+def union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def conflicts(frame: DataFrame, key: str) -> DataFrame:
+    """Keys that stand for rows with different properties: an upsert by key would lose one of them. Equal repeats are no
+    conflict. Columns: key, versions."""
+    rest = [c for c in frame.columns if c != key]
+    return frame.groupBy(key).agg(F.count_distinct(F.xxhash64(*rest)).alias("versions")).where("versions > 1")
+
+
+def require_one_version(frame: DataFrame, key: str) -> DataFrame:
+    """`frame` with each key once; it is an error if a key has different properties."""
+    bad = [str(r[0]) for r in conflicts(frame, key).select(key).limit(10).collect()]
+    if bad:
+        raise ValueError(f"rows with one {key} and different properties: {bad}")
+    return frame.dropDuplicates([key])
+
+
+def require_known_jobs(mentions: DataFrame, jobs: DataFrame) -> None:
+    """The graph is built from training jobs alone, each of them once, and from mentions of these."""
+    splits = F.lower(F.trim(F.coalesce("data_split", F.lit(""))))
+    for frame, message in (
+        (jobs.where(splits != "train"), "jobs outside the training split"),
+        (jobs.groupBy("job_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "jobs that repeat"),
+        (mentions.join(jobs.select("job_id"), "job_id", "left_anti"), "mentions of unknown jobs"),
+    ):
+        bad = [str(r[0]) for r in frame.select("job_id").limit(10).collect()]
+        if bad:
+            raise ValueError(f"{message}: {bad}")
+
+
 def _named(job_skills: DataFrame) -> DataFrame:
     """`job_skills` with the ids and normalised forms of its names. Only distinct names are normalised and hashed; they
     are joined back (the optimiser broadcasts them while they are few). Rows without a skill or a kind are dropped."""
-    rows = job_skills.withColumn("raw_mention", F.coalesce("raw_mention", "skill") if "raw_mention" in job_skills.columns else F.col("skill"))
+    rows = job_skills.withColumns(
+        {
+            "raw_mention": F.coalesce("raw_mention", "skill") if "raw_mention" in job_skills.columns else F.col("skill"),
+            "evidence": _text(job_skills, "evidence"),
+            "posted_at": _text(job_skills, "posted_at"),
+            "prompt": _text(job_skills, "extraction_prompt_version"),
+        }
+    )
     keys = ["skill", "skill_type", "raw_mention"]
     names = rows.select(*keys).distinct().select(*keys, normalise(F.col("skill")).alias("_norm"), normalise(F.col("raw_mention")).alias("_raw"), category_id(F.col("skill_type")).alias("_category"))
-    ids = names.select(*keys, "_raw", "_category", digest_id("skill:", F.col("_norm"), F.col("skill_type")).alias("_skill"), F.when(F.col("_raw") != F.col("_norm"), digest_id("alias:", F.col("_raw"))).alias("_alias"))
+    ids = names.select(*keys, "_norm", "_raw", "_category", digest_id("skill:", F.col("_norm"), F.col("skill_type")).alias("_skill"), F.when(F.col("_raw") != F.col("_norm"), digest_id("alias:", F.col("_raw"))).alias("_alias"))
     return rows.join(ids, keys)
 
 
-def nodes(job_skills: DataFrame) -> DataFrame:
-    """One narrow frame for each label, united. `job_skills`: job_id, skill, skill_type, occupation_code. Spellings
-    that normalise alike are one skill, named as the first job names it. With raw_mention, other names are aliases."""
-    jobs = job_skills.select("job_id").distinct().select(F.concat(F.lit("job:"), F.col("job_id").cast("string")).alias("node_id"), F.lit("Job").alias("label"), F.col("job_id").cast("string").alias("name"))
-    occupations = job_skills.where("trim(occupation_code) != ''").select(F.trim("occupation_code").alias("name")).distinct().select(
-        F.concat(F.lit("occupation:"), F.col("name")).alias("node_id"), F.lit("Occupation").alias("label"), "name"
+def nodes(jobs: DataFrame, job_skills: DataFrame, origin: Origin = Origin()) -> DataFrame:
+    """One narrow frame for each label, united: node_id, label, `name` (what a reader calls it; null for jobs) and the
+    NODE_PROPERTIES of all labels, null where a label has none.
+
+    `jobs`: job_id and the JOB_TEXTS. `job_skills`: job_id, skill, skill_type, and where known raw_mention and posted_at
+    (a text). Spellings that normalise alike are one skill, named as the first job names it; other names are aliases;
+    the earliest posted_at, compared as text, is when a skill or alias was first seen."""
+    t = {c: _text(jobs, c) for c in JOB_TEXTS}
+    job_nodes = jobs.select(
+        _job().alias("node_id"), F.lit("Job").alias("label"), F.col("job_id").cast("string").alias("job_id"), *(c.alias(n) for n, c in t.items()), F.lit("train").alias("data_split"),
+        source_hash(t["title"], t["requirements"], t["description"]).alias("source_hash"),
     )
+    code = F.trim(F.col("occupation_code"))
+    occupations = jobs.where("trim(occupation_code) != ''").select(code.alias("name")).distinct().select(
+        F.concat(F.lit("occupation:"), F.col("name")).alias("node_id"), F.lit("Occupation").alias("label"), "name", F.col("name").alias("occupation_code")
+    ).withColumn("occupation_id", F.col("node_id"))
     named = _named(job_skills)
-    skills = named.groupBy(F.col("_skill").alias("node_id"), "skill_type").agg(F.count_distinct("job_id").alias("train_frequency"), F.min(F.struct("job_id", "skill"))["skill"].alias("name")).select(
-        "node_id", F.lit("Skill").alias("label"), "name", "skill_type", "train_frequency"
-    )
-    kinds = named.groupBy(F.col("_category").alias("node_id")).agg(F.min("skill_type").alias("name")).select("node_id", F.lit("SkillCategory").alias("label"), "name")
-    aliases = named.where("_alias is not null").groupBy(F.col("_alias").alias("node_id")).agg(F.min("raw_mention").alias("name")).select("node_id", F.lit("SkillAlias").alias("label"), "name")
-    frames = [jobs, occupations, skills, kinds, *([aliases] if "raw_mention" in job_skills.columns else [])]
-    return _union(frames).select(
-        "node_id", "label", "name", F.coalesce("skill_type", F.lit("")).alias("skill_type"), F.coalesce("train_frequency", F.lit(0)).cast("long").alias("train_frequency")
+    seen = F.min("posted_at").alias("first_seen_at")
+    skills = named.groupBy(F.col("_skill").alias("node_id"), "skill_type").agg(
+        F.count_distinct("job_id").alias("train_frequency"), F.min(F.struct("job_id", "skill"))["skill"].alias("name"), F.first("_norm").alias("normalized_name"), seen
+    ).withColumns({"label": F.lit("Skill"), "skill_id": F.col("node_id"), "canonical_name": F.col("name"), "description": F.lit(""), "schema_version": F.lit(origin.schema_version)})
+    kinds = named.groupBy(F.col("_category").alias("node_id")).agg(F.min("skill_type").alias("name")).withColumns({"label": F.lit("SkillCategory"), "category_id": F.col("node_id")})
+    aliases = named.where("_alias is not null").groupBy(F.col("_alias").alias("node_id")).agg(F.min("raw_mention").alias("name"), F.first("_raw").alias("normalized_alias"), seen).withColumns(
+        {"label": F.lit("SkillAlias"), "alias_id": F.col("node_id"), "alias": F.col("name"), "language": F.lit("und")}
     )
+    every = union([job_nodes, occupations, skills, kinds, *([aliases] if "raw_mention" in job_skills.columns else [])])
+    order = dict.fromkeys(["node_id", "label", "name", *(p for ps in NODE_PROPERTIES.values() for p in ps)])
+    return every.select(*(c for c in order if c in every.columns))
 
 
-def _edge(frame: DataFrame, source: Column, target: Column, label: Column, weight: Column, job: Column, origin: Column) -> DataFrame:
-    """`origin` tells edges of the same label between the same nodes apart."""
-    named = frame.select(source.alias("from_id"), target.alias("to_id"), label.alias("label"), weight.alias("weight"), job.alias("source_job_id"), origin.alias("origin"))
-    return named.select(edge_id(F.col("from_id"), F.col("label"), F.col("to_id"), F.col("origin")).alias("edge_id"), "*").drop("origin")
+def _edge(frame: DataFrame, source: Column, target: Column, label: Column, tell: Column, made: Origin, weight: Column, confidence: Column, evidence: Column, job: Column, prompt: Column, **more: Column) -> DataFrame:
+    """`tell` tells edges of the same label between the same nodes apart."""
+    named = frame.select(
+        source.alias("from_id"), target.alias("to_id"), label.alias("label"), weight.cast("double").alias("weight"), confidence.cast("double").alias("confidence"), evidence.alias("evidence"), job.alias("source_job_id"),
+        F.lit(made.source_file).alias("source_file"), F.lit(made.extraction_model).alias("extraction_model"), prompt.alias("extraction_prompt_version"),
+        F.lit(made.schema_version).alias("schema_version"), F.lit(made.created_at).alias("created_at"), *(c.alias(n) for n, c in more.items()), tell.alias("_tell"),
+    )
+    return named.select(edge_id(F.col("from_id"), F.col("label"), F.col("to_id"), F.col("_tell")).alias("edge_id"), "*").drop("_tell")
+
 
+def edges(
+    jobs: DataFrame, job_skills: DataFrame, pairs: DataFrame | None = None, core: DataFrame | None = None, train_start: str | None = None, train_end: str | None = None, origin: Origin = Origin()
+) -> DataFrame:
+    """edge_id, from_id, to_id, label, EDGE_PROPERTIES and what some labels have besides: job-skill edges (importance,
+    requirement, raw_mention; weighted by level, importance and confidence), INSTANCE_OF, IS_A, ALIAS_OF,
+    CO_OCCURS_WITH (PAIR_PROPERTIES, train_start, train_end) and CORE_SKILL (CORE_PROPERTIES).
 
-def edges(job_skills: DataFrame, pairs: DataFrame | None = None, core: DataFrame | None = None, train_start: str | None = None, train_end: str | None = None) -> DataFrame:
-    """Job-skill edges weighted by level, importance and confidence, and INSTANCE_OF, IS_A, ALIAS_OF,
-    CO_OCCURS_WITH and CORE_SKILL edges. `job_skills` also has requirement, importance, confidence, and may have raw_mention (else the skill);
-    `pairs` has the ids of two skills and npmi; `core` has occupation_code, the skill's id and core_skill_weight."""
+    `jobs`: job_id, occupation_code; `job_skills` as for `nodes`, and requirement, importance, confidence, and where known
+    evidence and extraction_prompt_version. Of mentions that give one edge the one of the greatest importance, then
+    confidence, then evidence counts. `pairs` has the ids of two skills and the PAIR_PROPERTIES; `core` has
+    occupation_code, the skill's id, core_skill_weight and the CORE_PROPERTIES."""
     rows = _named(job_skills)
     period = F.lit(f"{train_start}|{train_end}")
-    job = F.concat(F.lit("job:"), F.col("job_id").cast("string"))
     level = F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv))[F.col("requirement")]
     relation = F.create_map(*(F.lit(x) for kv in RELATIONS.items() for x in kv))[F.col("requirement")]
-    once = rows.groupBy("job_id", "_skill", "requirement", "_raw").agg(F.max("importance").alias("importance"), F.max("confidence").alias("confidence"))
-    named = _edge(once, job, F.col("_skill"), relation, level * F.col("importance") * F.col("confidence"), F.col("job_id").cast("string"), F.concat_ws(":", "job_id", "_raw"))
-    instance = job_skills.where("trim(occupation_code) != ''").select("job_id", F.trim("occupation_code").alias("o")).distinct()
-    of = _edge(instance, job, F.concat(F.lit("occupation:"), F.col("o")), F.lit("INSTANCE_OF"), F.lit(1.0), F.col("job_id").cast("string"), F.col("job_id").cast("string"))
+    best = F.max(F.struct("importance", "confidence", "evidence", "raw_mention", "prompt")).alias("m")
+    once = rows.groupBy("job_id", "_skill", "requirement", "_raw").agg(best).select("*", "m.*")
+    key = F.col("job_id").cast("string")
+    named = _edge(
+        once, _job(), F.col("_skill"), relation, F.concat_ws(":", "job_id", "_raw"), origin, level * F.col("importance") * F.col("confidence"), F.col("confidence"), F.col("evidence"), key, F.col("prompt"),
+        importance=F.col("importance").cast("double"), requirement=F.col("requirement"), raw_mention=F.col("raw_mention"),
+    )
+    of = jobs.where("trim(occupation_code) != ''").select("job_id", F.trim("occupation_code").alias("o")).distinct()
+    instance = _edge(of, _job(), _occupation(F.col("o")), F.lit("INSTANCE_OF"), key, origin, F.lit(1.0), F.lit(1.0), F.col("o"), key, F.lit("deterministic-structure-v1"))
     kinds = rows.select("_skill", "_category", "skill_type").distinct()
-    is_a = _edge(kinds, F.col("_skill"), F.col("_category"), F.lit("IS_A"), F.lit(1.0), F.lit(""), F.col("skill_type"))
-    frames = [named, of, is_a]
-    if pairs is not None:
-        frames.append(_edge(pairs, F.least("skill_a", "skill_b"), F.greatest("skill_a", "skill_b"), F.lit("CO_OCCURS_WITH"), F.greatest(F.lit(0.0), F.col("npmi")), F.lit(""), period))
+    is_a = _edge(kinds, F.col("_skill"), F.col("_category"), F.lit("IS_A"), F.col("skill_type"), origin, F.lit(1.0), F.lit(1.0), F.col("skill_type"), F.lit(""), F.lit("deterministic-category-v1"))
+    frames = [named, instance, is_a]
     if "raw_mention" in job_skills.columns:
-        aliases = rows.where("_alias is not null").groupBy("_alias", "_skill", "_raw").agg(F.min("job_id").cast("string").alias("job"))
-        frames.append(_edge(aliases, F.col("_alias"), F.col("_skill"), F.lit("ALIAS_OF"), F.lit(1.0), F.col("job"), F.col("_raw")))
+        first = F.min(F.struct("job_id", "confidence", "evidence", "prompt")).alias("m")
+        aliases = rows.where("_alias is not null").groupBy("_alias", "_skill", "_raw").agg(first).select("*", "m.*")
+        frames.append(_edge(aliases, F.col("_alias"), F.col("_skill"), F.lit("ALIAS_OF"), F.col("_raw"), origin, F.lit(1.0), F.col("confidence"), F.col("evidence"), key, F.col("prompt")))
+    if pairs is not None:
+        given = {c: _given(pairs, c, k) for c, k in PAIR_PROPERTIES.items()}
+        frames.append(
+            _edge(
+                pairs, F.least("skill_a", "skill_b"), F.greatest("skill_a", "skill_b"), F.lit("CO_OCCURS_WITH"), period, origin, F.greatest(F.lit(0.0), F.col("npmi")), F.lit(1.0),
+                F.concat(F.lit("train co-occurrence count="), F.coalesce(given["count"].cast("string"), F.lit(""))), F.lit(""), F.lit("deterministic-cooccurrence-v1"),
+                **given, train_start=F.lit(train_start).cast("string"), train_end=F.lit(train_end).cast("string"),
+            )
+        )
     if core is not None:
-        frames.append(_edge(core.where("trim(occupation_code) != ''"), F.concat(F.lit("occupation:"), F.trim("occupation_code")), F.col("skill"), F.lit("CORE_SKILL"), F.col("core_skill_weight"), F.lit(""), period))
-    return _union(frames)
+        given = {c: _given(core, c, k) for c, k in CORE_PROPERTIES.items()}
+        frames.append(
+            _edge(
+                core.where("trim(occupation_code) != ''"), _occupation(F.col("occupation_code")), F.col("skill"), F.lit("CORE_SKILL"), period, origin, F.col("core_skill_weight"), F.lit(1.0),
+                F.concat(F.lit("train occupation aggregation over "), F.coalesce(given["job_count"].cast("string"), F.lit("")), F.lit(" jobs")), F.lit(""), F.lit("deterministic-core-skill-v1"), **given,
+            )
+        )
+    return union(frames)
 
 
 def manifest(n: DataFrame, e: DataFrame) -> DataFrame:
@@ -108,109 +227,13 @@ def manifest(n: DataFrame, e: DataFrame) -> DataFrame:
     )
 
 
-# --- checks: each gives (check, severity, record_id) ------------------------------------------------------------
-
-SEVERITY = {
-    "duplicate_node_ids": "fail", "duplicate_edge_ids": "fail", "dangling_edges": "quarantine", "orphan_skill_nodes": "warn",
-    "invalid_node_labels": "fail", "invalid_edge_labels": "fail", "missing_node_property": "fail", "missing_edge_property": "fail",
-    "invalid_edge_endpoints": "fail", "missing_evidence": "quarantine", "invalid_confidence": "fail", "invalid_weight": "fail",
-    "source_job_missing": "fail", "test_leakage": "fail", "alias_multiple_targets": "fail", "alias_cycle": "fail",
-    "protected_distinction_violation": "fail", "super_node": "warn", "low_support_cooccurrence": "quarantine",
-    "same_name_different_skill_type": "warn", "required_preferred_conflict": "warn", "evidence_not_in_jd": "fail",
-}
+def skill_dictionary(n: DataFrame) -> DataFrame:
+    return n.where("label = 'Skill'").select("skill_id", "canonical_name", "normalized_name", "skill_type", "description", "first_seen_at", "train_frequency")
 
 
-def _finding(name: str, frame: DataFrame, record: str, policies: dict[str, str] | None = None) -> DataFrame:
-    return frame.select(F.lit(name).alias("check"), F.lit((policies or {}).get(name, SEVERITY[name])).alias("severity"), F.col(record).cast("string").alias("record_id"))
-
-
-def _repeated(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
-def _with_ends(n: DataFrame, e: DataFrame, how: str = "inner") -> DataFrame:
-    ids = n.groupBy("node_id").agg(F.min("label").alias("l"), F.min("name").alias("nm"))
-    start = ids.select(F.col("node_id").alias("from_id"), F.col("l").alias("from_label"), F.col("nm").alias("from_name"))
-    end = ids.select(F.col("node_id").alias("to_id"), F.col("l").alias("to_label"), F.col("nm").alias("to_name"))
-    return e.join(start, "from_id", how).join(end, "to_id", how)
-
-
-def alias_cycles(e: DataFrame, rounds: int = 32) -> DataFrame:
-    """Nodes from which ALIAS_OF edges lead back to themselves, by doubling the length of paths."""
-    hops = e.where("label = 'ALIAS_OF' and from_id != to_id").select("from_id", "to_id").distinct()
-    paths, before = hops, -1
-    for _ in range(rounds):
-        longer = paths.alias("x").join(paths.alias("y"), F.col("x.to_id") == F.col("y.from_id")).select("x.from_id", "y.to_id")
-        paths = paths.union(longer).distinct().persist()
-        now = paths.count()
-        if now == before:
-            break
-        before = now
-    loops = e.where("label = 'ALIAS_OF' and from_id = to_id").select("from_id")
-    return paths.where("from_id = to_id").select("from_id").union(loops).distinct().select(F.col("from_id").alias("node_id"))
-
-
-def checks(
-    n: DataFrame, e: DataFrame, jobs: DataFrame, protected: Sequence[tuple[str, str]] = (), max_weight: float = 1.0,
-    degree: int = 1000, min_count: int = 5, policies: dict[str, str] | None = None,
-) -> dict[str, DataFrame]:
-    """All quality checks by name. Nodes have node_id, label, name, skill_type, data_split; edges edge_id, from_id, to_id,
-    label, weight, confidence, evidence, source_job_id, data_split, count; jobs job_id, text."""
-    f = lambda name, frame, record: _finding(name, frame, record, policies)
-    js = e.where(F.col("label").isin(*JOB_SKILL))
-    ids = n.select("node_id").distinct()
-    known = e.join(ids.select(F.col("node_id").alias("_from")), F.col("from_id") == F.col("_from"), "left").join(ids.select(F.col("node_id").alias("_to")), F.col("to_id") == F.col("_to"), "left")
-    dangling = known.where("_from is null or _to is null").select("edge_id").distinct()
-    skills = n.where("label = 'Skill'")
-    touched = e.select(F.col("from_id").alias("node_id")).union(e.select("to_id")).distinct()
-    ends = _with_ends(n, e)
-    allowed = reduce(lambda a, b: a | b, ((F.col("label") == k) & (F.col("from_label") == v[0]) & (F.col("to_label") == v[1]) for k, v in ENDS.items()))
-    aliases = ends.where("label = 'ALIAS_OF'")
-    guarded = reduce(
-        lambda a, b: a | b,
-        ((F.lower("from_name") == x.lower()) & (F.lower("to_name") == y.lower()) | (F.lower("from_name") == y.lower()) & (F.lower("to_name") == x.lower()) for x, y in protected),
-        F.lit(False),
-    )
-    degrees = e.select(F.col("from_id").alias("node_id")).union(e.select("to_id")).groupBy("node_id").agg(F.count(F.lit(1)).alias("n"))
-    source = jobs.select(F.col("job_id").cast("string").alias("source_job_id"), "text")
-    both = js.groupBy("from_id", "to_id").agg(F.collect_set("label").alias("ls")).where(F.array_contains("ls", "REQUIRES") & F.array_contains("ls", "PREFERS"))
-    bad = lambda c, low, high: F.col(c).isNull() | F.isnan(c) | ~F.col(c).between(low, high)
-    leak = n.where("lower(trim(data_split)) != 'train'").select(F.col("node_id").alias("id")).union(e.where("lower(trim(data_split)) != 'train'").select("edge_id"))
-    return {
-        "duplicate_node_ids": f("duplicate_node_ids", _repeated(n, "node_id"), "node_id"),
-        "duplicate_edge_ids": f("duplicate_edge_ids", _repeated(e, "edge_id"), "edge_id"),
-        "dangling_edges": f("dangling_edges", dangling, "edge_id"),
-        "orphan_skill_nodes": f("orphan_skill_nodes", skills.join(touched, "node_id", "left_anti"), "node_id"),
-        "invalid_node_labels": f("invalid_node_labels", n.where(~F.col("label").isin(*NODE_LABELS)), "node_id"),
-        "invalid_edge_labels": f("invalid_edge_labels", e.where(~F.col("label").isin(*ENDS)), "edge_id"),
-        "missing_node_property": f("missing_node_property", n.where("name is null or trim(name) = ''"), "node_id"),
-        "missing_edge_property": f("missing_edge_property", e.where("weight is null or source_job_id is null"), "edge_id"),
-        "invalid_edge_endpoints": f("invalid_edge_endpoints", ends.where(F.col("label").isin(*ENDS) & ~allowed), "edge_id"),
-        "missing_evidence": f("missing_evidence", js.where("evidence is null or trim(evidence) = ''"), "edge_id"),
-        "invalid_confidence": f("invalid_confidence", e.where(bad("confidence", 0, 1)), "edge_id"),
-        "invalid_weight": f("invalid_weight", e.where(bad("weight", 0, max_weight)), "edge_id"),
-        "source_job_missing": f("source_job_missing", js.join(source, "source_job_id", "left_anti"), "edge_id"),
-        "test_leakage": f("test_leakage", leak, "id"),
-        "alias_multiple_targets": f("alias_multiple_targets", aliases.groupBy("from_id").agg(F.count_distinct("to_id").alias("n")).where("n > 1"), "from_id"),
-        "alias_cycle": f("alias_cycle", alias_cycles(e), "node_id"),
-        "protected_distinction_violation": f("protected_distinction_violation", aliases.where(guarded), "edge_id"),
-        "super_node": f("super_node", degrees.where(F.col("n") > degree), "node_id"),
-        "low_support_cooccurrence": f("low_support_cooccurrence", e.where((F.col("label") == "CO_OCCURS_WITH") & (F.col("count") < min_count)), "edge_id"),
-        "same_name_different_skill_type": f("same_name_different_skill_type", skills.groupBy(F.lower("name").alias("name")).agg(F.count_distinct("skill_type").alias("n")).where("n > 1"), "name"),
-        "required_preferred_conflict": f("required_preferred_conflict", both.select(F.concat_ws("|", "from_id", "to_id").alias("id")), "id"),
-        "evidence_not_in_jd": f("evidence_not_in_jd", js.where("trim(evidence) != ''").join(source, "source_job_id").where(~F.contains("text", "evidence")), "edge_id"),
-    }
-
-
-def findings(*args, **options) -> DataFrame:
-    return _union(list(checks(*args, **options).values()))
-
-
-def status(found: DataFrame) -> DataFrame:
-    """Counts by severity and the overall verdict."""
-    return found.agg(*(F.count_if(F.col("severity") == s).alias(s) for s in ("fail", "quarantine", "warn"))).withColumn(
-        "status", F.when(F.col("fail") > 0, "failed").when(F.col("quarantine") + F.col("warn") > 0, "valid_with_findings").otherwise("valid")
-    )
+def alias_dictionary(n: DataFrame, e: DataFrame) -> DataFrame:
+    to = e.where("label = 'ALIAS_OF'").select(F.col("from_id").alias("alias_id"), F.col("to_id").alias("skill_id")).distinct()
+    return n.where("label = 'SkillAlias'").select("alias_id", "alias", "normalized_alias", "language", "first_seen_at").join(to, "alias_id")
 
 
 # --- retrieval ----------------------------------------------------------------------------------------------------
@@ -256,6 +279,7 @@ def explained(traces: DataFrame, n: DataFrame) -> DataFrame:
     """Traces with `at`, their place among those of the same query and job, and a sentence that names what matched."""
     names = n.groupBy("node_id").agg(F.min("name").alias("name"))
     named = traces.join(names.select(F.col("node_id").alias("term"), F.col("name").alias("term_name")), "term", "left").join(names.select(F.col("node_id").alias("anchor"), F.col("name").alias("anchor_name")), "anchor", "left")
+    # These sentences are output; their wording is fixed.
     skill = F.concat(F.coalesce("term_name", "term"), F.lit(" matched "), F.coalesce("anchor_name", "anchor"), F.lit("; path uses "), F.array_join("edge_types", " -> "))
     text = F.when(F.col("edge_types")[0] == "INSTANCE_OF", "Occupation constraint matched the job occupation.").otherwise(skill)
     order = Window.partitionBy("query_id", "job").orderBy(F.col("score").desc(), "explanation", F.array_join("path", "|"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
 from lodestar.operators import behaviour as B
+from lodestar.operators import checks as C
 from lodestar.operators import extraction as X
 from lodestar.operators import graph as G
 from lodestar.operators import contracts, hybrid, ltr, ranking, statistics
@@ -190,78 +191,129 @@ def core_skill_rates(spark, sf):
     return out.select("occupation_code", "skill", *(F.round(c, 9).alias(c) for c in ("core_skill_weight", "required_rate", "preferred_rate", "mentioned_rate")), "job_count")
 
 
-@query(f"WITH {fx.BASKETS_SQL}, {fx.NODES_SQL} SELECT * FROM n")
+@query(f"WITH {fx.BASKETS_SQL}, {fx.NODES_SQL} SELECT {', '.join(fx.NODE_COLUMNS)} FROM n")
 def graph_nodes(spark, sf):
-    return G.nodes(fx.baskets(spark, sf))
+    return G.nodes(fx.basket_jobs(spark, sf), fx.baskets(spark, sf)).select(*fx.NODE_COLUMNS)
 
 
-@query(f"WITH {fx.BASKETS_SQL}, {fx.EDGES_SQL} SELECT edge_id, from_id, to_id, label, round(weight, 9) AS weight, source_job_id FROM e")
+@query(f"WITH {fx.BASKETS_SQL}, {fx.EDGES_SQL} SELECT edge_id, from_id, to_id, label, round(weight, 9) AS weight, round(confidence, 9) AS confidence, evidence, source_job_id, raw_mention FROM e")
 def graph_edges(spark, sf):
-    return G.edges(fx.baskets(spark, sf)).withColumn("weight", F.round("weight", 9))
+    e = G.edges(fx.order_jobs(spark, sf), fx.baskets(spark, sf))
+    return e.select("edge_id", "from_id", "to_id", "label", F.round("weight", 9).alias("weight"), F.round("confidence", 9).alias("confidence"), "evidence", "source_job_id", "raw_mention")
 
 
 @query(f"WITH {fx.BASKETS_SQL}, {fx.NODES_SQL}, {fx.EDGES_SQL} SELECT 'node' AS kind, label, count(*) AS \"rows\" FROM n GROUP BY 2 UNION ALL SELECT 'edge', label, count(*) FROM e GROUP BY 2")
 def graph_manifest(spark, sf):
+    js, jobs = fx.baskets(spark, sf), fx.order_jobs(spark, sf)
+    return G.manifest(G.nodes(jobs, js), G.edges(jobs, js))
+
+
+def _skill_ids(js):
+    return js.select("job_id", "occupation_code", "requirement", G.skill_id(F.col("skill"), F.col("skill_type")).alias("skill"))
+
+
+_STATISTICS = f"""d AS (SELECT DISTINCT job_id, skill, skill_type FROM js), t AS (SELECT count(DISTINCT job_id) AS total FROM js),
+sid AS (SELECT job_id, {fx._SKILL} AS s FROM d), f AS (SELECT s, count(*) AS n FROM sid GROUP BY 1),
+pc AS (SELECT x.s AS a, y.s AS b, count(*) AS c FROM sid x JOIN sid y ON x.job_id = y.job_id AND x.s < y.s GROUP BY 1, 2 HAVING count(*) >= 5),
+co AS (SELECT a, b, c, c / total AS support, ln(c * total / (fa.n * fb.n)) AS pmi, ln(c * total / (fa.n * fb.n)) / -ln(c / total) AS npmi, c / fa.n AS p_b_given_a, c / fb.n AS p_a_given_b
+  FROM pc JOIN f fa ON fa.s = a JOIN f fb ON fb.s = b, t WHERE ln(c * total / (fa.n * fb.n)) / -ln(c / total) >= 0.01)"""
+
+
+@query(f"""WITH {fx.BASKETS_SQL}, {_STATISTICS}, o AS (SELECT occupation_code, count(DISTINCT job_id) AS jobs FROM js GROUP BY 1),
+cs AS (SELECT occupation_code AS oc, {fx._SKILL} AS s, count(DISTINCT job_id) AS n, count(DISTINCT job_id) FILTER (requirement = 'required') AS r, count(DISTINCT job_id) FILTER (requirement = 'preferred') AS p,
+  count(DISTINCT job_id) FILTER (requirement = 'mentioned') AS m FROM js GROUP BY 1, 2),
+x AS (SELECT a AS from_id, b AS to_id, 'CO_OCCURS_WITH' AS label, greatest(0, npmi) AS weight, 'train co-occurrence count=' || c AS evidence, c AS "count", support, pmi, npmi, p_b_given_a, p_a_given_b,
+  '2024-01-01' AS train_start, '2024-02-01' AS train_end FROM co
+  UNION ALL BY NAME SELECT 'occupation:' || oc AS from_id, s AS to_id, 'CORE_SKILL' AS label, n / jobs AS weight, 'train occupation aggregation over ' || jobs || ' jobs' AS evidence, r / jobs AS required_rate, p / jobs AS preferred_rate,
+  m / jobs AS mentioned_rate, jobs AS job_count FROM cs JOIN o ON occupation_code = oc)
+SELECT substr(sha256(from_id || '|' || label || '|' || to_id || '|2024-01-01|2024-02-01'), 1, 20) AS edge_id, from_id, to_id, label, evidence, "count", job_count, train_start, train_end,
+{', '.join(f'round({c}, 9) AS {c}' for c in ('weight', 'support', 'pmi', 'npmi', 'p_b_given_a', 'p_a_given_b', 'required_rate', 'preferred_rate', 'mentioned_rate'))} FROM x""")
+def graph_statistic_edges(spark, sf):
+    """CO_OCCURS_WITH and CORE_SKILL edges with what they have besides."""
     js = fx.baskets(spark, sf)
-    return G.manifest(G.nodes(js), G.edges(js))
+    ids = _skill_ids(js)
+    e = G.edges(fx.order_jobs(spark, sf), js, statistics.cooccurrence(ids, 5, 0.01), statistics.core_skills(ids), "2024-01-01", "2024-02-01").where("label in ('CO_OCCURS_WITH', 'CORE_SKILL')")
+    rounded = ("weight", "support", "pmi", "npmi", "p_b_given_a", "p_a_given_b", "required_rate", "preferred_rate", "mentioned_rate")
+    return e.select("edge_id", "from_id", "to_id", "label", "evidence", "count", "job_count", "train_start", "train_end", *(F.round(c, 9).alias(c) for c in rounded))
 
 
 _JS = "label IN ('REQUIRES', 'PREFERS', 'MENTIONS')"
 _KNOWN = ", ".join(f"'{k}'" for k in G.ENDS)
-_ENDS_OK = " OR ".join(f"(label = '{k}' AND from_label = '{a}' AND to_label = '{b}')" for k, (a, b) in G.ENDS.items())
+_WANT = " ".join(f"WHEN '{k}' THEN '{a} -> {b}'" for k, (a, b) in G.ENDS.items())
+_AL = "SELECT from_id AS s, to_id AS t FROM fe WHERE label = 'ALIAS_OF'"
+#: What each check finds: record and message.
 CHECK_SQL = {
-    "duplicate_node_ids": "SELECT node_id FROM fn GROUP BY 1 HAVING count(*) > 1",
-    "duplicate_edge_ids": "SELECT edge_id FROM fe GROUP BY 1 HAVING count(*) > 1",
-    "dangling_edges": "SELECT DISTINCT edge_id FROM fe WHERE from_id NOT IN (SELECT node_id FROM fn) OR to_id NOT IN (SELECT node_id FROM fn)",
-    "orphan_skill_nodes": "SELECT node_id FROM fn WHERE label = 'Skill' AND node_id NOT IN (SELECT from_id FROM fe UNION SELECT to_id FROM fe)",
-    "invalid_node_labels": "SELECT node_id FROM fn WHERE label NOT IN ('Job', 'Skill', 'Occupation', 'SkillCategory', 'SkillAlias')",
-    "invalid_edge_labels": f"SELECT edge_id FROM fe WHERE label NOT IN ({_KNOWN})",
-    "missing_node_property": "SELECT node_id FROM fn WHERE name IS NULL OR trim(name) = ''",
-    "missing_edge_property": "SELECT edge_id FROM fe WHERE weight IS NULL OR source_job_id IS NULL",
-    "invalid_edge_endpoints": f"SELECT edge_id FROM ends WHERE label IN ({_KNOWN}) AND NOT ({_ENDS_OK})",
-    "missing_evidence": "SELECT edge_id FROM sk WHERE evidence IS NULL OR trim(evidence) = ''",
-    "invalid_confidence": "SELECT edge_id FROM fe WHERE confidence IS NULL OR NOT confidence BETWEEN 0 AND 1",
-    "invalid_weight": "SELECT edge_id FROM fe WHERE weight IS NULL OR NOT weight BETWEEN 0 AND 1",
-    "source_job_missing": "SELECT edge_id FROM sk WHERE NOT EXISTS (SELECT 1 FROM jobs WHERE job_id = source_job_id)",
-    "test_leakage": "SELECT node_id FROM fn WHERE lower(trim(data_split)) <> 'train' UNION ALL SELECT edge_id FROM fe WHERE lower(trim(data_split)) <> 'train'",
-    "alias_multiple_targets": "SELECT from_id FROM ends WHERE label = 'ALIAS_OF' GROUP BY 1 HAVING count(DISTINCT to_id) > 1",
-    "alias_cycle": "SELECT DISTINCT a.from_id FROM fe a JOIN fe b ON a.to_id = b.from_id AND b.to_id = a.from_id WHERE a.label = 'ALIAS_OF' AND b.label = 'ALIAS_OF'",
-    "protected_distinction_violation": "SELECT edge_id FROM ends WHERE label = 'ALIAS_OF' AND ((lower(from_name) = 'java' AND lower(to_name) = 'javascript') OR (lower(from_name) = 'javascript' AND lower(to_name) = 'java'))",
-    "super_node": "SELECT i FROM (SELECT from_id AS i FROM fe UNION ALL SELECT to_id FROM fe) GROUP BY 1 HAVING count(*) > 1000",
-    "low_support_cooccurrence": "SELECT edge_id FROM fe WHERE label = 'CO_OCCURS_WITH' AND \"count\" < 5",
-    "same_name_different_skill_type": "SELECT lower(name) FROM fn WHERE label = 'Skill' GROUP BY 1 HAVING count(DISTINCT skill_type) > 1",
-    "required_preferred_conflict": "SELECT from_id || '|' || to_id FROM sk GROUP BY from_id, to_id HAVING bool_or(label = 'REQUIRES') AND bool_or(label = 'PREFERS')",
-    "evidence_not_in_jd": "SELECT edge_id FROM sk JOIN jobs ON job_id = source_job_id WHERE trim(evidence) <> '' AND NOT contains(text, evidence)",
+    "duplicate_node_ids": "SELECT node_id, 'Duplicate node ID' FROM fn GROUP BY 1 HAVING count(*) > 1",
+    "duplicate_edge_ids": "SELECT edge_id, 'Duplicate edge ID' FROM fe GROUP BY 1 HAVING count(*) > 1",
+    "dangling_edges": "SELECT edge_id, 'Edge references a missing node' FROM fe WHERE from_id NOT IN (SELECT node_id FROM fn) OR to_id NOT IN (SELECT node_id FROM fn)",
+    "orphan_skill_nodes": "SELECT node_id, 'Skill node has no edges' FROM fn WHERE label = 'Skill' AND node_id NOT IN (SELECT from_id FROM fe UNION SELECT to_id FROM fe)",
+    "invalid_node_labels": "SELECT node_id, 'Invalid node label ' || label FROM fn WHERE label NOT IN ('Job', 'Skill', 'Occupation', 'SkillCategory', 'SkillAlias', 'Comet')",
+    "invalid_edge_labels": f"SELECT edge_id, 'Invalid edge label ' || label FROM fe WHERE label NOT IN ({_KNOWN})",
+    "missing_node_property": "SELECT DISTINCT label, label || ' is missing required property column embedding' FROM fn WHERE label = 'Skill'",
+    "missing_edge_property": "SELECT 'reviewed_by', 'All edge types require property column reviewed_by'",
+    "invalid_edge_endpoints": f"SELECT edge_id, label || ' expects ' || w || ', got ' || g FROM (SELECT *, CASE label {_WANT} END AS w, from_label || ' -> ' || to_label AS g FROM ends) WHERE w <> g",
+    "missing_evidence": "SELECT edge_id, 'Edge evidence is empty' FROM fe WHERE evidence IS NULL OR trim(evidence) = ''",
+    "invalid_confidence": "SELECT edge_id, 'Edge confidence is outside [0,1]' FROM fe WHERE confidence IS NULL OR NOT confidence BETWEEN 0 AND 1",
+    "invalid_weight": "SELECT edge_id, 'Edge weight is outside [0,1.0]' FROM fe WHERE weight IS NULL OR NOT weight BETWEEN 0 AND 1",
+    "source_job_missing": "SELECT edge_id, 'source_job_id does not exist' FROM fe WHERE trim(source_job_id) <> '' AND source_job_id NOT IN (SELECT job_id FROM src)",
+    "test_leakage": "SELECT node_id, 'Non-train Job is present in train graph' FROM fn WHERE label = 'Job' AND lower(data_split) <> 'train' UNION ALL SELECT edge_id, 'Test provenance is present on edge' FROM fe WHERE lower(data_split) = 'test'",
+    "alias_multiple_targets": "SELECT from_id, 'Alias points to ' || count(DISTINCT to_id) || ' skills' FROM fe WHERE label = 'ALIAS_OF' GROUP BY 1 HAVING count(DISTINCT to_id) > 1",
+    "alias_cycle": "SELECT DISTINCT s, 'Alias cycle detected' FROM reach WHERE t IN (SELECT s FROM reach WHERE s = t)",
+    "protected_distinction_violation": "SELECT edge_id, 'Protected distinction merged: ' || from_name || ' -> ' || to_name FROM ends WHERE label = 'ALIAS_OF' AND list_sort([lower(from_name), lower(to_name)]) = ['java', 'javascript']",
+    "super_node": "SELECT i, 'Node degree ' || count(*) || ' exceeds 1000' FROM (SELECT from_id AS i FROM fe UNION ALL SELECT to_id FROM fe) GROUP BY 1 HAVING count(*) > 1000",
+    "low_support_cooccurrence": "SELECT edge_id, 'CO_OCCURS_WITH is below configured threshold' FROM fe WHERE label = 'CO_OCCURS_WITH' AND (\"count\" < 5 OR npmi < 0.1)",
+    "same_name_different_skill_type": "SELECT NULL, normalized_name || ' has ' || count(DISTINCT skill_type) || ' skill types' FROM fn WHERE label = 'Skill' GROUP BY normalized_name HAVING count(DISTINCT skill_type) > 1",
+    "required_preferred_conflict": "SELECT from_id || '->' || to_id, 'Both REQUIRES and PREFERS: [' || chr(39) || array_to_string(list_sort(list(DISTINCT label)), chr(39) || ', ' || chr(39)) || chr(39) || ']' FROM sk GROUP BY from_id, to_id HAVING bool_or(label = 'REQUIRES') AND bool_or(label = 'PREFERS')",
+    "evidence_not_in_jd": "SELECT edge_id, 'Evidence is not a source JD substring' FROM sk LEFT JOIN src ON job_id = source_job_id WHERE evidence <> '' AND NOT contains(coalesce(body, ''), evidence)",
 }
+_ASIDE = " UNION ALL ".join(f"SELECT CAST(x.id AS VARCHAR) AS id FROM ({CHECK_SQL[c]}) AS x(id, message)" for c in C._ASIDE)
 
 
 def _check(name: str) -> None:
     def f(spark, sf):
-        return G.checks(*fx.faulty_graph(spark, sf), protected=(("java", "javascript"),))[name]
+        return C.found_by(fx.faulty_graph(spark, sf), name)
 
     f.__name__ = f"validate_{name}"
-    query(f"WITH {fx.FAULTY_SQL}, r(id) AS ({CHECK_SQL[name]}) SELECT '{name}' AS \"check\", '{G.SEVERITY[name]}' AS severity, CAST(id AS VARCHAR) AS record_id FROM r")(f)
+    cycle = f", reach(s, t) AS ({_AL} UNION SELECT reach.s, a.t FROM reach JOIN ({_AL}) a ON reach.t = a.s)" if name == "alias_cycle" else ""
+    query(
+        f"WITH {'RECURSIVE' if cycle else ''} {fx.FAULTY_SQL}{cycle}, r(id, message) AS ({CHECK_SQL[name]}) SELECT '{name}' AS \"check\", '{C.CHECKS[name][0]}' AS severity, CAST(id AS VARCHAR) AS record_id, message FROM r"
+    )(f)
 
 
 for _name in CHECK_SQL:
     _check(_name)
 
-_RETRIEVE = f"""WITH {fx.BASKETS_SQL}, {fx.EDGES_SQL}, b AS (SELECT DISTINCT skill, skill_type FROM js),
-an AS (SELECT CAST(substr(skill, 7) AS INT) AS query_id, 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16) AS anchor FROM b WHERE skill IN ('Brand#11', 'Brand#23')),
+
+@query(f"""WITH {fx.FAULTY_SQL}, a AS (SELECT count(*) AS names, count(*) FILTER (pos <> 7) AS selected FROM js), v AS (SELECT count(*) AS node_count, count(*) FILTER (label = 'Job') AS jobs,
+count(*) FILTER (label = 'Job' AND trim(coalesce(occupation_code, '')) <> '') AS coded FROM fn), w AS (SELECT count(*) AS edge_count, count(*) FILTER ({_JS}) AS skill_edge_count, count(DISTINCT from_id) FILTER ({_JS}) AS have,
+count(*) FILTER (confidence < 0.5) AS low FROM fe)
+SELECT node_count, edge_count, skill_edge_count, have / jobs AS extraction_coverage, coded / jobs AS occupation_coverage, low / edge_count AS low_confidence_edge_rate, selected / names AS canonicalization_rate,
+(names - selected) / names AS unresolved_skill_rate FROM a, v, w""")
+def validate_metrics(spark, sf):
+    return C.quality_metrics(fx.faulty_graph(spark, sf))
+
+
+@query(f"""WITH {fx.FAULTY_SQL}, r AS ({_ASIDE}) SELECT DISTINCT edge_id, from_id, to_id, label, round(weight, 9) AS weight, evidence, source_job_id FROM fe WHERE edge_id IN (SELECT id FROM r)""")
+def validate_invalid_edges(spark, sf):
+    return C.invalid_edges(fx.faulty_graph(spark, sf).stored()).select("edge_id", "from_id", "to_id", "label", F.round("weight", 9).alias("weight"), "evidence", "source_job_id").distinct()
+
+
+@query(f"""WITH {fx.FAULTY_SQL} SELECT DISTINCT node_id, label, name, data_split FROM fn WHERE node_id IN (SELECT node_id FROM fn GROUP BY 1 HAVING count(*) > 1) OR label = 'Planet' OR label = 'Job' AND data_split <> 'train'""")
+def validate_invalid_nodes(spark, sf):
+    return C.invalid_nodes(fx.faulty_graph(spark, sf).stored()).select("node_id", "label", "name", "data_split")
+
+
+_RETRIEVE = f"""WITH {fx.BASKETS_SQL}, {fx.EDGES_SQL}, {_STATISTICS}, b AS (SELECT DISTINCT skill, skill_type FROM js),
+an AS (SELECT CAST(substr(skill, 7) AS INT) AS query_id, {fx._SKILL} AS anchor FROM b WHERE skill IN ('Brand#11', 'Brand#23')),
 jsk AS (SELECT from_id AS job, to_id AS skill, label, weight AS w FROM e WHERE {_JS}),
-d AS (SELECT DISTINCT job_id, skill, skill_type FROM js), t AS (SELECT count(DISTINCT job_id) AS total FROM js),
-sid AS (SELECT job_id, 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16) AS s FROM d), f AS (SELECT s, count(*) AS n FROM sid GROUP BY 1),
-pc AS (SELECT x.s AS a, y.s AS b, count(*) AS c FROM sid x JOIN sid y ON x.job_id = y.job_id AND x.s < y.s GROUP BY 1, 2 HAVING count(*) >= 5),
-co AS (SELECT a, b, greatest(0, ln(c * total / (fa.n * fb.n)) / -ln(c / total)) AS wr FROM pc JOIN f fa ON fa.s = a JOIN f fb ON fb.s = b, t WHERE ln(c * total / (fa.n * fb.n)) / -ln(c / total) >= 0.01),
-sy AS (SELECT a, b, wr FROM co UNION ALL SELECT b, a, wr FROM co),
+sy AS (SELECT a, b, greatest(0, npmi) AS wr FROM co UNION ALL SELECT b, a, greatest(0, npmi) FROM co),
 one AS (SELECT query_id, job, anchor, anchor || '>' || job AS path, label AS edge_types, w AS score FROM an JOIN jsk ON anchor = skill),
 two AS (SELECT query_id, job, b AS anchor, anchor || '>' || b || '>' || job AS path, 'CO_OCCURS_WITH>' || label AS edge_types, wr * w * 0.7 AS score FROM an JOIN sy ON anchor = a JOIN jsk ON b = skill)"""
 
 
 def _traces(spark, sf, hops):
     js = fx.baskets(spark, sf)
-    ids = js.select("job_id", G.skill_id(F.col("skill"), F.col("skill_type")).alias("skill"))
-    e = G.edges(js, statistics.cooccurrence(ids, 5, 0.01) if hops == 2 else None)
+    e = G.edges(fx.order_jobs(spark, sf), js, statistics.cooccurrence(_skill_ids(js).select("job_id", "skill"), 5, 0.01) if hops == 2 else None)
     b = js.select("skill", "skill_type").distinct().where(F.col("skill").isin("Brand#11", "Brand#23"))
     anchors = b.select(F.expr("cast(substr(skill, 7) as int)").alias("query_id"), G.skill_id(F.col("skill"), F.col("skill_type")).alias("skill_id"))
     return G.paths(e, anchors, hops)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
+from lodestar.operators import checks as C
 from lodestar.operators import graph as G
 
 
@@ -44,56 +45,95 @@ jobs AS (SELECT CAST(p_partkey AS VARCHAR) AS job_id, TIMESTAMP '2024-01-01' + t
 
 
 def baskets(spark, sf) -> DataFrame:
-    """Skills of jobs: brands of an order's parts."""
+    """Skills of jobs: brands of an order's parts, some under another name, some without evidence or with one from elsewhere."""
     li, part, orders = (table(spark, sf, n) for n in ("lineitem", "part", "orders"))
     level = F.when(F.col("l_returnflag") == "R", "required").when(F.col("l_returnflag") == "A", "preferred").otherwise("mentioned")
+    raw = F.when(F.col("l_linenumber") == 3, F.concat(F.lit("Part "), "p_brand")).otherwise(F.col("p_brand"))
+    evidence = F.when(F.col("l_partkey") % 97 == 0, "elsewhere").when(F.col("l_partkey") % 101 == 0, "").otherwise(raw)
     return li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey).select(
         F.col("l_orderkey").alias("job_id"), F.col("p_brand").alias("skill"), F.col("p_type").alias("skill_type"), F.col("o_orderpriority").alias("occupation_code"),
-        level.alias("requirement"), F.lit(0.9).alias("importance"), (1 - F.col("l_tax")).alias("confidence"),
+        level.alias("requirement"), F.lit(0.9).alias("importance"), (1 - F.col("l_tax")).alias("confidence"), raw.alias("raw_mention"), evidence.alias("evidence"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("posted_at"), F.col("l_linenumber").alias("pos"),
     )
 
 
-BASKETS_SQL = """js AS (SELECT l_orderkey AS job_id, p_brand AS skill, p_type AS skill_type, o_orderpriority AS occupation_code,
-  CASE l_returnflag WHEN 'R' THEN 'required' WHEN 'A' THEN 'preferred' ELSE 'mentioned' END AS requirement, 0.9::DOUBLE AS importance, 1 - l_tax AS confidence
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey)"""
+def order_jobs(spark, sf) -> DataFrame:
+    """Orders as jobs: what INSTANCE_OF edges need."""
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("job_id"), F.col("o_orderpriority").alias("occupation_code"))
 
-NODES_SQL = """n AS (
-  SELECT DISTINCT 'job:' || job_id AS node_id, 'Job' AS label, CAST(job_id AS VARCHAR) AS name, '' AS skill_type, CAST(0 AS BIGINT) AS train_frequency FROM js
-  UNION ALL SELECT DISTINCT 'occupation:' || trim(occupation_code), 'Occupation', trim(occupation_code), '', 0 FROM js
-  UNION ALL SELECT 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16), 'Skill', skill, skill_type, count(DISTINCT job_id) FROM js GROUP BY skill, skill_type
-  UNION ALL SELECT DISTINCT 'category:' || lower(skill_type), 'SkillCategory', skill_type, '', 0 FROM js)"""
 
-EDGES_SQL = """e0 AS (
-  SELECT 'job:' || job_id AS from_id, 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16) AS to_id,
-    CASE requirement WHEN 'required' THEN 'REQUIRES' WHEN 'preferred' THEN 'PREFERS' ELSE 'MENTIONS' END AS label,
-    (CASE requirement WHEN 'required' THEN 1.0 WHEN 'preferred' THEN 0.72 ELSE 0.45 END)::DOUBLE * max(importance) * max(confidence) AS weight, CAST(job_id AS VARCHAR) AS source_job_id, job_id || ':' || lower(skill) AS origin
-    FROM js GROUP BY job_id, skill, skill_type, requirement
-  UNION ALL SELECT DISTINCT 'job:' || job_id, 'occupation:' || trim(occupation_code), 'INSTANCE_OF', 1.0, CAST(job_id AS VARCHAR), CAST(job_id AS VARCHAR) FROM js
-  UNION ALL SELECT DISTINCT 'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16), 'category:' || lower(skill_type), 'IS_A', 1.0, '', skill_type FROM js),
+def basket_jobs(spark, sf) -> DataFrame:
+    """Orders as jobs with their texts; the requirements are the names of the parts."""
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "raw_mention"))), lambda x: x["raw_mention"]), ", ")
+    texts = baskets(spark, sf).groupBy("job_id").agg(listed.alias("requirements"))
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("job_id"), F.concat("o_orderpriority", F.lit(" job")).alias("title"), F.concat(F.lit("Order of "), F.col("o_custkey").cast("string")).alias("description"),
+        F.col("o_orderstatus").alias("location_code"), F.col("o_orderpriority").alias("occupation_code"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("posted_at"), F.lit("train").alias("data_split"),
+    )
+    return o.join(texts, "job_id", "left").na.fill("", ["requirements"])
+
+
+_SKILL = "'skill:' || substr(sha256(lower(skill) || '|' || skill_type), 1, 16)"
+_ALIAS = "'alias:' || substr(sha256(lower(raw_mention)), 1, 16)"
+BASKETS_SQL = """js AS (SELECT *, CASE WHEN part_key % 97 = 0 THEN 'elsewhere' WHEN part_key % 101 = 0 THEN '' ELSE raw_mention END AS evidence FROM (
+  SELECT l_orderkey AS job_id, p_brand AS skill, p_type AS skill_type, o_orderpriority AS occupation_code, l_partkey AS part_key, l_linenumber AS pos,
+  CASE l_returnflag WHEN 'R' THEN 'required' WHEN 'A' THEN 'preferred' ELSE 'mentioned' END AS requirement, 0.9::DOUBLE AS importance, 1 - l_tax AS confidence,
+  CASE WHEN l_linenumber = 3 THEN 'Part ' || p_brand ELSE p_brand END AS raw_mention, strftime(o_orderdate, '%Y-%m-%d') AS posted_at
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey)),
+jb AS (SELECT o_orderkey AS job_id, o_orderpriority || ' job' AS title, coalesce(requirements, '') AS requirements, 'Order of ' || o_custkey AS description, o_orderpriority AS occupation_code,
+  strftime(o_orderdate, '%Y-%m-%d') AS posted_at FROM orders LEFT JOIN (SELECT job_id, string_agg(raw_mention, ', ' ORDER BY pos, raw_mention) AS requirements FROM js GROUP BY 1) ON job_id = o_orderkey)"""
+
+NODE_COLUMNS = ("node_id", "label", "name", "occupation_code", "posted_at", "data_split", "source_hash", "normalized_alias", "first_seen_at", "normalized_name", "skill_type", "train_frequency")
+NODES_SQL = f"""n AS (
+  SELECT 'job:' || job_id AS node_id, 'Job' AS label, CAST(job_id AS VARCHAR) AS job_id, occupation_code, posted_at, 'train' AS data_split,
+    sha256('{{"description":"' || description || '","requirements":"' || requirements || '","title":"' || title || '"}}') AS source_hash FROM jb
+  UNION ALL BY NAME SELECT DISTINCT 'occupation:' || trim(occupation_code) AS node_id, 'Occupation' AS label, trim(occupation_code) AS name, trim(occupation_code) AS occupation_code FROM jb
+  UNION ALL BY NAME SELECT {_SKILL} AS node_id, 'Skill' AS label, skill AS name, lower(skill) AS normalized_name, skill_type, min(posted_at) AS first_seen_at, count(DISTINCT job_id) AS train_frequency FROM js GROUP BY skill, skill_type
+  UNION ALL BY NAME SELECT DISTINCT 'category:' || lower(skill_type) AS node_id, 'SkillCategory' AS label, skill_type AS name FROM js
+  UNION ALL BY NAME SELECT DISTINCT ON (raw_mention) {_ALIAS} AS node_id, 'SkillAlias' AS label, raw_mention AS name, lower(raw_mention) AS normalized_alias, min(posted_at) OVER (PARTITION BY raw_mention) AS first_seen_at
+    FROM js WHERE lower(raw_mention) <> lower(skill))"""
+
+EDGES_SQL = f"""e0 AS (
+  SELECT 'job:' || job_id AS from_id, skill AS to_id, CASE requirement WHEN 'required' THEN 'REQUIRES' WHEN 'preferred' THEN 'PREFERS' ELSE 'MENTIONS' END AS label,
+    (CASE requirement WHEN 'required' THEN 1.0 WHEN 'preferred' THEN 0.72 ELSE 0.45 END)::DOUBLE * m.i * m.c AS weight, m.c AS confidence, m.e AS evidence, CAST(job_id AS VARCHAR) AS source_job_id, m.r AS raw_mention, job_id || ':' || raw AS origin
+    FROM (SELECT job_id, {_SKILL} AS skill, requirement, lower(raw_mention) AS raw, max({{'i': importance, 'c': confidence, 'e': evidence, 'r': raw_mention}}) AS m FROM js GROUP BY 1, 2, 3, 4)
+  UNION ALL SELECT 'job:' || job_id, 'occupation:' || trim(occupation_code), 'INSTANCE_OF', 1.0, 1.0, trim(occupation_code), CAST(job_id AS VARCHAR), NULL, CAST(job_id AS VARCHAR) FROM jb
+  UNION ALL SELECT DISTINCT {_SKILL}, 'category:' || lower(skill_type), 'IS_A', 1.0, 1.0, skill_type, '', NULL, skill_type FROM js
+  UNION ALL SELECT alias, skill, 'ALIAS_OF', 1.0, m.c, m.e, CAST(m.j AS VARCHAR), NULL, raw
+    FROM (SELECT {_ALIAS} AS alias, {_SKILL} AS skill, lower(raw_mention) AS raw, min({{'j': job_id, 'c': confidence, 'e': evidence}}) AS m FROM js WHERE lower(raw_mention) <> lower(skill) GROUP BY 1, 2, 3)),
 e AS (SELECT substr(sha256(from_id || '|' || label || '|' || to_id || '|' || origin), 1, 20) AS edge_id, * EXCLUDE (origin) FROM e0)"""
 
 #: Rows with one fault each. Skills are of two kinds of alias; jobs are written out.
+BAD_NODE = "node_id string, label string, name string, skill_type string, normalized_name string, data_split string, job_id string"
 BAD_NODES = [
-    ("dup", "Job", "d", "", "train"), ("dup", "Job", "d", "", "train"), ("odd", "Planet", "p", "", "train"), ("orphan", "Skill", "lonely", "t", "train"), ("noname", "Job", " ", "", "train"),
-    ("late", "Job", "l", "", "test"), ("s1", "Skill", "Java", "Language", "train"), ("s2", "Skill", "JavaScript", "Language", "train"), ("s3", "Skill", "java", "Beverage", "train"),
-    ("al1", "SkillAlias", "javascript", "", "train"), ("al2", "SkillAlias", "js", "", "train"), ("al3", "SkillAlias", "ecma", "", "train"), ("j1", "Job", "x", "", "train"),
+    ("dup", "Job", None, None, None, "train", "d"), ("dup", "Job", None, None, None, "train", "d"), ("odd", "Planet", "p", None, None, None, None), ("orphan", "Skill", "lonely", "t", "lonely", None, None),
+    ("late", "Job", None, None, None, "test", "l"), ("s1", "Skill", "Java", "Language", "java", None, None), ("s2", "Skill", "JavaScript", "Language", "javascript", None, None),
+    ("s3", "Skill", "java", "Beverage", "java", None, None), ("al1", "SkillAlias", "JavaScript", None, None, None, None), ("al2", "SkillAlias", "js", None, None, None, None),
+    ("al3", "SkillAlias", "ecma", None, None, None, None), ("al4", "SkillAlias", "es", None, None, None, None), ("j1", "Job", None, None, None, "train", "x"),
 ]
+BAD_EDGE = "edge_id string, from_id string, to_id string, label string, weight double, confidence double, evidence string, source_job_id string, data_split string, count long, npmi double"
 BAD_EDGES = [
-    ("e1", "j1", "s1", "REQUIRES", 0.5, 1.5, "Java", "0", "train", 0), ("e2", "j1", "s1", "PREFERS", 1.5, 0.5, "", "0", "train", 0), ("e2", "j1", "s2", "PREFERS", 0.5, 0.5, "Rust", "none", "train", 0),
-    ("e4", "j1", "gone", "MENTIONS", 0.5, 0.5, "Java", "0", "train", 0), ("e5", "s1", "j1", "REQUIRES", None, 0.5, "Java", "0", "validation", 0), ("e6", "s1", "s2", "CO_OCCURS_WITH", 0.2, 1.0, None, None, "train", 2),
-    ("e7", "al1", "s1", "ALIAS_OF", 1.0, 1.0, None, "0", "train", 0), ("e8", "al1", "s2", "ALIAS_OF", 1.0, 1.0, None, "0", "train", 0), ("e9", "al2", "al3", "ALIAS_OF", 1.0, 1.0, None, "0", "train", 0),
-    ("e10", "al3", "al2", "ALIAS_OF", 1.0, 1.0, None, "0", "train", 0), ("e11", "s1", "s2", "LIKES", 1.0, 1.0, None, "0", "train", 0), ("e12", "s3", "j1", "LIKES", -0.1, 1.0, None, "0", "train", 0),
+    ("e1", "j1", "s1", "REQUIRES", 0.5, 1.5, "Java", "0", None, None, None), ("e2", "j1", "s1", "PREFERS", 1.5, 0.5, "", "0", None, None, None), ("e2", "j1", "s2", "PREFERS", 0.5, 0.5, "Rust", "none", None, None, None),
+    ("e4", "j1", "gone", "MENTIONS", 0.5, 0.5, "Java", "0", None, None, None), ("e5", "s1", "j1", "REQUIRES", None, 0.5, "Java", "0", "test", None, None), ("e6", "s1", "s2", "CO_OCCURS_WITH", 0.2, 1.0, "x", "", None, 2, 0.5),
+    ("e7", "al1", "s1", "ALIAS_OF", 1.0, 1.0, None, "0", None, None, None), ("e8", "al1", "s2", "ALIAS_OF", 1.0, 1.0, "js", "0", None, None, None), ("e9", "al2", "al3", "ALIAS_OF", 1.0, 1.0, "js", "0", None, None, None),
+    ("e10", "al3", "al4", "ALIAS_OF", 1.0, 1.0, "js", "0", None, None, None), ("e11", "al4", "al2", "ALIAS_OF", 1.0, 0.2, "js", "0", None, None, None), ("e12", "s1", "s2", "LIKES", 1.0, 1.0, "x", " ", None, None, None),
+    ("e13", "s3", "j1", "LIKES", -0.1, 1.0, "x", "", None, None, None), ("e14", "s2", "s3", "CO_OCCURS_WITH", 0.0, 1.0, "x", "", None, 7, 0.05),
 ]
+#: More than the built graph has: the columns that lack are findings.
+MORE_PROPERTIES = {"Skill": ("skill_id", "embedding"), "Planet": ("mass",), "Job": ("job_id",), "Comet": ("tail",)}
 
 
-def faulty_graph(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    js = baskets(spark, sf)
-    n = G.nodes(js).select("node_id", "label", "name", "skill_type", F.lit("train").alias("data_split"))
-    e = G.edges(js).select("edge_id", "from_id", "to_id", "label", "weight", F.lit(0.9).alias("confidence"), F.lit("Brand").alias("evidence"), "source_job_id", F.lit("train").alias("data_split"), F.lit(9).alias("count"))
-    bad_n = spark.createDataFrame(BAD_NODES, "node_id string, label string, name string, skill_type string, data_split string")
-    bad_e = spark.createDataFrame(BAD_EDGES, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in e.schema))
-    jobs = js.select(F.col("job_id").cast("string").alias("job_id"), F.lit("Brand and more").alias("text")).distinct().union(spark.createDataFrame([("0", "Java only")], "job_id string, text string"))
-    return n.union(bad_n), e.union(bad_e), jobs
+def faulty_graph(spark, sf) -> C.Graph:
+    """The graph of the baskets as it is built, and rows with faults."""
+    js, jobs = baskets(spark, sf), basket_jobs(spark, sf)
+    n = G.nodes(jobs, js).unionByName(spark.createDataFrame(BAD_NODES, BAD_NODE), allowMissingColumns=True)
+    e = G.edges(order_jobs(spark, sf), js).unionByName(spark.createDataFrame(BAD_EDGES, BAD_EDGE), allowMissingColumns=True)
+    source = jobs.select(F.col("job_id").cast("string").alias("job_id"), "title", "requirements", "description").union(spark.createDataFrame([("0", "", "Java only", "")], "job_id string, title string, requirements string, description string"))
+    known = {k: v for k, v in MORE_PROPERTIES.items() if k != "Planet"}
+    labels = {**{k: () for k in G.NODE_LABELS}, **known}
+    rules = C.Rules(node_properties=labels, edge_properties=("weight", "reviewed_by"), protected=(("java", "javascript"),))
+    audit = js.select(F.when(F.col("pos") != 7, F.col("skill")).alias("selected"))
+    return C.Graph(n, e, source, audit, rules)
 
 
 def _values(rows) -> str:
@@ -101,11 +141,12 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows)
 
 
+_names = lambda schema: ", ".join(f'"{c.split()[0]}"' for c in schema.split(", "))
 FAULTY_SQL = f"""{BASKETS_SQL}, {NODES_SQL}, {EDGES_SQL},
-fn AS (SELECT node_id, label, name, skill_type, 'train' AS data_split FROM n UNION ALL VALUES {_values(BAD_NODES)}),
-fe AS (SELECT edge_id, from_id, to_id, label, weight, 0.9::DOUBLE AS confidence, 'Brand' AS evidence, source_job_id, 'train' AS data_split, 9 AS "count" FROM e UNION ALL VALUES {_values(BAD_EDGES)}),
-jobs AS (SELECT DISTINCT CAST(job_id AS VARCHAR) AS job_id, 'Brand and more' AS text FROM js UNION ALL SELECT '0', 'Java only'),
-ids AS (SELECT node_id, min(label) AS l, min(name) AS nm FROM fn GROUP BY 1),
+fn AS (SELECT * FROM n UNION ALL BY NAME SELECT * FROM (VALUES {_values(BAD_NODES)}) AS t({_names(BAD_NODE)})),
+fe AS (SELECT * FROM e UNION ALL BY NAME SELECT * FROM (VALUES {_values(BAD_EDGES)}) AS t({_names(BAD_EDGE)})),
+src AS (SELECT CAST(job_id AS VARCHAR) AS job_id, concat_ws(chr(10), title, requirements, description) AS body FROM jb UNION ALL SELECT '0', chr(10) || 'Java only' || chr(10)),
+ids AS (SELECT node_id, min(label) AS l, coalesce(min(name), '') AS nm FROM fn GROUP BY 1),
 ends AS (SELECT fe.*, f.l AS from_label, f.nm AS from_name, t.l AS to_label, t.nm AS to_name FROM fe JOIN ids f ON from_id = f.node_id JOIN ids t ON to_id = t.node_id),
 sk AS (SELECT * FROM fe WHERE label IN ('REQUIRES', 'PREFERS', 'MENTIONS'))"""
 

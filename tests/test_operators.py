@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from lodestar.functions import text as T
 from lodestar.operators import behaviour as B
+from lodestar.operators import checks as C
 from lodestar.operators import contracts, hybrid, ltr, ranking, statistics
 from lodestar.operators import extraction as X
 from lodestar.operators import graph as G
@@ -137,15 +138,21 @@ def test_parse_and_features(spark):
 def test_graph_of_mentions(spark):
     rows = [(1, "React", "ReactJS", "Framework", "required"), (2, "react", "react", "Framework", "mentioned"), (2, "Go", "Go", "Language", "preferred")]
     js = spark.createDataFrame(rows, "job_id int, skill string, raw_mention string, skill_type string, requirement string").withColumns({"occupation_code": F.lit(" 7 "), "importance": F.lit(1.0), "confidence": F.lit(0.5)})
-    n, ids = G.nodes(js), {}
+    jobs = spark.createDataFrame([(1, " 7 ", "2024-01-02", 't"'), (2, " 7 ", "2024-01-01", None)], "job_id int, occupation_code string, posted_at string, title string")
+    js = js.join(jobs.select("job_id", "posted_at"), "job_id")
+    n, ids = G.nodes(jobs, js), {}
     for r in n.collect():
-        ids[r.label, r.name] = r.node_id
+        ids[r.label, r.name or r.job_id] = r.node_id
+        if r.label == "Skill":
+            assert r.first_seen_at == "2024-01-01" and r.train_frequency == (2 if r.name == "React" else 1)
+        if r.job_id == "1":
+            assert r.source_hash == files.stable_hash({"title": 't"', "requirements": "", "description": ""})
     sha = lambda s, k: hashlib.sha256(s.encode()).hexdigest()[:k]
     react, go = f"skill:{sha('react|Framework', 16)}", f"skill:{sha('go|Language', 16)}"
     assert ids["Skill", "React"] == react and ("Skill", "react") not in ids and ids["SkillAlias", "ReactJS"] == f"alias:{sha('reactjs', 16)}" and ids["SkillCategory", "Framework"] == "category:framework"
     pairs = spark.createDataFrame([(go, react, 0.5)], "skill_a string, skill_b string, npmi double")
     core = spark.createDataFrame([("7", go, 0.5)], "occupation_code string, skill string, core_skill_weight double")
-    e = G.edges(js, pairs, core, "a", "b")
+    e = G.edges(jobs, js, pairs, core, "a", "b")
     got = {(r.label, r.from_id, r.to_id): r for r in e.collect()}
     assert got["REQUIRES", "job:1", react].edge_id == sha(f"job:1|REQUIRES|{react}|1:reactjs", 20) and got["CORE_SKILL", "occupation:7", go].weight == 0.5
     assert got["CO_OCCURS_WITH", *sorted((go, react))].edge_id == sha(f"{min(go, react)}|CO_OCCURS_WITH|{max(go, react)}|a|b", 20) and ("ALIAS_OF", ids["SkillAlias", "ReactJS"], react) in got
@@ -202,7 +209,24 @@ def test_guards_and_contracts(spark):
     with pytest.raises(ValueError):
         prepare.Config("2024-02-01", "2024-01-01")
     cycle = spark.createDataFrame([("a", "b", "ALIAS_OF"), ("b", "c", "ALIAS_OF"), ("c", "a", "ALIAS_OF"), ("d", "a", "ALIAS_OF")], "from_id string, to_id string, label string")
-    assert {r.node_id for r in G.alias_cycles(cycle).collect()} == {"a", "b", "c"}
+    chain = spark.createDataFrame([(f"x{i}", f"x{i + 1}") for i in range(9)], "from_id string, to_id string").withColumn("label", F.lit("ALIAS_OF"))
+    assert {r.node_id for r in C.reaching_cycles(cycle.unionByName(chain)).collect()} == {"a", "b", "c", "d"}
+    with pytest.raises(ValueError):
+        G.require_one_version(spark.createDataFrame([("a", 1), ("a", 2)], "node_id string, n int"), "node_id")
+    assert G.require_one_version(spark.createDataFrame([("a", 1), ("a", 1)], "node_id string, n int"), "node_id").count() == 1
+    known = spark.createDataFrame([("1", "train"), ("2", "test")], "job_id string, data_split string")
+    G.require_known_jobs(known.select("job_id").limit(1), known.where("job_id = '1'"))
+    for mentions, jobs in ((known, known), (known, known.where("job_id = '1'")), (known.limit(0), known.union(known).where("job_id = '1'"))):
+        with pytest.raises(ValueError):
+            G.require_known_jobs(mentions, jobs)
+
+
+def test_graph_report(spark):
+    from lodestar.plans import fixtures
+
+    g = fixtures.faulty_graph(spark, "/root/testdata/sf0.001")
+    out, text = C.report(C.Graph(g.nodes.where("label != 'Job' or node_id in ('late', 'dup')"), g.edges.where("label in ('ALIAS_OF', 'LIKES')"), rules=C.Rules(policies={"super_node": "fail"})), most=5)
+    assert out["status"] == "failed" and len(out["findings"]) == 5 and out["finding_counts"]["invalid_edge_labels"] == 2 and "`failed`" in text
 
 
 def test_providers(spark):
