@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,9 +14,12 @@ from lodestar.llm.components import components
 from lodestar.llm.tables import materialise, running_totals
 from lodestar.llm.vectors import matrix, runs, takes_part, units
 
-#: Rows that are compared at a time; neighbours kept at first; orders tried at a time; vectors in the audit.
-BLOCK, NEIGHBOURS, ORDERS, AUDITED = 1024, 16, 6, 512
-RECALL, MOST_ROUNDS = 0.995, 8
+#: Rows that are compared at a time; neighbours kept at first, and at most; vectors of each kind in the audit.
+BLOCK, NEIGHBOURS, WIDEST, AUDITED = 1024, 16, 128, 512
+#: Bytes of vectors, in double precision, of a piece of a component.
+PIECE_BYTES = 16 << 20
+#: The recall that is asked for; that which the orders alone promise a pair right at the threshold; turns until it must hold.
+RECALL, PROMISED, MOST_ROUNDS = 0.995, 0.997, 8
 _EDGES = "u long, v long, s double, kind int"
 
 
@@ -68,7 +72,15 @@ def _joined(ids: np.ndarray, cosines: np.ndarray, least: float) -> pa.RecordBatc
     return _edges(np.concatenate(seeds), np.concatenate(found), np.ones(sum(map(len, found))), 1)
 
 
-def _seeds(nodes: DataFrame, first: int, threshold: float, floor: float) -> DataFrame:
+def orders_for(rows: int, threshold: float) -> int:
+    """How many orders bring a pair with a cosine of `threshold` into one block with a chance of PROMISED, if in each the
+    block is a prefix of the signs: a plane parts the pair with a chance of its angle over pi."""
+    bits = max(0.0, math.log2(max(1, rows) / BLOCK))
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return 1 if together >= PROMISED else math.ceil(math.log(1 - PROMISED) / math.log1p(-together))
+
+
+def _seeds(nodes: DataFrame, first: int, orders: int, threshold: float, floor: float) -> DataFrame:
     """Neighbours within blocks of BLOCK rows along several orders by the signs of random projections. A block is cut
     by position, so it never grows with a dense group."""
 
@@ -81,7 +93,7 @@ def _seeds(nodes: DataFrame, first: int, threshold: float, floor: float) -> Data
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 x = units(matrix(batch.column(2).take(pa.array(at))))
-                for order in range(first, first + ORDERS):
+                for order in range(first, first + orders):
                     plane = np.random.default_rng(7919 * order + 1).standard_normal((60, dim))
                     bits = (x @ plane.T > 0).astype(np.int64)
                     out_o.append(np.full(len(at), order))
@@ -121,7 +133,7 @@ def _refine(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float,
     twice as wide from then on. Gives the new lists and the links that the meetings join."""
     full = graph.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("least"), F.max("width").alias("width"))
     wide = full.select(
-        "u", F.when((F.col("n") >= F.col("width")) & (F.col("least") >= threshold), F.col("width") * 2).otherwise(F.col("width")).alias("wide")
+        "u", F.when((F.col("n") >= F.col("width")) & (F.col("least") >= threshold), F.least(F.col("width") * 2, F.lit(WIDEST))).otherwise(F.col("width")).alias("wide")
     )
     both = graph.select("u", "v", "s").union(graph.select("v", "u", "s")).distinct()
     best = Window.partitionBy("u").orderBy(F.col("s").desc(), "v")
@@ -145,10 +157,12 @@ def _refine(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float,
 
 def _counted(nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """(node, links): for each node of a component the copies of other vectors that it is linked to. A component is
-    dealt to pieces of at most about BLOCK rows, pairs of pieces meet, and only counts leave them: this is a list as
-    wide as the component, for every node whose list was too short to hold its links."""
+    dealt to pieces of about PIECE_BYTES, pairs of pieces meet, BLOCK rows at a time, and only counts leave them: this is a
+    list as wide as the component, for every node whose list was too short to hold its links. Work grows with the
+    square of a component's size; what is shuffled with its size times the number of its pieces."""
     rooted = nodes.join(roots, "node")
-    pieces = rooted.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("pieces"))
+    size = F.ceil(F.count(F.lit(1)) * F.first("dim") * 8 / PIECE_BYTES)  # a component's vectors are of one length
+    pieces = rooted.groupBy("root").agg(size.alias("pieces"))
     dealt = rooted.join(pieces, "root").select(
         "root", "node", "vec", "copies", "pieces", F.pmod(F.xxhash64("node"), "pieces").alias("own")
     )
@@ -160,13 +174,19 @@ def _counted(nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
         for group in runs(it, 3):
             a, b = group["a"][0].as_py(), group["b"][0].as_py()
             ids, x, n, own = group["node"].to_numpy(), units(matrix(group["vec"])), group["copies"].to_numpy(), group["own"].to_numpy()
-            left, right = (own == a), (own == b)
-            near = x[left] @ x[right].T >= threshold
-            if a == b:
-                np.fill_diagonal(near, False)
-                sums = [(ids[left], near @ n[right])]
-            else:
-                sums = [(ids[left], near @ n[right]), (ids[right], near.T @ n[left])]
+            left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
+            found = np.zeros(len(ids), np.int64)
+            for i in range(0, len(left), BLOCK):
+                one = left[i : i + BLOCK]
+                for j in range(i if a == b else 0, len(right), BLOCK):
+                    two = right[j : j + BLOCK]
+                    near = x[one] @ x[two].T >= threshold
+                    if a == b and i == j:
+                        np.fill_diagonal(near, False)
+                    else:
+                        found[two] += near.T @ n[one]
+                    found[one] += near @ n[two]
+            sums = [(ids, found)]
             for node, links in sums:
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(links, pa.int64())], names=["node", "links"])
 
@@ -178,10 +198,13 @@ def _counted(nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
 
 
 def _recall(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Links found over links that there are, for AUDITED vectors chosen by a hash, each compared with all."""
-    sample = nodes.join(counts, "node", "left").select(
-        "node", "dim", "vec", F.coalesce("links", F.lit(0)).alias("links")
-    ).orderBy(F.xxhash64("node"), "node").limit(AUDITED).toArrow()
+    """The mean, over vectors that have links, of the share of their links that were found, so that small groups count as
+    much as large ones. Estimated from AUDITED vectors for which links were found and AUDITED for which none were, chosen by a
+    hash and compared with all; each of the two kinds counts by its number."""
+    known = nodes.join(counts, "node", "left").select("node", "dim", "vec", F.coalesce("links", F.lit(0)).alias("links")).withColumn("some", F.col("links") > 0)
+    sizes = {r.some: r.n for r in known.groupBy("some").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    kinds = [known.where(F.col("some") == some).orderBy(F.xxhash64("node"), "node").limit(AUDITED) for some in (True, False)]
+    sample = kinds[0].union(kinds[1]).toArrow()
     if not sample.num_rows:
         return 1.0
     asked = []
@@ -205,9 +228,16 @@ def _recall(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
                     total[i] = total.get(i, 0) + n
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["node", "n"])
 
-    true = nodes.select("node", "dim", "vec", "copies").mapInArrow(compare, "node long, n long").agg(F.sum("n")).first()[0] or 0
+    true = nodes.select("node", "dim", "vec", "copies").mapInArrow(compare, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    want = {r.node: r.n for r in true.collect()}  # a row for each audited vector
     shared.unpersist()
-    return sum(sample["links"].to_pylist()) / true if true else 1.0
+    shares = {True: [], False: []}
+    for node, links, some in zip(*(sample[c].to_pylist() for c in ("node", "links", "some"))):
+        if some or want[node]:
+            shares[some].append(links / want[node] if want[node] else 1.0)
+    lost = sizes.get(False, 0) * len(shares[False]) / max(1, min(AUDITED, sizes.get(False, 0)))
+    have = sizes.get(True, 0)
+    return have * sum(shares[True]) / len(shares[True]) / (have + lost) if shares[True] else float(not lost)
 
 
 def near_duplicates(
@@ -220,8 +250,10 @@ def near_duplicates(
     2 threshold^2 - 1 only: two vectors that are both linked to a third are never further apart, so no others can lead
     to a link. Lists full of links are made twice as wide; besides, every meeting passes on links that join all
     it found connected, so a dense group stays together. Links within components are then counted against the whole
-    component, in blocks. An audit compares AUDITED vectors with all; while it finds less than `recall` of
-    their links, further orders are tried.
+    component, in blocks. There are as many orders as a pair at the threshold needs at this number of vectors, so that
+    pairs without other neighbours are met too. An audit compares some vectors with all; while it estimates that less
+    than `recall` of the links of a vector are found, as many orders are tried again, and after MOST_ROUNDS turns it is an
+    error: no result is returned that the audit doesn't bear out.
 
     A row whose vector is null, zero or holds null or non-finite components links with nothing: it has 0 links, is its
     own component and is kept; vectors of different lengths never link. A row with a null key links with nothing and
@@ -237,26 +269,30 @@ def near_duplicates(
     )
     floor = 2 * threshold * threshold - 1
     graph = joined = None
+    orders = orders_for(nodes.count(), threshold)
     for turn in range(MOST_ROUNDS):
-        seeds = materialise(_seeds(nodes, turn * ORDERS, threshold, floor))
+        seeds = materialise(_seeds(nodes, turn * orders, orders, threshold, floor))
         near = seeds.where("kind = 0").select("u", "v", "s", F.lit(NEIGHBOURS).alias("width"))
         graph = materialise(_lists(near if graph is None else near.union(graph), F.col("width")))
         more = seeds.where("kind = 1").select("u", "v")
         joined = more if joined is None else joined.union(more)
-        before, widest = graph.agg(F.count(F.lit(1)), F.sum("s")).first(), NEIGHBOURS
+        before = graph.agg(F.count(F.lit(1)), F.sum("s"), F.max("width")).first()
         while before[0]:
-            graph, more = _refine(nodes, graph, threshold, floor, widest)
+            graph, more = _refine(nodes, graph, threshold, floor, before[2])
             joined = joined.union(more)
-            now = graph.agg(F.count(F.lit(1)), F.sum("s")).first()
-            # Lists grow only where the rest of a dense group is near; once they hold half a block, the count below does more.
-            if now[0] <= before[0] * 1.02 or widest >= BLOCK // 16:
+            now = graph.agg(F.count(F.lit(1)), F.sum("s"), F.max("width")).first()
+            # Lists grow only where the rest of a dense group is near; once they are WIDEST, the count below does more.
+            if now[0] <= before[0] * 1.001 and now[1] <= before[1] * 1.001 or now[2] >= WIDEST:
                 break
-            before, widest = now, widest * 2
-        links = graph.where(F.col("s") >= threshold).select("u", "v").union(joined)
-        roots = materialise(_both_ends(components(links, "u", "v")))
+            before = now
+        # Whatever stands in a list met in a block or round whose links joined it, so the lists add nothing to these.
+        roots = materialise(_both_ends(components(joined, "u", "v")))
         counts = materialise(_counted(nodes, roots, threshold))
-        if _recall(nodes, counts, threshold) >= recall:
+        found = _recall(nodes, counts, threshold)
+        if found >= recall:
             break
+    else:
+        raise RuntimeError(f"only {found:.4f} of a vector's links were found after {MOST_ROUNDS} turns of {orders} orders")
     known = nodes.join(counts, "node", "left").join(roots, "node", "left").select(
         "vec", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root")
     )

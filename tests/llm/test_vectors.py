@@ -25,7 +25,7 @@ AWKWARD = [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [No
 
 
 def brute_links(rows, threshold=0.95):
-    good = [(i, np.array(v, dtype=np.float64)) for i, v in rows if i < 900]
+    good = [(i, np.array(v, dtype=np.float64)) for i, v in rows if i not in range(900, 907)]
     x = np.stack([v / np.linalg.norm(v) for _, v in good])
     near = x @ x.T >= threshold
     np.fill_diagonal(near, False)
@@ -47,6 +47,7 @@ def test_vector_dedup_matches_brute_force(spark, monkeypatch, small):
     if small:  # many blocks and pieces even here
         monkeypatch.setattr(vector_dedup, "BLOCK", 64)
         monkeypatch.setattr(vector_dedup, "NEIGHBOURS", 4)
+        monkeypatch.setattr(vector_dedup, "PIECE_BYTES", 64 * 16 * 8)
     rows = cloud()
     got = {r.vec_id: r for r in vector_dedup.near_duplicates(table(spark, rows + AWKWARD)).collect()}
     want = brute_links(rows)
@@ -56,6 +57,24 @@ def test_vector_dedup_matches_brute_force(spark, monkeypatch, small):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_lonely_pairs_are_found_and_lost_ones_are_an_error(spark, monkeypatch):
+    """Pairs without other neighbours beside a dense group that holds most of all links."""
+    monkeypatch.setattr(vector_dedup, "BLOCK", 64)
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((1000, 24))
+    rows = [*base, *(base[:300] + 0.2 * rng.standard_normal((300, 24))), *(base[999] + 0.05 * rng.standard_normal((200, 24)))]
+    rows = [(2000 + i, [float(x) for x in np.float32(v)]) for i, v in enumerate(rows)]
+    frame, want = table(spark, rows), {i: n for i, (n, _) in brute_links(rows).items()}
+    got = {r.vec_id: r.n_links for r in vector_dedup.near_duplicates(frame).collect()}
+    pairs = [i for i in got if 0 < want[i] < 5]
+    assert len(pairs) > 300 and sum(got[i] == want[i] for i in pairs) >= 0.98 * len(pairs)
+    assert all(got[i] <= want[i] for i in got)
+    monkeypatch.setattr(vector_dedup, "MOST_ROUNDS", 1)
+    monkeypatch.setattr(vector_dedup, "PROMISED", 0.3)
+    with pytest.raises(RuntimeError):
+        vector_dedup.near_duplicates(frame)
+
+
 def test_vector_dedup_takes_awkward_tables(spark):
     assert vector_dedup.near_duplicates(table(spark, [])).collect() == []
     got = vector_dedup.near_duplicates(table(spark, [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0])])).collect()
