@@ -16,6 +16,7 @@ from lodestar.operators import graph as G
 from lodestar.operators import contracts, hybrid, ltr, ranking, statistics
 from lodestar.operators import search as S
 from lodestar.plans import fixtures as fx
+from lodestar.plans import prepare
 from lodestar.plans.fixtures import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,8 +43,9 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _attributed(spark, sf):
+    """Searches, and both logs attributed in one join."""
     q, browse, apply = fx.log(spark, sf)
-    return q, B.attribute(browse, q, "24 HOURS"), B.attribute(apply, q, "72 HOURS")
+    return q, B.attribute_logs(browse, apply, q, "24 HOURS", "72 HOURS")
 
 
 us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
@@ -52,15 +54,13 @@ us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
 @query(f"""WITH {fx.LOG_SQL} SELECT 'browse' AS kind, talent_key, job_id, epoch_us(event_time) AS event_us, query_id, epoch_us(query_time) AS query_us FROM b1
 UNION ALL SELECT 'apply', talent_key, job_id, epoch_us(event_time), query_id, epoch_us(query_time) FROM a1""")
 def asof_attribution(spark, sf):
-    _, b, a = _attributed(spark, sf)
-    cols = lambda kind, d: d.select(F.lit(kind).alias("kind"), "talent_key", "job_id", us("event_time").alias("event_us"), "query_id", us("query_time").alias("query_us"))
-    return cols("browse", b).union(cols("apply", a))
+    _, both = _attributed(spark, sf)
+    return both.select("kind", "talent_key", "job_id", us("event_time").alias("event_us"), "query_id", us("query_time").alias("query_us"))
 
 
 @query(f"WITH {fx.LOG_SQL} SELECT * FROM pos")
 def positive_labels(spark, sf):
-    _, b, a = _attributed(spark, sf)
-    return B.positives(b, a)
+    return B.graded(_attributed(spark, sf)[1])
 
 
 @query(f"WITH {fx.LOG_SQL} SELECT query_id, job_id, original_rank FROM ex")
@@ -74,8 +74,66 @@ WHERE ex.query_id IN (SELECT query_id FROM pos) AND last_modified_at <= query_ti
 w AS (SELECT *, sum(CASE WHEN relevance = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY query_id ORDER BY original_rank, job_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
 SELECT query_id, job_id, relevance, original_rank, viewed, applied FROM w WHERE relevance > 0 OR k <= 5""")
 def candidate_labels(spark, sf):
-    q, b, a = _attributed(spark, sf)
-    return B.candidate_labels(q, fx.log_jobs(spark, sf), B.positives(b, a), cap=5)
+    q, both = _attributed(spark, sf)
+    return B.candidate_labels(q, fx.log_jobs(spark, sf), B.graded(both), cap=5).drop("content_available_at_query")
+
+
+_CFG = prepare.Config("2024-01-21", "2024-01-26", "2024-02-01", "24 HOURS", "72 HOURS", negatives=5, only_positive=False, strict=False)
+_SPLIT = "CASE WHEN {0} < TIMESTAMP '2024-01-21' THEN 'train' WHEN {0} < TIMESTAMP '2024-01-26' THEN 'validation' ELSE 'test' END"
+
+
+@query(f"""WITH {fx.LOG_SQL}, g AS (SELECT ex.query_id, ex.job_id, coalesce(relevance, 0) AS relevance, original_rank, coalesce(viewed, false) AS viewed, coalesce(applied, false) AS applied, last_modified_at <= query_time AS ok,
+{_SPLIT.format('query_time')} AS data_split FROM ex JOIN jobs USING (job_id) LEFT JOIN pos ON ex.query_id = pos.query_id AND ex.job_id = pos.job_id),
+w AS (SELECT *, sum(CASE WHEN relevance = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY query_id ORDER BY original_rank, job_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT query_id, job_id, relevance, original_rank, data_split, viewed, applied, ok AS content_available_at_query FROM w WHERE relevance > 0 OR k <= 5""")
+def labels_full(spark, sf):
+    """Labels of all queries with their split, jobs that changed later among them."""
+    q, browse, apply = fx.log(spark, sf)
+    q = q.withColumn("data_split", B.time_split(F.col("query_time"), "2024-01-21", "2024-01-26"))
+    return prepare.labels(q, fx.log_jobs(spark, sf), browse, apply, _CFG)
+
+
+@query(f"""WITH {fx.RAW_SQL} SELECT 'q_' || substr(md5(concat_ws('|', nth, who, query_time, query, location_code, occupation_code, exposed)), 1, 20) AS query_id, query, query_time,
+'q_' || substr(md5(concat_ws('|', nth, who, query_time, query, location_code, occupation_code, exposed)), 1, 20) AS session_id, location_code, occupation_code, replace(exposed, ',', '|') AS exposed_jobs,
+array_to_string(range(1, len(string_split(exposed, ',')) + 1), '|') AS exposed_ranks, {_SPLIT.format('CAST(query_time AS TIMESTAMP)')} AS data_split FROM sq""")
+def staged_queries(spark, sf):
+    return prepare.exported_queries(prepare.stage_queries(fx.raw_tables(spark, sf)["search"], _CFG))
+
+
+@query(f"""WITH {fx.RAW_SQL} SELECT job_id, title, description, concat_ws(' | ', computer_skills, certifications, '', '', '', '') AS req, posted_at, coalesce(ct.code, location_name) AS location_code,
+coalesce(du.code, duty_minor) AS occupation_code, location_name, duty_minor, salary_min, {_SPLIT.format('CAST(posted_at AS TIMESTAMP)')} AS data_split FROM rj LEFT JOIN ct ON ct.name = location_name
+LEFT JOIN du ON du.name = duty_minor WHERE posted_at IS NOT NULL""".replace("concat_ws(' | ', computer_skills, certifications, '', '', '', '') AS req", "trim(concat_ws(' | ', computer_skills, certifications, '', '', '', '')) AS requirements"))
+def staged_jobs(spark, sf):
+    raw = fx.raw_tables(spark, sf)
+    jobs = prepare.stage_jobs(raw["jobs"], fx.RAW_JOBS, _CFG, prepare.city_codes(raw["cities"]), prepare.duty_codes(raw["duties"]))
+    return jobs.select("job_id", "title", "description", "requirements", "posted_at", "location_code", "occupation_code", "location_name", "duty_minor", "salary_min", "data_split")
+
+
+@query(f"""WITH {fx.RAW_SQL}, x AS (SELECT *, CASE WHEN exposed = '' THEN 0 ELSE len(string_split(exposed, ',')) END AS n FROM rs)
+SELECT count(*) AS row_count, count(*) FILTER (query = '') AS empty_query, count(*) FILTER (exposed = '') AS empty_results, count(*) FILTER (talent = '0') AS anonymous_queries, sum(n) AS exposure_count, round(avg(n), 9) AS average_results,
+max(n) AS max_results, min(query_time) AS min_time, max(query_time) AS max_time FROM x""")
+def profile_search(spark, sf):
+    one = prepare.profile_search(fx.raw_tables(spark, sf)["search"])
+    return one.withColumns({"average_results": F.round("average_results", 9), **{c: F.col(c).cast("string") for c in ("min_time", "max_time")}})
+
+
+@query(f"""WITH {fx.RAW_SQL} SELECT count(*) AS row_count, count(DISTINCT job_id) AS distinct_jobs, count(*) FILTER (title = '' AND p0 <> 0) AS empty_title, count(*) FILTER (description = '') AS empty_description, min(posted_at) AS min_modified,
+max(posted_at) AS max_modified, count(*) FILTER (posted_at >= '2024-01-26') AS modified_after_behavior_period FROM (SELECT *, 0 AS p0 FROM rj)""")
+def profile_jobs(spark, sf):
+    one = prepare.profile_jobs(fx.raw_tables(spark, sf)["jobs"], fx.RAW_JOBS, "2024-01-26")
+    return one.withColumns({c: F.col(c).cast("string") for c in ("min_modified", "max_modified")})
+
+
+@query(f"""WITH {fx.LOG_SQL} SELECT (SELECT count(*) FROM br) AS browse_events, (SELECT count(*) FROM ap) AS apply_events, (SELECT count(*) FROM b1) AS attributed_browse, (SELECT count(*) FROM a1) AS attributed_apply,
+(SELECT count(DISTINCT query_id) FROM pos) AS positive_queries""")
+def profile_attribution(spark, sf):
+    _, browse, apply = fx.log(spark, sf)
+    return prepare.profile_attribution(browse, apply, _attributed(spark, sf)[1])
+
+
+@query(f"""WITH {fx.LOG_SQL} SELECT count(*) AS row_count, {', '.join(f"count(*) FILTER (relevance = {r}) AS relevance_{r}" for r in (0, 1, 2))}, count(DISTINCT query_id) AS query_count FROM pos""")
+def profile_labels(spark, sf):
+    return prepare.profile_labels(positive_labels(spark, sf))
 
 
 @query("""SELECT CASE WHEN ts < TIMESTAMP '2024-01-21' THEN 'train' WHEN ts < TIMESTAMP '2024-01-26' THEN 'validation' ELSE 'test' END AS data_split,

@@ -44,6 +44,53 @@ ex AS (SELECT query_id, query_time, trim(j) AS job_id, CAST(pos AS INT) AS origi
 jobs AS (SELECT CAST(p_partkey AS VARCHAR) AS job_id, TIMESTAMP '2024-01-01' + to_days(CAST(p_partkey % 30 AS INT)) AS last_modified_at FROM part WHERE p_partkey < 100)"""
 
 
+#: Logical names of the raw job columns of the fixture.
+RAW_JOBS = {c: f"raw {c}" for c in ("job_id", "title", "description", "location_code", "duty_minor", "computer_skills", "certifications", "salary_min", "salary_max", "last_modified_at")}
+
+
+def raw_tables(spark, sf) -> dict[str, DataFrame]:
+    """Six tables of texts as they come: blanks, NULL, times that aren't, repeated searches, users without a number."""
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    e = table(spark, sf, "events").select("event_type", k.alias("k"), (F.col("user_id") % 50).cast("string").alias("talentNo"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("t"))
+    shown = F.when(F.col("k") % 13 == 0, " ").otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: (F.col("k") + i * 7) % 100), ","))
+    once = e.where("event_type = 'view'").select(
+        "talentNo", F.when(F.col("k") % 9 == 0, "  ").otherwise(F.format_string(" k%s ", F.col("k") % 20)).alias("ks"), (F.col("k") % 4).cast("string").alias("c0"), (F.col("k") % 5).cast("string").alias("d0"),
+        F.when(F.col("k") % 17 == 0, "never").otherwise(F.col("t")).alias("search_time"), shown.alias("empStr"), "k",
+    )
+    log = lambda kind, job, time: e.where(F.col("event_type") == kind).select("talentNo", F.format_string(" %s", "k").alias(job), F.col("t").alias(time))
+    p, n = table(spark, sf, "part"), table(spark, sf, "nation")
+    size = F.col("p_size")
+    place = p.join(n, F.col("p_partkey") % 30 == F.col("n_nationkey"), "left")
+    jobs = place.select(
+        F.col("p_partkey").cast("string").alias("job_id"), F.when(size % 7 == 0, "NULL").otherwise(F.concat(F.lit(" "), "p_name", F.lit(" "))).alias("title"), F.when(size % 11 == 0, " ").otherwise(F.col("p_type")).alias("description"),
+        F.concat(F.coalesce("n_name", F.lit("Nowhere")), F.lit(" ")).alias("location_code"), F.when(size % 6 == 0, "NULL").when(size % 6 == 1, "odd").otherwise(F.col("p_type")).alias("duty_minor"),
+        F.when(size % 3 == 0, F.col("p_brand")).alias("computer_skills"), F.when(size % 4 == 0, "PMP").otherwise("").alias("certifications"), F.when(size % 5 == 0, "much").otherwise(size.cast("string")).alias("salary_min"),
+        F.lit(None).cast("string").alias("salary_max"), F.when(size % 8 == 0, "never").otherwise(F.expr("concat('2024-01-', lpad(cast(1 + p_partkey % 30 as string), 2, '0'), ' 00:00:00')")).alias("last_modified_at"),
+    )
+    name = F.concat("n_name", F.lit(" ")).alias("CodeNameA")
+    city = lambda prefix, kind: n.select(F.concat(F.lit(prefix), F.col("n_nationkey").cast("string")).alias("CodeNo"), name, kind.alias("CodeType"))
+    duty = lambda n: p.select("p_type").distinct().select(F.substring(F.md5("p_type"), 1, n).alias("CodeNo"), F.col("p_type").alias("CodeNameA"))
+    return {
+        "search": once.union(once.where("k % 10 = 3")).drop("k"), "browse": log("click", "employeeNo", "dateIn"), "apply": log("purchase", "empNo", "datein"), "jobs": jobs.withColumnsRenamed(RAW_JOBS),
+        "cities": city("10", F.when(F.col("n_nationkey") % 2 == 0, "2").otherwise("1")).union(city("9", F.lit("1"))), "duties": duty(4).union(duty(6)),
+    }
+
+
+RAW_SQL = """ev AS (SELECT event_type, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k, CAST(user_id % 50 AS VARCHAR) AS talent, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM events),
+s0 AS (SELECT talent, CASE WHEN k % 9 = 0 THEN '' ELSE 'k' || k % 20 END AS query, CAST(k % 4 AS VARCHAR) AS location_code, CAST(k % 5 AS VARCHAR) AS occupation_code, CASE WHEN k % 17 = 0 THEN NULL ELSE t END AS query_time,
+  CASE WHEN k % 13 = 0 THEN '' ELSE array_to_string(list_transform(range(10), lambda i: (k + 7 * i) % 100), ',') END AS exposed, k FROM ev WHERE event_type = 'view'),
+rs AS (SELECT * FROM s0 UNION ALL SELECT * FROM s0 WHERE k % 10 = 3),
+kq AS (SELECT *, coalesce(nullif(talent, '0'), 'anonymous') AS who FROM rs WHERE query <> '' AND query_time IS NOT NULL),
+sq AS (SELECT *, row_number() OVER (PARTITION BY who, query_time, query, location_code, occupation_code, exposed) AS nth FROM kq),
+ct AS (SELECT name, code FROM (SELECT trim(n_name) AS name, code, row_number() OVER (PARTITION BY trim(n_name) ORDER BY CASE kind WHEN '2' THEN 0 ELSE 1 END, length(code), code) AS rn FROM (
+  SELECT n_name, '10' || n_nationkey AS code, CASE WHEN n_nationkey % 2 = 0 THEN '2' ELSE '1' END AS kind FROM nation UNION ALL SELECT n_name, '9' || n_nationkey, '1' FROM nation)) WHERE rn = 1),
+du AS (SELECT DISTINCT p_type AS name, substr(md5(p_type), 1, 6) AS code FROM part),
+rj AS (SELECT CAST(p_partkey AS VARCHAR) AS job_id, CASE WHEN p_size % 7 = 0 THEN '' ELSE p_name END AS title, CASE WHEN p_size % 11 = 0 THEN '' ELSE p_type END AS description, coalesce(n_name, 'Nowhere') AS location_name,
+  CASE p_size % 6 WHEN 0 THEN '' WHEN 1 THEN 'odd' ELSE p_type END AS duty_minor, CASE WHEN p_size % 3 = 0 THEN p_brand ELSE '' END AS computer_skills, CASE WHEN p_size % 4 = 0 THEN 'PMP' ELSE '' END AS certifications,
+  CASE WHEN p_size % 5 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS salary_min, CASE WHEN p_size % 8 = 0 THEN NULL ELSE '2024-01-' || lpad(CAST(1 + p_partkey % 30 AS VARCHAR), 2, '0') || ' 00:00:00' END AS posted_at
+  FROM part LEFT JOIN nation ON p_partkey % 30 = n_nationkey)"""
+
+
 def baskets(spark, sf) -> DataFrame:
     """Skills of jobs: brands of an order's parts, some under another name, some without evidence or with one from elsewhere."""
     li, part, orders = (table(spark, sf, n) for n in ("lineitem", "part", "orders"))

@@ -19,6 +19,40 @@ SIGNATURES: dict[str, frozenset[str]] = {
 }
 
 
+#: Columns of the table of jobs, by logical names. Fixed values.
+JOB_COLUMNS: dict[str, str] = {
+    "job_id": "職缺編號",
+    "title": "職務名稱",
+    "description": "職務內容",
+    "salary_text": "薪資",
+    "salary_min": "薪資下限",
+    "salary_max": "薪資上限",
+    "duty_major": "職務大類",
+    "duty_middle": "職務中類",
+    "duty_minor": "職務小類",
+    "job_type": "職缺屬性",
+    "work_hours": "工時",
+    "work_hours_description": "工時說明",
+    "location_code": "工作城市",
+    "education": "學歷需求",
+    "experience": "工作經驗需求",
+    "computer_skills": "電腦技能資料",
+    "certifications": "專業證照",
+    "work_skills": "工作技能",
+    "additional_requirements": "附加條件",
+    "company_id": "廠商編號",
+    "industry_major": "產業大類",
+    "industry_middle": "產業中類",
+    "industry_minor": "產業小類",
+    "last_modified_at": "職缺最後修改時間",
+}
+
+
+def signatures(job_columns: Mapping[str, str] = JOB_COLUMNS) -> dict[str, frozenset[str]]:
+    """All six tables."""
+    return {**SIGNATURES, "jobs": frozenset(job_columns.values())}
+
+
 def header(spark: SparkSession, path: str) -> list[str]:
     """The columns of a CSV file, without a byte order mark; an empty file is an error."""
     line = spark.read.text(path).limit(1).first()
@@ -66,6 +100,30 @@ def write_jsonl(df: DataFrame, path: str, overwrite: bool = False) -> None:
     df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).write.mode("overwrite" if overwrite else "error").text(path)
 
 
+def listed(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[tuple[str, int]]:
+    """Paths and sizes of the files of a folder, wherever Spark can read it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(folder)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(f.getPath().toString(), f.getLen()) for f in files.listStatus(where) if f.isFile()]
+    return sorted(f for f in found if f[0].lower().endswith(suffix))
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    """One small file, wherever Spark can write."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, overwrite)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def write_json(spark: SparkSession, path: str, value: object, overwrite: bool = False) -> None:
+    write_text(spark, path, json.dumps(value, ensure_ascii=False, indent=2, default=str), overwrite)
+
+
 def guard(target: str, inputs: list[str]) -> None:
     """Refuse to overwrite the root, an input, a folder that holds one, or a folder inside one."""
     norm = lambda p: posixpath.normpath(p.removeprefix("file:")).rstrip("/")

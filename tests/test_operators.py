@@ -243,16 +243,31 @@ def test_providers(spark):
 
 def test_prepare_end_to_end(spark, tmp_path):
     put = lambda name, text: (tmp_path / name).write_text(text, encoding="utf-8") and str(tmp_path / name)
-    paths = [
-        put("s.csv", '﻿talentNo,ks,c0,d0,search_time,empStr\n7,java,1,2,2024-01-01 10:00:00,"11,12,13"\n0,go,1,2,2024-01-02 10:00:00,"11"\n8,,1,2,2024-01-02 10:00:00,"11"\n'),
+    [
+        put("s.csv", '﻿talentNo,ks,c0,d0,search_time,empStr\n7,java,1,2,2024-01-01 10:00:00,"11,12,13"\n0,go,1,2,2024-01-02 10:00:00,"11"\n0,go,1,2,2024-01-02 10:00:00,"11"\n8,,1,2,2024-01-02 10:00:00,"11"\n'),
         put("b.csv", "organNo,employeeNo,dateIn,talentNo\n1,12,2024-01-01 10:30:00,7\n1,11,2024-01-01 11:30:00,7\n"),
         put("a.csv", "LogTitle,empNo,empName,talentNo,datein\nx,13,n,7,2024-01-01 20:00:00\n"),
         put("c.csv", "CodeNo,CodeNameA,CodeNameB,CodeNameC,CodeType,CodeArea,CodeZip\n1,X,,,2,,\n"),
         put("d.csv", "CodeNo,CodeNameA,CodeNameB,CodeNameC,CodeDescript,CodeAlike,CodeDefinition,CodeNameEN\n2,Y,,,,,,\n"),
     ]
-    jobs = put("j.csv", "id,name,mod\n11,A,2023-01-01\n12,B,2023-01-01\n13,C,2023-01-01\n14,D,2023-01-01\n")
-    out = prepare.prepare(spark, [*paths, jobs], {"job_id": "id", "title": "name", "last_modified_at": "mod"}, jobs, f"{tmp_path}_out", prepare.Config("2024-02-01", "2024-03-01"))
-    assert (out["queries"], out["jobs"], out["labels"], out["relevance_1"], out["relevance_2"]) == (2, 3, 3, 1, 1)
+    columns = {"job_id": "id", "title": "name", "description": "text", "location_code": "city", "duty_minor": "duty", "last_modified_at": "mod"}
+    put("j.csv", "id,name,text,city,duty,mod\n11,A,x,X,Y,2023-01-01\n12,B,,Z,,2023-01-01\n13,C,,X ,NULL,2024-01-01 12:00:00\n14,D,,,,2023-01-01\n15,E,,,,never\n")
+    cfg = prepare.Config("2024-02-01", "2024-03-01", "2024-04-01", jobs_scope="exposed", strict=False)
+    made = prepare.prepare(spark, str(tmp_path), f"{tmp_path}_out", cfg, columns)
+    profile = made["profile"]["canonical"]
+    assert (profile["queries"]["row_count"], profile["jobs"]["row_count"], profile["labels"]["relevance_1"], profile["labels"]["relevance_2"]) == (3, 3, 1, 1)
+    rows = {r.job_id: r for r in spark.read.parquet(f"{tmp_path}_out/labels.parquet").collect()}
+    assert rows["12"].content_available_at_query and not rows["13"].content_available_at_query and rows["13"].data_split == "train"
+    jobs = {r.job_id: r for r in spark.read.parquet(f"{tmp_path}_out/jobs.parquet").collect()}
+    assert (jobs["11"].location_code, jobs["11"].occupation_code, jobs["13"].location_code, jobs["13"].occupation_code, jobs["12"].location_code) == ("1", "2", "1", "", "Z")
+    queries = spark.read.parquet(f"{tmp_path}_out/queries.parquet")
+    assert queries.select("query_id").distinct().count() == 3 and queries.columns == list(prepare.QUERIES)
+    assert not any("talent" in c for t in made["outputs"].values() for c in spark.read.parquet(t).columns)
+    assert (tmp_path.parent / f"{tmp_path.name}_out" / "dataset_profile.json").exists()
+    raw = prepare.profile_raw(spark, str(tmp_path), cfg, columns)
+    assert raw["search"]["exposure_count"] == 6 and raw["search"]["empty_query"] == 1 and raw["jobs"]["modified_after_behavior_period"] == 0 and raw["files"]["browse"]["header"][0] == "organNo"
+    with pytest.raises(Exception, match="(?i)exist"):
+        prepare.prepare(spark, str(tmp_path), f"{tmp_path}_out", cfg, columns)
 
 
 def test_streams(spark, tmp_path):
