@@ -2,46 +2,82 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.components import components
-from lodestar.llm.tables import materialise
+from lodestar.llm.tables import materialise, row_hash
 
 BITS, BYTES = 64, 8
+_SPACES = re.compile(rb"[\x20\x09-\x0D]+")
 #: Differences between pairs held in memory at a time.
 BLOCK = 1 << 21
+#: Byte positions of a wide fingerprint; how often two texts right at the similarity meet in its index, on average; how many
+#: of a text's candidates are compared first.
+WIDE, MEETINGS, FIRST = 64, 3.0, 4
+
+
+def shingles(text: bytes, width: int = 3, seed: int = 42) -> Iterator[np.ndarray]:
+    """XXH64 of the shingles of a UTF-8 text, block by block: words are cut at ASCII white space, A-Z lower-cased, and joined
+    by blanks. Fewer words than `width` are one shingle; no words give none."""
+    text, digest = text.lower(), xxhash.xxh64_intdigest  # of bytes: exactly A-Z
+    # split() cuts exactly at 20 and 09-0D, but makes an object of each word, which long texts can't afford.
+    joined = b" ".join(text.split()) if len(text) < BLOCK else _SPACES.sub(b" ", text).strip()
+    if not joined:
+        return
+    blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    if len(blanks) < width:
+        yield np.array([digest(joined, seed)], dtype="<u8")
+        return
+    n, step = len(blanks) + 2 - width, BLOCK >> 5
+    for at in range(0, n, step):
+        end = min(n, at + step)
+        starts = [0] * (at == 0) + (blanks[max(0, at - 1) : end - 1] + 1).tolist()
+        stops = blanks[at + width - 1 : end + width - 1].tolist() + [len(joined)] * (end == n)
+        yield np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops)], dtype="<u8")
+
+
+def _votes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """How many of the hashes (rows of bytes) have each bit."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, width), axis=1, bitorder="little").sum(0, dtype=np.int64)
 
 
 def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
-    """64-bit SimHash of a UTF-8 text: words are cut at ASCII white space, A-Z lower-cased; bit i is set if it is
-    set in over half the XXH64 hashes of the shingles, repeats included. Fewer words than `width` are one shingle;
-    no words give 0."""
-    words = text.lower().split()  # of bytes: exactly A-Z, and exactly 20 and 09-0D
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    if len(words) <= width:
-        return xxhash.xxh64_intdigest(joined, seed)
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = (ends - lengths)[: len(words) - width + 1].tolist()
-    digest = xxhash.xxh64_intdigest
-    n, counts = len(starts), np.zeros(BITS, dtype=np.int64)
-    stops = ends[width - 1 :].tolist()
-    for at in range(0, n, BLOCK >> 5):
-        end = min(n, at + (BLOCK >> 5))
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[at:end], stops[at:end])], dtype="<u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, BYTES), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    """64-bit SimHash of a UTF-8 text: bit i is set if it is set in over half the hashes of the shingles, repeats
+    included; no words give 0."""
+    n, counts = 0, np.zeros(BITS, dtype=np.int64)
+    for hashes in shingles(text, width, seed):
+        n += len(hashes)
+        counts += _votes(hashes, BYTES)
     return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
 
 
+def shingle_set(text: bytes, width: int = 5, seed: int = 42) -> np.ndarray:
+    """The different shingles of a text, as sorted hashes."""
+    parts = list(shingles(text, width, seed))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, "<u8")
+
+
+def wide_fingerprint(kinds: np.ndarray) -> bytes:
+    """SimHash of a set of shingle hashes with WIDE bytes: each hash is drawn out to as many bits by the finaliser of
+    SplitMix64."""
+    counts, steps = np.zeros(8 * WIDE, dtype=np.int64), np.arange(1, WIDE // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(kinds), 4096):
+        x = kinds[at : at + 4096, None] + steps[None, :]
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        counts += _votes(x ^ (x >> np.uint64(31)), WIDE)
+    return np.packbits(counts * 2 > len(kinds), bitorder="little").tobytes()
+
+
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp) for each row; fp is the fingerprint as a signed long. Null texts have no words."""
 
@@ -172,17 +208,23 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 3, differ: int = 3, seed: int = 42) -> DataFrame:
-    """The rows of `docs` with all their columns, one of each component: the row of the smallest key (null keys last),
-    among rows of that key the one of the smallest hash over all columns, and one of rows that agree in all columns."""
-    columns = docs.columns
-    tagged = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("_id"),
-        F.xxhash64(*(F.col(c) for c in columns)).alias("_row"),
-        F.struct(*columns).alias("_all"),
-        F.col(text).alias("_text"),
+def _tagged(docs: DataFrame, text: str, key: str) -> DataFrame:
+    return docs.select(
+        F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("_id"), row_hash(docs).alias("_row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_all"), F.col(text).alias("_text")
     )
 
+
+def _first_rows(tagged: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of `tagged` that `kept` (_id, _row) names, one of those that agree in all columns."""
+    return tagged.drop("_text").join(kept, ["_id", "_row"], "left_semi").groupBy("_id", "_row").agg(F.first("_all").alias("_all")).select("_all.*")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 3, differ: int = 3, seed: int = 42) -> DataFrame:
+    """The rows of `docs` with all their columns, one of each component of `near_duplicates`: the row of the smallest key
+    (null keys last), among rows of that key the one of the smallest hash over all columns, and one of rows that agree in
+    all columns. Null and empty texts are copies of each other, very long texts count whole; an empty table gives no rows."""
+    tagged = _tagged(docs, text, key)
+
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             fps = [fingerprint(t.as_py() or b"", width, seed) for t in batch.column(2).cast(pa.large_binary())]
@@ -199,7 +241,132 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", width: in
         .agg(F.min("first").alias("first"))
         .select("first._id", "first._row")
     )
-    return (
-        tagged.drop("_text").join(kept, ["_id", "_row"], "left_semi").groupBy("_id", "_row")
-        .agg(F.first("_all").alias("_all")).select("_all.*")
-    )
+    return _first_rows(tagged, kept)
+
+
+def _apart(similarity: float) -> float:
+    """The share of bits in which the SimHashes of two sets of equal size and this Jaccard similarity differ, on average."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def plan(rows: int, similarity: float) -> tuple[int, int, int, int]:
+    """(lists, bits, matches, radius) for the index of so many wide fingerprints. A list's key is three byte positions and
+    `bits` more bits, so that chance companions stay rare as the table grows; there are as many lists as two texts right at
+    the similarity need to meet MEETINGS times on average. Such texts share at least `matches` of the WIDE bytes and differ in
+    at most `radius` bits, but for one pair in a thousand."""
+    p = _apart(similarity)
+    bits = max(0, math.ceil(math.log2(max(1, rows))) - 20)
+    lists = math.ceil(MEETINGS / (1 - p) ** (24 + bits))
+    same, total, matches = (1 - p) ** 8, 0.0, -1
+    while total < 0.001:
+        matches += 1
+        total += math.comb(WIDE, matches) * same**matches * (1 - same) ** (WIDE - matches)
+    return lists, bits, matches, math.ceil(8 * WIDE * p + 3 * math.sqrt(8 * WIDE * p * (1 - p)))
+
+
+def keys(fps: np.ndarray, lists: int, bits: int, seed: int) -> Iterator[np.ndarray]:
+    """The key of each fingerprint (rows of WIDE bytes) in list after list; lists are told apart by the upper bits."""
+    rng = np.random.default_rng(seed)
+    wide = fps.astype(np.int64)
+    for at in range(lists):
+        *places, more = rng.choice(WIDE, 4, replace=False)
+        value = np.full(len(fps), at, dtype=np.int64)
+        for place in places:
+            value = value << 8 | wide[:, place]
+        yield value << bits | wide[:, more] & ((1 << min(8, bits)) - 1)
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDE)
+
+
+def _similar(texts: DataFrame, pairs: DataFrame, width: int, similarity: float, seed: int) -> DataFrame:
+    """Those of `pairs` (a, b) whose texts (node, _text) have so similar sets of shingles, compared in full."""
+
+    def compare(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = (None, None)
+        for batch in it:
+            one, two = batch.column(2).cast(pa.large_binary()), batch.column(3).cast(pa.large_binary())
+            keep = []
+            for a, x, y in zip(batch.column(0).to_pylist(), one, two):
+                if a != last[0]:
+                    last = (a, shingle_set(x.as_py() or b"", width, seed))
+                other = shingle_set(y.as_py() or b"", width, seed)
+                both = len(np.intersect1d(last[1], other, assume_unique=True))
+                keep.append(both >= similarity * (len(last[1]) + len(other) - both))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    met = pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("_text").alias("y")), "b")
+    return met.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def candidates(nodes: DataFrame, similarity: float = 0.8, seed: int = 42) -> DataFrame:
+    """(a, b, apart) of pairs of `nodes` (node, fp) that the index brings together, within the radius of `plan`.
+
+    Each fingerprint is posted under byte positions and their values. A list is put in an order of its own by a hash, and
+    neighbours are candidates: so a posting gives one pair at most, however long a list is, and a large group is held together
+    by other pairs in every list. Candidates are tallied by the bytes that they share at the same positions; those that
+    reach the minimum of `plan` are verified bit by bit."""
+    lists, bits, matches, radius = plan(nodes.count(), similarity)
+
+    def post(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                for key in keys(_bytes(part.column(1)), lists, bits, seed):
+                    yield pa.RecordBatch.from_arrays([pa.array(key), part.column(0)], names=["key", "node"])
+
+    def verify(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            x = _bytes(batch.column(2)) ^ _bytes(batch.column(3))
+            apart = np.bitwise_count(x).sum(1, dtype=np.int32)
+            near = ((x == 0).sum(1) >= matches) & (apart <= radius)
+            yield pa.RecordBatch.from_arrays([*batch.select([0, 1]).columns, pa.array(apart)], names=["a", "b", "apart"]).filter(pa.array(near))
+
+    before = F.lag("node").over(Window.partitionBy("key").orderBy(F.xxhash64("key", "node")))
+    posted = nodes.select("node", "fp").mapInArrow(post, "key long, node long").select("node", before.alias("other"))
+    pairs = posted.where("other is not null").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    known = nodes.select("node", "fp")
+    met = pairs.join(known.withColumnsRenamed({"node": "a", "fp": "x"}), "a").join(known.withColumnsRenamed({"node": "b", "fp": "y"}), "b")
+    return met.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, apart int")
+
+
+def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
+    """The rows of `docs` with all their columns, one of each group of near-duplicates: texts whose sets of `width`-word
+    shingles have a Jaccard similarity of at least `similarity`, and whatever such links join.
+
+    Every link is verified in full, so no others are joined; candidates come from wide SimHashes of the sets (`candidates`),
+    which bring together two texts right at the similarity with a chance of about 0.9 and more similar ones almost surely.
+    The FIRST nearest candidates of each text are compared first, then all those whose ends these left in different groups.
+    Which row of a group stays is as in `keep_one`. Null and empty texts are copies of each other, texts of fewer words are
+    one shingle, very long texts count whole; an empty table gives no rows.
+    """
+    tagged = _tagged(docs, text, key)
+
+    def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            fps = [wide_fingerprint(shingle_set(t.as_py() or b"", width, seed)) for t in batch.column(2).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary())], names=["_id", "_row", "fp"])
+
+    marked = materialise(tagged.select("_id", "_row", "_text").mapInArrow(batches, "_id long, _row long, fp binary"))
+    nodes = materialise(marked.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("first")).select(F.monotonically_increasing_id().alias("node"), "fp", "first"))
+    near = materialise(candidates(nodes, similarity, seed))
+    ends = near.select("a", "b", "apart").union(near.select("b", "a", "apart"))
+    nearest = Window.partitionBy("a").orderBy("apart", F.xxhash64("a", "b"))
+    ranked = ends.select("a", "b", F.row_number().over(nearest).alias("at")).where(F.col("at") <= FIRST)
+    first = ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def linked_by(pairs: DataFrame) -> DataFrame:
+        pairs = materialise(pairs)
+        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first._id", "first._row"), "node")
+        texts = tagged.select("_id", "_row", "_text").join(asked, ["_id", "_row"]).groupBy("node").agg(F.first("_text").alias("_text"))
+        return materialise(_similar(texts, pairs, width, similarity, seed))
+
+    links = linked_by(first)
+    roots = components(links)
+    own = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"_{side}"))
+    rest = near.join(own("a"), "a", "left").join(own("b"), "b", "left").where(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
+    links = links.union(linked_by(rest.select("a", "b").join(first, ["a", "b"], "left_anti")))
+    joined = components(links)
+    kept = nodes.join(joined, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first._id", "first._row")
+    return _first_rows(tagged, kept)

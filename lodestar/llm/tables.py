@@ -1,37 +1,13 @@
-"""Tables written to the cluster's shared folder, and running totals over a global order."""
+"""Hashes of rows, and running totals over a global order."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A folder of our own is made only where the setting is
-    missing and everything runs in one process."""
-    path = spark.conf.get(CHECKPOINT_DIR, None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="lodestar-")
-        spark.conf.set(CHECKPOINT_DIR, path)
-    return path.rstrip("/")
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it back: its lineage ends there, so a lost executor costs a
-    reread of some files, and frames that use it twice compute it once. (checkpoint() would compute it twice.)"""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lodestar-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+from lodestar.sources.shared import materialise
 
 def row_hash(df: DataFrame) -> Column:
     """A hash of all columns of a row; of columns that Spark can't hash, of their text."""

@@ -151,6 +151,40 @@ def test_fingerprint_links_are_complete(spark):
     assert {i: got.get(i, i) for i in ids} == want
 
 
+def shingle_sets(docs, width=5):
+    out = {}
+    for r in docs:
+        words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r.text or ""))
+        out[r.doc_id] = {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else {""}
+    return out
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_similar_texts_against_brute_force(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    sets = shingle_sets(docs.collect())
+    near = lambda i, j: len(a := sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) if len(sets[i]) >= 0.8 * len(sets[j]) >= 0.64 * len(sets[i]) else False  # noqa: E731, F841
+    want = brute_components(sorted(sets), near)
+    kept = {r.doc_id for r in simhash.keep_similar(docs).collect()}
+    assert kept >= set(want.values())  # nothing is joined without a link
+    lost = len(kept) - len(set(want.values()))
+    assert lost <= 0.03 * (len(want) - len(set(want.values())))
+
+
+def test_similar_texts_take_awkward_rows(spark):
+    docs = documents(spark)
+    kept = simhash.keep_similar(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 3, 6, 7, 8, 9, None])
+    assert simhash.keep_similar(documents(spark, [])).collect() == []
+
+
+def test_plans_of_wide_fingerprints():
+    lists, bits, matches, radius = simhash.plan(200_000, 0.8)
+    assert bits == 0 and 100 < lists < 200 and 5 <= matches < 10 and 90 < radius < 110
+    assert simhash.plan(1 << 26, 0.8)[1] == 6
+
+
 def test_near_duplicates_take_awkward_rows(spark):
     got = simhash.near_duplicates(documents(spark)).collect()
     assert len(got) == 13
