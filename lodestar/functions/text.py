@@ -87,6 +87,27 @@ def query_terms(c: Column, most: int = 500) -> Column:
     return F.array_distinct(F.concat(latin, grams))
 
 
+@F.pandas_udf(StringType())
+def _plain(values: pd.Series) -> pd.Series:
+    def strip(v):
+        return None if v is None else "".join(x for x in unicodedata.normalize("NFKD", v) if not unicodedata.combining(x))
+
+    return values.map(strip)
+
+
+def fts_parts(term: Column) -> Column:
+    """The parts of a term as full-text engines index it: without marks on letters, cut where there is no letter or digit. So
+    + # and dots part a term; a term of several parts is a phrase."""
+    return F.regexp_extract_all(_ascii_or(F.lower(term), F.lower(term), _plain), F.lit(r"([\p{L}\p{N}\p{Co}]+)"), F.lit(1))
+
+
+def has_phrase(parts: Column, phrase: Column) -> Column:
+    """Whether the parts of a phrase stand side by side in the parts of a text."""
+    n = F.size(phrase)
+    starts = F.when(F.size(parts) >= n, F.sequence(F.lit(1), F.size(parts) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return (n > 0) & F.exists(starts, lambda i: F.slice(parts, i, n) == phrase)
+
+
 #: Values of a multi-value field that say nothing. Fixed values.
 IGNORED = ("", "null", "none", "無", "不拘", "其他", "略")
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array  # noqa: F401
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestar.sources import files
+from lodestar.sources.shared import materialise
+
 GAINS = (0.0, 1.0, 3.0)
 
 
@@ -32,6 +35,20 @@ class Ranker:
         return dict(sorted(zip(self.features, total), key=lambda x: (-x[1], x[0])))
 
 
+    def save(self, spark: SparkSession, path: str, overwrite: bool = False) -> None:
+        """The trees, each in a folder of its own, and ranker.json with features and leaf values."""
+        for i, tree in enumerate(self.trees):
+            writer = tree.write()
+            (writer.overwrite() if overwrite else writer).save(f"{path}/tree{i:04}")
+        files.write_json(spark, f"{path}/ranker.json", {"features": self.features, "leaves": [sorted(v.items()) for v in self.leaves]}, overwrite)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Ranker:
+        known = json.loads(spark.read.text(f"{path}/ranker.json", wholetext=True).first().value)
+        leaves = [{float(k): float(v) for k, v in pairs} for pairs in known["leaves"]]
+        return cls(known["features"], [DecisionTreeRegressionModel.load(f"{path}/tree{i:04}") for i in range(len(leaves))], leaves)
+
+
 def _leaf(tree, rows: DataFrame, values: dict[float, float], out: str) -> DataFrame:
     value = F.lit(0.0)
     if values:
@@ -57,20 +74,29 @@ def lambdas(scored: DataFrame) -> DataFrame:
 
 
 def fit(train: DataFrame, features: list[str], trees: int = 80, rate: float = 0.05, depth: int = 4, seed: int = 42) -> Ranker:
-    """Newton boosting: a regression tree on the lambdas, leaf values sum(lambda) / sum(weight). Lineage is cut by
-    checkpoints each few rounds if the session has a checkpoint folder."""
+    """Newton boosting: a regression tree on the lambdas, leaf values sum(lambda) / sum(weight). Scores are kept between
+    rounds and given up after the next; every few rounds they go to the shared folder, so that plans don't nest."""
     model = Ranker(features)
-    rows = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep").transform(train).select("query_id", "job_id", "relevance", "_x").withColumn("score", F.lit(0.0))
+    rows = materialise(VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep").transform(train).select("query_id", "job_id", "relevance", "_x").withColumn("score", F.lit(0.0)))
+    held = None
     for i in range(trees):
-        rows = rows.persist()
         target = rows.join(lambdas(rows), ["query_id", "job_id"], "left").na.fill(0.0, ["lambda", "weight"]).persist()
         tree = DecisionTreeRegressor(featuresCol="_x", labelCol="lambda", predictionCol="_leaf", maxDepth=depth, seed=seed).fit(target)
         sums = tree.transform(target).groupBy("_leaf").agg(F.sum("lambda").alias("l"), F.sum("weight").alias("w")).collect()  # one row a leaf
         values = {r["_leaf"]: rate * r.l / r.w for r in sums if r.w > 0}
-        target.unpersist()
         model.trees.append(tree)
         model.leaves.append(values)
-        rows = _leaf(tree, rows, values, "score")
-        if i % 5 == 4 and rows.sparkSession.conf.get("spark.checkpoint.dir", None):
-            rows = rows.checkpoint()
+        if i < trees - 1:
+            rows = _leaf(tree, rows, values, "score")
+            old, held = held, None
+            if i % 5 == 4:
+                rows = materialise(rows)
+            else:
+                held = rows.persist()
+                held.count()
+            if old is not None:
+                old.unpersist()
+        target.unpersist()
+    if held is not None:
+        held.unpersist()
     return model

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,29 +44,60 @@ def win_loss_tie(a: DataFrame, b: DataFrame, metric: str = "ndcg") -> DataFrame:
     )
 
 
-def paired_bootstrap(a: DataFrame, b: DataFrame, metric: str = "ndcg", rounds: int = 2000, seed: int = 42) -> dict[str, float]:
-    """Mean difference b - a over queries, its 95 % interval and the share of resamples above 0. One number for each
-    query comes to the driver."""
+def _paired(a: DataFrame, b: DataFrame, metric: str) -> DataFrame:
+    """(query_id, d) for the queries of both; a query that repeats in one is an error."""
+    for side in (a, b):
+        if side.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+            raise ValueError("a query has several values")
     both = a.select("query_id", F.col(metric).alias("_a")).join(b.select("query_id", F.col(metric).alias("_b")), "query_id")
-    diffs = np.array([r.d for r in both.orderBy("query_id").select((F.col("_b") - F.col("_a")).alias("d")).collect()])
-    if not len(diffs):
+    return both.select("query_id", (F.col("_b") - F.col("_a")).alias("d"))
+
+
+def paired_bootstrap(a: DataFrame, b: DataFrame, metric: str = "ndcg", rounds: int = 2000, seed: int = 42, most: int = 1_000_000) -> dict[str, float]:
+    """Mean difference b - a over queries, its 95 % interval and the share of resamples above 0, by drawing queries with
+    replacement. One number for each query comes to the driver; beyond `most` queries it is an error: use `bootstrap`."""
+    rows = _paired(a, b, metric).orderBy("query_id").select("d").limit(most + 1).collect()
+    if not rows:
         raise ValueError("no queries in common")
+    if len(rows) > most:
+        raise ValueError(f"more than {most} queries")
+    diffs = np.array([r.d for r in rows])
     rng = np.random.default_rng(seed)
     means = np.array([diffs[rng.integers(0, len(diffs), len(diffs))].mean() for _ in range(rounds)])
     low, high = np.quantile(means, [0.025, 0.975])
     return {"difference": float(diffs.mean()), "ci_low": float(low), "ci_high": float(high), "p_positive": float((means > 0).mean())}
 
 
-def zscore_baseline(features: DataFrame, weights: dict[str, float], out: str = "score") -> DataFrame:
-    """Sum of weighted z-scores over the whole frame; a constant column counts as it is, infinities and NaN as 0."""
-    stats = features.agg(*(f(c).alias(f"_{n}_{c}") for c in weights for n, f in (("m", F.avg), ("s", F.stddev_pop))))
+#: Where a uniform number becomes one more draw of a Poisson variable of mean 1.
+POISSON = tuple(float(x) for x in np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, k + 1)) for k in range(12)]))
+
+
+def bootstrap(a: DataFrame, b: DataFrame, metric: str = "ndcg", rounds: int = 2000, seed: int = 42) -> DataFrame:
+    """The same four figures as one row, for any number of queries: in each round a query is drawn as often as a Poisson
+    variable of mean 1 says, which follows from a hash of seed, round and query. Rounds are summed where the queries are;
+    `rounds` sums come together."""
+    diffs = _paired(a, b, metric)
+    key = F.concat_ws("|", F.lit(str(seed)), F.col("r").cast("string"), F.col("query_id").cast("string"))
+    u = F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("double") / float(1 << 48)
+    drawn = reduce(lambda x, y: x + y, ((u >= c).cast("int") for c in POISSON))
+    sums = diffs.select("query_id", "d", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("r")).select("r", "d", drawn.alias("w"))
+    means = sums.groupBy("r").agg(F.sum(F.col("d") * F.col("w")).alias("s"), F.sum("w").alias("n")).where("n > 0").select((F.col("s") / F.col("n")).alias("m"))
+    one = means.agg(F.percentile("m", 0.025).alias("ci_low"), F.percentile("m", 0.975).alias("ci_high"), F.avg((F.col("m") > 0).cast("double")).alias("p_positive"))
+    return diffs.agg(F.avg("d").alias("difference")).join(one)  # one row each
+
+
+def zscore_baseline(features: DataFrame, weights: dict[str, float], out: str = "score", by: str | None = None) -> DataFrame:
+    """Sum of weighted z-scores over the whole frame, or over the rows that agree in `by`; a constant column counts as it
+    is, infinities and NaN as 0."""
+    shape = [f(c).alias(f"_{n}_{c}") for c in weights for n, f in (("m", F.avg), ("s", F.stddev_pop))]
 
     def part(c: str, w: float):
         z = F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).otherwise(F.col(c))
         return F.when(F.isnan(z) | z.isNull() | (F.abs(z) == float("inf")), 0.0).otherwise(z) * w
 
     total = sum((part(c, w) for c, w in weights.items()), F.lit(0.0))
-    return features.crossJoin(F.broadcast(stats)).select(*features.columns, total.alias(out))  # one row
+    joined = features.join(features.groupBy(by).agg(*shape), by) if by else features.crossJoin(F.broadcast(features.agg(*shape)))  # one row
+    return joined.select(*features.columns, total.alias(out))
 
 
 def freshness(query_time, posted_at):

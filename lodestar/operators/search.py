@@ -1,11 +1,16 @@
-"""Inverted index, BM25 in two flavours, strict-then-loose search with boosts, nearest vectors."""
+"""Inverted index (stored or made on the spot), BM25 in two flavours, strict-then-loose search with boosts, nearest vectors."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
+from lodestar.sources.shared import materialise
 
 
 def postings(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
@@ -14,28 +19,75 @@ def postings(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
     return rows.groupBy("term", key, "length").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_frequency(index: DataFrame, key: str = "doc_id") -> DataFrame:
-    return index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def document_frequency(docs: DataFrame, terms: Column) -> DataFrame:
+    """(term, df): each document gives each of its terms once, so one aggregate suffices."""
+    return docs.select(F.explode(F.array_distinct(terms)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+@dataclass(frozen=True)
+class Index:
+    """Postings (term, key, tf, length) and documents (key and what results are made of); documents are tokenised once.
+    One row of statistics and the document frequencies follow from them."""
+
+    postings: DataFrame
+    docs: DataFrame
+    key: str = "doc_id"
+
+    def stats(self) -> DataFrame:
+        """n and avg_length (at least 1); documents without terms count too."""
+        total = self.postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("_total"))
+        n = self.docs.agg(F.count(F.lit(1)).alias("n"))
+        return n.join(total).select("n", F.greatest(F.col("_total") / F.greatest("n", F.lit(1)), F.lit(1.0)).alias("avg_length"))  # one row each
+
+
+def index(docs: DataFrame, terms: Column, key: str = "doc_id") -> Index:
+    """An index in the shared folder, gone with the application or its `scratch` scope."""
+    return Index(materialise(postings(docs, terms, key)), docs, key)
+
+
+def build_index(docs: DataFrame, terms: Column, path: str, key: str = "doc_id", overwrite: bool = False, limit: int | None = None) -> None:
+    """An index to keep, below `path`: postings sorted by term, so that a term's rows are few row groups of few files, and the
+    documents without what the terms were made of. `limit`: the first documents by key alone."""
+    kept = docs if limit is None else docs.orderBy(key).limit(limit)
+    mode = "overwrite" if overwrite else "error"
+    kept.write.mode(mode).option("compression", "zstd").parquet(f"{path}/documents.parquet")
+    held = docs.sparkSession.read.parquet(f"{path}/documents.parquet")
+    sorted_ = postings(held, terms, key).repartitionByRange("term", key).sortWithinPartitions("term", key)
+    sorted_.write.mode(mode).option("compression", "zstd").parquet(f"{path}/postings.parquet")
 
 
-def bm25(queries: DataFrame, docs: DataFrame, doc_terms: Column, key: str = "doc_id", k1: float = 1.5, b: float = 0.75, flavour: str = "plus_one") -> DataFrame:
+def open_index(spark: SparkSession, path: str, key: str = "doc_id") -> Index:
+    return Index(spark.read.parquet(f"{path}/postings.parquet"), spark.read.parquet(f"{path}/documents.parquet"), key)
+
+
+def fetch(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The documents that `ids` (key) names, each once; unknown ids give nothing."""
+    return docs.join(ids.select(key).distinct(), key, "left_semi")
+
+
+def nothing(spark: SparkSession, key: str = "doc_id") -> DataFrame:
+    """The results of a backend that has no documents."""
+    return spark.createDataFrame([], f"query_id long, {key} string, score double, lexical_score double, rank int")
+
+
+def bm25(queries: DataFrame, held: Index, k1: float = 1.5, b: float = 0.75, flavour: str = "plus_one") -> DataFrame:
     """(query_id, key, score, matched) for each document that shares a term. `queries` has query_id and terms (array).
 
     plus_one: idf = ln(1 + (N - df + .5) / (df + .5)), repeated query terms count each time; index: the form of
     full-text engines, ln((N - df + .5) / (df + .5)), at least 1e-6, with k1 = 1.2. The queries' terms are joined with
-    the postings by term, so documents without a match cost nothing after the scan.
+    the postings by term, so documents without a match cost nothing; a frequent term is a skewed inner join, which adaptive
+    execution splits.
     """
-    sized = docs.select(F.col(key), doc_terms.alias("terms"))
-    stats = sized.agg(F.count(F.lit(1)).alias("n"), F.greatest(F.avg(F.size("terms")), F.lit(1.0)).alias("avg_length"))
+    key = held.key
     asked = queries.select("query_id", F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
-    index = postings(docs, doc_terms, key).join(asked.select("term").distinct(), "term", "left_semi")
-    df = document_frequency(index, key)
+    some = held.postings.join(asked.select("term").distinct(), "term", "left_semi")
+    df = some.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     odds = (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)
     idf = F.log(1 + odds) if flavour == "plus_one" else F.greatest(F.log(odds), F.lit(1e-6))
     k1 = k1 if flavour == "plus_one" else 1.2
     gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("avg_length")))
     return (
-        asked.join(index, "term").join(df, "term").crossJoin(F.broadcast(stats))  # one row
+        asked.join(df, "term").join(some, "term").crossJoin(F.broadcast(held.stats()))  # one row
         .select("query_id", key, (F.col("times") * idf * gain).alias("part"))
         .groupBy("query_id", key).agg(F.sum("part").alias("score"), F.count(F.lit(1)).alias("matched"))
     )
@@ -47,20 +99,27 @@ def top_k(scored: DataFrame, k: int, key: str = "doc_id", score: str = "score")
     return scored.select("*", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k)
 
 
-def search(queries: DataFrame, docs: DataFrame, doc_terms: Column, limit: int, key: str = "doc_id") -> DataFrame:
-    """Documents with all terms of the query; where they are fewer than `limit`, those with any follow. Boosts: 0.35
-    for the query's location, 0.5 for its duty; the pool before boosts holds max(5 limit, 100) of each kind.
-    Scores are rounded, so ranks don't hang on the order in which parts were summed."""
+def _among(codes: Column, kind: str, one: Column) -> Column:
+    """Whether a code is the asked one, or among them."""
+    return F.coalesce(F.array_contains(codes, one) if kind.startswith("array") else codes == one, F.lit(False))
+
+
+def search(queries: DataFrame, held: Index, limit: int, location_boost: float = 0.35, duty_boost: float = 0.5) -> DataFrame:
+    """query_id, key, score, lexical_score, rank: documents with all terms of the query; where they are fewer than `limit`,
+    those with any follow. `queries`: query_id, terms, location and duty (a code or a list of codes); the index's documents
+    have location and duty too. The pool before boosts holds max(5 limit, 100) of each kind. Scores are rounded, so ranks
+    don't hang on the order in which parts were summed."""
+    key, kinds = held.key, dict(queries.dtypes)
     n_terms = queries.select("query_id", F.size(F.array_distinct("terms")).alias("n_terms"), "location", "duty")
-    scored = bm25(queries, docs, doc_terms, key, flavour="index").withColumn("score", F.round("score", 9)).join(n_terms, "query_id")
+    scored = bm25(queries, held, flavour="index").withColumn("score", F.round("score", 9)).join(n_terms, "query_id")
     strict = F.col("matched") == F.col("n_terms")
     pool = Window.partitionBy("query_id", "strict").orderBy(F.col("score").desc(), F.col(key))
     pooled = scored.withColumn("strict", strict).withColumn("at", F.row_number().over(pool)).where(F.col("at") <= max(5 * limit, 100))
     enough = F.sum(F.col("strict").cast("int")).over(Window.partitionBy("query_id"))
     kept = pooled.withColumn("all_match", enough).where(F.col("strict") | (F.col("all_match") < limit))
-    boosted = kept.join(docs.select(key, F.col("location").alias("_l"), F.col("duty").alias("_d")), key).select(
-        "query_id", key,
-        F.round(F.col("score") + F.when(F.col("_l") == F.col("location"), 0.35).otherwise(0.0) + F.when(F.col("_d") == F.col("duty"), 0.5).otherwise(0.0), 6).alias("score"),
+    near, own = _among(F.col("location"), kinds["location"], F.col("_l")), _among(F.col("duty"), kinds["duty"], F.col("_d"))
+    boosted = kept.join(held.docs.select(key, F.col("location").alias("_l"), F.col("duty").alias("_d")), key).select(
+        "query_id", key, F.round(F.col("score") + F.when(near, location_boost).otherwise(0.0) + F.when(own, duty_boost).otherwise(0.0), 6).alias("score"), F.col("score").alias("lexical_score")
     )
     return top_k(boosted, limit, key)
 
@@ -103,15 +162,37 @@ def bm25_pairs(pairs: DataFrame, queries: DataFrame, corpus: DataFrame, k1: floa
     return joined.select(*pairs.columns, F.coalesce(total, F.lit(0.0)).alias("bm25"))
 
 
-def vector_top_k(queries: DataFrame, table: DataFrame, k: int, block: int = 256) -> DataFrame:
-    """Best k by cosine of each query vector (query_id, query_vec), its own row apart. Queries meet the table in blocks
-    of about `block` vectors, so a task holds one block; each task keeps its own k best before the shuffle. Scores are
-    rounded to 9 digits; ties go to the smaller vec_id. Null and zero vectors score 0."""
-    parts = max(1, -(-queries.count() // block))
-    scaled = lambda c: F.sqrt(T.dot(c, c))
-    held = queries.select("query_id", "query_vec", scaled(F.col("query_vec")).alias("norm")).groupBy((F.abs(F.xxhash64("query_id")) % parts).cast("int").alias("block")).agg(F.collect_list(F.struct("query_id", "query_vec", "norm")).alias("held"))
-    met = table.select("vec_id", "embedding", scaled(F.col("embedding")).alias("norm"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("block")).join(held, "block")
-    pairs = met.select("vec_id", "embedding", "norm", F.explode("held").alias("q")).where("vec_id != q.query_id")
-    both = F.col("norm") * F.col("q.norm")
-    cosine = F.when(both > 0, T.dot(F.col("q.query_vec"), F.col("embedding")) / both).otherwise(0.0)
-    return top_k(pairs.select("q.query_id", "vec_id", F.coalesce(F.round(cosine, 9), F.lit(0.0)).alias("score")), k, "vec_id")
+def vector_top_k(queries: DataFrame, table: DataFrame, k: int, block_bytes: int = 4 << 20) -> DataFrame:
+    """Best k by cosine of each query vector (query_id, query_vec), its own row apart. Queries are packed into blocks of about
+    `block_bytes`, each block meets slices of the table of about the same size as one product of matrices, and each slice
+    keeps its own k best before the shuffle; so no key holds the whole table. Scores are rounded to 9 digits; ties go to the
+    smaller vec_id. Null and zero vectors score 0; vectors of the table that are of another length than the query's too."""
+    (n, dim), m = queries.agg(F.count(F.lit(1)), F.max(F.size("query_vec"))).first(), table.count()
+    rows = max(1, block_bytes // (8 * max(1, dim or 1)))
+    parts, slices = max(1, -(-n // rows)), max(1, -(-m // rows))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("query_vec").cast("array<double>").alias("v"), deal("query_id", parts).alias("block")).select("*", every(slices).alias("slice"))
+    held = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), deal("vec_id", slices).alias("slice")).select("*", every(parts).alias("block"))
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def unit(column: pa.ChunkedArray) -> np.ndarray:
+        vectors = [np.array(v if v is not None and len(v) == dim and None not in v else [0.0] * dim) for v in column.to_pylist()]
+        x = np.stack(vectors)
+        norms = np.sqrt(np.einsum("ij,ij->i", x, x))
+        return np.divide(x, norms[:, None], out=np.zeros_like(x), where=norms[:, None] > 0)
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        ids, q = right["vec_id"].to_numpy(), left["query_id"].to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids, scores = ids[order], np.round(np.nan_to_num(unit(left["v"]) @ unit(right["v"])[order].T), 9) + 0.0
+        scores[ids[None, :] == q[:, None]] = -np.inf
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]  # ties stay in the order of ids
+        kept = np.take_along_axis(scores, best, axis=1)
+        row, col = np.nonzero(np.isfinite(kept))
+        return pa.table({"query_id": q[row], "vec_id": ids[best[row, col]], "score": kept[row, col]}, schema=schema)
+
+    by = ("block", "slice")
+    return top_k(asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInArrow(compare, "query_id long, vec_id long, score double"), k, "vec_id")

@@ -18,6 +18,7 @@ from lodestar.operators import search as S
 from lodestar.plans import fixtures as fx
 from lodestar.plans import prepare
 from lodestar.plans.fixtures import table
+from lodestar.sources.shared import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -166,7 +167,7 @@ def query_export(spark, sf):
 
 @query(f"WITH {fx.TERMS_SQL} SELECT term, df FROM df")
 def token_df(spark, sf):
-    return S.document_frequency(S.postings(table(spark, sf, "documents"), T.latin_tokens(F.col("text"))))
+    return S.document_frequency(table(spark, sf, "documents"), T.latin_tokens(F.col("text")))
 
 
 _IDF = "ln(1 + (n - df + 0.5) / (df + 0.5))"
@@ -176,7 +177,7 @@ _IDF = "ln(1 + (n - df + 0.5) / (df + 0.5))"
 FROM qa JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), st GROUP BY 1, 2)
 SELECT query_id, doc_id, score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc) WHERE rank <= 10""")
 def bm25_topk(spark, sf):
-    scored = S.bm25(fx.corpus_queries(spark, sf), table(spark, sf, "documents"), T.latin_tokens(F.col("text")))
+    scored = S.bm25(fx.corpus_queries(spark, sf), S.index(table(spark, sf, "documents"), T.latin_tokens(F.col("text"))))
     return S.top_k(scored.select("query_id", "doc_id", F.round("score", 6).alias("score")), 10)
 
 
@@ -216,7 +217,7 @@ SELECT query_id, doc_id, score, CAST(rank AS INT) AS rank FROM (SELECT *, row_nu
 def _search(spark, sf, location, duty):
     docs = table(spark, sf, "documents").withColumnsRenamed({"lang": "location", "source": "duty"})
     q = fx.corpus_queries(spark, sf).withColumns({"location": F.lit(location), "duty": F.lit(duty)})
-    return S.search(q, docs, T.latin_tokens(F.col("text")), 10).select("query_id", "doc_id", "score", "rank")
+    return S.search(q, S.index(docs, T.latin_tokens(F.col("text"))), 10).select("query_id", "doc_id", "score", "rank")
 
 
 @query(_SEARCH.format(lang="'-'", source="'-'"))
@@ -229,6 +230,13 @@ def search_boosted(spark, sf):
     return _search(spark, sf, "en", "src3")
 
 
+@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN (SELECT item_id * 3 FROM benchmark)")
+def fetch_by_ids(spark, sf):
+    """Documents by ids; some ids are asked for twice, some are unknown."""
+    ids = table(spark, sf, "benchmark").select((F.col("item_id") * 3).alias("doc_id"))
+    return S.fetch(table(spark, sf, "documents"), ids.union(ids)).select("doc_id", "lang", "source", "n_chars")
+
+
 @query(f"""WITH {fx.BASKETS_SQL}, d AS (SELECT DISTINCT job_id, skill FROM js), t AS (SELECT count(DISTINCT job_id) AS total FROM js), f AS (SELECT skill, count(*) AS n FROM d GROUP BY 1),
 p AS (SELECT a.skill AS skill_a, b.skill AS skill_b, count(*) AS c FROM d a JOIN d b ON a.job_id = b.job_id AND a.skill < b.skill GROUP BY 1, 2),
 x AS (SELECT skill_a, skill_b, c, c / total AS support, ln(c * total / (fa.n * fb.n)) AS pmi, c / fa.n AS p_b_given_a, c / fb.n AS p_a_given_b
@@ -422,11 +430,16 @@ def win_loss_tie(spark, sf):
     return ranking.win_loss_tie(ranking.metrics(r, 10, "score_a"), ranking.metrics(r, 10, "score_b"))
 
 
-@query()
+_DRAWS = " + ".join(f"(u >= {c!r})::INT" for c in ranking.POISSON)
+
+
+@query(f"""WITH {fx.RANKED_SQL}, {fx.metrics_sql('score_a', 'ma')}, {fx.metrics_sql('score_b', 'mb')}, df AS (SELECT query_id, mb.ndcg - ma.ndcg AS d FROM ma JOIN mb USING (query_id)),
+dr AS (SELECT r, d, CAST('0x' || substr(md5('42|' || r || '|' || query_id), 1, 12) AS BIGINT) / 281474976710656.0 AS u FROM df, range(2000) x(r)), me AS (SELECT sum(d * ({_DRAWS})) / sum({_DRAWS}) AS m FROM dr GROUP BY r HAVING sum({_DRAWS}) > 0)
+SELECT round((SELECT avg(d) FROM df), 9) AS difference, round(quantile_cont(m, 0.025), 9) AS ci_low, round(quantile_cont(m, 0.975), 9) AS ci_high, avg((m > 0)::INT) AS p_positive FROM me""")
 def bootstrap_ci(spark, sf):
     r = fx.ranked_lists(spark, sf)
-    out = ranking.paired_bootstrap(ranking.metrics(r, 10, "score_a"), ranking.metrics(r, 10, "score_b"))
-    return spark.createDataFrame([tuple(out.values())], ", ".join(f"{k} double" for k in out))
+    out = ranking.bootstrap(ranking.metrics(r, 10, "score_a"), ranking.metrics(r, 10, "score_b"))
+    return out.select(*(F.round(c, 9).alias(c) for c in ("difference", "ci_low", "ci_high")), "p_positive")
 
 
 @query(f"""WITH {fx.RANKED_SQL}, s AS (SELECT avg(score_a) AS ma, stddev_pop(score_a) AS sa, avg(score_b) AS mb, stddev_pop(score_b) AS sb FROM rl)
@@ -472,9 +485,15 @@ def lexicon(spark, sf):
 PHRASES = ("the", "of the", "in", "and", "licensed under", "apache license", "der", "que", "de la")
 
 
-@query()
+_ANY = "|".join(sorted(PHRASES, key=lambda p: (-len(p), p)))
+
+
+@query(rf"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), '[[:space:]]+', ' ', 'g'), '_', '.', 'g'), '[^\x00-\x7f]', '~', 'g'), '~', 'x', 'g') AS body FROM documents)
+SELECT doc_id, phrase, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(body, '\b(?:{_ANY})\b')) AS phrase FROM t) GROUP BY 1, 2""")
 def phrase_match(spark, sf):
-    return X.phrase_matches(table(spark, sf, "documents"), PHRASES, most=1 << 30)
+    """Phrases in whole texts, counted. (Letters beyond ASCII bound a phrase like any others.)"""
+    found = X.phrase_matches(table(spark, sf, "documents"), spark.createDataFrame([(p,) for p in PHRASES], "phrase string"), most=1 << 30)
+    return found.groupBy("doc_id", "phrase").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH m AS (SELECT l_orderkey AS job_id, l_linenumber AS pos, CASE WHEN l_quantity > 25 THEN upper(p_brand) ELSE p_brand END AS raw FROM lineitem JOIN part ON l_partkey = p_partkey),
@@ -497,30 +516,48 @@ def embedding_topk(spark, sf):
     return S.vector_top_k(q, t, 5)
 
 
-@query()
+_BYTES = "list_transform(range({n}), lambda i: CAST('0x' || substr({h}, 2 * i + 1, 2) AS INT))"
+
+
+@query(f"""WITH n AS (SELECT DISTINCT p_name FROM part), t AS (SELECT p_name, unnest(regexp_extract_all(lower(p_name), '[a-z0-9_.+#-]+')) AS tok FROM n), b AS (SELECT p_name, {_BYTES.format(n=32, h='sha256(tok)')} AS v FROM t),
+s AS (SELECT p_name, i, sum(v[i + 1] / 127.5 - 1) AS x FROM b, range(32) r(i) GROUP BY 1, 2), w AS (SELECT p_name, i, sum(CASE WHEN v[j + 1] % 2 = 0 THEN 1 ELSE -1 END) AS x FROM b, range(32) q(j), (SELECT unnest(range(256)) AS i)
+  WHERE (31 * j + v[j + 1]) % 256 = i GROUP BY 1, 2), a AS (SELECT p_name, sqrt(sum(x * x)) AS n FROM s GROUP BY 1), c AS (SELECT p_name, sqrt(sum(x * x)) AS n FROM w GROUP BY 1)
+SELECT p_name, 'unsigned' AS kind, i AS place, round(x / n, 9) AS value FROM s JOIN a USING (p_name) WHERE x <> 0 UNION ALL SELECT p_name, 'signed', i, round(x / n, 9) FROM w JOIN c USING (p_name) WHERE x <> 0""")
 def hash_embedding(spark, sf):
+    """Both hash embeddings of the part names, component by component."""
     p = table(spark, sf, "part").select("p_name").distinct()
-    return p.select("p_name", T.hash_embedding(F.col("p_name")).alias("vector"), T.signed_hash_embedding(F.col("p_name")).alias("signed"))
+    one = lambda kind, v: p.select("p_name", F.lit(kind).alias("kind"), F.posexplode(v).alias("place", "value")).where("value != 0")
+    both = one("unsigned", T.hash_embedding(F.col("p_name"))).union(one("signed", T.signed_hash_embedding(F.col("p_name"))))
+    return both.select("p_name", "kind", F.col("place").cast("long").alias("place"), F.round("value", 9).alias("value"))
 
 
 def _responses(spark, sf):
-    """Extraction records of orders, some of them broken."""
+    """One extraction record for each order with all its parts as skills; some records are broken."""
     li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
-    imp = F.when(F.col("l_orderkey") % 7 == 0, F.lit("1.7")).otherwise(F.lit("0.9"))
-    ev = F.when(F.col("l_orderkey") % 5 == 0, F.lit("elsewhere")).otherwise(F.col("p_name"))
-    kind = F.when(F.col("l_orderkey") % 17 == 0, F.lit("Planet")).otherwise(F.lit("Framework"))
-    more = F.when(F.col("l_orderkey") % 19 == 0, F.lit('"mood":1,')).otherwise(F.lit(""))
-    skill = F.concat(F.lit('{"raw_mention":"'), "p_name", F.lit('","canonical_candidate":"x","skill_type":"'), kind, F.lit('","requirement":"required","importance":'), imp, F.lit(',"confidence":0.5,"evidence":"'), ev, F.lit('"},'))
-    job = F.when(F.col("l_orderkey") % 11 == 0, F.lit("0")).otherwise(F.col("l_orderkey").cast("string"))
-    body = F.concat(F.lit('```json\n{'), more, F.lit('"job_id":"'), job, F.lit('","skills":['), skill, F.lit("],}\n```"))
-    body = F.when(F.col("l_orderkey") % 13 == 0, F.lit("no record")).otherwise(body)
-    return li.where("l_linenumber = 1").join(p, li.l_partkey == p.p_partkey).select(F.col("l_orderkey").alias("job_id"), F.col("p_name").alias("source_text"), body.alias("body"))
-
-
-@query("""WITH o AS (SELECT l_orderkey AS job_id FROM lineitem WHERE l_linenumber = 1)
-SELECT job_id, 'not_json' AS violation FROM o WHERE job_id % 13 = 0 UNION ALL SELECT job_id, 'other_job' FROM o WHERE job_id % 11 = 0 AND job_id % 13 <> 0
-UNION ALL SELECT job_id, 'skill_type' FROM o WHERE job_id % 17 = 0 AND job_id % 13 <> 0 UNION ALL SELECT job_id, 'unknown_field' FROM o WHERE job_id % 19 = 0 AND job_id % 13 <> 0
-UNION ALL SELECT job_id, 'importance' FROM o WHERE job_id % 7 = 0 AND job_id % 13 <> 0 UNION ALL SELECT job_id, 'evidence' FROM o WHERE job_id % 5 = 0 AND job_id % 13 <> 0""")
+    o, part_key = F.col("l_orderkey"), F.col("l_partkey")
+    imp = F.when(part_key % 31 == 0, F.lit("1.7")).otherwise(F.lit("0.9"))
+    ev = F.when(part_key % 23 == 0, F.lit("elsewhere")).otherwise(F.col("p_name"))
+    kind = F.when(part_key % 37 == 0, F.lit("Planet")).otherwise(F.lit("Framework"))
+    skill = F.concat(F.lit('{"raw_mention":"'), "p_name", F.lit('","canonical_candidate":"x","skill_type":"'), kind, F.lit('","requirement":"required","importance":'), imp, F.lit(',"confidence":0.5,"evidence":"'), ev, F.lit('"}'))
+    rows = li.join(p, part_key == p.p_partkey).select(o.alias("job_id"), F.struct("l_linenumber", "l_partkey", skill.alias("s"), "p_name").alias("m"))
+    listed = rows.groupBy("job_id").agg(F.array_sort(F.collect_list("m")).alias("l"))
+    job_id = F.col("job_id")
+    more = F.when(job_id % 19 == 0, F.lit('"mood":1,')).otherwise(F.lit(""))
+    job = F.when(job_id % 11 == 0, F.lit("0")).otherwise(job_id.cast("string"))
+    body = F.concat(F.lit('```json\n{'), more, F.lit('"job_id":"'), job, F.lit('","skills":['), F.array_join(F.transform("l", lambda x: x["s"]), ", "), F.lit(",],}\n```"))
+    body = F.when(job_id % 13 == 0, F.lit("no record")).otherwise(body)
+    return listed.select("job_id", F.array_join(F.transform("l", lambda x: x["p_name"]), "; ").alias("source_text"), body.alias("body"))
+
+
+_RESPONSES_SQL = """sk AS (SELECT l_orderkey AS job_id, l_linenumber AS pos, l_partkey AS pk, p_name,
+'{"raw_mention":"' || p_name || '","canonical_candidate":"x","skill_type":"' || CASE WHEN l_partkey % 37 = 0 THEN 'Planet' ELSE 'Framework' END || '","requirement":"required","importance":'
+|| CASE WHEN l_partkey % 31 = 0 THEN '1.7' ELSE '0.9' END || ',"confidence":0.5,"evidence":"' || CASE WHEN l_partkey % 23 = 0 THEN 'elsewhere' ELSE p_name END || '"}' AS s FROM lineitem JOIN part ON l_partkey = p_partkey),
+o AS (SELECT job_id, string_agg(s, ', ' ORDER BY pos, pk, s) AS skills, bool_or(pk % 31 = 0) AS imp, bool_or(pk % 23 = 0) AS ev, bool_or(pk % 37 = 0) AS kind FROM sk GROUP BY 1)"""
+
+
+@query(f"""WITH {_RESPONSES_SQL} SELECT job_id, 'not_json' AS violation FROM o WHERE job_id % 13 = 0 UNION ALL SELECT job_id, 'other_job' FROM o WHERE job_id % 11 = 0 AND job_id % 13 <> 0
+UNION ALL SELECT job_id, 'skill_type' FROM o WHERE kind AND job_id % 13 <> 0 UNION ALL SELECT job_id, 'unknown_field' FROM o WHERE job_id % 19 = 0 AND job_id % 13 <> 0
+UNION ALL SELECT job_id, 'importance' FROM o WHERE imp AND job_id % 13 <> 0 UNION ALL SELECT job_id, 'evidence' FROM o WHERE ev AND job_id % 13 <> 0""")
 def contract_violations(spark, sf):
     return X.contract_violations(X.parse_records(_responses(spark, sf)))
 
@@ -553,10 +590,8 @@ def structured_mentions(spark, sf):
     return X.structured_mentions(jobs).select("job_id", "raw", "skill_type", "importance", "field")
 
 
-@query("""WITH o AS (SELECT l_orderkey AS job_id, p_name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1)
-SELECT job_id, CASE WHEN job_id % 13 = 0 THEN '' ELSE '{' || CASE WHEN job_id % 19 = 0 THEN '"mood":1,' ELSE '' END || '"job_id":"' || CASE WHEN job_id % 11 = 0 THEN '0' ELSE CAST(job_id AS VARCHAR) END
-|| '","skills":[{"raw_mention":"' || p_name || '","canonical_candidate":"x","skill_type":"' || CASE WHEN job_id % 17 = 0 THEN 'Planet' ELSE 'Framework' END || '","requirement":"required","importance":'
-|| CASE WHEN job_id % 7 = 0 THEN '1.7' ELSE '0.9' END || ',"confidence":0.5,"evidence":"' || CASE WHEN job_id % 5 = 0 THEN 'elsewhere' ELSE p_name END || '"}]}' END AS body FROM o""")
+@query(f"""WITH {_RESPONSES_SQL} SELECT job_id, CASE WHEN job_id % 13 = 0 THEN '' ELSE '{{' || CASE WHEN job_id % 19 = 0 THEN '"mood":1,' ELSE '' END || '"job_id":"' || CASE WHEN job_id % 11 = 0 THEN '0' ELSE CAST(job_id AS VARCHAR) END
+|| '","skills":[' || skills || ']}}' END AS body FROM o""")
 def json_repair(spark, sf):
     return _responses(spark, sf).select("job_id", T.repaired_json(F.col("body")).alias("body"))
 
@@ -606,11 +641,75 @@ def graph_pair_features(spark, sf):
     return hybrid.graph_features(_traces(spark, sf, 2)).select("query_id", "job", *(F.col(c).cast("long").alias(c) if c in counts else F.round(c, 6).alias(c) for c in hybrid.GRAPH))
 
 
+_WORDS = "'[a-z0-9+#.]+'"
+_Z = " + ".join(f"{w} * CASE WHEN stddev_pop({c}) OVER q > 0 THEN ({c} - avg({c}) OVER q) / stddev_pop({c}) OVER q ELSE {c} END" for c, w in hybrid.WEIGHTS.items())
+_HYBRID_SQL = f"""WITH {fx.BASKETS_SQL}, {fx.EDGES_SQL},
+hq AS (SELECT *, CASE WHEN query_id % 2 = 1 THEN b ELSE 'Part ' || b || ' 2-HIGH job' END AS query, CASE WHEN query_id % 3 = 0 THEN ['O'] ELSE ['F', 'P'] END AS locs, CASE WHEN query_id % 4 = 0 THEN ['1-URGENT'] ELSE [] END AS occs
+  FROM (SELECT n_nationkey AS query_id, 'Brand#' || (1 + n_nationkey) AS b FROM nation)),
+jt AS (SELECT job_id, o_orderstatus AS location, occupation_code AS duty, jb.posted_at, regexp_extract_all(lower(concat_ws(' ', title, requirements, description)), {_WORDS}) AS terms, regexp_extract_all(lower(title), {_WORDS}) AS tt,
+  regexp_extract_all(lower(concat_ws(' ', requirements, description)), {_WORDS}) AS rt FROM jb JOIN orders ON o_orderkey = job_id),
+qt AS (SELECT query_id, unnest(regexp_extract_all(lower(query), {_WORDS})) AS term FROM hq), qa AS (SELECT query_id, term, count(*) AS times FROM qt GROUP BY 1, 2),
+tf AS (SELECT job_id, term, count(*) AS tf FROM (SELECT job_id, unnest(terms) AS term FROM jt) GROUP BY 1, 2), st AS (SELECT count(*) AS n, greatest(avg(len(terms)), 1.0) AS avg_length FROM jt), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+nt AS (SELECT query_id, count(*) AS n_terms FROM qa GROUP BY 1),
+sc AS (SELECT query_id, job_id, round(sum(times * greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(terms) / avg_length))), 9) AS lexical, count(*) AS matched
+  FROM qa JOIN tf USING (term) JOIN df USING (term) JOIN jt USING (job_id), st GROUP BY 1, 2),
+po AS (SELECT *, matched = n_terms AS strict, row_number() OVER (PARTITION BY query_id, matched = n_terms ORDER BY lexical DESC, job_id) AS place FROM sc JOIN nt USING (query_id)),
+ke AS (SELECT *, sum(CAST(strict AS INT)) OVER (PARTITION BY query_id) AS m FROM po WHERE place <= 1000),
+bo AS (SELECT ke.query_id, ke.job_id, lexical, round(lexical + CASE WHEN list_contains(locs, location) THEN 0.35 ELSE 0 END + CASE WHEN list_contains(occs, duty) THEN 0.5 ELSE 0 END, 6) AS score FROM ke JOIN hq USING (query_id) JOIN jt USING (job_id) WHERE strict OR m < 200),
+lx AS (SELECT query_id, job_id, lexical FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, job_id) AS r FROM bo) WHERE r <= 200),
+sm AS (SELECT lower(skill) AS phrase, min({fx._SKILL}) AS node FROM js GROUP BY 1), am AS (SELECT lower(raw_mention) AS phrase, min({fx._SKILL}) AS node FROM js WHERE lower(raw_mention) <> lower(skill) GROUP BY 1),
+an AS (SELECT query_id, coalesce(am.node, sm.node) AS anchor FROM hq LEFT JOIN sm ON sm.phrase = lower(b) LEFT JOIN am ON query_id % 2 = 0 AND am.phrase = 'part ' || lower(b)),
+oc AS (SELECT query_id, 'occupation:' || coalesce(list_min(occs), CASE WHEN query_id % 2 = 0 THEN '2-HIGH' END) AS node FROM hq),
+tr AS (SELECT query_id, from_id AS job, anchor, label, weight AS score FROM an JOIN e ON to_id = anchor AND {_JS} UNION ALL SELECT query_id, from_id, node, label, weight FROM oc JOIN e ON to_id = node AND label = 'INSTANCE_OF'),
+fo AS (SELECT query_id, job FROM (SELECT query_id, job, row_number() OVER (PARTITION BY query_id ORDER BY round(sum(score), 9) DESC, job) AS r FROM tr GROUP BY 1, 2) WHERE r <= 200),
+gf AS (SELECT query_id, CAST(substr(job, 5) AS BIGINT) AS job_id, sum(score) AS graph_score, count(DISTINCT anchor) FILTER ({_JS}) AS exact_skill_count, sum(CASE WHEN label = 'REQUIRES' THEN score ELSE 0 END) AS required_match_weight,
+  sum(CASE WHEN label = 'PREFERS' THEN score ELSE 0 END) AS preferred_match_weight, sum(CASE WHEN label = 'MENTIONS' THEN score ELSE 0 END) AS mentioned_match_weight, max(CASE WHEN label = 'INSTANCE_OF' THEN 1.0 ELSE 0 END) AS occupation_match,
+  max(score) AS best_path_score, avg(score) AS mean_path_score FROM tr JOIN fo USING (query_id, job) GROUP BY 1, 2),
+pr AS (SELECT query_id, job_id FROM lx UNION SELECT query_id, CAST(substr(job, 5) AS BIGINT) FROM fo),
+qn AS (SELECT query_id, sqrt(sum(times * times)) AS qn, count(*) AS kinds, list(term) AS qs FROM qa GROUP BY 1), dn AS (SELECT job_id, sqrt(sum(tf * tf)) AS dn FROM tf GROUP BY 1),
+dp AS (SELECT pr.query_id, pr.job_id, sum(times * tf) AS dot FROM pr JOIN qa USING (query_id) JOIN tf USING (job_id, term) GROUP BY 1, 2),
+ft AS (SELECT pr.query_id, pr.job_id, coalesce(lexical, 0) AS bm25_score, coalesce(dot / qn / dn, 0) AS dense_score, len(list_intersect(qs, tt)) / kinds AS title_overlap, len(list_intersect(qs, rt)) / kinds AS description_overlap,
+  CASE WHEN list_contains(locs, location) THEN 1.0 ELSE 0 END AS location_match, CASE WHEN list_contains(occs, duty) THEN 1.0 ELSE 0 END AS duty_code_match, CASE WHEN d >= 0 THEN 1.0 / (1.0 + d / 30.0) ELSE 0 END AS freshness_score,
+  0.0 AS salary_min_log, 0.0 AS salary_max_log, 0.0 AS one_hop_skill_count, {', '.join(f'coalesce({c}, 0) AS {c}' for c in hybrid.GRAPH if c != 'one_hop_skill_count')}
+  FROM pr JOIN hq USING (query_id) JOIN (SELECT *, date_diff('day', CAST(posted_at AS DATE), DATE '1997-01-01') AS d FROM jt) USING (job_id) JOIN qn USING (query_id) LEFT JOIN dn USING (job_id) LEFT JOIN dp USING (query_id, job_id)
+  LEFT JOIN lx USING (query_id, job_id) LEFT JOIN gf USING (query_id, job_id)),
+zs AS (SELECT *, {_Z} AS score FROM ft WINDOW q AS (PARTITION BY query_id))
+SELECT query_id, job_id, round(score, 6) AS score, round(bm25_score, 6) AS lexical_score, location_match, duty_code_match, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, job_id) AS r FROM zs) WHERE r <= 50"""
+
+
+def _order_search(spark, sf):
+    """Queries of brands, some by another name and with an occupation; an index of the orders' texts; and their graph."""
+    k = F.col("n_nationkey")
+    brand = F.concat(F.lit("Brand#"), (1 + k).cast("string"))
+    queries = table(spark, sf, "nation").select(
+        k.alias("query_id"), F.when(k % 2 == 1, brand).otherwise(F.concat(F.lit("Part "), brand, F.lit(" 2-HIGH job"))).alias("query"), F.lit("1997-01-01 00:00:00").alias("query_time"),
+        F.when(k % 3 == 0, "O").otherwise("F|P").alias("location_code"), F.when(k % 4 == 0, "1-URGENT").otherwise("").alias("occupation_code"),
+    ).withColumn("terms", T.latin_tokens(F.col("query")))
+    js, jobs = fx.baskets(spark, sf), materialise(fx.basket_jobs(spark, sf))
+    docs = jobs.select("job_id", F.col("location_code").alias("location"), F.col("occupation_code").alias("duty"), F.concat_ws(" ", "title", "requirements", "description").alias("text"))
+    g = C.Graph(G.nodes(jobs, js), G.edges(jobs, js)).stored()
+    return queries, S.index(docs, T.latin_tokens(F.col("text")), "job_id"), jobs, g
+
+
+@query(_HYBRID_SQL)
+def hybrid_rerank(spark, sf):
+    """Lexical and graph pools of each query, their union reranked by the baseline among themselves."""
+    queries, held, jobs, g = _order_search(spark, sf)
+    out = hybrid.hybrid_search(queries, held, jobs, g.nodes, g.edges)
+    return out.select("query_id", "job_id", F.round("score", 6).alias("score"), F.round("lexical_score", 6).alias("lexical_score"), "location_match", "duty_code_match", "rank")
+
+
 @query()
 def ablation(spark, sf):
-    """Mean metrics of the four feature sets on the labelled documents."""
-    f = _features(spark, sf).persist()
-    sets, _ = hybrid.ablation(f, f, trees=3)
+    """Mean metrics of the four feature sets on labelled orders, graph features among them. Jobs that a query's anchors reach
+    have grades by hash, so that the sets differ."""
+    queries, held, jobs, g = _order_search(spark, sf)
+    found = G.candidates(G.paths(g.edges, hybrid.anchors(hybrid.parse_queries(queries, hybrid.vocabulary(g.nodes, g.edges))), 1), 30)
+    job = F.regexp_replace("job", "^job:", "").cast("long")
+    grade = F.when(F.col("score") > 0.5, 2).when(F.pmod(F.xxhash64("query_id", "job"), F.lit(3)) == 0, 1).otherwise(0)
+    labels = materialise(found.select("query_id", job.alias("job_id"), grade.alias("relevance"), (1 + F.pmod(F.xxhash64("job", "query_id"), F.lit(30))).cast("int").alias("original_rank")))
+    f = materialise(hybrid.labelled_features(labels, queries, jobs, g.nodes, g.edges, 1))
+    sets, _ = hybrid.ablation(f.where("query_id % 2 = 0"), f.where("query_id % 2 = 1"), trees=3)
     frames = [ranking.mean_metrics(m).select(F.lit(name).alias("feature_set"), "*") for name, m in sets.items()]
     return functools.reduce(DataFrame.union, frames)
 

@@ -18,6 +18,27 @@ def prompt(title: str = "title", requirements: str = "requirements", description
     return F.concat_ws("\n", F.lit("List the skills as JSON."), part("JOB_ID", key), part("TITLE", title), part("REQUIREMENTS", requirements), part("DESCRIPTION", description))
 
 
+def request_body(prompt_text, most_tokens: int = 4096, temperature: float = 0.0):
+    """The request as JSON, a column: one message of the user."""
+    message = F.struct(F.lit("user").alias("role"), prompt_text.alias("content"))
+    return F.to_json(F.struct(F.lit(most_tokens).alias("max_tokens"), F.lit(temperature).alias("temperature"), F.array(message).alias("messages")))
+
+
+def requests(jobs: DataFrame) -> DataFrame:
+    """(job_id, key, body): what would be asked of a provider; nothing is sent."""
+    text = prompt()
+    return jobs.select("job_id", cache_key(text).alias("key"), request_body(text).alias("body"))
+
+
+def unwrapped(response):
+    """The text that a provider's response holds, a column: a record itself, the text of its first message (in either of two
+    places), its body, or the response if it is no JSON object; null for objects of other shapes."""
+    at = lambda path: F.get_json_object(response, path)
+    is_record = at("$.job_id").isNotNull() & at("$.skills").isNotNull() & at("$.extraction_prompt_version").isNotNull()
+    inner = F.coalesce(at("$.output.message.content[0].text"), at("$.content[0].text"), F.when(F.try_variant_get(F.try_parse_json(response), "$.body", "string").isNotNull(), at("$.body")))
+    return F.when(F.json_object_keys(response).isNull() | is_record, response).otherwise(inner)
+
+
 def with_retry(call: Callable[[str], str], text: str, attempts: int = 3, base: float = 1.0, most: float = 30.0, sleep=time.sleep) -> str:
     """Exponential waits with jitter between attempts; the last error is raised."""
     for i in range(attempts):
@@ -72,6 +93,31 @@ def import_plan(nodes: str, edges: str, allow: bool = False) -> dict:
     return {"dry_run": True, "sources": [nodes, edges], "format": "csv", "id": hashlib.sha256(f"{nodes}|{edges}".encode()).hexdigest()[:16]}
 
 
-def embed(frame: DataFrame, text: str, provider: Callable, labels: tuple[str, ...] = ("Skill", "Occupation")) -> DataFrame:
-    """Vectors of the nodes with these labels by a Column function such as functions.text.hash_embedding."""
-    return frame.where(F.col("label").isin(*labels)).select("node_id", "label", provider(F.col(text)).alias("vector"))
+def skill_text():
+    return F.array_join(F.filter(F.array(*(F.coalesce(F.col(c), F.lit("")) for c in ("canonical_name", "skill_type", "description"))), lambda x: x != ""), " | ")
+
+
+def occupation_text():
+    return F.array_join(F.filter(F.array(*(F.coalesce(F.col(c), F.lit("")) for c in ("name", "occupation_code", "description"))), lambda x: x != ""), " | ")
+
+
+def embed(nodes: DataFrame, provider: Callable, model: str = "hash", dimension: int = 32) -> DataFrame:
+    """node_id, label, embedding_text, embedding, embedding_model, embedding_dimension of skills and occupations, by a
+    Column function such as functions.text.hash_embedding. A vector of another length is an error where it is read."""
+    text = F.when(F.col("label") == "Skill", skill_text()).otherwise(occupation_text())
+    rows = nodes.where(F.col("label").isin("Skill", "Occupation")).select("node_id", "label", text.alias("embedding_text"))
+    made = rows.withColumn("embedding", provider(F.col("embedding_text")))
+    fits = F.size("embedding") == dimension
+    checked = F.when(fits, F.col("embedding")).otherwise(F.raise_error(F.lit(f"a vector has not {dimension} components")).cast(made.schema["embedding"].dataType))
+    return made.select("node_id", "label", "embedding_text", checked.alias("embedding"), F.lit(model).alias("embedding_model"), F.lit(dimension).alias("embedding_dimension"))
+
+
+def embedding_manifest(vectors: DataFrame, model: str = "hash", dimension: int = 32) -> DataFrame:
+    """One row; the hash is of the sum of the ids' hashes, so no order is needed."""
+    sums = F.sum(F.xxhash64("node_id").cast("decimal(38,0)")).cast("string")
+    return vectors.agg(F.lit(model).alias("model_id"), F.lit(dimension).alias("dimension"), F.count(F.lit(1)).alias("row_count"), F.sha2(F.coalesce(sums, F.lit("")), 256).alias("node_ids_hash"))
+
+
+def dead_letters(extracted: DataFrame, path: str) -> None:
+    """Failed requests (job_id, key, error), appended as JSON lines."""
+    extracted.where("error is not null").select("job_id", "key", "error").write.mode("append").json(path)

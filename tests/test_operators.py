@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import json
 import math
 import random
 import re
@@ -16,6 +17,7 @@ from lodestar.operators import checks as C
 from lodestar.operators import contracts, hybrid, ltr, ranking, statistics
 from lodestar.operators import extraction as X
 from lodestar.operators import graph as G
+from lodestar.operators import search as S
 from lodestar.plans import prepare
 from lodestar.sources import files, providers
 from lodestar.streaming import attribution
@@ -99,7 +101,7 @@ def test_metrics_bounds_and_values(spark):
         ranking.metrics(df, 0)
 
 
-def test_ranker_learns(spark):
+def test_ranker_learns(spark, tmp_path):
     rng = random.Random(2)
     rows = [(str(q), str(i), (r := rng.choice((0, 0, 1, 2))), r + rng.random(), rng.random()) for q in range(30) for i in range(8)]
     df = spark.createDataFrame(rows, "query_id string, job_id string, relevance int, good double, noise double")
@@ -107,6 +109,58 @@ def test_ranker_learns(spark):
     mean = lambda d: ranking.mean_metrics(ranking.metrics(d, 5)).first().ndcg
     assert mean(model.score(df)) > mean(df.withColumn("score", F.col("noise"))) + 0.1
     assert list(model.importance())[0] == "good"
+    model.save(spark, f"{tmp_path}/ranker")
+    again = ltr.Ranker.load(spark, f"{tmp_path}/ranker")
+    key = lambda m: sorted((r.query_id, r.job_id, round(r.score, 12)) for r in m.score(df).collect())
+    assert again.features == model.features and key(again) == key(model)
+
+
+def test_bootstraps_agree(spark):
+    rng = random.Random(3)
+    rows = [(q, rng.random(), rng.random() + 0.1) for q in range(300)]
+    df = spark.createDataFrame(rows, "query_id int, a double, b double")
+    one, two = df.select("query_id", F.col("a").alias("ndcg")), df.select("query_id", F.col("b").alias("ndcg"))
+    want, got = ranking.paired_bootstrap(one, two, rounds=1000), ranking.bootstrap(one, two, rounds=1000).first()
+    assert got.difference == pytest.approx(want["difference"]) and abs(got.ci_low - want["ci_low"]) < 0.01 and abs(got.ci_high - want["ci_high"]) < 0.01
+    for f in (ranking.bootstrap, ranking.paired_bootstrap):
+        with pytest.raises(ValueError):
+            f(one.union(one), two)
+    with pytest.raises(ValueError):
+        ranking.paired_bootstrap(one, two, most=10)
+
+
+def test_indexes_and_phrases(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "node.js and c++", "x", "y"), (2, "c", "x", "z"), (3, "", None, None)], "doc_id int, text string, location string, duty string")
+    S.build_index(docs, T.latin_tokens(F.col("text")), f"{tmp_path}/index")
+    held = S.open_index(spark, f"{tmp_path}/index")
+    stats = held.stats().first()
+    assert (stats.n, stats.avg_length) == (3, pytest.approx(4 / 3))
+    queries = spark.createDataFrame([(7, ["c"], ["x"], ["z", "w"])], "query_id int, terms array<string>, location array<string>, duty array<string>")
+    got = S.search(queries, held, 5).first()
+    assert got.doc_id == 2 and got.score == pytest.approx(got.lexical_score + 0.85, abs=1e-6)
+    S.build_index(docs, T.latin_tokens(F.col("text")), f"{tmp_path}/few", limit=2)
+    assert S.open_index(spark, f"{tmp_path}/few").docs.count() == 2 and S.nothing(spark).collect() == []
+    assert one(spark, "Node.js", T.fts_parts) == ["node", "js"] and one(spark, "Café#", T.fts_parts) == ["cafe"]
+    assert one(spark, "x node js y", lambda c: T.has_phrase(F.split(c, " "), F.array(F.lit("node"), F.lit("js")))) and not one(spark, "js node", lambda c: T.has_phrase(F.split(c, " "), F.array(F.lit("node"), F.lit("js"))))
+    assert one(spark, "ab", T.display_name) == "ab" and one(spark, "\u3000Ａ ", T.display_name) == "A"
+
+
+def test_feature_frames(spark):
+    from lodestar.plans import catalog
+
+    queries, held, jobs, g = catalog._order_search(spark, "/root/testdata/sf0.001")
+    queries, jobs = queries.where("query_id < 3"), jobs.where("job_id < 20")
+    labels = queries.select("query_id", F.lit(5).cast("long").alias("job_id"), F.lit(1).alias("relevance"), F.lit(2).alias("original_rank"))
+    few = hybrid.labelled_features(labels, queries, jobs, g.nodes, g.edges).collect()
+    every = {(r.query_id, r.job_id): r for r in hybrid.all_features(queries, jobs, g.nodes, g.edges, labels).collect()}
+    assert len(few) == 3 and len(every) == 3 * jobs.count() and {r.relevance for r in every.values()} == {0, 1}
+    assert all(every[r.query_id, r.job_id][c] == pytest.approx(r[c]) for r in few for c in hybrid.PLAIN + hybrid.GRAPH)
+    with pytest.raises(ValueError):
+        hybrid.all_features(queries, jobs, g.nodes, g.edges, most=10)
+    with pytest.raises(ValueError):
+        hybrid.labelled_features(labels.withColumn("job_id", F.lit(-1).cast("long")), queries, jobs, g.nodes, g.edges)
+    sets = {n: ranking.metrics(labels.withColumn("score", F.lit(float(i)))) for i, n in enumerate("ABCD")}
+    assert "| D | ranker | 1.000000 |" in hybrid.ablation_report(sets, ranking.bootstrap(sets["C"], sets["D"], rounds=50))
 
 
 def test_parse_and_features(spark):
@@ -131,7 +185,8 @@ def test_parse_and_features(spark):
     assert j1.best_path_score == 1 and j1.mean_path_score == pytest.approx(1.6 / 3) and j1.salary_min_log == pytest.approx(math.log(101)) and j1.salary_max_log == 0
     assert all(j2[c] == 0 for c in hybrid.PLAIN + hybrid.GRAPH)
     hybrid.require_finite(hybrid.pair_features(pairs, queries, jobs, traces))
-    top = hybrid.rerank(pairs.withColumn("score", F.lit(1.0)), pairs, queries, jobs, traces, 5).collect()
+    found = pairs.select("query_id", F.concat(F.lit("job:"), "job_id").alias("job"))
+    top = hybrid.rerank(pairs.withColumn("lexical_score", F.lit(1.0)), found, queries, jobs, traces, 5).collect()
     assert [r.job_id for r in sorted(top, key=lambda r: r["rank"])] == ["j1", "j2"]
 
 
@@ -229,12 +284,24 @@ def test_graph_report(spark):
     assert out["status"] == "failed" and len(out["findings"]) == 5 and out["finding_counts"]["invalid_edge_labels"] == 2 and "`failed`" in text
 
 
-def test_providers(spark):
+def test_providers(spark, tmp_path):
     jobs = spark.createDataFrame([("1", "t", "r", "d"), ("2", "t", "r", "d")], "job_id string, title string, requirements string, description string")
     first = providers.extract(jobs, providers.mock({"1": "one"}), attempts=1).collect()
     assert {r.job_id: (r.body, bool(r.error)) for r in first} == {"1": ("one", False), "2": (None, True)}
     cache = spark.createDataFrame([(r.key, "cached") for r in first], "key string, body string")
     assert {r.body for r in providers.extract(jobs, providers.mock({}), cache).collect()} == {"cached"}
+    asked = {r.job_id: r for r in providers.requests(jobs).collect()}
+    assert [asked[r.job_id].key for r in first] == [r.key for r in first] and "JOB_ID: 1" in json.loads(asked["1"].body)["messages"][0]["content"]
+    record = '{"job_id":"1","skills":[],"extraction_prompt_version":"v"}'
+    shapes = {"plain": "plain", record: record, '{"output":{"message":{"content":[{"text":"a"}]}}}': "a", '{"content":[{"text":"b"}]}': "b", '{"body":"c"}': "c", '{"other":1}': None}
+    assert {k: one(spark, k, providers.unwrapped) for k in shapes} == shapes
+    nodes = spark.createDataFrame([("s", "Skill", "Go", "Language", None, None), ("o", "Occupation", None, None, "7", "7"), ("j", "Job", None, None, None, None)], "node_id string, label string, canonical_name string, skill_type string, name string, occupation_code string").withColumn("description", F.lit(""))
+    made = providers.embed(nodes, T.hash_embedding)
+    assert {r.node_id: (r.embedding_text, len(r.embedding)) for r in made.collect()} == {"s": ("Go | Language", 32), "o": ("7 | 7", 32)} and providers.embedding_manifest(made).first().row_count == 2
+    with pytest.raises(Exception, match="components"):
+        providers.embed(nodes, T.hash_embedding, dimension=8).collect()
+    providers.dead_letters(spark.createDataFrame(first), f"{tmp_path}/failed")
+    assert [r.job_id for r in spark.read.json(f"{tmp_path}/failed").collect()] == ["2"]
     calls = []
     with pytest.raises(KeyError):
         providers.with_retry(lambda t: calls.append(t) or {}["x"], "a", sleep=lambda s: None)
