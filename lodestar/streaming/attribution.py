@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 
 def attribute_stream(events: DataFrame, queries: DataFrame, within: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Stream-stream join of events (talent_key, job_id, event_time) with searches (talent_key, query_id, query_time,
     exposed_jobs) that showed the job at most `within` before. Watermarks bound the state: a search is dropped once
-    no event in its window can come any more. Each matching search gives a row; the last one is picked downstream."""
+    no event in its window can come any more. Each matching search gives a row; `last_touch_stream` gives the last alone."""
     e = events.withWatermark("event_time", late).alias("e")
     q = queries.withWatermark("query_time", late).alias("q")
     same = F.expr(f"e.talent_key = q.talent_key AND e.event_time BETWEEN q.query_time AND q.query_time + INTERVAL {within}")
@@ -19,3 +24,43 @@ def attribute_stream(events: DataFrame, queries: DataFrame, within: str = "1 hou
 def activity(events: DataFrame, width: str = "1 day", late: str = "1 day") -> DataFrame:
     """Counts by window and event type, with a watermark for late rows."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+LOG = "kind string, talent_key string, at timestamp, query_id string, exposed_jobs string, job_id string"
+
+
+def last_touch_stream(log: DataFrame, within: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+    """Last-touch attribution on one stream of searches (kind query) and actions (kind event) with the columns of LOG:
+    talent_key, job_id, event_time, query_id, query_time.
+
+    An action waits in its user's state until the watermark has passed it, so searches that come late but in time count; then
+    the latest search at or before it is taken (ties: the largest id), and only that one is checked for window and exposure,
+    as in the batch operator. Of searches the state keeps those that are still open and the last one before. Rows later than
+    `late` behind the newest are dropped by the watermark; rows without a user never match."""
+    seconds = int(pd.Timedelta(within).total_seconds() * 1000)
+
+    def run(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        queries, events = json.loads(state.get[0]) if state.exists else ([], [])
+        for pdf in frames:
+            times = pdf["at"].astype("datetime64[ms]").astype("int64")
+            for kind, at, query, shown, job in zip(pdf["kind"], times.tolist(), pdf["query_id"], pdf["exposed_jobs"], pdf["job_id"]):
+                (queries if kind == "query" else events).append([at, query, shown] if kind == "query" else [at, job])
+        mark = state.getCurrentWatermarkMs()
+        queries.sort(key=lambda q: (q[0], q[1] or ""))
+        out = []
+        for at, job in sorted(e for e in events if e[0] <= mark):
+            last = next((q for q in reversed(queries) if q[0] <= at), None)
+            if last and at - last[0] <= seconds and job in (last[2] or "").split(","):
+                out.append((key[0], job, pd.Timestamp(at, unit="ms"), last[1], pd.Timestamp(last[0], unit="ms")))
+        events = [e for e in events if e[0] > mark]
+        closed = [q for q in queries if q[0] <= mark]
+        queries = closed[-1:] + [q for q in queries if q[0] > mark]
+        state.update((json.dumps([queries, events]),))
+        if events:
+            state.setTimeoutTimestamp(max(mark, min(e[0] for e in events)) + 1)
+        yield pd.DataFrame(out, columns=["talent_key", "job_id", "event_time", "query_id", "query_time"])
+
+    rows = log.where("talent_key is not null").withWatermark("at", late).select(*(c.split()[0] for c in LOG.split(", ")))
+    return rows.groupBy("talent_key").applyInPandasWithState(
+        run, "talent_key string, job_id string, event_time timestamp, query_id string, query_time timestamp", "held string", "append", GroupStateTimeout.EventTimeTimeout
+    )

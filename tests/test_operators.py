@@ -347,3 +347,27 @@ def test_streams(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert Counter((r.query_id, r.job_id) for r in spark.table("matched").collect()) == {("q1", "5"): 1}
+
+
+def test_last_touch_on_a_stream_equals_the_batch(spark, tmp_path):
+    """Rows come out of order and in two lots; the stream gives what the batch operator gives for all that the watermark passed."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        user, at = str(rng.randint(0, 4)), DAY + dt.timedelta(seconds=rng.randint(0, 40_000))
+        if i % 3:
+            rows.append(("event", user, at, None, None, str(rng.randint(0, 5))))
+        else:
+            rows.append(("query", user, at, f"q{i:03}", ",".join(str(rng.randint(0, 5)) for _ in range(4)), None))
+    rows.append(("query", "9", DAY + dt.timedelta(days=2), "end", "", None))
+    log = spark.createDataFrame(rows, attribution.LOG)
+    for i, lot in enumerate((rows[:150], rows[150:])):
+        spark.createDataFrame(lot, attribution.LOG).coalesce(1).write.parquet(f"{tmp_path}/log/lot{i}")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/log")
+    run = attribution.last_touch_stream(stream, "1 hour", "1 day").writeStream.format("memory").queryName("last").option("checkpointLocation", f"{tmp_path}/c").start()
+    run.processAllAvailable()
+    run.stop()
+    queries = log.where("kind = 'query'").select("talent_key", F.col("at").alias("query_time"), "query_id", "exposed_jobs")
+    events = log.where("kind = 'event'").select("talent_key", "job_id", F.col("at").alias("event_time"))
+    want = Counter((r.talent_key, r.job_id, r.event_time, r.query_id) for r in B.attribute(events, queries, "1 HOUR").collect())
+    assert Counter((r.talent_key, r.job_id, r.event_time, r.query_id) for r in spark.table("last").collect()) == want and len(want) > 20
