@@ -36,10 +36,15 @@ def mean_metrics(per_query: DataFrame) -> DataFrame:
     return per_query.agg(*(F.avg(c).alias(c) for c in ("ndcg", "precision", "top1", "mrr", "hit")), F.count(F.lit(1)).alias("queries"))
 
 
+def group_sizes(rows: DataFrame) -> DataFrame:
+    """(query_id, n): how many rows each query has."""
+    return rows.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 def win_loss_tie(a: DataFrame, b: DataFrame, metric: str = "ndcg") -> DataFrame:
-    d = F.col("_b") - F.col("_a")
-    both = a.select("query_id", F.col(metric).alias("_a")).join(b.select("query_id", F.col(metric).alias("_b")), "query_id")
-    return both.agg(
+    """How often b is better, worse or equal, over the queries of both; a query that repeats in one is an error."""
+    d = F.col("d")
+    return _paired(a, b, metric).agg(
         F.count_if(d > 1e-12).alias("wins"), F.count_if(d < -1e-12).alias("losses"), F.count_if(F.abs(d) <= 1e-12).alias("ties")
     )
 

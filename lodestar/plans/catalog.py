@@ -735,9 +735,21 @@ def input_violations(spark, sf):
     return contracts.violations(jobs, queries, labels, "2024-02-01")
 
 
-@query()
+@query(f"""WITH r AS (SELECT DISTINCT p_name AS raw FROM part), kn AS (SELECT p_type AS skill FROM part UNION SELECT p_brand FROM part),
+t AS (SELECT name, unnest(regexp_extract_all(lower(name), '[a-z0-9_.+#-]+')) AS tok FROM (SELECT raw AS name FROM r UNION SELECT skill FROM kn)), b AS (SELECT name, {_BYTES.format(n=32, h='sha256(tok)')} AS v FROM t),
+e AS (SELECT name, i, sum(v[i + 1] / 127.5 - 1) AS x FROM b, range(32) g(i) GROUP BY 1, 2), n AS (SELECT name, sqrt(sum(x * x)) AS n FROM e GROUP BY 1),
+s AS (SELECT raw, skill, round(sum(a.x * c.x) / any_value(na.n) / any_value(nc.n), 8) AS score FROM r JOIN e a ON a.name = raw JOIN e c ON c.i = a.i JOIN kn ON c.name = skill JOIN n na ON na.name = raw JOIN n nc ON nc.name = skill GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY raw ORDER BY score DESC, skill) AS place FROM s), f AS (SELECT raw, min(place) FILTER (lower(raw[1]) = lower(skill[1])) AS hit, string_agg(skill, '|' ORDER BY place) AS candidates FROM k WHERE place <= 5 GROUP BY 1)
+SELECT f.raw, candidates, skill AS selected, CASE WHEN hit IS NULL THEN 'ambiguous' ELSE 'same_skill' END AS decision, CASE WHEN hit IS NULL THEN 0.5 ELSE 0.95 END AS confidence, CASE WHEN hit IS NULL THEN 'unresolved' ELSE 'embedding_plus_binary_verifier' END AS rule
+FROM f LEFT JOIN k ON k.raw = f.raw AND place = hit""")
 def resolve_names(spark, sf):
     """Part names against brands and types by embedding, with a verifier that takes names of the same first letter."""
     p = table(spark, sf, "part")
     known = p.select(F.col("p_type").alias("skill")).union(p.select("p_brand"))
-    return X.resolve(p.select(F.col("p_name").alias("raw")), known, lambda a, b: ("same_skill", 0.95) if a[:1].lower() == b[:1].lower() else ("ambiguous", 0.5))
+    out = X.resolve(p.select(F.col("p_name").alias("raw")), known, lambda a, b: ("same_skill", 0.95) if a[:1].lower() == b[:1].lower() else ("ambiguous", 0.5))
+    return out.select("raw", F.array_join("candidates", "|").alias("candidates"), "selected", "decision", "confidence", "rule")
+
+
+@query(f"WITH {fx.RANKED_SQL} SELECT query_id, count(*) AS n FROM rl GROUP BY 1")
+def group_sizes(spark, sf):
+    return ranking.group_sizes(fx.ranked_lists(spark, sf))

@@ -115,6 +115,26 @@ def test_ranker_learns(spark, tmp_path):
     assert again.features == model.features and key(again) == key(model)
 
 
+def test_lambdas_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(q, i, rng.choice((0, 1, 2)), rng.random()) for q in range(6) for i in range(7)] + [(9, 0, 0, 0.5), (9, 1, 0, 0.1)]
+    df = spark.createDataFrame(rows, "query_id int, job_id int, relevance int, score double")
+    want, gain = {}, (0.0, 1.0, 3.0)
+    for q in {r[0] for r in rows}:
+        docs = sorted((r for r in rows if r[0] == q), key=lambda r: (-r[3], r[1]))
+        ideal = sum(gain[g] / math.log2(i + 2) for i, g in enumerate(sorted((r[2] for r in docs), reverse=True)))
+        for i, a in enumerate(docs):
+            for j, b in enumerate(docs):
+                if a[2] > b[2] and ideal:
+                    delta = abs((gain[a[2]] - gain[b[2]]) * (1 / math.log2(i + 2) - 1 / math.log2(j + 2))) / ideal
+                    rho = 1 / (1 + math.exp(a[3] - b[3]))
+                    for doc, sign in ((a, 1), (b, -1)):
+                        old = want.get((q, doc[1]), (0.0, 0.0))
+                        want[q, doc[1]] = (old[0] + sign * rho * delta, old[1] + rho * (1 - rho) * delta)
+    got = {(r.query_id, r.job_id): (r["lambda"], r.weight) for r in ltr.lambdas(df).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_bootstraps_agree(spark):
     rng = random.Random(3)
     rows = [(q, rng.random(), rng.random() + 0.1) for q in range(300)]
