@@ -155,15 +155,24 @@ def _refine(nodes: DataFrame, graph: DataFrame, threshold: float, floor: float,
     return materialise(_lists(near, F.col("width"))), found.where("kind = 1").select("u", "v")
 
 
-def _counted(nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """(node, links): for each node of a component the copies of other vectors that it is linked to. A component is
-    dealt to pieces of about PIECE_BYTES, pairs of pieces meet, BLOCK rows at a time, and only counts leave them: this is a
-    list as wide as the component, for every node whose list was too short to hold its links. Work grows with the
-    square of a component's size; what is shuffled with its size times the number of its pieces."""
+def _counted(nodes: DataFrame, roots: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
+    """(node, links): for each node of a component the copies of other vectors that it is linked to. These are its kept
+    edges, unless some list of the component is or was full of links and so may not hold them all. Such components (and those of up
+    to BLOCK rows, where it costs nothing) are compared with themselves, which is a list as wide as the component: it is dealt
+    to pieces of about PIECE_BYTES, pairs of pieces meet, BLOCK rows at a time, and only counts leave them. Work grows with
+    the square of the size of a dense component; what is shuffled with its size times the number of its pieces."""
     rooted = nodes.join(roots, "node")
+    filled = (F.count(F.lit(1)) >= F.max("width")) & (F.min("s") >= threshold)
+    full = graph.groupBy("u").agg((filled | (F.max("width") > NEIGHBOURS)).alias("full"))
     size = F.ceil(F.count(F.lit(1)) * F.first("dim") * 8 / PIECE_BYTES)  # a component's vectors are of one length
-    pieces = rooted.groupBy("root").agg(size.alias("pieces"))
-    dealt = rooted.join(pieces, "root").select(
+    shape = rooted.join(full, F.col("node") == F.col("u"), "left").groupBy("root").agg(
+        size.alias("pieces"), (F.max(F.coalesce("full", F.lit(False))) | (F.count(F.lit(1)) <= BLOCK)).alias("dense")
+    )
+    links = graph.where(F.col("s") >= threshold)
+    ends = links.select("u", "v").union(links.select("v", "u")).distinct()
+    sparse = roots.join(shape.where("not dense").select("root"), "root", "left_semi").select(F.col("node").alias("u"))
+    kept = ends.join(sparse, "u", "left_semi").join(nodes.select(F.col("node").alias("v"), "copies"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("links"))
+    dealt = rooted.join(shape.where("dense").select("root", "pieces"), "root").select(
         "root", "node", "vec", "copies", "pieces", F.pmod(F.xxhash64("node"), "pieces").alias("own")
     )
     met = dealt.select(
@@ -194,7 +203,7 @@ def _counted(nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     return (
         met.repartition(*by).sortWithinPartitions(*by).mapInArrow(count, "node long, links long")
         .groupBy("node").agg(F.sum("links").alias("links"))
-    )
+    ).union(kept)
 
 
 def _recall(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
@@ -249,8 +258,8 @@ def near_duplicates(
     let neighbours of neighbours meet until lists stop changing. A list holds neighbours of a cosine of at least
     2 threshold^2 - 1 only: two vectors that are both linked to a third are never further apart, so no others can lead
     to a link. Lists full of links are made twice as wide; besides, every meeting passes on links that join all
-    it found connected, so a dense group stays together. Links within components are then counted against the whole
-    component, in blocks. There are as many orders as a pair at the threshold needs at this number of vectors, so that
+    it found connected, so a dense group stays together. Links are the kept edges; where lists are full of them the whole
+    component is counted instead, in blocks. There are as many orders as a pair at the threshold needs at this number of vectors, so that
     pairs without other neighbours are met too. An audit compares some vectors with all; while it estimates that less
     than `recall` of the links of a vector are found, as many orders are tried again, and after MOST_ROUNDS turns it is an
     error: no result is returned that the audit doesn't bear out.
@@ -287,7 +296,7 @@ def near_duplicates(
             before = now
         # Whatever stands in a list met in a block or round whose links joined it, so the lists add nothing to these.
         roots = materialise(_both_ends(components(joined, "u", "v")))
-        counts = materialise(_counted(nodes, roots, threshold))
+        counts = materialise(_counted(nodes, roots, graph, threshold))
         found = _recall(nodes, counts, threshold)
         if found >= recall:
             break

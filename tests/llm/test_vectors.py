@@ -75,6 +75,23 @@ def test_lonely_pairs_are_found_and_lost_ones_are_an_error(spark, monkeypatch):
         vector_dedup.near_duplicates(frame)
 
 
+def test_long_chains_are_counted_from_kept_edges(spark, monkeypatch):
+    """A component larger than a block whose lists aren't full: a walk with a link at every step, and copies on it."""
+    monkeypatch.setattr(vector_dedup, "BLOCK", 64)
+    rng = np.random.default_rng(12)
+    x, walk = np.eye(40)[0], []
+    for _ in range(300):
+        step = rng.standard_normal(40)
+        step -= (step @ x) * x
+        x = np.cos(0.25) * x + np.sin(0.25) * step / np.linalg.norm(step)
+        walk.append(x)
+    rows = [(2000 + i, [float(v) for v in np.float32(w)]) for i, w in enumerate([*walk, *walk[:20], walk[5]])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(table(spark, rows)).collect()}
+    want = brute_links(rows)
+    assert max(n for n, _ in want.values()) < 16 and {c for _, c in want.values()} == {2000}
+    assert got == want
+
+
 def test_vector_dedup_takes_awkward_tables(spark):
     assert vector_dedup.near_duplicates(table(spark, [])).collect() == []
     got = vector_dedup.near_duplicates(table(spark, [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0])])).collect()
