@@ -162,7 +162,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     """(doc_id, ids): the ids of each whole text, as the tokenizers library gives them without added special tokens;
     special tokens' strings inside a text are those tokens. The vocabulary file is read on the driver and broadcast:
     a public file of a few MB that doesn't grow with the data. Null texts are empty and give no ids; null and
-    repeated keys are rows like others; an empty table gives no rows; other columns are ignored."""
+    repeated keys are rows like others; very long texts are encoded whole, one in memory at a time besides its Arrow batch;
+    an empty table gives no rows; other columns are ignored."""
     spec = docs.sparkSession.sparkContext.broadcast(_spec(path))
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

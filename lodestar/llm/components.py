@@ -15,9 +15,8 @@ def _checksum(edges: DataFrame) -> tuple:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for each node that has a link to another one: root is the smallest node that links reach.
 
-    Large stars hang the larger neighbours of each node on its smallest one, small stars its smaller neighbours
-   ; rounds end when nothing changes, after a number that grows with the
-    logarithm of the longest path. Minima are taken by a grouped aggregate and joined back, so a node with very many
+    Large stars hang the larger neighbours of each node on its smallest one, small stars its smaller neighbours;
+    rounds end when nothing changes, after a number that grows with the logarithm of the longest path. Minima are taken by a grouped aggregate and joined back, so a node with very many
     links is a skewed join, which adaptive execution splits, and never one task. Null ends and links of a node to
     itself are left out; no links give an empty table.
     """

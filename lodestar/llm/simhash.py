@@ -192,7 +192,8 @@ def near_duplicates(
 
     Copies share a fingerprint and are one node, so a group of copies costs one row in the index. Null texts and texts
     without words have fingerprint 0 and link like others; null keys take part but are never a component's id
-    (null if a component has no other); repeated rows come back as often; an empty table gives no rows.
+    (null if a component has no other); repeated rows come back as often; very long texts count whole; an empty table gives
+    no rows; other columns are ignored.
     """
     rows = materialise(fingerprints(docs, text, key, width, seed))
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
@@ -280,24 +281,31 @@ def _bytes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDE)
 
 
-def _similar(texts: DataFrame, pairs: DataFrame, width: int, similarity: float, seed: int) -> DataFrame:
-    """Those of `pairs` (a, b) whose texts (node, _text) have so similar sets of shingles, compared in full."""
+def _sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
+    """(node, kinds) of texts (node, _text): their shingle sets, packed."""
+
+    def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            kinds = [shingle_set(t.as_py() or b"", width, seed).tobytes() for t in batch.column(1).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.binary())], names=["node", "kinds"])
+
+    return texts.select("node", "_text").mapInArrow(batches, "node long, kinds binary")
+
+
+def _similar(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those of `pairs` (a, b) whose sets (node, kinds) are so similar, compared in full."""
 
     def compare(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
         for batch in it:
-            one, two = batch.column(2).cast(pa.large_binary()), batch.column(3).cast(pa.large_binary())
             keep = []
-            for a, x, y in zip(batch.column(0).to_pylist(), one, two):
-                if a != last[0]:
-                    last = (a, shingle_set(x.as_py() or b"", width, seed))
-                other = shingle_set(y.as_py() or b"", width, seed)
-                both = len(np.intersect1d(last[1], other, assume_unique=True))
-                keep.append(both >= similarity * (len(last[1]) + len(other) - both))
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    met = pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("_text").alias("y")), "b")
-    return met.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    own = lambda side, name: sets.select(F.col("node").alias(side), F.col("kinds").alias(name))
+    return pairs.join(own("a", "x"), "a").join(own("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 def candidates(nodes: DataFrame, similarity: float = 0.8, seed: int = 42) -> DataFrame:
@@ -360,7 +368,7 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
         pairs = materialise(pairs)
         asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "first._id", "first._row"), "node")
         texts = tagged.select("_id", "_row", "_text").join(asked, ["_id", "_row"]).groupBy("node").agg(F.first("_text").alias("_text"))
-        return materialise(_similar(texts, pairs, width, similarity, seed))
+        return materialise(_similar(materialise(_sets(texts, width, seed)), pairs, similarity))
 
     links = linked_by(first)
     roots = components(links)
