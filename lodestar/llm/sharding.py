@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.tables import running_totals
+from lodestar.llm.tables import materialise, running_totals
 
 #: What each document costs besides its text.
 FRAME_BYTES = 8
@@ -17,19 +17,20 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, text: str = "text", key: s
     The order is (MD5 of the text, doc_id), so equal texts lie side by side and a group of copies is split only
     where a cut falls into it. A document belongs to the shard in which its first byte lies: shard
     floor(bytes before it * shards / all bytes). So each shard is a contiguous run and is within one document of the
-    target. The text itself is read once and never shuffled.
+    target. The text itself is read once and never shuffled; very long texts are rows like others.
 
     Returns doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null: this law has none).
     Null texts count as empty; null and repeated keys are rows like others (nulls first in the order); repeated rows
     take neighbouring slots; an empty table gives no rows; other columns are ignored.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(
+    narrow = docs.select(
         F.col(key).alias("doc_id"),
         (F.octet_length(body) + FRAME_BYTES).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.md5(body.cast("binary")).alias("_text"),
     )
+    rows = materialise(narrow)
     placed = running_totals(rows, [F.col("_text").asc(), F.col("doc_id").asc_nulls_first()], {"start": F.col("size")})
     total = rows.agg(F.sum("size")).first()[0] or 1
     cut = placed.withColumn("shard", F.expr(f"cast(cast(start as decimal(38,0)) * {shards} div {total} as int)"))
