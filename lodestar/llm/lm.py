@@ -244,14 +244,51 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different values (hashes) and the place of each value among them. Sorted are the leading bits with the index
+    behind them, which takes a fraction of the time of an argsort; where bits that this leaves out tell values apart, all are."""
+    low = np.uint64(max(1, len(values)).bit_length())
+    mask = (np.uint64(1) << low) - np.uint64(1)
+    order = (np.sort(values & ~mask | np.arange(len(values), dtype=np.uint64)) & mask).astype(np.int64)
+    ordered = values[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        return np.unique(values, return_inverse=True)
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    back = np.empty(len(values), dtype=np.int64)
+    back[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], back
+
+
 def _distinct(texts: list[bytes], before: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The number of tokens of each piece, the sorted different n-grams, and the place of each token, then of each
     bigram, then of what stands before each piece."""
     toks, sizes = tokens(texts, last)
-    grams, back = np.unique(np.concatenate([toks, bigrams(toks, sizes, before), before]), return_inverse=True)
+    grams, back = _unique(np.concatenate([toks, bigrams(toks, sizes, before), before]))
     return sizes, grams, back
 
 
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The runs of values between cuts as binary values, without an object for each: their number grows with the number of
+    units times that of segments, so with the square of the corpus."""
+    offsets = (cuts * values.itemsize).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of packed rows, one row's behind the other's, and where rows are cut."""
+    values, sizes = [np.zeros(0, dtype)], [np.zeros(1, np.int64)]
+    for chunk in column.chunks:
+        if len(chunk):
+            chunk = chunk.cast(pa.large_binary())
+            _, offsets, data = chunk.buffers()
+            ends = np.frombuffer(offsets, "<i8", len(chunk) + 1, chunk.offset * 8)
+            if ends[-1] > ends[0]:
+                values.append(np.frombuffer(data, np.uint8, ends[-1] - ends[0], ends[0]).view(dtype))
+            sizes.append(np.diff(ends) // np.dtype(dtype).itemsize)
+    return np.concatenate(values), np.cumsum(np.concatenate(sizes))
+
+
 _ASKED = "unit long, part int, segment long, names binary, counts binary, docs binary"
 
 
@@ -271,39 +308,45 @@ def _asked(rows: DataFrame, segments: int) -> DataFrame:
                 counts = np.bincount(back, weights=weights, minlength=len(grams)).astype("<u4")
                 cuts = np.searchsorted(plain.place(grams)[0], np.arange(segments + 1))
                 names = (grams & np.uint64(0xFFFFFFFF)).astype("<u4")
-                have = np.flatnonzero(cuts[:-1] < cuts[1:]).tolist()
+                have = np.flatnonzero(cuts[:-1] < cuts[1:])
+                ends = np.append(cuts[have], len(names))
                 for name, column in (("text", pa.array(texts, pa.large_binary())), ("before", pa.array(before)), ("last", pa.array(last))):
                     docs = docs.append_column(name, column)
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                     out.write_batch(docs)
                 spread = -1 - ((unit * 1_000_003 + part) & ((1 << 62) - 1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([unit] * (len(have) + 1), pa.int64()),
-                        pa.array([part] * (len(have) + 1), pa.int32()),
-                        pa.array([*have, spread], pa.int64()),
-                        pa.array([*(names[cuts[i] : cuts[i + 1]].tobytes() for i in have), None], pa.binary()),
-                        pa.array([*(counts[cuts[i] : cuts[i + 1]].tobytes() for i in have), None], pa.binary()),
-                        pa.array([None] * len(have) + [sink.getvalue().to_pybytes()], pa.binary()),
-                    ],
-                    names=["unit", "part", "segment", "names", "counts", "docs"],
-                )
+                for segment, asked, docs_ in (
+                    (have.astype(np.int64), (_packed(names, ends), _packed(counts, ends)), pa.nulls(len(have), pa.binary())),
+                    (np.array([spread]), (pa.nulls(1, pa.binary()),) * 2, pa.array([sink.getvalue().to_pybytes()], pa.binary())),
+                ):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(segment), unit, np.int64)), pa.array(np.full(len(segment), part, np.int32)), pa.array(segment), *asked, docs_],
+                        names=["unit", "part", "segment", "names", "counts", "docs"],
+                    )
 
     return rows.mapInArrow(batches, _ASKED)
 
 
-def _filled(table: pa.Table, probes: int, false_rate: float, size: int | None) -> tuple[CountFilter, list[np.ndarray], int]:
-    """The filter of one segment, the names that each row asks for, and the number of entries."""
-    names = [np.frombuffer(x.as_buffer(), "<u4") for x in table["names"]]
-    counts = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["counts"]])
-    kinds, back = np.unique(np.concatenate(names), return_inverse=True)
-    sums = np.bincount(back, weights=counts)
-    kinds, sums = kinds[sums > 0].astype(np.uint64), sums[sums > 0]
-    entries = int(tops(sums).sum())
+def _filled(table: pa.Table, probes: int, false_rate: float, size: int | None) -> tuple[CountFilter, np.ndarray, np.ndarray, np.ndarray, int]:
+    """The filter of one segment; the different names that its rows ask for, the place of each asked name among them and where
+    rows are cut; and the number of entries."""
+    names, cuts = _unpacked(table["names"], "<u4")
+    counts, _ = _unpacked(table["counts"], "<u4")
+    kinds, back = _unique(names.astype(np.uint64) << np.uint64(32))
+    kinds >>= np.uint64(32)
+    sums = np.bincount(back, weights=counts, minlength=len(kinds))
+    learnt = sums > 0
+    entries = int(tops(sums[learnt]).sum())
     held = CountFilter(1, probes, size=size or bits_for(entries, false_rate, probes))
-    held.bits = np.frombuffer(held.build(kinds, sums), np.uint8)
-    return held, names, entries
+    held.bits = np.frombuffer(held.build(kinds[learnt], sums[learnt]), np.uint8)
+    return held, kinds, back, cuts, entries
+
+
+def _levels(table: pa.Table, probes: int, false_rate: float, size: int | None) -> pa.Array:
+    """The levels of the names that each row of a segment asks for, packed. Each different name is read once for all rows."""
+    held, kinds, back, cuts, _ = _filled(table, probes, false_rate, size)
+    return _packed(held.read(np.zeros(len(kinds), np.int64), kinds).astype(np.uint8)[back], cuts)
 
 
 def _segments(tokens_: int) -> int:
@@ -320,7 +363,7 @@ def fill(docs: DataFrame, text: str = "text", key: str = "doc_id", tokens_: int
     """(segment, entries, bits, ones) of the filter that `score` makes for a corpus of so many learnt tokens."""
 
     def count(table: pa.Table) -> pa.Table:
-        held, _, entries = _filled(table, probes, false_rate, None)
+        held, *_, entries = _filled(table, probes, false_rate, None)
         ones = int(np.bitwise_count(held.bits).sum())
         return pa.table({"segment": table["segment"][:1], "entries": [entries], "bits": [held.size], "ones": [ones]})
 
@@ -370,15 +413,14 @@ def score(
     def probe(table: pa.Table) -> pa.Table:
         if table["segment"][0].as_py() < 0:
             return table.select(["unit", "part", "segment", "docs"]).add_column(3, "levels", pa.nulls(len(table), pa.binary()))
-        held, asked, _ = _filled(table, probes, false_rate, size)
-        levels = [held.read(np.zeros(len(x), np.int64), x.astype(np.uint64)).astype(np.uint8).tobytes() for x in asked]
-        return table.select(["unit", "part", "segment"]).append_column("levels", pa.array(levels, pa.binary())).append_column("docs", pa.nulls(len(table), pa.binary()))
+        levels = _levels(table, probes, false_rate, size)
+        return table.select(["unit", "part", "segment"]).append_column("levels", levels).append_column("docs", pa.nulls(len(table), pa.binary()))
 
     def finish(table: pa.Table) -> pa.Table:
         get = shared.value.get
         table = table.sort_by("segment")
         batch = pa.ipc.open_stream(table["docs"][0].as_buffer()).read_next_batch()
-        level = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table["levels"][1:]])
+        level, _ = _unpacked(table["levels"].slice(1), "u1")
         texts, before = batch.column(3).to_pylist(), batch.column(4).to_numpy()
         last = batch.column(5).to_numpy(zero_copy_only=False).astype(bool)
         parts, _, back = _distinct(texts, before, last)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tokenizers
 from lodestar.llm import bpe, lm, quality, queries
@@ -169,6 +170,36 @@ def test_filter_counts_are_never_too_low():
     assert (held.levels(rng.integers(0, 1 << 63, 20_000).astype(np.uint64)) > 0).mean() < 0.02
 
 
+def test_a_segment_is_read_once_for_all_units(monkeypatch):
+    """Units times segments grow with the square of the corpus, so no row may cost a call."""
+    rng = np.random.default_rng(5)
+    asked = [np.unique(rng.integers(0, 3000, n)).astype("<u4") for n in (1, 400, 7, *[3] * 3000)]
+    learnt = [rng.integers(0, 40, len(x)).astype("<u4") for x in asked]
+    table = pa.table({"names": pa.array([x.tobytes() for x in asked], pa.binary()), "counts": pa.array([x.tobytes() for x in learnt], pa.binary())})
+    table = pa.concat_tables([table.slice(0, 1000), table.slice(1000)])
+    calls, read = [], lm.CountFilter.read
+    monkeypatch.setattr(lm.CountFilter, "read", lambda *a: calls.append(1) or read(*a))
+    got = lm._levels(table, 3, 0.001, None)
+    assert len(calls) == 1
+    sums = np.bincount(np.concatenate(asked), weights=np.concatenate(learnt), minlength=3000)
+    true = np.where(sums > 0, np.floor(np.log2(np.maximum(sums, 1))) + 1, 0)
+    read_ = [np.frombuffer(x.as_py(), np.uint8) for x in got]
+    assert [len(x) for x in read_] == [len(x) for x in asked] and all((x >= true[a]).all() for x, a in zip(read_, asked))
+    assert np.mean(np.concatenate(read_) == true[np.concatenate(asked)]) > 0.99
+
+
+def test_unique_values_and_packed_rows():
+    rng = np.random.default_rng(6)
+    for values in (rng.integers(0, 50, 999), rng.integers(0, 1 << 62, 999), np.repeat(rng.integers(0, 1 << 62, 9), 9), np.zeros(0, int)):
+        want, got = np.unique(values.astype(np.uint64), return_inverse=True), lm._unique(values.astype(np.uint64))
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+    values, cuts = np.arange(10, dtype="<u4"), np.array([0, 3, 3, 10])
+    packed = lm._packed(values, cuts)
+    assert [len(x) for x in packed.to_pylist()] == [12, 0, 28]
+    back, at = lm._unpacked(pa.chunked_array([packed.slice(1), packed.slice(0, 1), pa.nulls(1, pa.binary())]), "<u4")
+    assert back.tolist() == [*range(3, 10), 0, 1, 2] and at.tolist() == [0, 0, 7, 10, 10]
+
+
 def test_token_hashes_follow_words():
     a, sizes = lm.tokens([b"one two  one", b"", b"\ttwo\x0bthree"])
     assert sizes.tolist() == [4, 1, 3] and a[0] == a[2] and a[1] == a[5] and a[3] == a[4] == a[7] and len(set(a.tolist())) == 4
