@@ -23,6 +23,9 @@ BLOCK = 1 << 21
 #: Byte positions of a wide fingerprint; how often two texts right at the similarity meet in its index, on average; how many
 #: of a text's candidates are compared first.
 WIDE, MEETINGS, FIRST = 64, 3.0, 4
+#: One text in so many is asked for frequent shingles, and so many of these at most are told to all. They only put shingles
+#: in order.
+ASKED, FREQUENT = 16, 1 << 18
 
 
 def shingles(text: bytes, width: int = 3, seed: int = 42) -> Iterator[np.ndarray]:
@@ -339,6 +342,142 @@ def candidates(nodes: DataFrame, similarity: float = 0.8, seed: int = 42) -> Dat
     return met.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, apart int")
 
 
+def _kinds(batch: pa.RecordBatch, column: int, width: int, seed: int) -> Iterator[np.ndarray]:
+    for t in batch.column(column).cast(pa.large_binary()):
+        yield shingle_set(t.as_py() or b"", width, seed)
+
+
+def frequent(texts: DataFrame, width: int, seed: int) -> np.ndarray:
+    """Frequent shingles of a sample of `texts` (_id, _row, _text), sorted, in a record with their counts; at most FREQUENT."""
+
+    def count(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for at in range(0, batch.num_rows, 1024):
+                kinds, n = np.unique(np.concatenate([np.zeros(0, "<u8"), *_kinds(batch.slice(at, 1024), 2, width, seed)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "n"])
+
+    sample = texts.where(F.pmod(F.xxhash64("_id", "_row"), F.lit(ASKED)) == 0).mapInArrow(count, "kind long, n long")
+    top = sample.groupBy("kind").agg(F.sum("n").alias("n")).where("n > 2").orderBy(F.desc("n"), "kind").limit(FREQUENT).toArrow()
+    out = np.zeros(len(top), [("kind", "<u8"), ("n", "<i8")])
+    out["kind"], out["n"] = top["kind"].to_numpy().view("<u8"), top["n"].to_numpy()
+    return np.sort(out, order="kind")
+
+
+def prefix(kinds: np.ndarray, similarity: float, often: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in an order that is the same for all sets, those of `often` last. Two sets of this
+    similarity have a shingle in common in these."""
+    if not len(kinds):
+        return kinds
+    n = np.zeros(len(kinds), np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often["kind"], kinds), len(often) - 1)
+        n = np.where(often["kind"][at] == kinds, often["n"][at], 0)
+    return kinds[np.argsort(n, kind="stable")][: len(kinds) - math.ceil(similarity * len(kinds) - 1e-6) + 1]
+
+
+_LISTS = "key long, root long, node long, size int, at int"
+
+
+def _whole_runs(it: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of whole runs of a key, of batches in the order of the key; and where the run and the run of its root end."""
+    held: list[np.ndarray] = []
+
+    def ends(columns: list[np.ndarray]) -> list[np.ndarray]:
+        key, root = columns[:2]
+        new = np.ones(len(key) + 1, dtype=bool)
+        new[1:-1] = key[1:] != key[:-1]
+        runs = np.flatnonzero(new)
+        new[1:-1] |= root[1:] != root[:-1]
+        groups = np.flatnonzero(new)
+        return [*columns, *(e[1:].repeat(np.diff(e)) for e in (runs, groups))]
+
+    for batch in it:
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        if len(columns[0]):
+            columns = [np.concatenate(c) for c in zip(held, columns)] if held else columns
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            if cut:
+                yield ends([c[:cut] for c in columns])
+            held = [c[cut:].copy() for c in columns]
+    if held:
+        yield ends(held)
+
+
+def _in_order(lists: DataFrame) -> DataFrame:
+    return lists.repartition("key").sortWithinPartitions("key", "root", "node")
+
+
+def _between(lists: DataFrame, similarity: float, chain: bool) -> DataFrame:
+    """(a, b) of texts in different groups that may be so similar, by the number of lists that they share: beyond the prefix that
+    ends first they have no more in common than that set has left. None of these is left out, but for `chain`: then only
+    neighbours in a list are seen, and a quarter of that number is asked for, to join most of what is left cheaply."""
+
+    def pairs(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, node, size, at, run, group in _whole_runs(it):
+            first = np.arange(len(node))
+            many = np.where(chain & (group != first + 1), 0, np.minimum(run - group, 1 if chain else len(node)))
+            ends = np.cumsum(many)
+            done = 0
+            while done < len(many):
+                base = ends[done - 1] if done else 0
+                upto = max(done + 1, int(np.searchsorted(ends, base + BLOCK, "right")))
+                i = np.repeat(first[done:upto], many[done:upto])
+                j = group[i] + np.arange(len(i)) - (ends[i] - many[i] - base)
+                x, y = size[i].astype(np.float64), size[j].astype(np.float64)
+                least = np.ceil(similarity / (1 + similarity) * (x + y) - 1e-6)
+                need = np.maximum(1, least + 1 - np.ceil(similarity * np.maximum(x, y) - 1e-6))
+                # The first shingle in common of a similar pair has enough behind it in both.
+                early = np.minimum(x - at[i], y - at[j]) >= least
+                near = np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-6
+                a, b = node[i[near]], node[j[near]]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(need[near].astype(np.int32)), pa.array(early[near].astype(np.int32))],
+                        names=["a", "b", "need", "early"],
+                    )
+                done = upto
+
+    met = _in_order(lists).mapInArrow(pairs, "a long, b long, need int, early int").groupBy("a", "b")
+    counted = met.agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"), F.max("early").alias("early"))
+    return counted.where((F.col("n") * (4 if chain else 1) >= F.col("need")) & (F.col("early") > 0)).select("a", "b")
+
+
+def shared_lists(texts: DataFrame, nodes: DataFrame, roots: DataFrame, width: int, similarity: float, seed: int) -> DataFrame:
+    """The lists (key, root, node, size, at) of shingles in whose prefixes texts of different groups meet. `nodes` (node, _id,
+    _row) are looked up in `texts` (_id, _row, _text); `roots` (node, root) has the groups of more than one."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent(texts, width, seed))
+
+    def post(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            kinds = list(_kinds(batch, 2, width, seed))
+            first = [prefix(x, similarity, shared.value).tobytes() for x in kinds]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(x) for x in kinds], pa.int32()), pa.array(first, pa.binary())], names=["_id", "_row", "size", "first"]
+            )
+
+    def deal(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for step in range(0, batch.num_rows, 256):
+                part = batch.slice(step, 256)
+                keys = [np.frombuffer(x.as_buffer(), "<i8") for x in part.column(3)]
+                many = np.array([len(x) for x in keys])
+                rest = [part.column(i).to_numpy(zero_copy_only=False).repeat(many) for i in (1, 0, 2)]
+                at = np.arange(many.sum()) - (np.cumsum(many) - many).repeat(many)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(keys), *rest, at.astype(np.int32))], names=["key", "root", "node", "size", "at"])
+
+    def mixed(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for *columns, run, group in _whole_runs(it):
+            several = np.ones(len(run), dtype=bool)
+            starts = np.concatenate([[0], np.unique(run)[:-1]])
+            several = (group[starts] != run[starts]).repeat(np.diff(np.append(starts, len(run))))
+            yield pa.RecordBatch.from_arrays([pa.array(c[several]) for c in columns], names=["key", "root", "node", "size", "at"])
+
+    named = nodes.join(roots, "node", "left").select("_id", "_row", "node", F.coalesce("root", "node").alias("root"))
+    prefixes = texts.select("_id", "_row", "_text").mapInArrow(post, "_id long, _row long, size int, first binary").join(named, ["_id", "_row"])
+    one = prefixes.groupBy("_id", "_row", "node", "root").agg(F.first("size").alias("size"), F.first("first").alias("first"))
+    return materialise(_in_order(one.select("node", "root", "size", "first").mapInArrow(deal, _LISTS)).mapInArrow(mixed, _LISTS))
+
+
 def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
     """The rows of `docs` with all their columns, one of each group of near-duplicates: texts whose sets of `width`-word
     shingles have a Jaccard similarity of at least `similarity`, and whatever such links join.
@@ -346,6 +485,9 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
     Every link is verified in full, so no others are joined; candidates come from wide SimHashes of the sets (`candidates`),
     which bring together two texts right at the similarity with a chance of about 0.9 and more similar ones almost surely.
     The FIRST nearest candidates of each text are compared first, then all those whose ends these left in different groups.
+    An exact way for the rest follows: of two similar sets, the first shingles in an order common to all have one in common
+    (`prefix`), so texts of different groups that meet in the list of such a shingle (`shared_lists`) are compared in full,
+    first neighbours in a list, then all that are still in different groups. No link between groups is left out.
     Which row of a group stays is as in `keep_one`. Null and empty texts are copies of each other, texts of fewer words are
     one shingle, very long texts count whole; an empty table gives no rows.
     """
@@ -353,11 +495,16 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            fps = [wide_fingerprint(shingle_set(t.as_py() or b"", width, seed)) for t in batch.column(2).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary())], names=["_id", "_row", "fp"])
+            fps, sets = [], []
+            for kinds in _kinds(batch, 2, width, seed):
+                fps.append(wide_fingerprint(kinds))
+                sets.append(xxhash.xxh64_intdigest(kinds.tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(fps, pa.binary()), pa.array(np.array(sets, np.uint64).view(np.int64))], names=["_id", "_row", "fp", "set"]
+            )
 
-    marked = materialise(tagged.select("_id", "_row", "_text").mapInArrow(batches, "_id long, _row long, fp binary"))
-    nodes = materialise(marked.groupBy("fp").agg(F.min(F.struct("_id", "_row")).alias("first")).select(F.monotonically_increasing_id().alias("node"), "fp", "first"))
+    marked = materialise(tagged.select("_id", "_row", "_text").mapInArrow(batches, "_id long, _row long, fp binary, set long"))
+    nodes = materialise(marked.groupBy("fp", "set").agg(F.min(F.struct("_id", "_row")).alias("first")).select(F.monotonically_increasing_id().alias("node"), "fp", "first"))
     near = materialise(candidates(nodes, similarity, seed))
     ends = near.select("a", "b", "apart").union(near.select("b", "a", "apart"))
     nearest = Window.partitionBy("a").orderBy("apart", F.xxhash64("a", "b"))
@@ -376,5 +523,11 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
     rest = near.join(own("a"), "a", "left").join(own("b"), "b", "left").where(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
     links = links.union(linked_by(rest.select("a", "b").join(first, ["a", "b"], "left_anti")))
     joined = components(links)
+    lists = shared_lists(tagged.select("_id", "_row", "_text"), nodes.select("node", "first._id", "first._row"), joined, width, similarity, seed)
+    neighbours = materialise(_between(lists, similarity, True))
+    links = links.union(linked_by(neighbours))
+    regrouped = lists.drop("root").join(components(links), "node", "left").select("key", F.coalesce("root", "node").alias("root"), "node", "size", "at")
+    links = links.union(linked_by(_between(regrouped, similarity, False).join(neighbours, ["a", "b"], "left_anti")))
+    joined = components(links)
     kept = nodes.join(joined, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first._id", "first._row")
     return _first_rows(tagged, kept)

@@ -2,6 +2,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from lodestar.llm import mixing, queries, sharding, simhash
@@ -171,6 +172,49 @@ def test_similar_texts_against_brute_force(spark, size):
     assert lost <= 0.03 * (len(want) - len(set(want.values())))
 
 
+@pytest.mark.parametrize("index", [True, False])
+def test_no_link_is_lost_at_the_similarity(spark, monkeypatch, index):
+    """Pairs right at 0.8 and just below, a chain, and a passage that most of many texts consist of; with the index of wide
+    fingerprints and without its candidates."""
+    import random
+
+    rng = random.Random(11)
+    new = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts, common = [], new(60)
+    for i in range(120):
+        n = rng.randint(45, 90)
+        one = new(n)
+        cut = round(n / 9) - 2 + i % 4  # words changed at the end change as many shingles
+        texts += [one, one[:-cut] + new(cut)]
+    link = new(60)
+    for _ in range(12):
+        link = link[3:] + new(3)
+        texts.append(link)
+    texts += [common + new(rng.randint(4, 16)) for _ in range(60)]
+    rng.shuffle(texts)
+    docs = documents(spark, [(i, " ".join(t), "en", "a", 9) for i, t in enumerate(texts)])
+    if not index:
+        monkeypatch.setattr(simhash, "candidates", lambda nodes, *_: nodes.where("false").selectExpr("node a", "node b", "0 apart"))
+    monkeypatch.setattr(simhash, "ASKED", 2)
+    monkeypatch.setattr(simhash, "BLOCK", 1000)
+    sets = shingle_sets(docs.collect())
+    want = brute_components(sorted(sets), lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]))
+    assert 60 < len(want) - len(set(want.values())) < 250
+    assert sorted(r.doc_id for r in simhash.keep_similar(docs).collect()) == sorted(set(want.values()))
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(3)
+    often = np.zeros(300, [("kind", "<u8"), ("n", "<i8")])
+    often["kind"], often["n"] = np.arange(300), rng.integers(3, 9, 300)
+    for _ in range(2000):
+        x = np.unique(rng.integers(0, 900, rng.integers(1, 60))).astype("<u8")
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.9], rng.integers(0, 900, 2).astype("<u8")]))
+        both = len(np.intersect1d(x, y))
+        if 5 * both >= 4 * (len(x) + len(y) - both):
+            assert len(np.intersect1d(simhash.prefix(x, 0.8, often), simhash.prefix(y, 0.8, often)))
+
+
 def test_similar_texts_take_awkward_rows(spark):
     docs = documents(spark)
     kept = simhash.keep_similar(docs)
