@@ -10,7 +10,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.components import components
@@ -23,6 +23,8 @@ BLOCK = 1 << 21
 #: Byte positions of a wide fingerprint; how often two texts right at the similarity meet in its index, on average; how many
 #: of a text's candidates are compared first.
 WIDE, MEETINGS, FIRST = 64, 3.0, 4
+#: Bytes of the parities of a set, which bound from below how much two sets differ.
+PARITIES = 64
 #: One text in so many is asked for frequent shingles, and so many of these at most are told to all. They only put shingles
 #: in order.
 ASKED, FREQUENT = 16, 1 << 18
@@ -81,6 +83,19 @@ def wide_fingerprint(kinds: np.ndarray) -> bytes:
     return np.packbits(counts * 2 > len(kinds), bitorder="little").tobytes()
 
 
+def parities(kinds: np.ndarray, width: int = PARITIES) -> bytes:
+    """For each of 8 * `width` buckets (a power of 2), whether an odd number of a set's shingle hashes is in it. Each bucket in
+    which two sets disagree holds a shingle that only one of them has."""
+    counts = np.bincount((kinds & np.uint64(8 * width - 1)).astype(np.int64), minlength=8 * width)
+    return np.packbits((counts & 1).astype(bool), bitorder="little").tobytes()
+
+
+def disagree(x: bytes, y: bytes) -> int:
+    """In how many buckets the parities differ; the wider ones are folded to the width of the others."""
+    x, y = sorted((np.frombuffer(v, np.uint64) for v in (x, y)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum(dtype=np.int64))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp) for each row; fp is the fingerprint as a signed long. Null texts have no words."""
 
@@ -280,23 +295,35 @@ def keys(fps: np.ndarray, lists: int, bits: int, seed: int) -> Iterator[np.ndarr
         yield value << bits | wide[:, more] & ((1 << min(8, bits)) - 1)
 
 
-def _bytes(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDE)
+def _bytes(column: pa.Array, width: int = WIDE) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
 def _sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
-    """(node, kinds) of texts (node, _text): their shingle sets, packed."""
+    """(node, n, odd, kinds) of texts (node, _text): the number of their shingles, 4 to 8 `parities` for each shingle, and the
+    sets, packed."""
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            kinds = [shingle_set(t.as_py() or b"", width, seed).tobytes() for t in batch.column(1).cast(pa.large_binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.binary())], names=["node", "kinds"])
+            kinds = list(_kinds(batch, 1, width, seed))
+            odd = [parities(x, max(PARITIES, 1 << (len(x) // 2).bit_length())) for x in kinds]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in kinds], pa.int32()), pa.array(odd, pa.binary()), pa.array([x.tobytes() for x in kinds], pa.binary())],
+                names=["node", "n", "odd", "kinds"],
+            )
 
-    return texts.select("node", "_text").mapInArrow(batches, "node long, kinds binary")
+    return texts.select("node", "_text").mapInArrow(batches, "node long, n int, odd binary, kinds binary")
 
 
 def _similar(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Those of `pairs` (a, b) whose sets (node, kinds) are so similar, compared in full."""
+    """Those of `pairs` (a, b) whose `sets` are so similar: those that their parities don't rule out, compared in full."""
+
+    def bound(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            both = batch.column(2).to_numpy().astype(np.float64) + batch.column(4).to_numpy()
+            most = both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-6)
+            apart = [disagree(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column(3), batch.column(5))]
+            yield batch.select([0, 1]).filter(pa.array(np.array(apart, np.int64) <= most))
 
     def compare(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -307,8 +334,9 @@ def _similar(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
                 keep.append(both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    own = lambda side, name: sets.select(F.col("node").alias(side), F.col("kinds").alias(name))
-    return pairs.join(own("a", "x"), "a").join(own("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    own = lambda side, *names: sets.select(F.col("node").alias(side), *(F.col(n).alias(f"{n}_{side}") for n in names))
+    near = pairs.join(own("a", "n", "odd"), "a").join(own("b", "n", "odd"), "b").select("a", "b", "n_a", "odd_a", "n_b", "odd_b").mapInArrow(bound, "a long, b long")
+    return near.join(own("a", "kinds"), "a").join(own("b", "kinds"), "b").select("a", "b", "kinds_a", "kinds_b").mapInArrow(compare, "a long, b long")
 
 
 def candidates(nodes: DataFrame, similarity: float = 0.8, seed: int = 42) -> DataFrame:
@@ -392,7 +420,7 @@ def _whole_runs(it: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         return [*columns, *(e[1:].repeat(np.diff(e)) for e in (runs, groups))]
 
     for batch in it:
-        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        columns = [_bytes(c, PARITIES).view(np.uint64) if c.type == pa.binary() else c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if len(columns[0]):
             columns = [np.concatenate(c) for c in zip(held, columns)] if held else columns
             cut = int(np.searchsorted(columns[0], columns[0][-1]))
@@ -403,48 +431,63 @@ def _whole_runs(it: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield ends(held)
 
 
-def _in_order(lists: DataFrame) -> DataFrame:
-    return lists.repartition("key").sortWithinPartitions("key", "root", "node")
+def _in_order(lists: DataFrame, *within: Column) -> DataFrame:
+    return lists.repartition("key").sortWithinPartitions("key", *within, "root", "node")
 
 
 def _between(lists: DataFrame, similarity: float, chain: bool) -> DataFrame:
-    """(a, b) of texts in different groups that may be so similar, by the number of lists that they share: beyond the prefix that
-    ends first they have no more in common than that set has left. None of these is left out, but for `chain`: then only
-    neighbours in a list are seen, and a quarter of that number is asked for, to join most of what is left cheaply."""
+    """(a, b) of texts in different groups that may be so similar, from lists (key, root, node, size, at, odd). A pair is told by
+    the list of the first shingle that both have: what it has behind it in either set must do for the similarity, and so must
+    what their `parities` leave in common. Both are bounds, so no similar pair is left out, and they are tested in place:
+    of the pairs in a list only those that pass become rows, and what a task meets again is told once. With `chain` only
+    neighbours in a list are seen, in an order of its own and whichever of their shingles it is, to join most of what is left
+    cheaply."""
+
+    def once(held: list[np.ndarray]) -> np.ndarray:
+        both = np.concatenate(held, axis=1)
+        both = both[:, np.lexsort(both)]
+        return both[:, np.concatenate([[True], (both[:, 1:] != both[:, :-1]).any(0)])]
+
+    def told(both: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
     def pairs(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, node, size, at, run, group in _whole_runs(it):
+        held: list[np.ndarray] = []
+        for _, _, node, size, at, odd, run, group in _whole_runs(it):
             first = np.arange(len(node))
             many = np.where(chain & (group != first + 1), 0, np.minimum(run - group, 1 if chain else len(node)))
             ends = np.cumsum(many)
             done = 0
             while done < len(many):
                 base = ends[done - 1] if done else 0
-                upto = max(done + 1, int(np.searchsorted(ends, base + BLOCK, "right")))
+                upto = max(done + 1, int(np.searchsorted(ends, base + (BLOCK >> 3), "right")))
                 i = np.repeat(first[done:upto], many[done:upto])
                 j = group[i] + np.arange(len(i)) - (ends[i] - many[i] - base)
+                done = upto
                 x, y = size[i].astype(np.float64), size[j].astype(np.float64)
                 least = np.ceil(similarity / (1 + similarity) * (x + y) - 1e-6)
-                need = np.maximum(1, least + 1 - np.ceil(similarity * np.maximum(x, y) - 1e-6))
-                # The first shingle in common of a similar pair has enough behind it in both.
-                early = np.minimum(x - at[i], y - at[j]) >= least
                 near = np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-6
+                if not chain:
+                    near &= np.minimum(x - at[i], y - at[j]) >= least
+                i, j, most = i[near], j[near], (x + y - 2 * least)[near]
+                near = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64) <= most
                 a, b = node[i[near]], node[j[near]]
                 if len(a):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(need[near].astype(np.int32)), pa.array(early[near].astype(np.int32))],
-                        names=["a", "b", "need", "early"],
-                    )
-                done = upto
+                    held.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+                if sum(x.shape[1] for x in held) >= BLOCK >> 3:
+                    held = [once(held)]
+                    if held[0].shape[1] >= BLOCK >> 4:
+                        yield told(held.pop())
+        if held:
+            yield told(once(held))
 
-    met = _in_order(lists).mapInArrow(pairs, "a long, b long, need int, early int").groupBy("a", "b")
-    counted = met.agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"), F.max("early").alias("early"))
-    return counted.where((F.col("n") * (4 if chain else 1) >= F.col("need")) & (F.col("early") > 0)).select("a", "b")
+    ordered = _in_order(lists, F.xxhash64("key", "root")) if chain else _in_order(lists)
+    return ordered.mapInArrow(pairs, "a long, b long").distinct()
 
 
 def shared_lists(texts: DataFrame, nodes: DataFrame, roots: DataFrame, width: int, similarity: float, seed: int) -> DataFrame:
-    """The lists (key, root, node, size, at) of shingles in whose prefixes texts of different groups meet. `nodes` (node, _id,
-    _row) are looked up in `texts` (_id, _row, _text); `roots` (node, root) has the groups of more than one."""
+    """The lists (key, root, node, size, at, odd) of shingles in whose prefixes texts of different groups meet. `nodes` (node, odd,
+    _id, _row) are looked up in `texts` (_id, _row, _text); `roots` (node, root) has the groups of more than one."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent(texts, width, seed))
 
     def post(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,7 +518,8 @@ def shared_lists(texts: DataFrame, nodes: DataFrame, roots: DataFrame, width: in
     named = nodes.join(roots, "node", "left").select("_id", "_row", "node", F.coalesce("root", "node").alias("root"))
     prefixes = texts.select("_id", "_row", "_text").mapInArrow(post, "_id long, _row long, size int, first binary").join(named, ["_id", "_row"])
     one = prefixes.groupBy("_id", "_row", "node", "root").agg(F.first("size").alias("size"), F.first("first").alias("first"))
-    return materialise(_in_order(one.select("node", "root", "size", "first").mapInArrow(deal, _LISTS)).mapInArrow(mixed, _LISTS))
+    lists = _in_order(one.select("node", "root", "size", "first").mapInArrow(deal, _LISTS)).mapInArrow(mixed, _LISTS)
+    return materialise(lists.join(nodes.select("node", "odd"), "node").select("key", "root", "node", "size", "at", "odd"))
 
 
 def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, similarity: float = 0.8, seed: int = 42) -> DataFrame:
@@ -486,8 +530,9 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
     which bring together two texts right at the similarity with a chance of about 0.9 and more similar ones almost surely.
     The FIRST nearest candidates of each text are compared first, then all those whose ends these left in different groups.
     An exact way for the rest follows: of two similar sets, the first shingles in an order common to all have one in common
-    (`prefix`), so texts of different groups that meet in the list of such a shingle (`shared_lists`) are compared in full,
-    first neighbours in a list, then all that are still in different groups. No link between groups is left out.
+    (`prefix`), so texts of different groups that meet in the list of such a shingle (`shared_lists`) are compared in full unless
+    a bound rules them out (`_between`), first neighbours in a list, then all that are still in different groups. No link between
+    groups is left out.
     Which row of a group stays is as in `keep_one`. Null and empty texts are copies of each other, texts of fewer words are
     one shingle, very long texts count whole; an empty table gives no rows.
     """
@@ -495,16 +540,19 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            fps, sets = [], []
+            fps, sets, odd = [], [], []
             for kinds in _kinds(batch, 2, width, seed):
                 fps.append(wide_fingerprint(kinds))
                 sets.append(xxhash.xxh64_intdigest(kinds.tobytes()))
+                odd.append(parities(kinds))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(fps, pa.binary()), pa.array(np.array(sets, np.uint64).view(np.int64))], names=["_id", "_row", "fp", "set"]
+                [batch.column(0), batch.column(1), pa.array(fps, pa.binary()), pa.array(np.array(sets, np.uint64).view(np.int64)), pa.array(odd, pa.binary())],
+                names=["_id", "_row", "fp", "set", "odd"],
             )
 
-    marked = materialise(tagged.select("_id", "_row", "_text").mapInArrow(batches, "_id long, _row long, fp binary, set long"))
-    nodes = materialise(marked.groupBy("fp", "set").agg(F.min(F.struct("_id", "_row")).alias("first")).select(F.monotonically_increasing_id().alias("node"), "fp", "first"))
+    marked = materialise(tagged.select("_id", "_row", "_text").mapInArrow(batches, "_id long, _row long, fp binary, set long, odd binary"))
+    grouped = marked.groupBy("fp", "set").agg(F.min(F.struct("_id", "_row")).alias("first"), F.first("odd").alias("odd"))
+    nodes = materialise(grouped.select(F.monotonically_increasing_id().alias("node"), "fp", "first", "odd"))
     near = materialise(candidates(nodes, similarity, seed))
     ends = near.select("a", "b", "apart").union(near.select("b", "a", "apart"))
     nearest = Window.partitionBy("a").orderBy("apart", F.xxhash64("a", "b"))
@@ -523,10 +571,10 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
     rest = near.join(own("a"), "a", "left").join(own("b"), "b", "left").where(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
     links = links.union(linked_by(rest.select("a", "b").join(first, ["a", "b"], "left_anti")))
     joined = components(links)
-    lists = shared_lists(tagged.select("_id", "_row", "_text"), nodes.select("node", "first._id", "first._row"), joined, width, similarity, seed)
+    lists = shared_lists(tagged.select("_id", "_row", "_text"), nodes.select("node", "odd", "first._id", "first._row"), joined, width, similarity, seed)
     neighbours = materialise(_between(lists, similarity, True))
     links = links.union(linked_by(neighbours))
-    regrouped = lists.drop("root").join(components(links), "node", "left").select("key", F.coalesce("root", "node").alias("root"), "node", "size", "at")
+    regrouped = lists.drop("root").join(components(links), "node", "left").select("key", F.coalesce("root", "node").alias("root"), "node", "size", "at", "odd")
     links = links.union(linked_by(_between(regrouped, similarity, False).join(neighbours, ["a", "b"], "left_anti")))
     joined = components(links)
     kept = nodes.join(joined, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first._id", "first._row")

@@ -203,6 +203,55 @@ def test_no_link_is_lost_at_the_similarity(spark, monkeypatch, index):
     assert sorted(r.doc_id for r in simhash.keep_similar(docs).collect()) == sorted(set(want.values()))
 
 
+def near_copies(rng, n, words, changed):
+    """Texts with so many words of one text changed, and a copy of every tenth that is linked to it."""
+    new = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    base, out = new(words), []
+    for i in range(n):
+        one = list(base)
+        for at in rng.sample(range(words), changed):
+            one[at : at + 1] = new(1)
+        out += [one, one[:-1] + new(1)] if i % 10 == 0 else [one]
+    return out
+
+
+def test_rows_of_pairs_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """Near copies that are not quite similar meet in most lists of a prefix, but hardly any of their pairs become rows."""
+    import random
+
+    made, real = spark.sparkContext.accumulator(0), type(spark.range(0)).mapInArrow
+
+    def counted(self, f, schema, *more, **named):
+        def rows(it):
+            for batch in f(it):
+                made.add(batch.num_rows)
+                yield batch
+
+        return real(self, rows if f.__name__ == "pairs" else f, schema, *more, **named)
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", counted)
+    rng = random.Random(5)
+    texts = near_copies(rng, 150, 144, 3) + near_copies(rng, 20, 2500, 60)
+    rng.shuffle(texts)
+    docs = documents(spark, [(i, " ".join(t), "en", "a", 9) for i, t in enumerate(texts)])
+    sets = shingle_sets(docs.collect())
+    want = brute_components(sorted(sets), lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]))
+    assert 100 < len(set(want.values())) < len(want) - 10
+    assert sorted(r.doc_id for r in simhash.keep_similar(docs).collect()) == sorted(set(want.values()))
+    assert 0 < made.value < 10 * len(texts)
+
+
+def test_parities_never_tell_more_than_sets_differ():
+    rng = np.random.default_rng(4)
+    for n in [0, 1, 9, 144, 900, 7000] * 20:
+        x, y = (np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(2))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.9], y[: rng.integers(0, n + 1)]]))
+        apart = len(np.setxor1d(x, y))
+        wide = [simhash.parities(v, max(simhash.PARITIES, 1 << (len(v) // 2).bit_length())) for v in (x, y)]
+        assert simhash.disagree(*wide) <= apart >= simhash.disagree(simhash.parities(x), simhash.parities(y))
+        assert apart > n / 2 or simhash.disagree(*wide) >= 0.7 * apart - 3
+
+
 def test_prefixes_of_similar_sets_meet():
     rng = np.random.default_rng(3)
     often = np.zeros(300, [("kind", "<u8"), ("n", "<i8")])
