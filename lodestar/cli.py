@@ -80,6 +80,12 @@ def build_search_index(spark, a):
     return stages.index_jobs(files.read_table(spark, a.jobs), a.out, a.overwrite, a.limit)
 
 
+@command("update-search-index", *need("--index"), opt("--add"), opt("--remove"), opt("--optimize", action="store_true"))
+def update_search_index(spark, a):
+    table = lambda path: files.read_table(spark, path) if path else None
+    return stages.change_index(spark, a.index, table(a.add), table(a.remove), a.optimize)
+
+
 @command("extract-structured-skills", *need("--jobs", "--out"), opt("--split", default="train"), opt("--limit", type=int))
 def extract_structured_skills(spark, a):
     return stages.extract_fields(spark, files.read_table(spark, a.jobs), a.out, a.split, a.limit)
@@ -90,7 +96,7 @@ def serve_api(spark, a):
     from lodestar import service
     from lodestar.operators.ltr import Ranker
 
-    held = S.open_index(spark, a.index, "job_id")
+    held = S.open_index(spark, a.index)
     model = Ranker.load(spark, a.model) if a.model else None
     backend = service.Hybrid(spark, held, stages.open_graph(spark, a.graph), model) if a.graph else service.Lexical(spark, held)
     service.server(backend, a.host, a.port, a.result_limit).serve_forever()

@@ -1,63 +1,20 @@
-"""Inverted index (stored or made on the spot), BM25 in two flavours, strict-then-loose search with boosts, nearest vectors."""
+"""BM25 in two flavours, top-k through bounds of blocks, strict-then-loose search with boosts, phrases, nearest vectors."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
-from lodestar.sources.shared import materialise
-
-
-def postings(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
-    """(term, key, tf, length): counted inside each document first, so only one row for each of its terms moves."""
-    rows = docs.select(F.col(key).alias(key), terms.alias("terms")).select(key, F.size("terms").alias("length"), F.explode("terms").alias("term"))
-    return rows.groupBy("term", key, "length").agg(F.count(F.lit(1)).alias("tf"))
+from lodestar.operators.fulltext import BLOCK, Index, append, build_index, delete, index, open_index, optimize  # noqa: F401
+from lodestar.sources.shared import materialise, spread
 
 
 def document_frequency(docs: DataFrame, terms: Column) -> DataFrame:
     """(term, df): each document gives each of its terms once, so one aggregate suffices."""
-    return docs.select(F.explode(F.array_distinct(terms)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-
-
-@dataclass(frozen=True)
-class Index:
-    """Postings (term, key, tf, length) and documents (key and what results are made of); documents are tokenised once.
-    One row of statistics and the document frequencies follow from them."""
-
-    postings: DataFrame
-    docs: DataFrame
-    key: str = "doc_id"
-
-    def stats(self) -> DataFrame:
-        """n and avg_length (at least 1); documents without terms count too."""
-        total = self.postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("_total"))
-        n = self.docs.agg(F.count(F.lit(1)).alias("n"))
-        return n.join(total).select("n", F.greatest(F.col("_total") / F.greatest("n", F.lit(1)), F.lit(1.0)).alias("avg_length"))  # one row each
-
-
-def index(docs: DataFrame, terms: Column, key: str = "doc_id") -> Index:
-    """An index in the shared folder, gone with the application or its `scratch` scope."""
-    return Index(materialise(postings(docs, terms, key)), docs, key)
-
-
-def build_index(docs: DataFrame, terms: Column, path: str, key: str = "doc_id", overwrite: bool = False, limit: int | None = None) -> None:
-    """An index to keep, below `path`: postings sorted by term, so that a term's rows are few row groups of few files, and the
-    documents without what the terms were made of. `limit`: the first documents by key alone."""
-    kept = docs if limit is None else docs.orderBy(key).limit(limit)
-    mode = "overwrite" if overwrite else "error"
-    kept.write.mode(mode).option("compression", "zstd").parquet(f"{path}/documents.parquet")
-    held = docs.sparkSession.read.parquet(f"{path}/documents.parquet")
-    sorted_ = postings(held, terms, key).repartitionByRange("term", key).sortWithinPartitions("term", key)
-    sorted_.write.mode(mode).option("compression", "zstd").parquet(f"{path}/postings.parquet")
-
-
-def open_index(spark: SparkSession, path: str, key: str = "doc_id") -> Index:
-    return Index(spark.read.parquet(f"{path}/postings.parquet"), spark.read.parquet(f"{path}/documents.parquet"), key)
+    return spread(docs).select(F.explode(F.array_distinct(terms)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def fetch(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -70,29 +27,134 @@ def nothing(spark: SparkSession, key: str = "doc_id") -> DataFrame:
     return spark.createDataFrame([], f"query_id long, {key} string, score double, lexical_score double, rank int")
 
 
+def _asked(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
+
+
+def _formula(flavour: str, n: Column, avg_length: Column, k1: float, b: float):
+    """idf of a document frequency, gain of a tf in a document of some length."""
+    odds = lambda df: (n - df + 0.5) / (df + 0.5)
+    idf = (lambda df: F.log(1 + odds(df))) if flavour == "plus_one" else (lambda df: F.greatest(F.log(odds(df)), F.lit(1e-6)))
+    k1 = k1 if flavour == "plus_one" else 1.2
+    return idf, lambda tf, length: tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / avg_length))
+
+
 def bm25(queries: DataFrame, held: Index, k1: float = 1.5, b: float = 0.75, flavour: str = "plus_one") -> DataFrame:
     """(query_id, key, score, matched) for each document that shares a term. `queries` has query_id and terms (array).
 
     plus_one: idf = ln(1 + (N - df + .5) / (df + .5)), repeated query terms count each time; index: the form of
-    full-text engines, ln((N - df + .5) / (df + .5)), at least 1e-6, with k1 = 1.2. The queries' terms are joined with
-    the postings by term, so documents without a match cost nothing; a frequent term is a skewed inner join, which adaptive
-    execution splits.
+    full-text engines, ln((N - df + .5) / (df + .5)), at least 1e-6, with k1 = 1.2. All postings of the queries' terms are
+    scored; `best` finds the highest scores from a part of them.
     """
-    key = held.key
-    asked = queries.select("query_id", F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
+    key, asked = held.key, _asked(queries)
     some = held.postings.join(asked.select("term").distinct(), "term", "left_semi")
     df = some.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    odds = (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)
-    idf = F.log(1 + odds) if flavour == "plus_one" else F.greatest(F.log(odds), F.lit(1e-6))
-    k1 = k1 if flavour == "plus_one" else 1.2
-    gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("avg_length")))
+    idf, gain = _formula(flavour, F.col("n"), F.col("avg_length"), k1, b)
     return (
         asked.join(df, "term").join(some, "term").crossJoin(F.broadcast(held.stats()))  # one row
-        .select("query_id", key, (F.col("times") * idf * gain).alias("part"))
+        .select("query_id", key, (F.col("times") * idf(F.col("df")) * gain(F.col("tf"), F.col("length"))).alias("part"))
         .groupBy("query_id", key).agg(F.sum("part").alias("score"), F.count(F.lit(1)).alias("matched"))
     )
 
 
+def phrase_postings(phrases: DataFrame, held: Index) -> DataFrame:
+    """(term, seg, key, tf, length): how often the phrases (term, parts) stand in documents of a positional index, part by part side
+    by side. The documents of a phrase's rarest part come first; of its other parts only the postings of those documents go
+    on, each with its positions shifted by the part's place, and what all parts share are the phrase's places."""
+    key = held.key
+    asked = phrases.select(F.col("term").alias("phrase"), F.size("parts").alias("parts"), F.posexplode("parts").alias("j", "term"))
+    sizes = asked.select("term").distinct().join(held._all(lambda s: s.postings.select("term", "n")), "term").groupBy("term").agg(F.sum("n").alias("df"))
+    rare = Window.partitionBy("phrase").orderBy("df", "j")
+    ordered = asked.join(sizes, "term").withColumn("nth", F.row_number().over(rare))
+
+    def read(s, want):
+        p = F.explode(F.arrays_zip("keys", "lengths", "positions")).alias("p")
+        rows = s.postings.select("shard", "term", p).join(_each_shard(want, s), ["shard", "term"])
+        shifted = F.transform("p.positions", lambda x: x - F.col("j")).alias("at")
+        return held.live(s, rows.select("phrase", "parts", F.lit(s.number).alias("seg"), F.col("p.keys").alias(key), F.col("p.lengths").alias("length"), shifted))
+
+    first = materialise(held._all(lambda s: read(s, ordered.where("nth = 1"))))
+    others = held._all(lambda s: read(s, ordered.where("nth > 1"))).join(first.select("phrase", key), ["phrase", key], "left_semi")
+    both = first.unionByName(others).groupBy("phrase", "seg", key, "parts").agg(F.first("length").alias("length"), F.collect_list("at").alias("ats")).where(F.size("ats") == F.col("parts"))
+    places = F.aggregate(F.slice("ats", 2, F.col("parts")), F.col("ats")[0], lambda held, x: F.array_intersect(held, x))
+    return both.select(F.col("phrase").alias("term"), "seg", key, F.size(places).alias("tf"), "length").where("tf > 0")
+
+
+def _each_shard(rows: DataFrame, s) -> DataFrame:
+    """Rows of terms for each shard of a segment, to meet postings in their buckets."""
+    return rows.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(s.shards - 1))))
+
+
+def best(queries: DataFrame, held: Index, k: int, all_k: int = 0, k1: float = 1.5, b: float = 0.75, flavour: str = "plus_one", digits: int = 9, extra: DataFrame | None = None) -> DataFrame:
+    """(query_id, key, score, matched, n_terms) of documents among which are each query's k best, ties at the last place included: as
+    `bm25` gives them, rounded to `digits`. With `all_k`, its all_k best of those that have all terms are among them, and the k best of
+    all only where there are fewer of these. `extra`: postings
+    (term, seg, key, tf, length) of terms that the index has no blocks of, as of `phrase_postings`.
+
+    1. Each term's first blocks, its most promising postings, name some documents, which are scored in full. The k-th score is one to beat.
+    2. A block's bound and the highest bounds of the query's other terms say what its documents can reach at most. Only blocks
+       that can reach the score to beat are opened. Terms whose highest bounds together stay under it open none: a document
+       that has no other terms can't get there. For documents with all terms the rarest term's blocks suffice.
+
+    Blocks that aren't opened name no documents; those named are scored once for a query, from the postings of the queries'
+    terms alone. Postings are never shuffled to find documents: they meet the terms in the buckets in which they lie.
+    """
+    key, slack = held.key, 10.0**-digits
+    idf, gain = _formula(flavour, F.col("n"), F.col("avg_length"), k1, b)
+    asked = _asked(queries)
+    names = asked.select("term").distinct()
+    stats = F.broadcast(held.stats())  # one row
+    size = held._all(lambda s: s.postings.select("shard", "term", F.col("n").alias("df"), "max_tf", "min_length").join(_each_shard(names, s), ["shard", "term"]).drop("shard"))
+    if extra is not None:
+        size = size.union(extra.select("term", F.lit(1), "tf", "length"))
+    df = size.crossJoin(stats).groupBy("term", "n", "avg_length").agg(F.sum("df").alias("df"), F.max(gain(F.col("max_tf"), F.col("min_length"))).alias("most"))
+    if (gone := held.removed(names)) is not None:
+        df = df.join(gone, "term", "left").withColumn("df", F.col("df") - F.coalesce("gone", F.lit(0))).where("df > 0").drop("gone")
+    of_query, rising = Window.partitionBy("query_id"), Window.partitionBy("query_id").orderBy("most", "term")
+    terms = asked.withColumn("n_terms", F.count(F.lit(1)).over(of_query)).join(df, "term").withColumn("weight", F.col("times") * idf(F.col("df"))).withColumn("most", F.col("weight") * F.col("most"))
+    rarest = (F.row_number().over(Window.partitionBy("query_id").orderBy("df", "term")) == 1) & (F.count(F.lit(1)).over(of_query) == F.col("n_terms"))
+    terms = materialise(terms.select("query_id", "term", "n_terms", "weight", "avg_length", (F.sum("most").over(of_query) - F.col("most")).alias("rest"), F.sum("most").over(rising).alias("below"), rarest.alias("rarest")))
+
+    def named(want: DataFrame) -> DataFrame:
+        """(query_id, key) of the documents of blocks that reach `least`, up to block `last`, of (query_id, term, weight, avg_length, rest, ...)."""
+        reach = lambda most: F.col("weight") * most + F.col("rest") >= F.col("least")
+
+        def one(s):
+            blocks = s.postings.select("shard", "term", "block", "max_tf", "min_length", "keys").join(_each_shard(want, s), ["shard", "term"])
+            some = blocks.where(reach(gain(F.col("max_tf"), F.col("min_length"))) & (F.col("block") <= F.col("last")))
+            return some.select("query_id", F.explode("keys").alias(key))
+
+        found = held._all(one)
+        if extra is not None:
+            found = found.union(extra.join(want, "term").where(reach(gain(F.col("tf"), F.col("length")))).select("query_id", key))
+        return found.distinct()
+
+    def scored(found: DataFrame) -> DataFrame:
+        def one(s):
+            p = s.postings.select("shard", "term", "keys", "tfs", "lengths").join(_each_shard(names, s), ["shard", "term"]).select("term", F.explode(F.arrays_zip("keys", "tfs", "lengths")).alias("p"))
+            return held.live(s, p.select("term", F.col("p.keys").alias(key), F.col("p.tfs").alias("tf"), F.col("p.lengths").alias("length")))
+
+        rows = held._all(one)
+        rows = rows if extra is None else rows.union(extra.select("term", key, "tf", "length"))
+        parts = rows.join(terms, "term").select("query_id", key, "n_terms", (F.col("weight") * gain(F.col("tf"), F.col("length"))).alias("part")).join(found, ["query_id", key], "left_semi")
+        return parts.groupBy("query_id", key).agg(F.round(F.sum("part"), digits).alias("score"), F.count(F.lit(1)).alias("matched"), F.first("n_terms").alias("n_terms"))
+
+    first = -(-2 * max(k, all_k) // BLOCK) - 1
+    one = materialise(scored(materialise(named(terms.withColumns({"least": F.lit(0.0), "last": F.lit(first)})))))
+    falling = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc()))
+    beat = lambda rows, k, name: rows.withColumn("at", falling).where(F.col("at") == k).select("query_id", (F.col("score") - slack).alias(name))
+    far = F.lit(float("inf"))
+    limits = terms.join(beat(one, k, "some"), "query_id", "left").withColumn("some", F.coalesce("some", F.lit(0.0)))
+    least = F.when(F.col("below") >= F.col("some"), F.col("some")).otherwise(far)
+    if all_k:
+        whole = one.where("matched = n_terms")
+        enough = whole.groupBy("query_id").agg(F.count(F.lit(1)).alias("whole"))
+        limits = limits.join(beat(whole, all_k, "every"), "query_id", "left").join(enough, "query_id", "left")
+        least = F.least(F.when(F.coalesce("whole", F.lit(0)) < all_k, least).otherwise(far), F.when(F.col("rarest"), F.coalesce("every", F.lit(0.0))).otherwise(far))
+    two = named(limits.withColumns({"least": least, "last": F.lit(2**31 - 1)}).where(F.col("least") < far)).join(one.select("query_id", key), ["query_id", key], "left_anti")
+    return one.union(scored(materialise(two)))
+
+
 def top_k(scored: DataFrame, k: int, key: str = "doc_id", score: str = "score") -> DataFrame:
     """Best k of each query by (score descending, key), with ranks from 1."""
     order = Window.partitionBy("query_id").orderBy(F.col(score).desc(), F.col(key))
@@ -104,17 +166,30 @@ def _among(codes: Column, kind: str, one: Column) -> Column:
     return F.coalesce(F.array_contains(codes, one) if kind.startswith("array") else codes == one, F.lit(False))
 
 
+def parted(queries: DataFrame) -> DataFrame:
+    """Queries (query_id, terms, ...) with each term as full-text engines take it: cut at all but letters and digits; one of several parts is
+    a phrase, its parts joined by blanks, one without parts is none."""
+    each = queries.select("query_id", F.posexplode("terms").alias("at", "term")).select("query_id", "at", F.array_join(T.fts_parts(F.col("term")), " ").alias("term")).where("term <> ''")
+    terms = each.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("at", "term")))["term"].alias("terms"))
+    return queries.drop("terms").join(terms, "query_id").select(*queries.columns)
+
+
 def search(queries: DataFrame, held: Index, limit: int, location_boost: float = 0.35, duty_boost: float = 0.5) -> DataFrame:
     """query_id, key, score, lexical_score, rank: documents with all terms of the query; where they are fewer than `limit`,
     those with any follow. `queries`: query_id, terms, location and duty (a code or a list of codes); the index's documents
     have location and duty too. The pool before boosts holds max(5 limit, 100) of each kind. Scores are rounded, so ranks
-    don't hang on the order in which parts were summed."""
-    key, kinds = held.key, dict(queries.dtypes)
-    n_terms = queries.select("query_id", F.size(F.array_distinct("terms")).alias("n_terms"), "location", "duty")
-    scored = bm25(queries, held, flavour="index").withColumn("score", F.round("score", 9)).join(n_terms, "query_id")
+    don't hang on the order in which parts were summed. On a positional index terms of several parts are phrases, see `parted`."""
+    key, kinds, extra = held.key, dict(queries.dtypes), None
+    if held.positional:
+        queries = materialise(parted(queries))
+        phrases = queries.select(F.explode("terms").alias("term")).where("contains(term, ' ')").distinct()
+        extra = materialise(phrase_postings(phrases.withColumn("parts", F.split("term", " ")), held))
+    size = max(5 * limit, 100)
+    # Others count only where fewer than `limit` documents have all terms: the best of all then hold as many others as are wanted.
+    scored = best(queries, held, size + limit, size, flavour="index", extra=extra).join(queries.select("query_id", "location", "duty"), "query_id")
     strict = F.col("matched") == F.col("n_terms")
     pool = Window.partitionBy("query_id", "strict").orderBy(F.col("score").desc(), F.col(key))
-    pooled = scored.withColumn("strict", strict).withColumn("at", F.row_number().over(pool)).where(F.col("at") <= max(5 * limit, 100))
+    pooled = scored.withColumn("strict", strict).withColumn("at", F.row_number().over(pool)).where(F.col("at") <= size)
     enough = F.sum(F.col("strict").cast("int")).over(Window.partitionBy("query_id"))
     kept = pooled.withColumn("all_match", enough).where(F.col("strict") | (F.col("all_match") < limit))
     near, own = _among(F.col("location"), kinds["location"], F.col("_l")), _among(F.col("duty"), kinds["duty"], F.col("_d"))

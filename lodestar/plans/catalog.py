@@ -177,8 +177,10 @@ _IDF = "ln(1 + (n - df + 0.5) / (df + 0.5))"
 FROM qa JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), st GROUP BY 1, 2)
 SELECT query_id, doc_id, score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc) WHERE rank <= 10""")
 def bm25_topk(spark, sf):
-    scored = S.bm25(fx.corpus_queries(spark, sf), S.index(table(spark, sf, "documents"), T.latin_tokens(F.col("text"))))
-    return S.top_k(scored.select("query_id", "doc_id", F.round("score", 6).alias("score")), 10)
+    queries, docs = fx.corpus_queries(spark, sf), table(spark, sf, "documents").select("doc_id", "text")
+    terms = queries.select(F.explode("terms").alias("term"))
+    scored = S.best(queries, S.index(docs, T.latin_tokens(F.col("text")), only=terms), 10, digits=6)
+    return S.top_k(scored.select("query_id", "doc_id", "score"), 10)
 
 
 def _pairs(spark, sf):
@@ -215,9 +217,9 @@ SELECT query_id, doc_id, score, CAST(rank AS INT) AS rank FROM (SELECT *, row_nu
 
 
 def _search(spark, sf, location, duty):
-    docs = table(spark, sf, "documents").withColumnsRenamed({"lang": "location", "source": "duty"})
+    docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("location"), F.col("source").alias("duty"), "text")
     q = fx.corpus_queries(spark, sf).withColumns({"location": F.lit(location), "duty": F.lit(duty)})
-    return S.search(q, S.index(docs, T.latin_tokens(F.col("text"))), 10).select("query_id", "doc_id", "score", "rank")
+    return S.search(q, S.index(docs, T.latin_tokens(F.col("text")), only=q.select(F.explode("terms").alias("term"))), 10).select("query_id", "doc_id", "score", "rank")
 
 
 @query(_SEARCH.format(lang="'-'", source="'-'"))
@@ -230,6 +232,30 @@ def search_boosted(spark, sf):
     return _search(spark, sf, "en", "src3")
 
 
+_PARTS = "regexp_extract_all(strip_accents(lower(coalesce(text, ''))), '[\\p{L}\\p{N}\\p{Co}]+')"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_PARTS} AS ps FROM documents), b AS (SELECT item_id AS query_id, {_PARTS}[1:6] AS ps FROM benchmark),
+qa AS (SELECT DISTINCT query_id, unnest([ps[1] || ' ' || ps[2], ps[3], ps[4] || ' ' || ps[5] || ' ' || ps[6]]) AS term FROM b), nt AS (SELECT query_id, count(*) AS n_terms FROM qa GROUP BY 1),
+un AS (SELECT doc_id, unnest(ps) AS a, generate_subscripts(ps, 1) AS i FROM d), gr AS (SELECT doc_id, a, lead(a) OVER w AS b, lead(a, 2) OVER w AS c FROM un WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest([a, a || ' ' || b, a || ' ' || b || ' ' || c]) AS term FROM gr) JOIN (SELECT DISTINCT term FROM qa) USING (term) GROUP BY 1, 2),
+len AS (SELECT doc_id, len(ps) AS length FROM d), st AS (SELECT count(*) AS n, greatest(avg(length), 1.0) AS avg_length FROM len), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+sc AS (SELECT query_id, doc_id, round(sum(greatest(ln((n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / avg_length))), 9) AS score, count(*) AS matched
+  FROM qa JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), st GROUP BY 1, 2),
+po AS (SELECT *, matched = n_terms AS strict, row_number() OVER (PARTITION BY query_id, matched = n_terms ORDER BY score DESC, doc_id) AS place FROM sc JOIN nt USING (query_id)),
+ke AS (SELECT *, sum(CAST(strict AS INT)) OVER (PARTITION BY query_id) AS m FROM po WHERE place <= 100),
+r AS (SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id)::INT AS rank FROM ke WHERE strict OR m < 10)
+SELECT * FROM r WHERE rank <= 10""")
+def phrase_search(spark, sf):
+    """Terms like c++, node.js and a#b.c: full-text engines cut them, and find those of several parts as phrases, by positions."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.lit("-").alias("location"), F.lit("-").alias("duty"))
+    w = T.fts_parts(F.coalesce("text", F.lit("")))
+    at = lambda i: F.get("w", F.lit(i))
+    terms = F.array(F.concat(at(0), F.lit("."), at(1)), F.concat(at(2), F.lit("++")), F.concat(at(3), F.lit("#"), at(4), F.lit("."), at(5)))
+    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), w.alias("w")).select("query_id", F.filter(terms, lambda t: t.isNotNull()).alias("terms"), F.lit("").alias("location"), F.lit("").alias("duty"))
+    return S.search(q, S.index(docs, w, positional=True), 10).select("query_id", "doc_id", "score", "rank")
+
+
 @query("SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN (SELECT item_id * 3 FROM benchmark)")
 def fetch_by_ids(spark, sf):
     """Documents by ids; some ids are asked for twice, some are unknown."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
@@ -123,9 +123,29 @@ def job_documents(jobs: DataFrame) -> DataFrame:
 
 def index_jobs(jobs: DataFrame, out: str, overwrite: bool = False, limit: int | None = None) -> dict:
     docs = job_documents(jobs)
-    S.build_index(docs, T.search_tokens(F.concat_ws(" ", *TEXTS)), out, "job_id", overwrite, limit)
-    held = S.open_index(jobs.sparkSession, out, "job_id")
-    return {"documents": held.docs.count(), "postings": held.postings.count(), "output": out}
+    S.build_index(docs, indexed_terms(), out, "job_id", overwrite, limit, positional=True)
+    return index_size(jobs.sparkSession, out)
+
+
+def indexed_terms() -> Column:
+    """What a full-text engine makes of the terms of a job: they are cut again at all but letters and digits, their order stays."""
+    return T.fts_parts(F.array_join(T.search_tokens(F.concat_ws(" ", *TEXTS)), " "))
+
+
+def index_size(spark: SparkSession, path: str) -> dict:
+    held = S.open_index(spark, path)
+    return {"documents": held.docs.count(), "postings": held.postings.count(), "segments": len(held.segments), "output": path}
+
+
+def change_index(spark: SparkSession, path: str, jobs: DataFrame | None = None, gone: DataFrame | None = None, merge: bool = False) -> dict:
+    """Take jobs out of an index (by job_id), put new ones in, merge its segments: in this order, each if asked for."""
+    if gone is not None:
+        S.delete(gone.select(F.col("job_id").cast("string").alias("job_id")), path)
+    if jobs is not None:
+        S.append(job_documents(jobs), indexed_terms(), path)
+    if merge:
+        S.optimize(spark, path)
+    return index_size(spark, path)
 
 
 def build_features(g: C.Graph, jobs: DataFrame, queries: DataFrame, labels: DataFrame, out: str, observed: bool = True, overwrite: bool = False) -> dict:

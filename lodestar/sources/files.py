@@ -109,6 +109,22 @@ def listed(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[tuple
     return sorted(f for f in found if f[0].lower().endswith(suffix))
 
 
+def _at(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    held, where = _at(spark, path)
+    return held.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A file or a folder with all that it holds."""
+    held, where = _at(spark, path)
+    held.delete(where, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
     """One small file, wherever Spark can write."""
     jvm = spark.sparkContext._jvm

@@ -32,6 +32,34 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def _for_now(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.deleteOnExit(where)
+    held = _scope.get()
+    if held is not None:
+        held.append(path)
+
+
+def place(spark: SparkSession) -> str:
+    """A new folder in the shared one. It goes when the application ends, or with the `scratch` scope in which it was asked for."""
+    path = f"{shared_dir(spark)}/lodestar-{uuid.uuid4().hex}"
+    files, where = _file_system(spark, path)
+    files.mkdirs(where)
+    _for_now(spark, path)
+    return path
+
+
+#: Up to so many bytes a table may come as a single row group, which one task would read alone.
+SMALL = 1 << 28
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table (by the optimiser's estimate) dealt over all cores before much is done with each row; a larger one
+    is read in many pieces anyway, and is left as it is."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL else df
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends there, so a lost executor costs a
     reread of some files, and frames that use it twice compute it once. (checkpoint() would compute it twice.)
@@ -39,11 +67,7 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodestar-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    files, where = _file_system(spark, path)
-    files.deleteOnExit(where)
-    held = _scope.get()
-    if held is not None:
-        held.append(path)
+    _for_now(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
