@@ -201,14 +201,31 @@ def alias_multiple_targets(g: Graph) -> DataFrame:
     return _said(several, "from_id", _fmt("Alias points to %s skills", "n"))
 
 
+def _landings(single: DataFrame) -> DataFrame:
+    """(node, at, open) of nodes with one edge each (node, at): where the way from a node leads that only such nodes are on. Each
+    round doubles the steps that are taken; `open`: it never ends, so it runs into a cycle of such nodes. While there are ways that end
+    and are longer than the steps taken, some of them end in the next round, so a round without any is the last."""
+    ways, before = materialise(single.withColumn("open", F.lit(True))), -1
+    while (now := ways.where("open").count()) not in (0, before):
+        before = now
+        on = ways.select(F.col("node").alias("at"), F.col("at").alias("_next"), F.col("open").alias("_open"))
+        ways = materialise(ways.join(on, "at", "left").select("node", F.coalesce("_next", "at").alias("at"), (F.col("open") & F.coalesce("_open", F.lit(False))).alias("open")))
+    return ways
+
+
 def reaching_cycles(aliases: DataFrame) -> DataFrame:
-    """(node_id) of the nodes from which edges (from_id, to_id) lead into a cycle: ends without a way on are taken off until
-    none is left. As many rounds as the longest chain that ends; only counts come to the driver. Each round is stored, so
-    that plans don't nest."""
+    """(node_id) of the nodes from which edges (from_id, to_id) lead into a cycle: what leads only to ends is taken off until all
+    that is left has an edge that stays. Chains of nodes with a single edge go at once, by pointer jumping, so a chain takes as many
+    rounds as its length has bits, and turns are taken only where ways part. Only counts come to the driver; each round
+    is stored, so that plans don't nest."""
     left, before = materialise(aliases.select("from_id", "to_id").distinct()), -1
     while (now := left.count()) not in (0, before):
         before = now
-        left = materialise(left.join(left.select(F.col("from_id").alias("to_id")).distinct(), "to_id", "left_semi").select("from_id", "to_id"))
+        from_ = left.groupBy(F.col("from_id").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("to_id").alias("at"))
+        ends = left.select(F.col("to_id").alias("node")).distinct().join(from_, "node", "left_anti")
+        ways = _landings(from_.where("n = 1").select("node", "at"))
+        gone = materialise(ends.union(ways.where("not open").join(ends.withColumnRenamed("node", "at"), "at", "left_semi").select("node")))
+        left = materialise(left.join(gone.withColumnRenamed("node", "to_id"), "to_id", "left_anti").select("from_id", "to_id"))
     return left.select(F.col("from_id").alias("node_id")).distinct()
 
 

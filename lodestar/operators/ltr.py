@@ -1,59 +1,87 @@
-"""Boosted ranker: LambdaMART gradients from pairs inside each query, trees by Spark ML."""
+"""Boosted ranker: LambdaMART gradients from pairs inside each query, histogram trees grown leaf by leaf."""
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.sources import files
 from lodestar.sources.shared import materialise
 
 GAINS = (0.0, 1.0, 3.0)
+#: Bins of a feature, one more for missing values; rows that are packed together, of whole queries; pairs in memory at a time.
+BINS, CHUNK, PAIRS = 255, 1 << 16, 1 << 20
+
+
+@dataclass
+class Tree:
+    """Nodes in order of their making: a node with a feature sends values that are missing or at most `limit` to the left
+    (`cut` is the limit's bin), a leaf has a value."""
+
+    feature: list[int] = field(default_factory=lambda: [-1])
+    cut: list[int] = field(default_factory=lambda: [0])
+    limit: list[float] = field(default_factory=lambda: [0.0])
+    left: list[int] = field(default_factory=lambda: [0])
+    right: list[int] = field(default_factory=lambda: [0])
+    value: list[float] = field(default_factory=lambda: [0.0])
+
+    def split(self, node: int, feature: int, cut: int, limit: float) -> tuple[int, int]:
+        a = len(self.feature)
+        self.feature[node], self.cut[node], self.limit[node], self.left[node], self.right[node] = feature, cut, limit, a, a + 1
+        for _ in range(2):
+            for held, empty in ((self.feature, -1), (self.cut, 0), (self.limit, 0.0), (self.left, 0), (self.right, 0), (self.value, 0.0)):
+                held.append(empty)
+        return a, a + 1
+
+    def leaves(self, x: np.ndarray, binned: bool = True) -> np.ndarray:
+        """The leaf of each row of bins (or of values)."""
+        feature, left, right, limit = map(np.array, (self.feature, self.left, self.right, self.cut if binned else self.limit))
+        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        while len(rows) and (inner := feature[at[rows]] >= 0).any():
+            rows = rows[inner]
+            node = at[rows]
+            v = x[rows, feature[node]]
+            at[rows] = np.where(np.isnan(v) | (v <= limit[node]) if not binned else v <= limit[node], left[node], right[node])
+        return at
 
 
 @dataclass
 class Ranker:
-    """Trees in order; a document's score is the sum of their leaves, each already scaled by the learning rate."""
+    """Trees in order; a row's score is the sum of their leaves, each already scaled by the learning rate."""
 
     features: list[str]
-    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
-    leaves: list[dict[float, float]] = field(default_factory=list)
+    trees: list[Tree] = field(default_factory=list)
+    gains: list[float] = field(default_factory=list)
 
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
-        rows = VectorAssembler(inputCols=self.features, outputCol="_x", handleInvalid="keep").transform(df).withColumn(out, F.lit(0.0))
-        for tree, values in zip(self.trees, self.leaves):
-            rows = _leaf(tree, rows, values, out)
-        return rows.drop("_x")
+        if not self.trees:
+            return df.withColumn(out, F.lit(0.0))
+        trees = df.sparkSession.sparkContext.broadcast(self.trees)  # of some leaves each
 
-    def importance(self) -> dict[str, float]:
-        total = [sum(float(t.featureImportances[i]) for t in self.trees) for i in range(len(self.features))]
-        return dict(sorted(zip(self.features, total), key=lambda x: (-x[1], x[0])))
+        @F.arrow_udf("double")
+        def scored(row: pa.Array) -> pa.Array:
+            x = np.asarray(row.flatten().cast(pa.float64()).fill_null(float("nan"))).reshape(len(row), -1)
+            return pa.array(sum(np.array(t.value)[t.leaves(x, False)] for t in trees.value))
+
+        return df.withColumn(out, scored(F.array(*(F.col(c).cast("double") for c in self.features))))
 
+    def importance(self) -> dict[str, float]:
+        """What each feature's splits gained."""
+        return dict(sorted(zip(self.features, self.gains), key=lambda x: (-x[1], x[0])))
 
     def save(self, spark: SparkSession, path: str, overwrite: bool = False) -> None:
-        """The trees, each in a folder of its own, and ranker.json with features and leaf values."""
-        for i, tree in enumerate(self.trees):
-            writer = tree.write()
-            (writer.overwrite() if overwrite else writer).save(f"{path}/tree{i:04}")
-        files.write_json(spark, f"{path}/ranker.json", {"features": self.features, "leaves": [sorted(v.items()) for v in self.leaves]}, overwrite)
+        files.write_json(spark, f"{path}/ranker.json", {"features": self.features, "gains": self.gains, "trees": [asdict(t) for t in self.trees]}, overwrite)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Ranker:
         known = json.loads(spark.read.text(f"{path}/ranker.json", wholetext=True).first().value)
-        leaves = [{float(k): float(v) for k, v in pairs} for pairs in known["leaves"]]
-        return cls(known["features"], [DecisionTreeRegressionModel.load(f"{path}/tree{i:04}") for i in range(len(leaves))], leaves)
-
-
-def _leaf(tree, rows: DataFrame, values: dict[float, float], out: str) -> DataFrame:
-    value = F.lit(0.0)
-    if values:
-        value = F.coalesce(F.create_map(*(F.lit(x) for kv in values.items() for x in kv))[F.col("_leaf")], F.lit(0.0))
-    return tree.setPredictionCol("_leaf").transform(rows).withColumn(out, F.col(out) + value).drop("_leaf")
+        return cls(known["features"], [Tree(**t) for t in known["trees"]], known["gains"])
 
 
 def lambdas(scored: DataFrame) -> DataFrame:
@@ -73,30 +101,147 @@ def lambdas(scored: DataFrame) -> DataFrame:
     return both.groupBy("query_id", "job_id").agg(F.sum("l").alias("lambda"), F.sum("w").alias("weight"))
 
 
-def fit(train: DataFrame, features: list[str], trees: int = 80, rate: float = 0.05, depth: int = 4, seed: int = 42) -> Ranker:
-    """Newton boosting: a regression tree on the lambdas, leaf values sum(lambda) / sum(weight). Scores are kept between
-    rounds and given up after the next; every few rounds they go to the shared folder, so that plans don't nest."""
-    model = Ranker(features)
-    rows = materialise(VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep").transform(train).select("query_id", "job_id", "relevance", "_x").withColumn("score", F.lit(0.0)))
-    held = None
-    for i in range(trees):
-        target = rows.join(lambdas(rows), ["query_id", "job_id"], "left").na.fill(0.0, ["lambda", "weight"]).persist()
-        tree = DecisionTreeRegressor(featuresCol="_x", labelCol="lambda", predictionCol="_leaf", maxDepth=depth, seed=seed).fit(target)
-        sums = tree.transform(target).groupBy("_leaf").agg(F.sum("lambda").alias("l"), F.sum("weight").alias("w")).collect()  # one row a leaf
-        values = {r["_leaf"]: rate * r.l / r.w for r in sums if r.w > 0}
+def gradients(score: np.ndarray, grade: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`lambdas` of queries that lie one after the other, each in the order of its jobs. Queries of one size are taken together, and of
+    their pairs some rows at a time."""
+    out = np.zeros((2, len(score)))
+    gain, starts = np.array(GAINS)[grade], np.cumsum(sizes) - sizes
+    for n in np.unique(sizes).tolist():
+        of_size = starts[sizes == n]
+        step = max(1, PAIRS // (n * n))
+        for q in range(0, len(of_size), step):
+            at = of_size[q : q + step, None] + np.arange(n)
+            s, g = score[at], gain[at]
+            rank = np.argsort(np.argsort(-s, axis=1, kind="stable"), axis=1, kind="stable")
+            d = 1 / np.log2(np.arange(n) + 2)
+            ideal = -np.sort(-g, axis=1) @ d
+            scale = np.divide(1, ideal, out=np.zeros_like(ideal), where=ideal > 0)[:, None, None]
+            d = d[rank]
+            for low in range(0, n, max(1, PAIRS // n)):
+                i = slice(low, low + max(1, PAIRS // n))
+                more = g[:, i, None] > g[:, None, :]
+                delta = np.abs((g[:, i, None] - g[:, None, :]) * (d[:, i, None] - d[:, None, :])) * scale * more
+                rho = 1 / (1 + np.exp(np.clip(s[:, i, None] - s[:, None, :], -700, 700)))
+                for k, part in enumerate((rho * delta, rho * (1 - rho) * delta)):
+                    out[k][at[:, i]] += part.sum(2)
+                    out[k][at] += (part.sum(1), -part.sum(1))[k == 0]
+    return out[0], out[1]
+
+
+def _bounds(rows: DataFrame, features: list[str]) -> list[list[float]]:
+    """Upper limits of the bins of each feature: all its values, if they are few, else quantiles."""
+    value = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    levels = F.array(*(F.lit(i / BINS) for i in range(1, BINS)))
+    few = lambda c: F.slice(F.array_sort(F.collect_set(F.when(F.col(f"_n{c}") <= BINS, value(c)))), 1, BINS)
+    counted = rows.agg(*(F.approx_count_distinct(value(c)).alias(f"_n{c}") for c in features))  # one row
+    made = rows.crossJoin(F.broadcast(counted)).agg(*(F.struct(few(c).alias("all"), F.percentile_approx(value(c), levels, 10_000).alias("some")) for c in features)).first()
+    return [sorted(set(m["all"] if len(m["all"] or ()) and len(m["all"]) < BINS else m["some"] or [])) for m in made]
+
+
+def _packed(rows: DataFrame, features: list[str], bounds: list[list[float]]) -> DataFrame:
+    """(sizes, grades, bins) of chunks of whole queries, packed: about CHUNK rows, or one query. Bin 0 is for missing values."""
+    n = max(1, -(-rows.count() // CHUNK))
+
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("query_id", "ascending"), ("job_id", "ascending")])
+        ids = group["query_id"].combine_chunks()
+        new = np.flatnonzero(np.append(True, np.asarray(ids[1:].cast(pa.string())) != np.asarray(ids[:-1].cast(pa.string()))))
+        bins = np.zeros((len(ids), len(features)), np.uint8)
+        for f in range(len(features)):
+            x = group[f"x{f}"].combine_chunks().fill_null(float("nan")).to_numpy(zero_copy_only=False)
+            bins[:, f] = np.where(np.isnan(x), 0, np.searchsorted(bounds[f], x) + 1)
+        sizes, grades = np.diff(np.append(new, len(ids))).astype("<i4"), group["relevance"].to_numpy().astype(np.uint8)
+        return pa.table({"sizes": pa.array([sizes.tobytes()], pa.binary()), "grades": pa.array([grades.tobytes()], pa.binary()), "bins": pa.array([bins.tobytes()], pa.binary())})
+
+    asked = rows.select("query_id", "job_id", F.col("relevance").cast("int").alias("relevance"), *(F.col(c).cast("double").alias(f"x{f}") for f, c in enumerate(features)))
+    return asked.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(n)).alias("_chunk")).applyInArrow(pack, "sizes binary, grades binary, bins binary")
+
+
+@dataclass
+class _Leaf:
+    """A leaf with its histogram (feature, bin, [lambda, weight, rows]), its best split, and the histogram of that split's left side."""
+
+    held: np.ndarray
+    gain: float
+    feature: int
+    cut: int
+    inside: np.ndarray | None = None
+
+
+def _leaf(held: np.ndarray, min_rows: int, min_weight: float) -> _Leaf:
+    """Of the splits that leave enough on both sides the one that gains most in Newton steps, squares of lambda over weight; equal
+    ones by feature and bin. Gains are rounded, so that ties don't hang on the order of sums."""
+    left = np.cumsum(held, axis=1)[:, :-1]
+    total = held[0].sum(0)
+    right = total - left
+    ok = (left[..., 2] >= min_rows) & (right[..., 2] >= min_rows) & (left[..., 1] >= min_weight) & (right[..., 1] >= min_weight)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = left[..., 0] ** 2 / left[..., 1] + right[..., 0] ** 2 / right[..., 1] - total[0] ** 2 / total[1]
+    gain = np.round(np.where(ok, gain, 0.0), 9)
+    feature, cut = np.unravel_index(int(np.argmax(gain)), gain.shape)
+    return _Leaf(held, float(gain[feature, cut]), int(feature), int(cut))
+
+
+def fit(train: DataFrame, features: list[str], trees: int = 80, rate: float = 0.05, leaves: int = 15, min_rows: int = 20, min_weight: float = 1e-3) -> Ranker:
+    """Trees on the gradients of the ones before, each grown at the leaf whose split gains most until it has `leaves`; values are
+    rate * sum(lambda) / sum(weight). `train`: query_id, job_id, relevance (0 to 2) and the features; missing values go left.
+
+    Features are binned once, and rows packed in chunks of whole queries. A pass computes scores, gradients and histograms where the
+    rows are, and sums the histograms: what comes to the driver is one row a bin. A pass looks at all leaves that may be split
+    next and makes the histograms of their left sides (right sides by subtraction), so it serves several splits. Nothing is
+    kept between passes but the trees: a lost executor costs a task. The pairs of a query are taken by one task, in blocks, so
+    work grows with the square of a query's list.
+    """
+    rows = train.select("query_id", "job_id", "relevance", *features)
+    bounds = _bounds(rows, features)
+    chunks = materialise(_packed(rows, features, bounds))
+    model, n_features = Ranker(features, gains=[0.0] * len(features)), len(features)
+
+    def histograms(tree: Tree, asked: dict[int, tuple[int, int]]) -> dict[int, np.ndarray]:
+        """For each asked leaf the histogram of its rows whose bin of a feature is at most a cut."""
+        before = list(model.trees)
+
+        def read(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(asked), n_features, BINS + 1, 3))
+            for batch in it:
+                for sizes, grades, bins in zip(*(c.to_pylist() for c in batch.columns)):
+                    x = np.frombuffer(bins, np.uint8).reshape(-1, n_features)
+                    score = np.zeros(len(x))
+                    for t in before:
+                        score += np.array(t.value)[t.leaves(x)]
+                    lam, weight = gradients(score, np.frombuffer(grades, np.uint8), np.frombuffer(sizes, "<i4"))
+                    at = tree.leaves(x)
+                    for k, (leaf, (feature, cut)) in enumerate(asked.items()):
+                        mine = np.flatnonzero((at == leaf) & (x[:, feature] <= cut))
+                        for f in range(n_features):
+                            for j, v in enumerate((lam[mine], weight[mine], None)):
+                                total[k, f, :, j] += np.bincount(x[mine, f], v, BINS + 1)
+            k, f, b = np.nonzero(total[..., 2])
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*(v.astype(np.int32) for v in (k, f, b)), *total[k, f, b].T)], names=["k", "f", "b", "l", "w", "n"])
+
+        sums = chunks.mapInArrow(read, "k int, f int, b int, l double, w double, n double").groupBy("k", "f", "b").agg(*(F.sum(c).alias(c) for c in "lwn")).toArrow()
+        out = np.zeros((len(asked), n_features, BINS + 1, 3))
+        out[tuple(sums[c].to_numpy() for c in "kfb")] = np.stack([sums[c].to_numpy() for c in "lwn"], axis=1)
+        return dict(zip(asked, out))
+
+    for _ in range(trees):
+        tree = Tree()
+        open_ = {0: _leaf(histograms(tree, {0: (0, BINS)})[0], min_rows, min_weight)}
+        while len(open_) < leaves:
+            node, best = max(open_.items(), key=lambda x: (x[1].gain, -x[0]))
+            if best.gain <= 0:
+                break
+            if best.inside is None:
+                for k, held in histograms(tree, {k: (v.feature, v.cut) for k, v in open_.items() if v.inside is None and v.gain > 0}).items():
+                    open_[k].inside = held
+            del open_[node]
+            # bin 0 holds missing values: a cut there has no limit that a value could meet
+            limit = bounds[best.feature][best.cut - 1] if best.cut else float("-inf")
+            a, b = tree.split(node, best.feature, best.cut, limit)
+            model.gains[best.feature] += best.gain
+            open_[a], open_[b] = (_leaf(h, min_rows, min_weight) for h in (best.inside, best.held - best.inside))
+        for node, leaf in open_.items():
+            lam, weight = leaf.held[0, :, 0].sum(), leaf.held[0, :, 1].sum()
+            tree.value[node] = rate * float(lam / weight) if weight > 0 else 0.0
         model.trees.append(tree)
-        model.leaves.append(values)
-        if i < trees - 1:
-            rows = _leaf(tree, rows, values, "score")
-            old, held = held, None
-            if i % 5 == 4:
-                rows = materialise(rows)
-            else:
-                held = rows.persist()
-                held.count()
-            if old is not None:
-                old.unpersist()
-        target.unpersist()
-    if held is not None:
-        held.unpersist()
     return model

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
 from lodestar.operators.fulltext import BLOCK, Index, append, build_index, delete, index, open_index, optimize  # noqa: F401
+from lodestar.operators.nearest import nearest
 from lodestar.sources.shared import materialise, spread
 
 
@@ -238,36 +237,9 @@ def bm25_pairs(pairs: DataFrame, queries: DataFrame, corpus: DataFrame, k1: floa
 
 
 def vector_top_k(queries: DataFrame, table: DataFrame, k: int, block_bytes: int = 4 << 20) -> DataFrame:
-    """Best k by cosine of each query vector (query_id, query_vec), its own row apart. Queries are packed into blocks of about
-    `block_bytes`, each block meets slices of the table of about the same size as one product of matrices, and each slice
-    keeps its own k best before the shuffle; so no key holds the whole table. Scores are rounded to 9 digits; ties go to the
-    smaller vec_id. Null and zero vectors score 0; vectors of the table that are of another length than the query's too."""
-    (n, dim), m = queries.agg(F.count(F.lit(1)), F.max(F.size("query_vec"))).first(), table.count()
-    rows = max(1, block_bytes // (8 * max(1, dim or 1)))
-    parts, slices = max(1, -(-n // rows)), max(1, -(-m // rows))
-    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("query_vec").cast("array<double>").alias("v"), deal("query_id", parts).alias("block")).select("*", every(slices).alias("slice"))
-    held = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), deal("vec_id", slices).alias("slice")).select("*", every(parts).alias("block"))
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-
-    def unit(column: pa.ChunkedArray) -> np.ndarray:
-        vectors = [np.array(v if v is not None and len(v) == dim and None not in v else [0.0] * dim) for v in column.to_pylist()]
-        x = np.stack(vectors)
-        norms = np.sqrt(np.einsum("ij,ij->i", x, x))
-        return np.divide(x, norms[:, None], out=np.zeros_like(x), where=norms[:, None] > 0)
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        ids, q = right["vec_id"].to_numpy(), left["query_id"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids, scores = ids[order], np.round(np.nan_to_num(unit(left["v"]) @ unit(right["v"])[order].T), 9) + 0.0
-        scores[ids[None, :] == q[:, None]] = -np.inf
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]  # ties stay in the order of ids
-        kept = np.take_along_axis(scores, best, axis=1)
-        row, col = np.nonzero(np.isfinite(kept))
-        return pa.table({"query_id": q[row], "vec_id": ids[best[row, col]], "score": kept[row, col]}, schema=schema)
-
-    by = ("block", "slice")
-    return top_k(asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInArrow(compare, "query_id long, vec_id long, score double"), k, "vec_id")
+    """Best k by cosine of each query vector (query_id, query_vec) among `table` (vec_id, embedding), its own row apart; see
+    `nearest`. Scores are rounded to 9 digits; ties go to the smaller vec_id. Null and zero vectors score 0; vectors of the
+    table that are of another length than the query's too."""
+    asked = queries.select(F.col("query_id").cast("long").alias("query"), F.col("query_vec").alias("v"))
+    held = table.select(F.col("vec_id").cast("long").alias("name"), F.col("embedding").alias("v"))
+    return nearest(asked, held, k, 9, True, block_bytes).select(F.col("query").alias("query_id"), F.col("name").alias("vec_id"), "score", "rank")

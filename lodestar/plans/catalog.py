@@ -591,7 +591,7 @@ def contract_violations(spark, sf):
 @query()
 def ltr_scores(spark, sf):
     r = fx.ranked_lists(spark, sf)
-    model = ltr.fit(r, ["score_a", "score_b", "length"], trees=5)
+    model = ltr.fit(r, ["score_a", "score_b", "length"])
     return model.score(r).select("query_id", "job_id", "score")
 
 
@@ -761,21 +761,46 @@ def input_violations(spark, sf):
     return contracts.violations(jobs, queries, labels, "2024-02-01")
 
 
-@query(f"""WITH r AS (SELECT DISTINCT p_name AS raw FROM part), kn AS (SELECT p_type AS skill FROM part UNION SELECT p_brand FROM part),
+#: Names against known skills by embedding: candidates, and the one that has the first letter of the name.
+_RESOLVED = f"""kn AS (SELECT p_type AS skill FROM part UNION SELECT p_brand FROM part),
 t AS (SELECT name, unnest(regexp_extract_all(lower(name), '[a-z0-9_.+#-]+')) AS tok FROM (SELECT raw AS name FROM r UNION SELECT skill FROM kn)), b AS (SELECT name, {_BYTES.format(n=32, h='sha256(tok)')} AS v FROM t),
 e AS (SELECT name, i, sum(v[i + 1] / 127.5 - 1) AS x FROM b, range(32) g(i) GROUP BY 1, 2), n AS (SELECT name, sqrt(sum(x * x)) AS n FROM e GROUP BY 1),
 s AS (SELECT raw, skill, round(sum(a.x * c.x) / any_value(na.n) / any_value(nc.n), 8) AS score FROM r JOIN e a ON a.name = raw JOIN e c ON c.i = a.i JOIN kn ON c.name = skill JOIN n na ON na.name = raw JOIN n nc ON nc.name = skill GROUP BY 1, 2),
-k AS (SELECT *, row_number() OVER (PARTITION BY raw ORDER BY score DESC, skill) AS place FROM s), f AS (SELECT raw, min(place) FILTER (lower(raw[1]) = lower(skill[1])) AS hit, string_agg(skill, '|' ORDER BY place) AS candidates FROM k WHERE place <= 5 GROUP BY 1)
+k AS (SELECT *, row_number() OVER (PARTITION BY raw ORDER BY score DESC, skill) AS place FROM s), f AS (SELECT raw, min(place) FILTER (lower(raw[1]) = lower(skill[1])) AS hit, string_agg(skill, '|' ORDER BY place) AS candidates FROM k WHERE place <= 5 GROUP BY 1)"""
+
+
+@query(f"""WITH r AS (SELECT DISTINCT p_name AS raw FROM part), {_RESOLVED}
 SELECT f.raw, candidates, skill AS selected, CASE WHEN hit IS NULL THEN 'ambiguous' ELSE 'same_skill' END AS decision, CASE WHEN hit IS NULL THEN 0.5 ELSE 0.95 END AS confidence, CASE WHEN hit IS NULL THEN 'unresolved' ELSE 'embedding_plus_binary_verifier' END AS rule
 FROM f LEFT JOIN k ON k.raw = f.raw AND place = hit""")
 def resolve_names(spark, sf):
     """Part names against brands and types by embedding, with a verifier that takes names of the same first letter."""
     p = table(spark, sf, "part")
     known = p.select(F.col("p_type").alias("skill")).union(p.select("p_brand"))
-    out = X.resolve(p.select(F.col("p_name").alias("raw")), known, lambda a, b: ("same_skill", 0.95) if a[:1].lower() == b[:1].lower() else ("ambiguous", 0.5))
+    out = X.resolve(p.select(F.col("p_name").alias("raw")), known, _same_letter)
     return out.select("raw", F.array_join("candidates", "|").alias("candidates"), "selected", "decision", "confidence", "rule")
 
 
+def _same_letter(a: str, b: str) -> tuple[str, float]:
+    return ("same_skill", 0.95) if a[:1].lower() == b[:1].lower() else ("ambiguous", 0.5)
+
+
+@query(f"""WITH m AS (SELECT l_orderkey AS job_id, l_linenumber AS pos, CASE WHEN l_partkey % 3 = 0 THEN upper(p_brand) WHEN l_partkey % 3 = 1 THEN p_name ELSE p_type END AS raw FROM lineitem JOIN part ON l_partkey = p_partkey),
+r AS (SELECT DISTINCT raw FROM m WHERE lower(raw) <> 'brand#11' AND lower(raw) NOT IN (SELECT lower(p_type) FROM part UNION SELECT lower(p_brand) FROM part)), {_RESOLVED}
+SELECT job_id, pos, m.raw, lower(m.raw) AS norm, CASE WHEN lower(m.raw) = 'brand#11' THEN 'Eleven' ELSE coalesce(x.skill, k.skill) END AS selected,
+CASE WHEN lower(m.raw) = 'brand#11' THEN 'Eleven' ELSE coalesce(x.skill, f.candidates) END AS candidates,
+CASE WHEN f.raw IS NOT NULL AND hit IS NULL THEN 'ambiguous' ELSE 'same_skill' END AS decision, CASE WHEN f.raw IS NULL THEN 1.0 WHEN hit IS NULL THEN 0.5 ELSE 0.95 END AS confidence,
+CASE WHEN lower(m.raw) = 'brand#11' THEN 'high_precision_alias_dictionary' WHEN x.skill IS NOT NULL THEN 'exact_normalized_match' WHEN hit IS NULL THEN 'unresolved' ELSE 'embedding_plus_binary_verifier' END AS rule
+FROM m LEFT JOIN kn x ON lower(x.skill) = lower(m.raw) LEFT JOIN f ON f.raw = m.raw LEFT JOIN k ON k.raw = m.raw AND place = hit""")
+def canonicalize_full(spark, sf):
+    """Mentions of parts in one chain: an alias, brands and types by form, part names by embedding and a verifier."""
+    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    raw = F.when(F.col("l_partkey") % 3 == 0, F.upper("p_brand")).when(F.col("l_partkey") % 3 == 1, F.col("p_name")).otherwise(F.col("p_type"))
+    m = li.join(p, li.l_partkey == p.p_partkey).select(F.col("l_orderkey").alias("job_id"), F.col("l_linenumber").alias("pos"), raw.alias("raw"))
+    known = p.select(F.col("p_type").alias("skill")).union(p.select("p_brand"))
+    out = X.canonicalise_full(m, spark.createDataFrame([("BRAND#11", "Eleven")], "alias string, target string"), known, _same_letter)
+    return out.select("job_id", "pos", "raw", "norm", "selected", F.array_join("candidates", "|").alias("candidates"), "decision", "confidence", "rule")
+
+
 @query(f"WITH {fx.RANKED_SQL} SELECT query_id, count(*) AS n FROM rl GROUP BY 1")
 def group_sizes(spark, sf):
     return ranking.group_sizes(fx.ranked_lists(spark, sf))
