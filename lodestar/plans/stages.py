@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import posixpath
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,13 +40,13 @@ def extract_fields(spark: SparkSession, jobs: DataFrame, out: str, split: str =
 
 def load_records(spark: SparkSession, path: str, jobs: DataFrame) -> DataFrame:
     """Extraction records from JSON lines (blank lines are skipped). A line that is no record, or breaks the contract against
-    its job's text, is an error that names the first of them."""
-    lines = spark.read.text(path).where("trim(value) != ''").select(F.col("value").alias("body"), F.coalesce(F.get_json_object("value", "$.job_id"), F.lit("")).alias("job_id"))
+    its job's text, is an error that names the first of them by file and line."""
+    lines = files.numbered_lines(spark, path).where("trim(value) != ''").select("file", "line", F.col("value").alias("body"), F.coalesce(F.get_json_object("value", "$.job_id"), F.lit("")).alias("job_id"))
     texts = jobs.select(F.col("job_id").cast("string").alias("job_id"), source_text(jobs).alias("source_text"))
     parsed = materialise(X.parse_records(lines.join(texts, "job_id", "left").na.fill("", ["source_text"])))
-    bad = [f"{r.job_id}: {r.violation}" for r in X.contract_violations(parsed).orderBy("job_id", "violation").limit(10).collect()]
-    if bad:
-        raise ValueError(f"records of {path} break the contract: {bad}")
+    found = X.contract_violations(parsed, "source_text", "file", "line").orderBy("file", "line", "violation").limit(10).collect()
+    if found:
+        raise ValueError(f"records of {path} break the contract: {[f'{posixpath.basename(r.file)} line {r.line}, job {r.job_id}: {r.violation}' for r in found]}")
     return parsed.select("record.*")
 
 
@@ -54,9 +55,10 @@ def mentions(records: DataFrame) -> DataFrame:
     return rows.select("job_id", "pos", "extraction_prompt_version", "s.raw_mention", F.trim("s.canonical_candidate").alias("candidate"), "s.skill_type", "s.requirement", "s.importance", "s.confidence", "s.evidence")
 
 
-def canonical(found: DataFrame, aliases: Mapping[str, str] = X.ALIASES) -> DataFrame:
+def canonical(found: DataFrame, aliases: Mapping[str, str] = X.ALIASES, skills: DataFrame | None = None, verifier: Callable[[str, str], tuple[str, float]] | None = None) -> DataFrame:
     """Mentions with `skill` and `rule`: an alias gives its target, other mentions the name that was proposed for them, in the
-    spelling that came first. Aliases must keep protected pairs apart."""
+    spelling that came first. With `skills` (skill) that are known already, what was mentioned is looked up among these first, by form and,
+    with a verifier, by embedding; what they have takes their name. Aliases must keep protected pairs apart."""
     X.assert_protected(dict(aliases))
     spark = found.sparkSession
     known = spark.createDataFrame(list(aliases.items()), "alias string, target string")
@@ -64,12 +66,19 @@ def canonical(found: DataFrame, aliases: Mapping[str, str] = X.ALIASES) -> DataF
     rows = found.withColumn("_norm", T.normalise(F.col("raw_mention"))).join(F.broadcast(norm), "_norm", "left")
     asked = rows.withColumn("raw", F.when(F.col("_known"), F.col("raw_mention")).otherwise(F.col("candidate"))).drop("_norm", "_known")
     audit = X.canonicalise(asked.select("job_id", "pos", "raw"), known).select("job_id", "pos", F.col("selected").alias("skill"), "rule")
-    return asked.drop("raw").join(audit, ["job_id", "pos"])
+    named = asked.drop("raw").join(audit, ["job_id", "pos"])
+    if skills is None:
+        return named
+    full = X.canonicalise_full(found.select("job_id", "pos", F.col("raw_mention").alias("raw")), known, skills, verifier)
+    told = full.where("selected is not null and rule <> 'high_precision_alias_dictionary'").select("job_id", "pos", "selected", F.col("rule").alias("_rule"))
+    both = named.join(told.distinct(), ["job_id", "pos"], "left")
+    return both.withColumns({"skill": F.coalesce("selected", "skill"), "rule": F.coalesce("_rule", "rule")}).drop("selected", "_rule")
 
 
 def build_graph(jobs: DataFrame, records: DataFrame, aliases: Mapping[str, str] = X.ALIASES, min_count: int = 5, min_npmi: float = 0.1, origin: G.Origin = G.Origin()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes, edges and the audit of names, from training jobs and the records of these."""
-    jobs = jobs.withColumn("job_id", F.col("job_id").cast("string"))
+    """Nodes, edges and the audit of names, from training jobs and the records of these. A job that comes twice with the same
+    properties counts once; with others it is an error, since its node could only have one of them."""
+    jobs = G.require_one_version(jobs.withColumn("job_id", F.col("job_id").cast("string")), "job_id")
     named = materialise(canonical(mentions(records), aliases).join(jobs.select("job_id", F.col("posted_at").cast("string").alias("posted_at"), "occupation_code"), "job_id", "left"))
     G.require_known_jobs(named, jobs)
     ids = named.select("job_id", "occupation_code", "requirement", G.skill_id(F.col("skill"), F.col("skill_type")).alias("skill"))

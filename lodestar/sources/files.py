@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import posixpath
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Columns by which each raw table is known. Fixed values.
@@ -58,7 +59,7 @@ def header(spark: SparkSession, path: str) -> list[str]:
     line = spark.read.text(path).limit(1).first()
     if line is None or not line.value.strip("﻿ "):
         raise ValueError(f"{path} is empty")
-    return [c.strip().strip('"') for c in line.value.lstrip("﻿").split(",")]
+    return [c.strip() for c in next(csv.reader([line.value.lstrip("﻿")], skipinitialspace=True))]
 
 
 def discover(spark: SparkSession, paths: list[str], signatures: Mapping[str, frozenset[str]] = SIGNATURES) -> dict[str, str]:
@@ -91,9 +92,15 @@ def register_views(spark: SparkSession, tables: Mapping[str, str]) -> None:
         scan_csv(spark, path).createOrReplaceTempView(f"raw_{name}")
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One record a line; lines that don't fit go to the column _corrupt."""
-    return spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value) of text files, lines from 1. Large files are read in blocks; a line's number is its place in its block and
+    the lines of the blocks before, of which only counts move."""
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    counts = rows.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("file", "_block").orderBy("_at"))
+    return rows.withColumn("_place", place).join(starts, ["file", "_block"]).select("file", (F.col("_before") + F.col("_place")).alias("line"), "value")
 
 
 def write_jsonl(df: DataFrame, path: str, overwrite: bool = False) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import time
 from collections.abc import Callable, Iterable, Iterator
@@ -11,11 +12,37 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.sources.shared import materialise
+
+
+#: The version goes into each request, so a new wording has other cache keys. The field names are those of the records.
+PROMPT_VERSION = "skills-2"
+RULES = (
+    "Name only skills that the text itself mentions; copy raw_mention and evidence from it letter by letter.",
+    "evidence is the shortest passage that shows the skill and how it is asked for.",
+    "requirement is required, preferred or mentioned; where the text doesn't say, it is mentioned.",
+    "importance and confidence are numbers from 0 to 1.",
+    "canonical_candidate is the usual name of the skill; don't merge skills that only resemble each other.",
+    "Answer with one JSON object and nothing else, without fields that the schema lacks.",
+)
+
+
+def record_schema() -> str:
+    """The shape of an answer, as it is written into the request."""
+    from lodestar.operators.extraction import SKILL_TYPES
+
+    skill = {
+        "raw_mention": "text", "canonical_candidate": "text", "skill_type": " | ".join(SKILL_TYPES), "requirement": "required | preferred | mentioned", "importance": "number", "confidence": "number",
+        "evidence": "text", "start_char": "integer or null", "end_char": "integer or null",
+    }
+    return json.dumps({"job_id": "text", "occupation_candidate": "text or null", "extraction_prompt_version": PROMPT_VERSION, "skills": [skill]})
+
 
 def prompt(title: str = "title", requirements: str = "requirements", description: str = "description", key: str = "job_id"):
-    """The request text of a job as a column."""
+    """The request text of a job as a column: task and version, rules, the shape of the answer, the job."""
     part = lambda n, c: F.concat(F.lit(f"{n}: "), F.coalesce(F.col(c).cast("string"), F.lit("")))
-    return F.concat_ws("\n", F.lit("List the skills as JSON."), part("JOB_ID", key), part("TITLE", title), part("REQUIREMENTS", requirements), part("DESCRIPTION", description))
+    head = [f"Find the skills that a job posting asks for. Version {PROMPT_VERSION}.", *(f"{i}. {r}" for i, r in enumerate(RULES, 1)), f"Schema: {record_schema()}"]
+    return F.concat_ws("\n", F.lit("\n".join(head)), part("JOB_ID", key), part("TITLE", title), part("REQUIREMENTS", requirements), part("DESCRIPTION", description))
 
 
 def request_body(prompt_text, most_tokens: int = 4096, temperature: float = 0.0):
@@ -55,25 +82,29 @@ def cache_key(body):
     return F.sha2(body, 256)
 
 
-def extract(jobs: DataFrame, call: Callable[[str], str], cache: DataFrame | None = None, attempts: int = 3) -> DataFrame:
+def extract(jobs: DataFrame, call: Callable[[str], str], cache: DataFrame | None = None, attempts: int = 3, keep: str | None = None) -> DataFrame:
     """(job_id, key, body, error) for each job: from the cache (key, body) where it has the request, else from the
-    provider, called in tasks. Failures keep their message and can go to a dead-letter table."""
+    provider, called in tasks, once for equal requests. Answers are stored before they are used, so that none is asked for
+    again, and added to the table at `keep`, the next run's cache. Failures keep their message and can go to a dead-letter table."""
     rows = jobs.select("job_id", prompt().alias("text")).withColumn("key", cache_key(F.col("text")))
-    known = rows.join(cache.select("key", "body"), "key").select("job_id", "key", "body", F.lit(None).cast("string").alias("error")) if cache is not None else None
-    rest = rows.join(cache.select("key"), "key", "left_anti") if cache is not None else rows
+    had = cache.groupBy("key").agg(F.first("body").alias("body")) if cache is not None else None
+    rest = rows.join(had, "key", "left_anti") if cache is not None else rows
 
     def run(it: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for pdf in it:
             out = []
-            for job, key, text in zip(pdf["job_id"], pdf["key"], pdf["text"]):
+            for key, text in zip(pdf["key"], pdf["text"]):
                 try:
-                    out.append((job, key, with_retry(call, text, attempts), None))
+                    out.append((key, with_retry(call, text, attempts), None))
                 except Exception as e:  # kept as a dead letter
-                    out.append((job, key, None, str(e)[:500]))
-            yield pd.DataFrame(out, columns=["job_id", "key", "body", "error"])
-
-    fresh = rest.select("job_id", "key", "text").mapInPandas(run, "job_id string, key string, body string, error string")
-    return fresh if known is None else known.unionByName(fresh)
+                    out.append((key, None, str(e)[:500]))
+            yield pd.DataFrame(out, columns=["key", "body", "error"])
+
+    fresh = materialise(rest.groupBy("key").agg(F.first("text").alias("text")).mapInPandas(run, "key string, body string, error string"))
+    if keep:
+        fresh.where("error is null").select("key", "body").write.mode("append").parquet(keep)
+    answers = fresh if had is None else fresh.unionByName(had.withColumn("error", F.lit(None).cast("string")))
+    return rows.select(F.col("job_id").cast("string").alias("job_id"), "key").join(answers, "key").select("job_id", "key", "body", "error")
 
 
 def mock(responses: dict[str, str]) -> Callable[[str], str]:
