@@ -245,20 +245,55 @@ def weight_of(label: str = "label", weight: str = "weight") -> Column:
     return F.greatest(F.coalesce(F.col(weight), default), F.lit(0.0))
 
 
-def paths(e: DataFrame, anchors: DataFrame, hops: int = 2, decay: float = 0.7, occupations: DataFrame | None = None) -> DataFrame:
+def _adjacent(e: DataFrame, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges to jobs from skills (job, skill, label, w) and from occupations (job, anchor, w), of the jobs `among` (job) alone if
+    they are given; and co-occurrences both ways (a, b, wr)."""
+    own = lambda df: df if among is None else df.join(among.select("job").distinct(), "job", "left_semi")
+    js = own(e.where(F.col("label").isin(*JOB_SKILL)).select(F.col("from_id").alias("job"), F.col("to_id").alias("skill"), "label", weight_of().alias("w")))
+    of = own(e.where("label = 'INSTANCE_OF'").select(F.col("from_id").alias("job"), F.col("to_id").alias("anchor"), weight_of().alias("w")))
+    co = e.where("label = 'CO_OCCURS_WITH'").select("from_id", "to_id", weight_of().alias("wr"))
+    return js, of, co.select(F.col("from_id").alias("a"), F.col("to_id").alias("b"), "wr").union(co.select("to_id", "from_id", "wr"))
+
+
+def best_jobs(e: DataFrame, anchors: DataFrame, k: int = 50, hops: int = 2, decay: float = 0.7, occupations: DataFrame | None = None) -> DataFrame:
+    """The k jobs of each query with the highest sums of the scores of all `paths` (score descending, job): what `candidates` gives of
+    these, without a row for each path.
+
+    The paths of a query to one skill differ only in how they get there. So they are summed up there first, to one row for each
+    query and reached skill (how many ways, their sum, the best), and what a job gets from a skill is this times the edge. Reached
+    skills are few beside edges: while they are small they are sent to the edges, and a popular skill is no hot key."""
+    if hops not in (1, 2):
+        raise ValueError("hops is 1 or 2")
+    js, of, both = _adjacent(e)
+    near = anchors.select("query_id", F.col("skill_id").alias("node"))
+    ways = near.select("query_id", "node", F.lit(1.0).alias("u"))
+    if hops == 2:
+        ways = ways.union(near.join(both, near.node == both.a).select("query_id", "b", F.col("wr") * decay))
+    reached = ways.groupBy("query_id", "node").agg(F.sum("u").alias("total"), F.max("u").alias("most"), F.count(F.lit(1)).alias("n"))
+    gain = lambda rows, node, anchor: rows.select("query_id", "job", (F.col("total") * F.col("w")).alias("score"), (F.col("most") * F.col("w")).alias("best"), "n", anchor.alias("anchor"))
+    parts = gain(reached.join(js, reached.node == js.skill), "skill", F.col("node"))
+    if occupations is not None:
+        named = occupations.groupBy("query_id", F.col("occupation").alias("anchor")).agg(F.count(F.lit(1)).cast("double").alias("total"), F.lit(1.0).alias("most"), F.count(F.lit(1)).alias("n"))
+        parts = parts.union(gain(named.join(of, "anchor"), "anchor", F.lit(None).cast("string")))
+    sums = parts.groupBy("query_id", "job").agg(F.sum("score").alias("score"), F.size(F.collect_set("anchor")).cast("long").alias("anchors"), F.max("best").alias("best"), F.sum("n").alias("traces"))
+    order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "job")
+    return sums.select("*", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k)
+
+
+def paths(e: DataFrame, anchors: DataFrame, hops: int = 2, decay: float = 0.7, occupations: DataFrame | None = None, among: DataFrame | None = None) -> DataFrame:
     """Traces from anchor skills (query_id, skill_id) to jobs: directly, and through one co-occurring skill with the
     product of weights times `decay`; and from each query's occupation (query_id, occupation: its node) to its jobs.
     CORE_SKILL edges lead from occupations, never from skill to skill, so they add no path. Columns: query_id, job, term
-    (the node that the query names), anchor (the node that the job was reached from), path, edge_types, weights, score."""
+    (the node that the query names), anchor (the node that the job was reached from), path, edge_types, weights, score.
+    `among` (job): paths to these jobs alone; the others' edges aren't walked."""
     if hops not in (1, 2):
         raise ValueError("hops is 1 or 2")
-    js = e.where(F.col("label").isin(*JOB_SKILL)).select(F.col("from_id").alias("job"), F.col("to_id").alias("skill"), "label", weight_of().alias("w"))
+    js, of, both = _adjacent(e, among)
     near = anchors.select("query_id", F.col("skill_id").alias("anchor"))
     one = near.join(js, near.anchor == js.skill).select(
         "query_id", "job", F.col("anchor").alias("term"), "anchor", F.array("anchor", "job").alias("path"), F.array("label").alias("edge_types"), F.array("w").alias("weights"), F.col("w").alias("score")
     )
     if occupations is not None:
-        of = e.where("label = 'INSTANCE_OF'").select(F.col("from_id").alias("job"), F.col("to_id").alias("anchor"), weight_of().alias("w"))
         one = one.unionByName(
             occupations.select("query_id", F.col("occupation").alias("anchor")).join(of, "anchor").select(
                 "query_id", "job", F.col("anchor").alias("term"), "anchor", F.array("anchor", "job").alias("path"), F.array(F.lit("INSTANCE_OF")).alias("edge_types"), F.array("w").alias("weights"), F.col("w").alias("score")
@@ -266,8 +301,6 @@ def paths(e: DataFrame, anchors: DataFrame, hops: int = 2, decay: float = 0.7, o
         )
     if hops == 1:
         return one
-    co = e.where("label = 'CO_OCCURS_WITH'").select("from_id", "to_id", weight_of().alias("wr"))
-    both = co.select(F.col("from_id").alias("a"), F.col("to_id").alias("b"), "wr").union(co.select("to_id", "from_id", "wr"))
     two = near.join(both, near.anchor == both.a).join(js, F.col("b") == js.skill).select(
         "query_id", "job", F.col("anchor").alias("term"), F.col("b").alias("anchor"), F.array("anchor", "b", "job").alias("path"), F.array(F.lit("CO_OCCURS_WITH"), "label").alias("edge_types"), F.array("wr", "w").alias("weights"),
         (F.col("wr") * F.col("w") * decay).alias("score"),

@@ -403,30 +403,35 @@ one AS (SELECT query_id, job, anchor, anchor || '>' || job AS path, label AS edg
 two AS (SELECT query_id, job, b AS anchor, anchor || '>' || b || '>' || job AS path, 'CO_OCCURS_WITH>' || label AS edge_types, wr * w * 0.7 AS score FROM an JOIN sy ON anchor = a JOIN jsk ON b = skill)"""
 
 
-def _traces(spark, sf, hops):
+def _anchored(spark, sf, hops):
     js = fx.baskets(spark, sf)
     e = G.edges(fx.order_jobs(spark, sf), js, statistics.cooccurrence(_skill_ids(js).select("job_id", "skill"), 5, 0.01) if hops == 2 else None)
     b = js.select("skill", "skill_type").distinct().where(F.col("skill").isin("Brand#11", "Brand#23"))
     anchors = b.select(F.expr("cast(substr(skill, 7) as int)").alias("query_id"), G.skill_id(F.col("skill"), F.col("skill_type")).alias("skill_id"))
-    return G.paths(e, anchors, hops)
+    return e, anchors
+
+
+def _traces(spark, sf, hops):
+    return G.paths(*_anchored(spark, sf, hops), hops)
 
 
 _TOP = """SELECT query_id, job, round(score, 6) AS score, anchors, traces, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, job) AS rank
 FROM (SELECT query_id, job, sum(score) AS score, count(DISTINCT anchor) AS anchors, count(*) AS traces FROM {0} GROUP BY 1, 2)) WHERE rank <= 50"""
 
 
-def _top(traces):
-    return G.candidates(traces).select("query_id", "job", F.round("score", 6).alias("score"), "anchors", "traces", "rank")
+def _top(spark, sf, hops):
+    e, anchors = _anchored(spark, sf, hops)
+    return G.best_jobs(e, anchors, 50, hops).select("query_id", "job", F.round("score", 6).alias("score"), "anchors", "traces", "rank")
 
 
 @query(f"{_RETRIEVE} {_TOP.format('one')}")
 def retrieve_one_hop(spark, sf):
-    return _top(_traces(spark, sf, 1))
+    return _top(spark, sf, 1)
 
 
 @query(f"{_RETRIEVE} {_TOP.format('(SELECT * FROM one UNION ALL SELECT * FROM two)')}")
 def retrieve_two_hop(spark, sf):
-    return _top(_traces(spark, sf, 2))
+    return _top(spark, sf, 2)
 
 
 @query(f"{_RETRIEVE} SELECT query_id, job, anchor, path, edge_types, round(score, 9) AS score FROM one")

@@ -391,3 +391,23 @@ def test_last_touch_on_a_stream_equals_the_batch(spark, tmp_path):
     events = log.where("kind = 'event'").select("talent_key", "job_id", F.col("at").alias("event_time"))
     want = Counter((r.talent_key, r.job_id, r.event_time, r.query_id) for r in B.attribute(events, queries, "1 HOUR").collect())
     assert Counter((r.talent_key, r.job_id, r.event_time, r.query_id) for r in spark.table("last").collect()) == want and len(want) > 20
+
+
+def test_best_jobs_are_those_of_all_paths(spark):
+    rng = random.Random(11)
+    edges = [(f"job:{j}", f"s{rng.randrange(6)}", rng.choice(("REQUIRES", "PREFERS", "MENTIONS")), rng.choice((None, 0.5, 0.25))) for j in range(40) for _ in range(3)]
+    edges += [(f"s{a}", f"s{b}", "CO_OCCURS_WITH", rng.random()) for a in range(6) for b in range(a)] + [(f"job:{j}", f"o{j % 3}", "INSTANCE_OF", None) for j in range(40)]
+    e = spark.createDataFrame(edges, "from_id string, to_id string, label string, weight double")
+    anchors = spark.createDataFrame([(1, "s0"), (1, "s3"), (2, "s5"), (2, "s5"), (3, "none")], "query_id int, skill_id string")
+    named = spark.createDataFrame([(2, "o1"), (3, "o2")], "query_id int, occupation string")
+    rows = lambda df: {(r.query_id, r.job): (round(r.score, 8), r.anchors, round(r.best, 8), r.traces, r["rank"]) for r in df.collect()}
+    for hops in (1, 2):
+        for of in (None, named):
+            found = G.best_jobs(e, anchors, 12, hops, occupations=of)
+            every = G.paths(e, anchors, hops, occupations=of)
+            assert rows(found) == rows(G.candidates(every, 12))
+            some = G.paths(e, anchors, hops, occupations=of, among=found)
+            kept = every.join(found.select("job").distinct(), "job", "left_semi")
+            assert Counter((r.query_id, r.job, tuple(r.path)) for r in some.collect()) == Counter((r.query_id, r.job, tuple(r.path)) for r in kept.collect())
+    with pytest.raises(ValueError):
+        G.best_jobs(e, anchors, hops=3)
