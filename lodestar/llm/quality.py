@@ -209,15 +209,15 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def keep(docs: DataFrame, machine: Machine) -> DataFrame:
-    """The rows of `docs`, with all their columns, that the machine accepts. One pass, no shuffle. Each row is decided on
+    """The rows of `docs`, with all their columns, that the machine accepts. One pass, no shuffle; only texts and n_chars go to
+    Python, and only decisions come back. Each row is decided on
     its own whole text and n_chars, however long: null texts count as empty, null n_chars is a bin of its own, null and
     repeated keys are rows like others; an empty table gives no rows; other columns are carried along."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
-    text, size = docs.columns.index("text"), docs.columns.index("n_chars")
 
-    def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            texts, sizes = batch.column(text).cast(pa.large_binary()), batch.column(size).to_pylist()
-            yield batch.filter(pa.array([model.value.score(*features(t.as_py() or b"", n)) >= THRESHOLD for t, n in zip(texts, sizes)], pa.bool_()))
+    @F.arrow_udf("boolean")
+    def accepted(texts: pa.Array, sizes: pa.Array) -> pa.Array:
+        each = zip(texts.cast(pa.large_binary()), sizes.to_pylist())
+        return pa.array([model.value.score(*features(t.as_py() or b"", n)) >= THRESHOLD for t, n in each], pa.bool_())
 
-    return docs.mapInArrow(batches, docs.schema)
+    return docs.where(accepted("text", F.col("n_chars").cast("long")))

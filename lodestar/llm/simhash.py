@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -304,7 +305,7 @@ def _sets(texts: DataFrame, width: int, seed: int) -> DataFrame:
     sets, packed."""
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in _slices(it, 1):
             kinds = list(_kinds(batch, 1, width, seed))
             odd = [parities(x, max(PARITIES, 1 << (len(x) // 2).bit_length())) for x in kinds]
             yield pa.RecordBatch.from_arrays(
@@ -370,6 +371,18 @@ def candidates(nodes: DataFrame, similarity: float = 0.8, seed: int = 42) -> Dat
     return met.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long, apart int")
 
 
+def _slices(it: Iterable[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of a column are about BLOCK bytes together, or one text: what is made of them at a time
+    is bounded by bytes, not by rows."""
+    for batch in it:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _kinds(batch: pa.RecordBatch, column: int, width: int, seed: int) -> Iterator[np.ndarray]:
     for t in batch.column(column).cast(pa.large_binary()):
         yield shingle_set(t.as_py() or b"", width, seed)
@@ -460,7 +473,7 @@ def _between(lists: DataFrame, similarity: float, chain: bool) -> DataFrame:
             done = 0
             while done < len(many):
                 base = ends[done - 1] if done else 0
-                upto = max(done + 1, int(np.searchsorted(ends, base + (BLOCK >> 3), "right")))
+                upto = max(done + 1, int(np.searchsorted(ends, base + (BLOCK >> 6), "right")))
                 i = np.repeat(first[done:upto], many[done:upto])
                 j = group[i] + np.arange(len(i)) - (ends[i] - many[i] - base)
                 done = upto
@@ -474,9 +487,9 @@ def _between(lists: DataFrame, similarity: float, chain: bool) -> DataFrame:
                 a, b = node[i[near]], node[j[near]]
                 if len(a):
                     held.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-                if sum(x.shape[1] for x in held) >= BLOCK >> 3:
+                if sum(x.shape[1] for x in held) >= BLOCK >> 4:
                     held = [once(held)]
-                    if held[0].shape[1] >= BLOCK >> 4:
+                    if held[0].shape[1] >= BLOCK >> 5:
                         yield told(held.pop())
         if held:
             yield told(once(held))
@@ -491,7 +504,7 @@ def shared_lists(texts: DataFrame, nodes: DataFrame, roots: DataFrame, width: in
     shared = texts.sparkSession.sparkContext.broadcast(frequent(texts, width, seed))
 
     def post(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in _slices(it, 2):
             kinds = list(_kinds(batch, 2, width, seed))
             first = [prefix(x, similarity, shared.value).tobytes() for x in kinds]
             yield pa.RecordBatch.from_arrays(
@@ -539,7 +552,7 @@ def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", width
     tagged = _tagged(docs, text, key)
 
     def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in _slices(it, 2):
             fps, sets, odd = [], [], []
             for kinds in _kinds(batch, 2, width, seed):
                 fps.append(wide_fingerprint(kinds))
