@@ -9,9 +9,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from lodestar.sources import files
 from lodestar.sources.shared import materialise, place, scratch, spread
@@ -20,35 +20,29 @@ from lodestar.sources.shared import materialise, place, scratch, spread
 BLOCK, SHARD = 128, 1 << 20
 
 
-def _counter(among: pa.Array | None):
-    """A function of lists of terms: the different ones (of `among`, if given), how often each occurs, and where."""
+_COUNTED = StructType([StructField("terms", ArrayType(StringType())), StructField("tfs", ArrayType(IntegerType())), StructField("at", ArrayType(ArrayType(IntegerType())))])
 
-    @F.arrow_udf("struct<terms:array<string>,tfs:array<int>,at:array<array<int>>>")
-    def counted(terms: pa.Array) -> pa.Array:
-        lists = terms.fill_null([])
-        sizes = np.diff(np.asarray(lists.offsets, np.int64))
-        doc, flat = np.repeat(np.arange(len(lists)), sizes), lists.flatten()
-        at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        if among is not None:
-            some = pc.is_in(flat, value_set=among)
-            flat, kept = flat.filter(some), some.to_numpy(zero_copy_only=False)
-            doc, at = doc[kept], at[kept]
-        coded = flat.dictionary_encode()
-        code = np.asarray(coded.indices, np.int64)
-        both = doc * max(1, len(coded.dictionary)) + code
-        order = np.argsort(both, kind="stable")
-        first = np.flatnonzero(np.diff(both[order], prepend=-1))
-        each = np.append(first, len(code)).astype(np.int32)
-        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc[order][first], minlength=len(lists)))]).astype(np.int32))
-        places = pa.ListArray.from_arrays(pa.array(each), pa.array(at[order].astype(np.int32)))
-        columns = (coded.dictionary.take(pa.array(code[order][first])), pa.array(np.diff(each)), places)
-        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, c) for c in columns], ["terms", "tfs", "at"])
 
-    return counted
+@F.arrow_udf(_COUNTED)
+def _counter(terms: pa.Array) -> pa.Array:
+    """The different terms of each list, how often each occurs, and where."""
+    lists = terms.fill_null([])
+    sizes = np.diff(np.asarray(lists.offsets, np.int64))
+    doc, coded = np.repeat(np.arange(len(lists)), sizes), lists.flatten().dictionary_encode()
+    code = np.asarray(coded.indices, np.int64)
+    at = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    both = doc * max(1, len(coded.dictionary)) + code
+    order = np.argsort(both, kind="stable")
+    first = np.flatnonzero(np.diff(both[order], prepend=-1))
+    each = np.append(first, len(code)).astype(np.int32)
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc[order][first], minlength=len(lists)))]).astype(np.int32))
+    places = pa.ListArray.from_arrays(pa.array(each), pa.array(at[order].astype(np.int32)))
+    columns = (coded.dictionary.take(pa.array(code[order][first])), pa.array(np.diff(each)), places)
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, c) for c in columns], ["terms", "tfs", "at"])
 
 
-#: So many terms of known queries are told to all tasks, so that they count these alone; with more, an index has all terms.
-KNOWN = 200_000
+#: So many terms of known queries at most are told to all tasks, which then keep these alone.
+KNOWN = 10_000
 
 
 @dataclass(frozen=True)
@@ -71,6 +65,8 @@ class Index:
     key: str = "doc_id"
     positional: bool = False
     deletions: DataFrame | None = None
+    #: Postings (term, key, tf, length) of known queries alone, which are read once: blocks and bounds wouldn't pay.
+    flat: DataFrame | None = None
 
     def live(self, s: Segment, docs: DataFrame | None = None) -> DataFrame:
         docs = s.docs if docs is None else docs
@@ -89,6 +85,8 @@ class Index:
     @property
     def postings(self) -> DataFrame:
         """(term, key, tf, length), one row each."""
+        if self.flat is not None:
+            return self.flat
         posting = F.explode(F.arrays_zip("keys", "tfs", "lengths")).alias("p")
         flat = lambda s: s.postings.select("term", posting).select("term", F.col("p.keys").alias(self.key), F.col("p.tfs").alias("tf"), F.col("p.lengths").alias("length"))
         return self._all(lambda s: self.live(s, flat(s)))
@@ -127,13 +125,9 @@ def _reopen(spark: SparkSession, path: str, ddl: str, by: list[str], order: list
 _BY, _ORDER = ["shard", "term"], ["shard", "term", "block"]
 
 
-def _counted(docs: DataFrame, terms: Column, positional: bool, only: DataFrame | None) -> DataFrame:
+def _counted(docs: DataFrame, terms: Column, positional: bool) -> DataFrame:
     """Documents with _length, _terms, _tfs and, if wanted, _at: counted where they are, nothing of a text moves."""
-    few = None
-    if only is not None:
-        found = only.select("term").distinct().limit(KNOWN + 1).collect()  # bounded
-        few = pa.array([r.term for r in found], pa.string()) if len(found) <= KNOWN else None
-    own = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all")).select(*docs.columns, F.size("_all").alias("_length"), _counter(few)("_all").alias("_c"))
+    own = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all")).select(*docs.columns, F.size("_all").alias("_length"), _counter("_all").alias("_c"))
     return own.select(*docs.columns, "_length", *(F.col(f"_c.{c}").alias(f"_{c}") for c in ("terms", "tfs", "at")[: 3 if positional else 2]))
 
 
@@ -162,9 +156,16 @@ def _buckets(spark: SparkSession) -> int:
 
 def index(docs: DataFrame, terms: Column, key: str = "doc_id", positional: bool = False, only: DataFrame | None = None) -> Index:
     """An index in the shared folder, gone with the application or its `scratch` scope. `terms`: of each document, in order.
-    `only` (term): postings of these terms alone, for queries that are known; statistics are those of all terms."""
+    `only` (term): for queries with these terms alone and no others, if they are at most KNOWN; statistics are those of all
+    terms. Texts are then cut once and of each only what is asked for is kept."""
     spark = docs.sparkSession
-    staged = materialise(_counted(docs, terms, positional, only))
+    asked = only.select("term").distinct().limit(KNOWN + 1).collect() if only is not None and not positional else []  # bounded
+    if 0 < len(asked) <= KNOWN:
+        own = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all"))
+        held = materialise(own.select(*docs.columns, F.size("_all").alias("_length"), F.filter("_all", lambda t: t.isin([r.term for r in asked])).alias("_some")))
+        flat = held.select(F.explode("_some").alias("term"), key, F.col("_length").alias("length")).groupBy("term", key, "length").agg(F.count(F.lit(1)).alias("tf"))
+        return Index((Segment(0, held.drop("_some"), None, 0),), key, flat=materialise(flat))
+    staged = materialise(_counted(docs, terms, positional))
     return Index((_segment(staged, place(spark), key, 0, _buckets(spark), False),), key, positional)
 
 
@@ -185,7 +186,7 @@ def build_index(docs: DataFrame, terms: Column, path: str, key: str = "doc_id",
         files.remove(spark, path)
     kept = docs if limit is None else docs.orderBy(key).limit(limit)
     with scratch(spark):
-        s = _segment(materialise(_counted(kept, terms, positional, None)), f"{path}/segment-0", key, 0, buckets, True)
+        s = _segment(materialise(_counted(kept, terms, positional)), f"{path}/segment-0", key, 0, buckets, True)
     files.write_json(spark, f"{path}/index.json", {"key": key, "positional": positional, "next": 1, "segments": [_known(s, buckets)], "deletions": []}, overwrite)
 
 
@@ -211,7 +212,7 @@ def append(docs: DataFrame, terms: Column, path: str) -> None:
     if held.docs.select(key).join(docs.select(key), key, "left_semi").limit(1).count():
         raise ValueError("some documents are in the index already")
     with scratch(spark):
-        s = _segment(materialise(_counted(docs, terms, m["positional"], None)), f"{path}/segment-{m['next']}", key, m["next"], buckets, True)
+        s = _segment(materialise(_counted(docs, terms, m["positional"])), f"{path}/segment-{m['next']}", key, m["next"], buckets, True)
     files.write_json(spark, f"{path}/index.json", m | {"next": m["next"] + 1, "segments": [*m["segments"], _known(s, buckets)]}, True)
 
 

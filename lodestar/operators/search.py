@@ -46,14 +46,14 @@ def bm25(queries: DataFrame, held: Index, k1: float = 1.5, b: float = 0.75, flav
     scored; `best` finds the highest scores from a part of them.
     """
     key, asked = held.key, _asked(queries)
-    some = held.postings.join(asked.select("term").distinct(), "term", "left_semi")
-    df = some.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    names = asked.select("term").distinct()
+    df = held.postings.join(names, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf, gain = _formula(flavour, F.col("n"), F.col("avg_length"), k1, b)
-    return (
-        asked.join(df, "term").join(some, "term").crossJoin(F.broadcast(held.stats()))  # one row
-        .select("query_id", key, (F.col("times") * idf(F.col("df")) * gain(F.col("tf"), F.col("length"))).alias("part"))
-        .groupBy("query_id", key).agg(F.sum("part").alias("score"), F.count(F.lit(1)).alias("matched"))
-    )
+    # The weights of all queries are few beside the postings: while they are small they are sent to them, so that no term is a hot key.
+    weights = asked.join(df, "term").crossJoin(F.broadcast(held.stats()))  # one row
+    weights = materialise(weights.select("query_id", "term", "avg_length", (F.col("times") * idf(F.col("df"))).alias("weight")))
+    parts = held.postings.join(weights, "term").select("query_id", key, (F.col("weight") * gain(F.col("tf"), F.col("length"))).alias("part"))
+    return parts.groupBy("query_id", key).agg(F.sum("part").alias("score"), F.count(F.lit(1)).alias("matched"))
 
 
 def phrase_postings(phrases: DataFrame, held: Index) -> DataFrame:
@@ -95,10 +95,15 @@ def best(queries: DataFrame, held: Index, k: int, all_k: int = 0, k1: float = 1.
        that can reach the score to beat are opened. Terms whose highest bounds together stay under it open none: a document
        that has no other terms can't get there. For documents with all terms the rarest term's blocks suffice.
 
+    An index of known terms alone has no blocks; all its postings are scored.
     Blocks that aren't opened name no documents; those named are scored once for a query, from the postings of the queries'
     terms alone. Postings are never shuffled to find documents: they meet the terms in the buckets in which they lie.
     """
     key, slack = held.key, 10.0**-digits
+    if held.flat is not None:
+        sizes = queries.select("query_id", F.size(F.array_distinct("terms")).cast("long").alias("n_terms"))
+        full = bm25(queries, held, k1, b, flavour).join(sizes, "query_id")
+        return full.select("query_id", key, F.round("score", digits).alias("score"), "matched", "n_terms")
     idf, gain = _formula(flavour, F.col("n"), F.col("avg_length"), k1, b)
     asked = _asked(queries)
     names = asked.select("term").distinct()
