@@ -167,9 +167,7 @@ def test_similar_texts_against_brute_force(spark, size):
     near = lambda i, j: len(a := sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) if len(sets[i]) >= 0.8 * len(sets[j]) >= 0.64 * len(sets[i]) else False  # noqa: E731, F841
     want = brute_components(sorted(sets), near)
     kept = {r.doc_id for r in simhash.keep_similar(docs).collect()}
-    assert kept >= set(want.values())  # nothing is joined without a link
-    lost = len(kept) - len(set(want.values()))
-    assert lost <= 0.03 * (len(want) - len(set(want.values())))
+    assert kept == set(want.values())  # nothing is joined without a link, and no link is lost
 
 
 @pytest.mark.parametrize("index", [True, False])
