@@ -42,6 +42,7 @@ def need(*flags: str):
     return [opt(f, required=True) for f in flags]
 
 
+#: Names of commands and options are what users type. Fixed values, here and below.
 ENDS = [opt("--train-end", required=True), opt("--validation-end", required=True), opt("--test-end")]
 OVER = opt("--overwrite", action="store_true")
 
