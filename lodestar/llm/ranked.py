@@ -18,7 +18,7 @@ from lodestar.llm.words import blocks, pieces, words
 
 #: Postings that are indexed at a time; the part of the highest contribution that a round goes down to; how many candidates
 #: for each result are completed at most once no other document can enter.
-BLOCK, STEP, OPEN = 1 << 20, 0.7, 10
+BLOCK, STEP, OPEN = 1 << 20, 0.92, 10
 #: A score that no document reaches.
 NONE = np.iinfo(np.int64).max
 
