@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -98,3 +99,36 @@ def test_a_ranker_without_anything_to_learn(spark):
     assert {r.score for r in ltr.fit(flat, ["a", "b"], trees=2).score(flat).collect()} == {0.0}
     assert ltr.fit(flat.limit(0), ["a"], trees=1).score(flat).count() == len(rows)
     assert {r.score for r in ltr.Ranker(["a"]).score(flat).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.1, 3.0, 12.0])
+def test_pairs_of_a_long_query_are_never_made(monkeypatch, spread):
+    rng = np.random.default_rng(1)
+    n = 1500
+    score, grade = np.round(rng.normal(size=n) * spread, 3), rng.choice(3, n, p=(0.6, 0.3, 0.1))
+    sizes = np.array([n - 3, 3])
+    monkeypatch.setattr(ltr, "LONG", 1 << 30)
+    want = ltr.gradients(score, grade, sizes)
+    monkeypatch.setattr(ltr, "LONG", 512)
+    for pairs in (1 << 14, 1 << 20):
+        monkeypatch.setattr(ltr, "PAIRS", pairs)
+        for a, b in zip(ltr.gradients(score, grade, sizes), want):
+            assert np.abs(a - b).max() <= 1e-11 * np.abs(b).max()
+
+
+def test_work_on_a_long_query_is_no_square():
+    rng = np.random.default_rng(2)
+    n = 200_000  # 4e10 pairs would take minutes
+    start = time.process_time()
+    lam, weight = ltr.gradients(rng.normal(size=n), rng.choice(3, n), np.array([n]))
+    assert time.process_time() - start < 60 and abs(lam.sum()) < 1e-6 and (weight > 0).all()
+
+
+def test_scores_stored_anew_change_nothing(spark, monkeypatch):
+    rows, x = data(4, 10, 12)
+    df = frame(spark, rows, x)
+    fitted = lambda: ltr.fit(df, ["a", "b", "c"], trees=4, rate=0.2, leaves=4, min_rows=4).trees
+    want = fitted()
+    monkeypatch.setattr(ltr, "ROUND", 1)
+    monkeypatch.setattr(ltr, "FEW", 0)
+    assert [(t.feature, t.cut) for t in fitted()] == [(t.feature, t.cut) for t in want]
