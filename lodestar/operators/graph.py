@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import digest_id, normalise
+from lodestar.sources.shared import materialise
 
 RELATIONS = {"required": "REQUIRES", "preferred": "PREFERS", "mentioned": "MENTIONS"}
 WEIGHTS = {"required": 1.0, "preferred": 0.72, "mentioned": 0.45}
@@ -113,10 +114,13 @@ def require_known_jobs(mentions: DataFrame, jobs: DataFrame) -> None:
             raise ValueError(f"{message}: {bad}")
 
 
-def _named(job_skills: DataFrame) -> DataFrame:
-    """`job_skills` with the ids and normalised forms of its names. Only distinct names are normalised and hashed; they
-    are joined back (the optimiser broadcasts them while they are few). Rows without a skill or a kind are dropped."""
-    rows = job_skills.withColumns(
+#: Mentions that one task sorts, about.
+MENTIONS = 250_000
+_KEYS = ("skill", "skill_type", "raw_mention")
+
+
+def _given_texts(job_skills: DataFrame) -> DataFrame:
+    return job_skills.withColumns(
         {
             "raw_mention": F.coalesce("raw_mention", "skill") if "raw_mention" in job_skills.columns else F.col("skill"),
             "evidence": _text(job_skills, "evidence"),
@@ -124,19 +128,32 @@ def _named(job_skills: DataFrame) -> DataFrame:
             "prompt": _text(job_skills, "extraction_prompt_version"),
         }
     )
-    keys = ["skill", "skill_type", "raw_mention"]
-    names = rows.select(*keys).distinct().select(*keys, normalise(F.col("skill")).alias("_norm"), normalise(F.col("raw_mention")).alias("_raw"), category_id(F.col("skill_type")).alias("_category"))
-    ids = names.select(*keys, "_norm", "_raw", "_category", digest_id("skill:", F.col("_norm"), F.col("skill_type")).alias("_skill"), F.when(F.col("_raw") != F.col("_norm"), digest_id("alias:", F.col("_raw"))).alias("_alias"))
-    return rows.join(ids, keys)
 
 
-def nodes(jobs: DataFrame, job_skills: DataFrame, origin: Origin = Origin()) -> DataFrame:
+def names(job_skills: DataFrame) -> DataFrame:
+    """The distinct names of `job_skills` (skill, skill_type, raw_mention) with their normalised forms and ids, the first job that has each
+    and how many mentions there are, stored: `nodes` and `edges` take it, so that rows are looked through for names only once. A name
+    without a skill or a kind is none."""
+    rows = _given_texts(job_skills).where("skill is not null and skill_type is not null")
+    known = rows.groupBy(*_KEYS).agg(F.min("job_id").alias("_first"), F.count(F.lit(1)).alias("_times"))
+    forms = known.select("*", normalise(F.col("skill")).alias("_norm"), normalise(F.col("raw_mention")).alias("_raw"), category_id(F.col("skill_type")).alias("_category"))
+    return materialise(forms.select("*", digest_id("skill:", F.col("_norm"), F.col("skill_type")).alias("_skill"), F.when(F.col("_raw") != F.col("_norm"), digest_id("alias:", F.col("_raw"))).alias("_alias")))
+
+
+def _named(job_skills: DataFrame, known: DataFrame) -> DataFrame:
+    """`job_skills` with the ids and normalised forms of its names, which are joined back (the optimiser broadcasts them while they are
+    few: then rows stay with their jobs). Rows without a skill or a kind are dropped."""
+    return _given_texts(job_skills).join(known.drop("_first", "_times"), list(_KEYS))
+
+
+def nodes(jobs: DataFrame, job_skills: DataFrame, origin: Origin = Origin(), known: DataFrame | None = None) -> DataFrame:
     """One narrow frame for each label, united: node_id, label, `name` (what a reader calls it; null for jobs) and the
     NODE_PROPERTIES of all labels, null where a label has none.
 
     `jobs`: job_id and the JOB_TEXTS. `job_skills`: job_id, skill, skill_type, and where known raw_mention and posted_at
     (a text). Spellings that normalise alike are one skill, named as the first job names it; other names are aliases;
-    the earliest posted_at, compared as text, is when a skill or alias was first seen."""
+    the earliest posted_at, compared as text, is when a skill or alias was first seen. `known`: the `names` of `job_skills`,
+    if they are there already."""
     t = {c: _text(jobs, c) for c in JOB_TEXTS}
     job_nodes = jobs.select(
         _job().alias("node_id"), F.lit("Job").alias("label"), F.col("job_id").cast("string").alias("job_id"), *(c.alias(n) for n, c in t.items()), F.lit("train").alias("data_split"),
@@ -146,13 +163,18 @@ def nodes(jobs: DataFrame, job_skills: DataFrame, origin: Origin = Origin()) ->
     occupations = jobs.where("trim(occupation_code) != ''").select(code.alias("name")).distinct().select(
         F.concat(F.lit("occupation:"), F.col("name")).alias("node_id"), F.lit("Occupation").alias("label"), "name", F.col("name").alias("occupation_code")
     ).withColumn("occupation_id", F.col("node_id"))
-    named = _named(job_skills)
-    seen = F.min("posted_at").alias("first_seen_at")
-    skills = named.groupBy(F.col("_skill").alias("node_id"), "skill_type").agg(
-        F.count_distinct("job_id").alias("train_frequency"), F.min(F.struct("job_id", "skill"))["skill"].alias("name"), F.first("_norm").alias("normalized_name"), seen
-    ).withColumns({"label": F.lit("Skill"), "skill_id": F.col("node_id"), "canonical_name": F.col("name"), "description": F.lit(""), "schema_version": F.lit(origin.schema_version)})
-    kinds = named.groupBy(F.col("_category").alias("node_id")).agg(F.min("skill_type").alias("name")).withColumns({"label": F.lit("SkillCategory"), "category_id": F.col("node_id")})
-    aliases = named.where("_alias is not null").groupBy(F.col("_alias").alias("node_id")).agg(F.min("raw_mention").alias("name"), F.first("_raw").alias("normalized_alias"), seen).withColumns(
+    known = names(job_skills) if known is None else known
+    earliest = _given_texts(job_skills).groupBy(*_KEYS).agg(F.min("posted_at").alias("_seen"))
+    dated = known.join(earliest, list(_KEYS)) if "posted_at" in job_skills.columns else known.withColumn("_seen", F.lit(""))
+    seen = F.min("_seen").alias("first_seen_at")
+    # A job's skills are told apart where the job is; what comes of names alone is taken from the names.
+    frequency = _named(job_skills, known).select("job_id", "_skill").where("job_id is not null").distinct().groupBy("_skill").agg(F.count(F.lit(1)).alias("train_frequency"))
+    called = dated.groupBy("_skill", "skill_type").agg(F.min(F.struct("_first", "skill"))["skill"].alias("name"), F.first("_norm").alias("normalized_name"), seen)
+    skills = called.join(frequency, "_skill", "left").na.fill(0, ["train_frequency"]).withColumnRenamed("_skill", "node_id").withColumns(
+        {"label": F.lit("Skill"), "skill_id": F.col("node_id"), "canonical_name": F.col("name"), "description": F.lit(""), "schema_version": F.lit(origin.schema_version)}
+    )
+    kinds = known.groupBy(F.col("_category").alias("node_id")).agg(F.min("skill_type").alias("name")).withColumns({"label": F.lit("SkillCategory"), "category_id": F.col("node_id")})
+    aliases = dated.where("_alias is not null").groupBy(F.col("_alias").alias("node_id")).agg(F.min("raw_mention").alias("name"), F.first("_raw").alias("normalized_alias"), seen).withColumns(
         {"label": F.lit("SkillAlias"), "alias_id": F.col("node_id"), "alias": F.col("name"), "language": F.lit("und")}
     )
     every = union([job_nodes, occupations, skills, kinds, *([aliases] if "raw_mention" in job_skills.columns else [])])
@@ -171,7 +193,8 @@ def _edge(frame: DataFrame, source: Column, target: Column, label: Column, tell:
 
 
 def edges(
-    jobs: DataFrame, job_skills: DataFrame, pairs: DataFrame | None = None, core: DataFrame | None = None, train_start: str | None = None, train_end: str | None = None, origin: Origin = Origin()
+    jobs: DataFrame, job_skills: DataFrame, pairs: DataFrame | None = None, core: DataFrame | None = None, train_start: str | None = None, train_end: str | None = None, origin: Origin = Origin(),
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """edge_id, from_id, to_id, label, EDGE_PROPERTIES and what some labels have besides: job-skill edges (importance,
     requirement, raw_mention; weighted by level, importance and confidence), INSTANCE_OF, IS_A, ALIAS_OF,
@@ -180,8 +203,13 @@ def edges(
     `jobs`: job_id, occupation_code; `job_skills` as for `nodes`, and requirement, importance, confidence, and where known
     evidence and extraction_prompt_version. Of mentions that give one edge the one of the greatest importance, then
     confidence, then evidence counts. `pairs` has the ids of two skills and the PAIR_PROPERTIES; `core` has
-    occupation_code, the skill's id, core_skill_weight and the CORE_PROPERTIES."""
-    rows = _named(job_skills)
+    occupation_code, the skill's id, core_skill_weight and the CORE_PROPERTIES. `known` as for `nodes`."""
+    known = names(job_skills) if known is None else known
+    rows = _named(job_skills, known)
+    # Texts are compared by sorting, and Spark would sort what each task has read before it deals it out. So mentions come to their
+    # jobs first, so many to a task that what it sorts stays the same size whatever there is.
+    pieces = max(1, -(-(known.agg(F.sum("_times")).first()[0] or 0) // MENTIONS))
+    rows = rows.repartition(pieces, "job_id")
     period = F.lit(f"{train_start}|{train_end}")
     level = F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv))[F.col("requirement")]
     relation = F.create_map(*(F.lit(x) for kv in RELATIONS.items() for x in kv))[F.col("requirement")]
@@ -194,12 +222,16 @@ def edges(
     )
     of = jobs.where("trim(occupation_code) != ''").select("job_id", F.trim("occupation_code").alias("o")).distinct()
     instance = _edge(of, _job(), _occupation(F.col("o")), F.lit("INSTANCE_OF"), key, origin, F.lit(1.0), F.lit(1.0), F.col("o"), key, F.lit("deterministic-structure-v1"))
-    kinds = rows.select("_skill", "_category", "skill_type").distinct()
+    kinds = known.select("_skill", "_category", "skill_type").distinct()
     is_a = _edge(kinds, F.col("_skill"), F.col("_category"), F.lit("IS_A"), F.col("skill_type"), origin, F.lit(1.0), F.lit(1.0), F.col("skill_type"), F.lit(""), F.lit("deterministic-category-v1"))
     frames = [named, instance, is_a]
     if "raw_mention" in job_skills.columns:
         first = F.min(F.struct("job_id", "confidence", "evidence", "prompt")).alias("m")
-        aliases = rows.where("_alias is not null").groupBy("_alias", "_skill", "_raw").agg(first).select("*", "m.*")
+        # Only the first job of an alias can give its edge, so the mentions of other jobs are left out before texts are compared.
+        of_alias = known.where("_alias is not null").groupBy("_alias", "_skill", "_raw").agg(F.min("_first").alias("_first"))
+        told = known.where("_alias is not null").drop("_first", "_times").join(of_alias, ["_alias", "_skill", "_raw"])
+        first_rows = _given_texts(job_skills).join(told, list(_KEYS)).where(F.col("job_id").eqNullSafe(F.col("_first")))
+        aliases = first_rows.groupBy("_alias", "_skill", "_raw").agg(first).select("*", "m.*")
         frames.append(_edge(aliases, F.col("_alias"), F.col("_skill"), F.lit("ALIAS_OF"), F.col("_raw"), origin, F.lit(1.0), F.col("confidence"), F.col("evidence"), key, F.col("prompt")))
     if pairs is not None:
         given = {c: _given(pairs, c, k) for c, k in PAIR_PROPERTIES.items()}

@@ -173,8 +173,9 @@ MORE_PROPERTIES = {"Skill": ("skill_id", "embedding"), "Planet": ("mass",), "Job
 def faulty_graph(spark, sf) -> C.Graph:
     """The graph of the baskets as it is built, and rows with faults."""
     js, jobs = baskets(spark, sf), basket_jobs(spark, sf)
-    n = G.nodes(jobs, js).unionByName(spark.createDataFrame(BAD_NODES, BAD_NODE), allowMissingColumns=True)
-    e = G.edges(order_jobs(spark, sf), js).unionByName(spark.createDataFrame(BAD_EDGES, BAD_EDGE), allowMissingColumns=True)
+    known = G.names(js)
+    n = G.nodes(jobs, js, known=known).unionByName(spark.createDataFrame(BAD_NODES, BAD_NODE), allowMissingColumns=True)
+    e = G.edges(order_jobs(spark, sf), js, known=known).unionByName(spark.createDataFrame(BAD_EDGES, BAD_EDGE), allowMissingColumns=True)
     source = jobs.select(F.col("job_id").cast("string").alias("job_id"), "title", "requirements", "description").union(spark.createDataFrame([("0", "", "Java only", "")], "job_id string, title string, requirements string, description string"))
     known = {k: v for k, v in MORE_PROPERTIES.items() if k != "Planet"}
     labels = {**{k: () for k in G.NODE_LABELS}, **known}

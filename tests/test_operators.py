@@ -411,3 +411,17 @@ def test_best_jobs_are_those_of_all_paths(spark):
             assert Counter((r.query_id, r.job, tuple(r.path)) for r in some.collect()) == Counter((r.query_id, r.job, tuple(r.path)) for r in kept.collect())
     with pytest.raises(ValueError):
         G.best_jobs(e, anchors, hops=3)
+
+
+def test_edges_are_sorted_in_pieces_of_one_size(spark, sf, monkeypatch):
+    from lodestar.plans import fixtures as fx
+
+    js, jobs = fx.baskets(spark, sf), fx.order_jobs(spark, sf)
+    want = sorted(r.edge_id for r in G.edges(jobs, js).collect())
+    monkeypatch.setattr(G, "MENTIONS", 1000)
+    e = G.edges(jobs, js)
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    pieces = -(-js.count() // 1000)
+    assert f"{pieces}), REPARTITION_BY_NUM" in plan  # as many tasks as there are mentions
+    assert "ArrowEvalPython" not in plan  # names are normalised once, not for each mention
+    assert sorted(r.edge_id for r in e.collect()) == want
