@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Vectors of a slice that are compared at a time.
-STEP = 1024
+#: Vectors of a slice, and of a block of queries, that are compared at a time: what is held of their products doesn't grow with the block.
+STEP, ASKED = 1024, 512
 
 
 def best_of(q: np.ndarray, t: np.ndarray, k: int, digits: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -18,6 +19,9 @@ def best_of(q: np.ndarray, t: np.ndarray, k: int, digits: int, own: np.ndarray |
 
     Components are taken in one order for all, those with most of the table's energy first. What the first half gives, and
     the lengths of what is left, bound a product from above; only pairs that can still enter are multiplied out."""
+    if len(q) > ASKED:
+        parts = [best_of(q[i : i + ASKED], t, k, digits, None if own is None else own[i : i + ASKED]) for i in range(0, len(q), ASKED)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), sum(p[2] for p in parts)
     order = np.argsort(-np.einsum("ij,ij->j", t, t), kind="stable")
     q, t, h = q[:, order], t[:, order], max(1, q.shape[1] // 2)
     rest = [np.sqrt(np.einsum("ij,ij->i", x[:, h:], x[:, h:])) for x in (q, t)]
@@ -50,7 +54,14 @@ def best_of(q: np.ndarray, t: np.ndarray, k: int, digits: int, own: np.ndarray |
 
 def _unit(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     """Rows of length 1; 0 for null and zero vectors and those of another number of components."""
-    x = np.array([v if v is not None and len(v) == dim and None not in v else [0.0] * dim for v in column.to_pylist()], np.float64).reshape(-1, dim)
+    x = np.zeros((len(column), dim))
+    low = 0
+    for lists in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        fit = np.asarray(pc.fill_null(pc.equal(pc.list_value_length(lists), dim), False))
+        values = lists.filter(pa.array(fit)).flatten()
+        whole = ~np.asarray(values.is_null()).reshape(-1, dim).any(1)
+        x[low + np.flatnonzero(fit)] = np.where(whole[:, None], np.asarray(values.fill_null(0.0), np.float64).reshape(-1, dim), 0.0)
+        low += len(lists)
     norms = np.sqrt(np.einsum("ij,ij->i", x, x))
     return np.divide(x, norms[:, None], out=np.zeros_like(x), where=norms[:, None] > 0)
 

@@ -1,6 +1,7 @@
 """The pruned kernel against full products, and the chain of canonicalisation against a plain version."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from lodestar.functions import text as T
 from lodestar.operators import extraction as X
@@ -52,3 +53,24 @@ def test_chain_of_names(spark):
     plain = {(r.raw, r.rule) for r in X.canonicalise_full(m, aliases, skills).collect()}
     assert plain == {("reactjs", alias), ("GO", exact), *((n, none) for n in ("data science!", "unheard of", None, "JavaScript"))}
     assert X.canonicalise_full(m.limit(0), aliases, skills, verifier).count() == 0
+
+
+def test_memory_does_not_grow_with_the_block():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    t = rng.normal(size=(2048, 8))
+    peaks, got = [], []
+    for n in (1024, 4096):
+        q = np.resize(rng.normal(size=(1024, 8)), (n, 8))
+        tracemalloc.start()
+        got.append(nearest.best_of(q, t, 5, 9))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0]
+    assert len(got[1][0]) == 4096
+
+
+def test_vectors_that_lack_something_are_zero():
+    column = pa.chunked_array([pa.array([[3.0, 4.0], None, [1.0], [None, 2.0]], pa.list_(pa.float64())), pa.array([[0.0, 0.0], [0.0, 2.0]], pa.list_(pa.float64()))])
+    assert nearest._unit(column, 2).tolist() == [[0.6, 0.8], [0.0, 0.0], [0.0, 0.0], [0.0, 0.0], [0.0, 0.0], [0.0, 1.0]]
