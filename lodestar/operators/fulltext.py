@@ -9,6 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -23,9 +24,24 @@ BLOCK, SHARD = 128, 1 << 20
 _COUNTED = StructType([StructField("terms", ArrayType(StringType())), StructField("tfs", ArrayType(IntegerType())), StructField("at", ArrayType(ArrayType(IntegerType())))])
 
 
+#: Terms that are counted at a time, of whole lists.
+COUNTED = 1 << 17
+
+
 @F.arrow_udf(_COUNTED)
 def _counter(terms: pa.Array) -> pa.Array:
-    """The different terms of each list, how often each occurs, and where."""
+    """The different terms of each list, how often each occurs, and where. Of a batch some lists are counted at a time: what that takes
+    is several times the size of the terms."""
+    ends = np.append(0, np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(terms), 0), np.int64)))
+    parts, low = [], 0
+    while low < len(terms) or not parts:
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + COUNTED, "right")) - 1)
+        parts.append(_count(terms[low:high]))
+        low = high
+    return pa.concat_arrays(parts)
+
+
+def _count(terms: pa.Array) -> pa.Array:
     lists = terms.fill_null([])
     sizes = np.diff(np.asarray(lists.offsets, np.int64))
     doc, coded = np.repeat(np.arange(len(lists)), sizes), lists.flatten().dictionary_encode()

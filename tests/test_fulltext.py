@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from lodestar.functions import text as T
 from lodestar.operators import fulltext
@@ -141,3 +142,14 @@ def test_empty_indexes(spark):
         assert S.search(queries(spark), held, 5).count() == 0 and rows(held.stats()) == Counter([(0, 1.0)])
     held = S.index(spark.createDataFrame(texts(7, 20), SCHEMA), words())
     assert S.search(queries(spark).limit(0), held, 5).count() == 0
+
+
+def test_terms_are_counted_some_at_a_time(monkeypatch):
+    rng = random.Random(7)
+    lists = pa.array([[], None, *([rng.choice("abcdef") for _ in range(rng.randrange(12))] for _ in range(60)), list("ab" * 40)], pa.list_(pa.string()))
+    counted = lambda x: [sorted(zip(c["terms"], c["tfs"], c["at"])) for c in fulltext._counter.func(x).to_pylist()]
+    want, sizes, one = counted(lists), [], fulltext._count
+    monkeypatch.setattr(fulltext, "COUNTED", 20)
+    monkeypatch.setattr(fulltext, "_count", lambda x: sizes.append(len(x.flatten())) or one(x))
+    assert counted(lists) == want and counted(lists[:0]) == []
+    assert len(sizes) > 10 and max(sizes) == 80 and sorted(sizes)[-2] <= 20
