@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.sources.shared import materialise
+
+#: Rows of jobs' skills that one task holds, about.
+ROWS = 500_000
+
 
 def require_train(df: DataFrame, split: str = "data_split") -> None:
     """Raise if a row isn't from the training split."""
@@ -43,7 +48,9 @@ def core_skills(job_skills: DataFrame) -> DataFrame:
     """For each occupation and skill: the share of the occupation's jobs that name it, and by level;
     `job_count` is the number of the occupation's jobs."""
     rows = job_skills.where("occupation_code is not null and skill is not null").select("occupation_code", "job_id", "skill", "requirement")
-    jobs = job_skills.groupBy("occupation_code").agg(F.count_distinct("job_id").alias("jobs"))
+    jobs = materialise(job_skills.groupBy("occupation_code").agg(F.count_distinct("job_id").alias("jobs"), F.count(F.lit(1)).alias("_rows")))
+    # Rows come to their jobs before they are told apart, so many to a task that what it holds stays the same size whatever there is.
+    rows = rows.repartition(max(1, -(-(jobs.agg(F.sum("_rows")).first()[0] or 0) // ROWS)), "job_id")
     level = lambda r: F.max(F.when(F.col("requirement") == r, 1).otherwise(0)).alias(r)
     once = rows.groupBy("occupation_code", "skill", "job_id").agg(*map(level, ("required", "preferred", "mentioned")))
     sums = once.groupBy("occupation_code", "skill").agg(

@@ -425,3 +425,28 @@ def test_edges_are_sorted_in_pieces_of_one_size(spark, sf, monkeypatch):
     assert f"{pieces}), REPARTITION_BY_NUM" in plan  # as many tasks as there are mentions
     assert "ArrowEvalPython" not in plan  # names are normalised once, not for each mention
     assert sorted(r.edge_id for r in e.collect()) == want
+
+
+def test_core_skills_are_told_apart_in_pieces_of_one_size(spark, sf, monkeypatch):
+    from lodestar.plans import fixtures as fx
+
+    js = fx.baskets(spark, sf)
+    want = sorted(map(tuple, statistics.core_skills(js).collect()))
+    monkeypatch.setattr(statistics, "ROWS", 1000)
+    out = statistics.core_skills(js)
+    assert f"{-(-js.count() // 1000)}), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == want
+
+
+def test_edges_are_not_dealt_out_by_their_ends(spark):
+    n = spark.createDataFrame([("j", "Job"), ("s", "Skill"), ("o", "Occupation")], "node_id string, label string")
+    e = spark.createDataFrame(
+        [("e1", "j", "s", "REQUIRES"), ("e2", "j", "gone", "REQUIRES"), ("e2", "gone", "gone", "REQUIRES"), ("e3", None, "s", "REQUIRES"), ("e4", "s", "j", "REQUIRES"), ("e5", "j", "o", "LIKES"), ("e6", "j", "o", "IS_A")],
+        "edge_id string, from_id string, to_id string, label string",
+    )
+    g = C.Graph(n, e)
+    found = C.CHECKS["dangling_edges"][1](g)
+    assert sorted(r.record_id for r in found.collect()) == ["e2", "e2", "e3"]
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    wrong = C.CHECKS["invalid_edge_endpoints"][1](g).collect()
+    assert sorted(map(tuple, wrong)) == [("e4", "REQUIRES expects Job -> Skill, got Skill -> Job"), ("e6", "IS_A expects Skill -> SkillCategory, got Job -> Occupation")]
