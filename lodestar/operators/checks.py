@@ -41,10 +41,16 @@ class Graph:
     jobs: DataFrame | None = None
     audit: DataFrame | None = None
     rules: Rules = Rules()
+    kept: bool = False  # whether nodes and edges are tables that cost nothing to read again
 
     def stored(self) -> Graph:
         """The same graph from tables in the shared folder: several checks of it then build it once."""
-        return replace(self, nodes=materialise(self.nodes), edges=materialise(self.edges))
+        return replace(self, nodes=materialise(self.nodes), edges=materialise(self.edges), kept=True)
+
+    def slim(self, *columns: str) -> DataFrame:
+        """Some columns of the edges, to be read several times."""
+        rows = self.edges.select(*columns)
+        return rows if self.kept else materialise(rows)
 
     def of(self, label: str) -> DataFrame:
         return self.edges.where(F.col("label") == label)
@@ -94,6 +100,15 @@ def _end_labels(g: Graph, e: DataFrame) -> DataFrame:
     return e.join(start, "from_id").join(known.select(F.col("node_id").alias("to_id"), F.col("node_label").alias("to_label")), "to_id")
 
 
+def _touching(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The edges of `rows` with an end among `ids` (node_id, distinct, null too). The ids are stored, so that the optimiser knows their size: as
+    long as they are few, edges are not dealt out by their ends, and nodes of many edges are no hot keys."""
+    stored = materialise(ids)
+    for c in ("from_id", "to_id"):
+        rows = rows.join(stored.select(F.col("node_id").alias(f"_{c}"), F.lit(True).alias(f"_at_{c}")), F.col(c).eqNullSafe(F.col(f"_{c}")), "left").drop(f"_{c}")
+    return rows.where("_at_from_id or _at_to_id").drop("_at_from_id", "_at_to_id")
+
+
 @_check("fail")
 def duplicate_node_ids(g: Graph) -> DataFrame:
     return _said(_repeated(g.nodes, "node_id"), "node_id", "Duplicate node ID")
@@ -106,10 +121,10 @@ def duplicate_edge_ids(g: Graph) -> DataFrame:
 
 @_check("quarantine")
 def dangling_edges(g: Graph) -> DataFrame:
-    """One pass: both ends of each edge meet the nodes; what is left is brought back to one row for each edge."""
-    rows = g.edges.select("edge_id", "from_id", "to_id", F.monotonically_increasing_id().alias("_row"))
-    ends = rows.select("edge_id", "_row", F.explode(F.array("from_id", "to_id")).alias("node_id"))
-    return _said(ends.join(g.nodes.select("node_id"), "node_id", "left_anti").dropDuplicates(["_row"]), "edge_id", "Edge references a missing node")
+    """Only the distinct ends meet the nodes, see `_touching`."""
+    rows = g.slim("edge_id", "from_id", "to_id")
+    ends = rows.select(F.explode(F.array("from_id", "to_id")).alias("node_id")).distinct()
+    return _said(_touching(rows, ends.join(g.nodes.select("node_id"), "node_id", "left_anti")), "edge_id", "Edge references a missing node")
 
 
 @_check()
@@ -148,7 +163,11 @@ def missing_edge_property(g: Graph) -> DataFrame:
 def invalid_edge_endpoints(g: Graph) -> DataFrame:
     want = F.create_map(*(F.lit(x) for k, (a, b) in g.rules.ends.items() for x in (k, f"{a} -> {b}")))
     seen = F.concat_ws(" -> ", "from_label", "to_label")
-    wrong = _end_labels(g, g.edges).select("edge_id", "label", want[F.col("label")].alias("want"), seen.alias("seen")).where("want != seen")
+    start, end = (F.create_map(*(F.lit(x) for k, ab in g.rules.ends.items() for x in (k, ab[i])))[F.col("label")].alias("wanted") for i in (0, 1))
+    rows = g.slim("edge_id", "from_id", "to_id", "label").where(F.col("label").isin(*g.rules.ends))
+    asked = rows.select(F.explode(F.array(F.struct(F.col("from_id").alias("node_id"), start), F.struct(F.col("to_id").alias("node_id"), end))).alias("p")).select("p.*").distinct()
+    odd = asked.join(_labels(g.nodes), "node_id").where(~F.col("node_label").eqNullSafe(F.col("wanted"))).select("node_id").distinct()
+    wrong = _end_labels(g, _touching(rows, odd)).select("edge_id", "label", want[F.col("label")].alias("want"), seen.alias("seen")).where("want != seen")
     return _said(wrong, "edge_id", _fmt("%s expects %s, got %s", "label", "want", "seen"))
 
 
