@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import digest_id, normalise
-from lodestar.sources.shared import materialise
+from lodestar.sources.shared import bucketed, materialise
 
 RELATIONS = {"required": "REQUIRES", "preferred": "PREFERS", "mentioned": "MENTIONS"}
 WEIGHTS = {"required": 1.0, "preferred": 0.72, "mentioned": 0.45}
@@ -119,6 +119,20 @@ MENTIONS = 250_000
 _KEYS = ("skill", "skill_type", "raw_mention")
 
 
+def pieces(mentions: int) -> int:
+    return max(1, -(-mentions // MENTIONS))
+
+
+def job_buckets(spark: SparkSession, mentions: int) -> int:
+    """No fewer than a join has parts: it would deal out rows anew that come in fewer."""
+    return max(pieces(mentions), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def by_job(job_skills: DataFrame, buckets: int) -> DataFrame:
+    """`job_skills` stored with their jobs, for `nodes`, `edges` and whatever else groups by job: they then shuffle nothing wide."""
+    return bucketed(job_skills, "job_id", buckets)
+
+
 def _given_texts(job_skills: DataFrame) -> DataFrame:
     return job_skills.withColumns(
         {
@@ -194,7 +208,7 @@ def _edge(frame: DataFrame, source: Column, target: Column, label: Column, tell:
 
 def edges(
     jobs: DataFrame, job_skills: DataFrame, pairs: DataFrame | None = None, core: DataFrame | None = None, train_start: str | None = None, train_end: str | None = None, origin: Origin = Origin(),
-    known: DataFrame | None = None,
+    known: DataFrame | None = None, dealt: bool = False,
 ) -> DataFrame:
     """edge_id, from_id, to_id, label, EDGE_PROPERTIES and what some labels have besides: job-skill edges (importance,
     requirement, raw_mention; weighted by level, importance and confidence), INSTANCE_OF, IS_A, ALIAS_OF,
@@ -203,13 +217,14 @@ def edges(
     `jobs`: job_id, occupation_code; `job_skills` as for `nodes`, and requirement, importance, confidence, and where known
     evidence and extraction_prompt_version. Of mentions that give one edge the one of the greatest importance, then
     confidence, then evidence counts. `pairs` has the ids of two skills and the PAIR_PROPERTIES; `core` has
-    occupation_code, the skill's id, core_skill_weight and the CORE_PROPERTIES. `known` as for `nodes`."""
+    occupation_code, the skill's id, core_skill_weight and the CORE_PROPERTIES. `known` as for `nodes`. `dealt`: `job_skills` is a table bucketed by job_id
+    (`by_job`), so mentions are with their jobs already."""
     known = names(job_skills) if known is None else known
     rows = _named(job_skills, known)
     # Texts are compared by sorting, and Spark would sort what each task has read before it deals it out. So mentions come to their
     # jobs first, so many to a task that what it sorts stays the same size whatever there is.
-    pieces = max(1, -(-(known.agg(F.sum("_times")).first()[0] or 0) // MENTIONS))
-    rows = rows.repartition(pieces, "job_id")
+    if not dealt:
+        rows = rows.repartition(pieces(known.agg(F.sum("_times")).first()[0] or 0), "job_id")
     period = F.lit(f"{train_start}|{train_end}")
     level = F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv))[F.col("requirement")]
     relation = F.create_map(*(F.lit(x) for kv in RELATIONS.items() for x in kv))[F.col("requirement")]

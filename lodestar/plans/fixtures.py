@@ -91,28 +91,38 @@ rj AS (SELECT CAST(p_partkey AS VARCHAR) AS job_id, CASE WHEN p_size % 7 = 0 THE
   FROM part LEFT JOIN nation ON p_partkey % 30 = n_nationkey)"""
 
 
-def baskets(spark, sf) -> DataFrame:
-    """Skills of jobs: brands of an order's parts, some under another name, some without evidence or with one from elsewhere."""
+def baskets(spark, sf, dealt: int = 0) -> DataFrame:
+    """Skills of jobs: brands of an order's parts, some under another name, some without evidence or with one from elsewhere. `dealt`:
+    into so many parts by their jobs, which then meet their orders there."""
     li, part, orders = (table(spark, sf, n) for n in ("lineitem", "part", "orders"))
     level = F.when(F.col("l_returnflag") == "R", "required").when(F.col("l_returnflag") == "A", "preferred").otherwise("mentioned")
     raw = F.when(F.col("l_linenumber") == 3, F.concat(F.lit("Part "), "p_brand")).otherwise(F.col("p_brand"))
     evidence = F.when(F.col("l_partkey") % 97 == 0, "elsewhere").when(F.col("l_partkey") % 101 == 0, "").otherwise(raw)
-    return li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey).select(
+    rows = li.join(part, li.l_partkey == part.p_partkey)
+    if dealt:
+        rows, orders = rows.repartition(dealt, "l_orderkey"), orders.repartition(dealt, "o_orderkey")
+    return rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("job_id"), F.col("p_brand").alias("skill"), F.col("p_type").alias("skill_type"), F.col("o_orderpriority").alias("occupation_code"),
         level.alias("requirement"), F.lit(0.9).alias("importance"), (1 - F.col("l_tax")).alias("confidence"), raw.alias("raw_mention"), evidence.alias("evidence"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("posted_at"), F.col("l_linenumber").alias("pos"),
     )
 
 
+def stored_baskets(spark, sf) -> DataFrame:
+    """The baskets in a table bucketed by job, made with one shuffle."""
+    n = G.job_buckets(spark, table(spark, sf, "lineitem").count())
+    return G.by_job(baskets(spark, sf, n), n)
+
+
 def order_jobs(spark, sf) -> DataFrame:
     """Orders as jobs: what INSTANCE_OF edges need."""
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("job_id"), F.col("o_orderpriority").alias("occupation_code"))
 
 
-def basket_jobs(spark, sf) -> DataFrame:
-    """Orders as jobs with their texts; the requirements are the names of the parts."""
+def basket_jobs(spark, sf, js: DataFrame | None = None) -> DataFrame:
+    """Orders as jobs with their texts; the requirements are the names of the parts. `js`: the baskets, if they are stored."""
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "raw_mention"))), lambda x: x["raw_mention"]), ", ")
-    texts = baskets(spark, sf).groupBy("job_id").agg(listed.alias("requirements"))
+    texts = (baskets(spark, sf) if js is None else js).groupBy("job_id").agg(listed.alias("requirements"))
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("job_id"), F.concat("o_orderpriority", F.lit(" job")).alias("title"), F.concat(F.lit("Order of "), F.col("o_custkey").cast("string")).alias("description"),
         F.col("o_orderstatus").alias("location_code"), F.col("o_orderpriority").alias("occupation_code"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("posted_at"), F.lit("train").alias("data_split"),
@@ -172,10 +182,10 @@ MORE_PROPERTIES = {"Skill": ("skill_id", "embedding"), "Planet": ("mass",), "Job
 
 def faulty_graph(spark, sf) -> C.Graph:
     """The graph of the baskets as it is built, and rows with faults."""
-    js, jobs = baskets(spark, sf), basket_jobs(spark, sf)
-    known = G.names(js)
+    js = stored_baskets(spark, sf)
+    jobs, known = basket_jobs(spark, sf, js), G.names(js)
     n = G.nodes(jobs, js, known=known).unionByName(spark.createDataFrame(BAD_NODES, BAD_NODE), allowMissingColumns=True)
-    e = G.edges(order_jobs(spark, sf), js, known=known).unionByName(spark.createDataFrame(BAD_EDGES, BAD_EDGE), allowMissingColumns=True)
+    e = G.edges(order_jobs(spark, sf), js, known=known, dealt=True).unionByName(spark.createDataFrame(BAD_EDGES, BAD_EDGE), allowMissingColumns=True)
     source = jobs.select(F.col("job_id").cast("string").alias("job_id"), "title", "requirements", "description").union(spark.createDataFrame([("0", "", "Java only", "")], "job_id string, title string, requirements string, description string"))
     known = {k: v for k, v in MORE_PROPERTIES.items() if k != "Planet"}
     labels = {**{k: () for k in G.NODE_LABELS}, **known}
