@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from lodestar.sources import files
-from lodestar.sources.shared import materialise, place, scratch, spread
+from lodestar.sources.shared import bucketed, materialise, place, scratch, spread
 
 #: Postings in a block, and documents in a shard: no term has more postings together than a shard has documents.
 BLOCK, SHARD = 128, 1 << 20
@@ -59,6 +60,8 @@ def _count(terms: pa.Array) -> pa.Array:
 
 #: So many terms of known queries at most are told to all tasks, which then keep these alone.
 KNOWN = 10_000
+#: Documents whose postings of known terms are in a bucket, about.
+DEALT = 16_384
 
 
 @dataclass(frozen=True)
@@ -141,10 +144,20 @@ def _reopen(spark: SparkSession, path: str, ddl: str, by: list[str], order: list
 _BY, _ORDER = ["shard", "term"], ["shard", "term", "block"]
 
 
-def _counted(docs: DataFrame, terms: Column, positional: bool) -> DataFrame:
+def _kept(docs: DataFrame, leave: Sequence[str]) -> list[str]:
+    return [c for c in docs.columns if c not in leave]
+
+
+def _asked(asked: list[str]) -> Column:
+    """Of the terms of a document those that are asked for."""
+    return F.filter("_all", lambda t: t.isin(asked))
+
+
+def _counted(docs: DataFrame, terms: Column, positional: bool, asked: list[str] | None = None, leave: Sequence[str] = ()) -> DataFrame:
     """Documents with _length, _terms, _tfs and, if wanted, _at: counted where they are, nothing of a text moves."""
-    own = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all")).select(*docs.columns, F.size("_all").alias("_length"), _counter("_all").alias("_c"))
-    return own.select(*docs.columns, "_length", *(F.col(f"_c.{c}").alias(f"_{c}") for c in ("terms", "tfs", "at")[: 3 if positional else 2]))
+    kept, some = _kept(docs, leave), F.col("_all") if asked is None else _asked(asked)
+    own = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all")).select(*kept, F.size("_all").alias("_length"), _counter(some).alias("_c"))
+    return own.select(*kept, "_length", *(F.col(f"_c.{c}").alias(f"_{c}") for c in ("terms", "tfs", "at")[: 3 if positional else 2]))
 
 
 def _segment(staged: DataFrame, path: str, key: str, number: int, buckets: int, keep: bool) -> Segment:
@@ -170,18 +183,23 @@ def _buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def index(docs: DataFrame, terms: Column, key: str = "doc_id", positional: bool = False, only: DataFrame | None = None) -> Index:
+def index(docs: DataFrame, terms: Column, key: str = "doc_id", positional: bool = False, only: DataFrame | None = None, blocks: bool = False, leave: Sequence[str] = ()) -> Index:
     """An index in the shared folder, gone with the application or its `scratch` scope. `terms`: of each document, in order.
     `only` (term): for queries with these terms alone and no others, if they are at most KNOWN; statistics are those of all
-    terms. Texts are then cut once and of each only what is asked for is kept."""
+    terms. Texts are then cut once and of each only what is asked for is kept: postings that are all scored, or with `blocks` such as
+    all terms would have, for queries with so many documents that bounds pay. `leave`: columns that `terms` alone needs; they aren't stored."""
     spark = docs.sparkSession
     asked = only.select("term").distinct().limit(KNOWN + 1).collect() if only is not None and not positional else []  # bounded
-    if 0 < len(asked) <= KNOWN:
+    names = [r.term for r in asked]
+    if 0 < len(names) <= KNOWN and not blocks:
         own = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all"))
-        held = materialise(own.select(*docs.columns, F.size("_all").alias("_length"), F.filter("_all", lambda t: t.isin([r.term for r in asked])).alias("_some")))
-        flat = held.select(F.explode("_some").alias("term"), key, F.col("_length").alias("length")).groupBy("term", key, "length").agg(F.count(F.lit(1)).alias("tf"))
-        return Index((Segment(0, held.drop("_some"), None, 0),), key, flat=materialise(flat))
-    staged = materialise(_counted(docs, terms, positional))
+        held = materialise(own.select(*_kept(docs, leave), F.size("_all").alias("_length"), _asked(names).alias("_some")))
+        # Postings lie with their documents, so many to a bucket that what a task sums up stays the same size whatever there is.
+        counted = held.select(key, F.col("_length").alias("length"), _counter("_some").alias("_c")).select(key, "length", F.explode(F.arrays_zip("_c.terms", "_c.tfs")).alias("p"))
+        rows = counted.select(F.col("p.terms").alias("term"), key, "length", F.col("p.tfs").cast("long").alias("tf"))
+        flat = bucketed(rows, key, max(-(-held.count() // DEALT), _buckets(spark)))
+        return Index((Segment(0, held.drop("_some"), None, 0),), key, flat=flat.groupBy("term", key, "length").agg(F.sum("tf").alias("tf")))
+    staged = materialise(_counted(docs, terms, positional, names if 0 < len(names) <= KNOWN else None, leave))
     return Index((_segment(staged, place(spark), key, 0, _buckets(spark), False),), key, positional)
 
 
