@@ -160,6 +160,11 @@ def _named(job_skills: DataFrame, known: DataFrame) -> DataFrame:
     return _given_texts(job_skills).join(known.drop("_first", "_times"), list(_KEYS))
 
 
+def identified(job_skills: DataFrame, known: DataFrame) -> DataFrame:
+    """(job_id, skill: its id) of `job_skills`, whose `names` are known: no name is normalised again."""
+    return _named(job_skills, known).select("job_id", F.col("_skill").alias("skill"))
+
+
 def nodes(jobs: DataFrame, job_skills: DataFrame, origin: Origin = Origin(), known: DataFrame | None = None) -> DataFrame:
     """One narrow frame for each label, united: node_id, label, `name` (what a reader calls it; null for jobs) and the
     NODE_PROPERTIES of all labels, null where a label has none.
@@ -308,7 +313,8 @@ def best_jobs(e: DataFrame, anchors: DataFrame, k: int = 50, hops: int = 2, deca
 
     The paths of a query to one skill differ only in how they get there. So they are summed up there first, to one row for each
     query and reached skill (how many ways, their sum, the best), and what a job gets from a skill is this times the edge. Reached
-    skills are few beside edges: while they are small they are sent to the edges, and a popular skill is no hot key."""
+    skills are few beside edges: they are stored, so that their size is known, and while they are small they are sent to the edges: no edge is
+    shuffled by its skill, and a popular skill is no hot key."""
     if hops not in (1, 2):
         raise ValueError("hops is 1 or 2")
     js, of, both = _adjacent(e)
@@ -316,13 +322,20 @@ def best_jobs(e: DataFrame, anchors: DataFrame, k: int = 50, hops: int = 2, deca
     ways = near.select("query_id", "node", F.lit(1.0).alias("u"))
     if hops == 2:
         ways = ways.union(near.join(both, near.node == both.a).select("query_id", "b", F.col("wr") * decay))
-    reached = ways.groupBy("query_id", "node").agg(F.sum("u").alias("total"), F.max("u").alias("most"), F.count(F.lit(1)).alias("n"))
-    gain = lambda rows, node, anchor: rows.select("query_id", "job", (F.col("total") * F.col("w")).alias("score"), (F.col("most") * F.col("w")).alias("best"), "n", anchor.alias("anchor"))
-    parts = gain(reached.join(js, reached.node == js.skill), "skill", F.col("node"))
+    weighed = (F.max("u").alias("most"), F.count(F.lit(1)).alias("n"))
+    reached = ways.groupBy("query_id", "node").agg(F.sum("u").alias("total"), *weighed).withColumn("skill", F.lit(True))
+    ends = js.select("job", F.col("skill").alias("node"), F.lit(True).alias("skill"), "w")
     if occupations is not None:
-        named = occupations.groupBy("query_id", F.col("occupation").alias("anchor")).agg(F.count(F.lit(1)).cast("double").alias("total"), F.lit(1.0).alias("most"), F.count(F.lit(1)).alias("n"))
-        parts = parts.union(gain(named.join(of, "anchor"), "anchor", F.lit(None).cast("string")))
-    sums = parts.groupBy("query_id", "job").agg(F.sum("score").alias("score"), F.size(F.collect_set("anchor")).cast("long").alias("anchors"), F.max("best").alias("best"), F.sum("n").alias("traces"))
+        named = occupations.select("query_id", F.col("occupation").alias("node"), F.lit(1.0).alias("u")).groupBy("query_id", "node").agg(F.sum("u").alias("total"), *weighed)
+        reached = reached.unionByName(named.withColumn("skill", F.lit(False)))
+        ends = ends.unionByName(of.select("job", F.col("anchor").alias("node"), F.lit(False).alias("skill"), "w"))
+    reached, where = materialise(reached), ["node", "skill"]
+    # An edge comes to its job once, however many queries reach it, and is told apart and summed up there.
+    own = ends.join(reached.select(*where).distinct(), where, "left_semi").repartition("job")
+    once = own.groupBy("job", *where).agg(F.sum("w").alias("w"), F.max("w").alias("top"), F.count(F.lit(1)).alias("times"))
+    sums = once.join(reached, where).groupBy("query_id", "job").agg(
+        F.sum(F.col("total") * F.col("w")).alias("score"), F.count_if("skill").alias("anchors"), F.max(F.col("most") * F.col("top")).alias("best"), F.sum(F.col("n") * F.col("times")).alias("traces")
+    )
     order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "job")
     return sums.select("*", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k)
 

@@ -18,16 +18,22 @@ def require_train(df: DataFrame, split: str = "data_split") -> None:
         raise ValueError("rows outside the training split")
 
 
-def cooccurrence(job_skills: DataFrame, min_count: int = 5, min_npmi: float = 0.1) -> DataFrame:
+def cooccurrence(job_skills: DataFrame, min_count: int = 5, min_npmi: float = 0.1, among: DataFrame | None = None) -> DataFrame:
     """Pairs of skills of the same jobs: count, support, PMI, NPMI and both conditional probabilities.
 
-    Jobs are counted among all rows, those without skills too. Each job's skills are one short array, from which pairs
-    are made; pairs are counted before the shuffle. NPMI is 0 for a pair that all jobs have.
+    Jobs are counted among all rows, those without skills too. Each job's skills are one short array, stored, from which pairs
+    are made; pairs are counted before the shuffle. NPMI is 0 for a pair that all jobs have. `among` (skill): pairs that
+    have one of these skills alone, with the same figures; the others aren't made.
     """
-    per_job = job_skills.groupBy("job_id").agg(F.array_sort(F.collect_set("skill")).alias("skills")).where(F.col("job_id").isNotNull())
+    given = F.struct("skill", F.lit(True).alias("in"))
+    if among is not None:
+        job_skills = job_skills.join(among.select("skill", F.lit(True).alias("_in")).distinct(), "skill", "left")
+        given = F.struct("skill", F.coalesce("_in", F.lit(False)).alias("in"))
+    per_job = materialise(job_skills.groupBy("job_id").agg(F.array_sort(F.collect_set(F.when(F.col("skill").isNotNull(), given))).alias("skills")).where(F.col("job_id").isNotNull()))
     total = per_job.agg(F.count(F.lit(1)).alias("total"))
-    freq = per_job.select(F.explode("skills").alias("skill")).groupBy("skill").agg(F.count(F.lit(1)).alias("n"))
-    rest = F.transform("skills", lambda s, i: F.transform(F.slice("skills", i + 2, F.size("skills")), lambda t: F.struct(s.alias("a"), t.alias("b"))))
+    freq = per_job.select(F.explode("skills.skill").alias("skill")).groupBy("skill").agg(F.count(F.lit(1)).alias("n"))
+    later = lambda s, i: F.filter(F.slice("skills", i + 2, F.size("skills")), lambda t: s["in"] | t["in"])
+    rest = F.transform("skills", lambda s, i: F.transform(later(s, i), lambda t: F.struct(s["skill"].alias("a"), t["skill"].alias("b"))))
     pairs = per_job.select(F.explode(F.flatten(rest)).alias("p")).groupBy(F.col("p.a").alias("skill_a"), F.col("p.b").alias("skill_b")).agg(F.count(F.lit(1)).alias("count"))
     joined = (
         pairs.where(F.col("count") >= min_count)

@@ -108,10 +108,10 @@ def baskets(spark, sf, dealt: int = 0) -> DataFrame:
     )
 
 
-def stored_baskets(spark, sf) -> DataFrame:
-    """The baskets in a table bucketed by job, made with one shuffle."""
+def stored_baskets(spark, sf, *leave: str) -> DataFrame:
+    """The baskets in a table bucketed by job, made with one shuffle; without the columns `leave`."""
     n = G.job_buckets(spark, table(spark, sf, "lineitem").count())
-    return G.by_job(baskets(spark, sf, n), n)
+    return G.by_job(baskets(spark, sf, n).drop(*leave), n)
 
 
 def order_jobs(spark, sf) -> DataFrame:
