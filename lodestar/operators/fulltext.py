@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from lodestar.functions import text as T
 from lodestar.sources import files
 from lodestar.sources.shared import bucketed, materialise, place, scratch, spread
 
@@ -31,13 +32,17 @@ COUNTED = 1 << 17
 
 @F.arrow_udf(_COUNTED)
 def _counter(terms: pa.Array) -> pa.Array:
-    """The different terms of each list, how often each occurs, and where. Of a batch some lists are counted at a time: what that takes
-    is several times the size of the terms."""
+    """The different terms of each list, how often each occurs, and where."""
+    return _some_at_a_time(terms, _count)
+
+
+def _some_at_a_time(terms: pa.Array, count: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """Of a batch some lists are counted at a time: what that takes is several times the size of the terms."""
     ends = np.append(0, np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(terms), 0), np.int64)))
     parts, low = [], 0
     while low < len(terms) or not parts:
         high = max(low + 1, int(np.searchsorted(ends, ends[low] + COUNTED, "right")) - 1)
-        parts.append(_count(terms[low:high]))
+        parts.append(count(terms[low:high]))
         low = high
     return pa.concat_arrays(parts)
 
@@ -58,6 +63,75 @@ def _count(terms: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, c) for c in columns], ["terms", "tfs", "at"])
 
 
+@dataclass(frozen=True)
+class _Phrases:
+    """Phrases, parts joined by blanks, as a tree of their parts: `next` of (node, part) in the order of `steps`, node * parts + part, and of
+    each node the phrase that ends there, or -1."""
+
+    phrases: list[str]
+    parts: list[str]
+    steps: np.ndarray
+    next: np.ndarray
+    ends: np.ndarray
+    longest: int
+
+    @classmethod
+    def of(cls, phrases: list[str]) -> _Phrases:
+        cut = [p.split(" ") for p in phrases]
+        code = {w: i for i, w in enumerate(sorted({w for ws in cut for w in ws}))}
+        steps: dict[int, int] = {}
+        ends = [-1]
+        for i, ws in enumerate(cut):
+            node = 0
+            for w in ws:
+                step = node * len(code) + code[w]
+                if step not in steps:
+                    steps[step] = len(ends)
+                    ends.append(-1)
+                node = steps[step]
+            ends[node] = i
+        order = sorted(steps)
+        return cls(phrases, list(code), np.array(order, np.int64), np.array([steps[x] for x in order], np.int64), np.array(ends, np.int64), max(map(len, cut), default=0))
+
+    def placed(self, terms: Column) -> Column:
+        """Of the parts of a text those that a phrase has, each with its place."""
+        return F.filter(F.transform(terms, lambda t, i: F.struct(t.alias("part"), i.alias("at"))), lambda x: x["part"].isin(self.parts))
+
+    def count(self, placed: pa.Array) -> pa.Array:
+        """The phrases of each text and how often each stands there, from `placed`: all starts go on together, part by part, as long
+        as the next part stands next to the last one and leads to a phrase."""
+        sizes, flat = np.diff(np.asarray(placed.offsets, np.int64)), placed.flatten()
+        doc, at = np.repeat(np.arange(len(placed)), sizes), np.asarray(flat.field("at"), np.int64)
+        code = np.asarray(pc.index_in(flat.field("part"), pa.array(self.parts, pa.string())), np.int64)
+        beside = np.append((np.diff(doc) == 0) & (np.diff(at) == 1), False)[: len(code)]
+        here, node, found = np.arange(len(code)), np.zeros(len(code), np.int64), [np.zeros(0, np.int64)]
+        for _ in range(self.longest):
+            step = node * len(self.parts) + code[here]
+            k = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            known = self.steps[k] == step
+            here, node = here[known], self.next[k[known]]
+            end = self.ends[node]
+            found.append(doc[here[end >= 0]] * len(self.phrases) + end[end >= 0])
+            here, node = here[beside[here]] + 1, node[beside[here]]
+        both, n = np.unique(np.concatenate(found), return_counts=True)
+        of, phrase = np.divmod(both, max(1, len(self.phrases)))
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(placed)))]).astype(np.int32))
+        columns = (pa.array(self.phrases, pa.string()).take(pa.array(phrase)), pa.array(n.astype(np.int32)))
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, c) for c in columns], ["terms", "tfs"])
+
+    def counter(self):
+        @F.arrow_udf(StructType(_COUNTED.fields[:2]))
+        def counted(placed: pa.Array) -> pa.Array:
+            return _some_at_a_time(placed, self.count)
+
+        return counted
+
+
+def as_phrase(term: Column) -> Column:
+    """A term as full-text engines take it: cut at all but letters and digits, its parts joined by blanks."""
+    return F.array_join(T.fts_parts(term), " ")
+
+
 #: So many terms of known queries at most are told to all tasks, which then keep these alone.
 KNOWN = 10_000
 #: Documents whose postings of known terms are in a bucket, about.
@@ -187,19 +261,29 @@ def index(docs: DataFrame, terms: Column, key: str = "doc_id", positional: bool
     """An index in the shared folder, gone with the application or its `scratch` scope. `terms`: of each document, in order.
     `only` (term): for queries with these terms alone and no others, if they are at most KNOWN; statistics are those of all
     terms. Texts are then cut once and of each only what is asked for is kept: postings that are all scored, or with `blocks` such as
-    all terms would have, for queries with so many documents that bounds pay. `leave`: columns that `terms` alone needs; they aren't stored."""
+    all terms would have, for queries with so many documents that bounds pay. With `positional` they are phrases, as `as_phrase` gives
+    them, which are counted in the texts. `leave`: columns that `terms` alone needs; they aren't stored."""
     spark = docs.sparkSession
-    asked = only.select("term").distinct().limit(KNOWN + 1).collect() if only is not None and not positional else []  # bounded
-    names = [r.term for r in asked]
-    if 0 < len(names) <= KNOWN and not blocks:
-        own = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all"))
-        held = materialise(own.select(*_kept(docs, leave), F.size("_all").alias("_length"), _asked(names).alias("_some")))
+    if only is not None:
+        only = only.select(as_phrase(F.col("term")).alias("term")).where("term <> ''") if positional else only.select("term")
+    names = [] if only is None else [r.term for r in only.distinct().limit(KNOWN + 1).collect()]  # bounded
+    known = 0 < len(names) <= KNOWN
+    if (known or positional and only is not None and not names) and not blocks:
+        own, length = spread(docs).select("*", F.coalesce(terms, F.array().cast("array<string>")).alias("_all")), F.size("_all").alias("_length")
+        if positional:
+            # A text is whole where it is cut, so its phrases are found there; of places nothing is stored.
+            phrases = _Phrases.of(names)
+            held = materialise(own.select(*_kept(docs, leave), length, phrases.counter()(phrases.placed(F.col("_all"))).alias("_c")))
+            counted = held
+        else:
+            held = materialise(own.select(*_kept(docs, leave), length, _asked(names).alias("_some")))
+            counted = held.select(key, "_length", _counter("_some").alias("_c"))
         # Postings lie with their documents, so many to a bucket that what a task sums up stays the same size whatever there is.
-        counted = held.select(key, F.col("_length").alias("length"), _counter("_some").alias("_c")).select(key, "length", F.explode(F.arrays_zip("_c.terms", "_c.tfs")).alias("p"))
+        counted = counted.select(key, F.col("_length").alias("length"), F.explode(F.arrays_zip("_c.terms", "_c.tfs")).alias("p"))
         rows = counted.select(F.col("p.terms").alias("term"), key, "length", F.col("p.tfs").cast("long").alias("tf"))
         flat = bucketed(rows, key, max(-(-held.count() // DEALT), _buckets(spark)))
-        return Index((Segment(0, held.drop("_some"), None, 0),), key, flat=flat.groupBy("term", key, "length").agg(F.sum("tf").alias("tf")))
-    staged = materialise(_counted(docs, terms, positional, names if 0 < len(names) <= KNOWN else None, leave))
+        return Index((Segment(0, held.drop("_some", "_c"), None, 0),), key, positional, flat=flat.groupBy("term", key, "length").agg(F.sum("tf").alias("tf")))
+    staged = materialise(_counted(docs, terms, positional, names if known and not positional else None, leave))
     return Index((_segment(staged, place(spark), key, 0, _buckets(spark), False),), key, positional)
 
 

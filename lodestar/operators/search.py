@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
-from lodestar.operators.fulltext import BLOCK, Index, append, build_index, delete, index, open_index, optimize  # noqa: F401
+from lodestar.operators.fulltext import BLOCK, Index, append, as_phrase, build_index, delete, index, open_index, optimize  # noqa: F401
 from lodestar.operators.nearest import nearest
 from lodestar.sources.shared import materialise, spread
 
@@ -176,7 +176,7 @@ def _among(codes: Column, kind: str, one: Column) -> Column:
 def parted(queries: DataFrame) -> DataFrame:
     """Queries (query_id, terms, ...) with each term as full-text engines take it: cut at all but letters and digits; one of several parts is
     a phrase, its parts joined by blanks, one without parts is none."""
-    each = queries.select("query_id", F.posexplode("terms").alias("at", "term")).select("query_id", "at", F.array_join(T.fts_parts(F.col("term")), " ").alias("term")).where("term <> ''")
+    each = queries.select("query_id", F.posexplode("terms").alias("at", "term")).select("query_id", "at", as_phrase(F.col("term")).alias("term")).where("term <> ''")
     terms = each.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("at", "term")))["term"].alias("terms"))
     return queries.drop("terms").join(terms, "query_id").select(*queries.columns)
 
@@ -189,6 +189,7 @@ def search(queries: DataFrame, held: Index, limit: int, location_boost: float =
     key, kinds, extra = held.key, dict(queries.dtypes), None
     if held.positional:
         queries = materialise(parted(queries))
+    if held.positional and held.flat is None:
         phrases = queries.select(F.explode("terms").alias("term")).where("contains(term, ' ')").distinct()
         extra = materialise(phrase_postings(phrases.withColumn("parts", F.split("term", " ")), held))
     size = max(5 * limit, 100)

@@ -135,6 +135,33 @@ def test_phrases_by_positions(spark):
     assert {(r.query_id, r.doc_id) for r in found} == {(0, 1), (0, 2), (0, 7), (1, 1), (1, 3), (2, 6)}
 
 
+def test_known_phrases_are_counted_in_their_texts(spark, sf, monkeypatch):
+    """phrase_search: of asked phrases alone there are postings, equal to those of the whole positional index; words aren't dealt out."""
+    from lodestar.plans import catalog
+
+    data = [(1, "Node.js and C++ code"), (2, "node js js node"), (3, "js node c"), (4, "a a a b a a"), (5, None), (6, "Café.Node"), (7, "x node.js node.js"), (8, ""), (9, "a b"), (10, "a")]
+    docs = spark.createDataFrame([(i, t, "q", "") for i, t in data], SCHEMA).repartition(1)
+    asked = [["node.js"], ["c++", "a#a", "a"], ["a.b.a"], ["cafe.node", "++"], ["#"], ["no.way", "js.node"], ["node.js.js", "a.a.a"]]
+    q = spark.createDataFrame(list(enumerate(asked)), "query_id int, terms array<string>").withColumns({"location": F.lit("q"), "duty": F.lit("q")})
+    terms, only = T.fts_parts(F.coalesce("text", F.lit(""))), q.select(F.explode("terms").alias("term"))
+    whole = S.index(docs, terms, positional=True)
+    want = rows(S.search(q, whole, 5))
+    parts = only.select(S.as_phrase(F.col("term")).alias("term")).where("term <> ''").distinct().withColumn("parts", F.split("term", " "))
+    postings = rows(S.phrase_postings(parts, whole).select("term", "doc_id", "length", F.col("tf").cast("long").alias("tf")))
+
+    def segment(*_):
+        raise AssertionError("an index of all words")
+
+    monkeypatch.setattr(fulltext, "_segment", segment)
+    monkeypatch.setattr(fulltext, "COUNTED", 5)
+    held = S.index(docs, terms, positional=True, only=only, leave=("text",))
+    assert rows(held.postings) == postings and postings[("a a", 4, 6, 3)] == 1 and held.docs.columns == ["doc_id", "location", "duty"]
+    assert rows(S.search(q, held, 5)) == want
+    none = S.index(docs, terms, positional=True, only=only.limit(0))
+    assert none.postings.count() == 0 and S.search(q, none, 5).count() == 0 and S.index(docs.limit(0), terms, positional=True, only=only).docs.count() == 0
+    assert catalog.queries()["phrase_search"](spark, sf).count() > 0
+
+
 def test_empty_indexes(spark):
     none = spark.createDataFrame([], SCHEMA)
     for positional in (False, True):
