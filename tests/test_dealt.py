@@ -5,7 +5,7 @@ import random
 from lodestar.functions import text as T
 from lodestar.operators import extraction as X
 from lodestar.operators import graph as G
-from lodestar.operators import hybrid, statistics
+from lodestar.operators import hybrid, ltr, statistics
 from lodestar.operators import search as S
 from lodestar.plans import catalog
 from lodestar.plans import fixtures as fx
@@ -43,6 +43,19 @@ def test_ablation_makes_no_index(spark, sf, monkeypatch):
     assert catalog.queries()["ablation"](spark, sf).count() == 4
 
 
+def test_ablation_learns_from_all_reached_jobs(spark, sf, monkeypatch):
+    """ablation: rankers have all their trees, and of a query all jobs that its anchors reach are labelled, so there is something to learn."""
+    asked = []
+
+    def fit(train, features, trees=80):
+        asked.append((trees, {r.relevance for r in train.select("relevance").distinct().collect()}, train.groupBy("query_id").count().agg(F.max("count")).first()[0]))
+        return ltr.Ranker(features)
+
+    monkeypatch.setattr(ltr, "fit", fit)
+    assert catalog.queries()["ablation"](spark, sf).count() == 4
+    assert [(t, g) for t, g, _ in asked] == [(80, {0, 1, 2})] * 2 and min(n for *_, n in asked) > 30
+
+
 def test_edges_come_to_their_jobs_once(spark, sf):
     """retrieve_two_hop: no edge is shuffled by its skill, nor for each query; pairs that lead nowhere aren't made."""
     rows = fx.baskets(spark, sf).select("job_id", "skill")

@@ -132,3 +132,14 @@ def test_scores_stored_anew_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(ltr, "ROUND", 1)
     monkeypatch.setattr(ltr, "FEW", 0)
     assert [(t.feature, t.cut) for t in fitted()] == [(t.feature, t.cut) for t in want]
+
+
+def test_one_task_learns_what_many_learn(spark, monkeypatch):
+    rows, x = data(5, 16, 14, missing=True)
+    df = frame(spark, rows, x)
+    fitted = lambda: ltr.fit(df, ["a", "b", "c"], trees=5, rate=0.2, leaves=5, min_rows=4)
+    one = fitted()
+    monkeypatch.setattr(ltr, "CHUNK", 10)
+    many = fitted()
+    assert [(t.feature, t.cut, t.limit) for t in one.trees] == [(t.feature, t.cut, t.limit) for t in many.trees] and len(one.trees) == 5
+    assert all(abs(a - b) < 1e-9 for s, t in zip(one.trees, many.trees) for a, b in zip(s.value, t.value)) and all(abs(a - b) < 1e-6 for a, b in zip(one.gains, many.gains))
